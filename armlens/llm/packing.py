@@ -26,6 +26,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ from .common import cut, text_batches
 #: White space of the tokenizer's patterns (Unicode's White_Space property) beside the ASCII one (\x1c to \x1f aren't).
 _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
+#: The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_VISIBLE = {b: chr(b) for b in _PRINTED} | {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 _POINTS = ".,!?;:"
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 
@@ -46,51 +50,62 @@ class WordEncoder:
 
     The tokenizer drops white space before anything else, so a text's ids are those of its words one after another.
     Words of a batch are found and told apart by 64-bit hashes in numpy, and each distinct one is encoded once while
-    it stays in a bounded cache. Words that are letters, with points after them at most, are encoded without the
-    points and many at a time; all others one by one.
+    it stays in a bounded cache, which a Python worker keeps from task to task.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, limit: int = 800_000):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model, self.limit = Tokenizer.from_file(path), limit
-        self.last = np.zeros(self.model.get_vocab_size() + 1, bool)  # whether a token ends a word
-        for token, at in self.model.get_vocab().items():
-            self.last[at] = token.endswith("</w>")
+        self.direct = Tokenizer(self.model.model)
+        self.direct.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        (self.mark,) = self._ids(self.model, "\x1c")
         self.power = self.inverse = np.ones(0, np.uint64)
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[int, int] = {}  # the hash of a word -> its place in begin and count
-        self.stems: dict[str, bytes] = {}
         self.pool, self.begin, self.count = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _one(self, word: str) -> bytes:
-        return np.array(self.model.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn_stems(self, stems: list[str]) -> None:
-        for begin in range(0, len(stems), 256):
-            part = stems[begin : begin + 256]
-            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(part):
-                raw, start = ids.tobytes(), 0
-                for stem, end in zip(part, (4 * ends).tolist(), strict=True):
-                    self.stems[stem] = raw[start:end]
-                    start = end
-            else:  # a stem that isn't one word to the tokenizer
-                for stem in part:
-                    self.stems[stem] = self._one(stem)
-
-    def _learn(self, words: list[str]) -> list[bytes]:
-        parts = []
-        for word in words:
+    def _ids(self, model, text: str) -> np.ndarray:
+        return np.array(model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _many(self, model, words: list[str], mark: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The ids of the words, and how many each has: many are encoded at a time, with marks between them."""
+        ids_of, sizes = [], []
+        for begin in range(0, len(words), 256):
+            some = words[begin : begin + 256]
+            ids = self._ids(model, mark.join(some))
+            marks = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            if len(marks) == len(some):
+                sizes.append(np.diff(marks, prepend=-1) - 1)
+                ids_of.append(ids[ids != self.mark])
+            else:  # the mark is in a word
+                each = [self._ids(model, word) for word in some]
+                sizes.append(np.array([len(x) for x in each]))
+                ids_of += each
+        return ids_of, sizes
+
+    def _learn(self, words: list[str], hashes: list[int]) -> None:
+        """Letters with points after them go to the tokenizer's model directly, in the form its first steps give them."""
+        plain, odd, plain_hash, odd_hash = [], [], [], []
+        for word, h in zip(words, hashes, strict=True):
             stem = word.rstrip(_POINTS)
-            parts.append((stem.lower() if stem.isascii() else stem, word[len(stem) :]) if stem.isalpha() else (None, word))
-        self._learn_stems(list({stem for stem, _ in parts if stem}.difference(self.stems)))
-        for rest in {rest for _, rest in parts}.difference(self.stems):
-            self.stems[rest] = self._one(rest)
-        return [self.stems[stem] + self.stems[rest] if stem else self.stems[rest] for stem, rest in parts]
+            if not stem.isalpha() or "İ" in stem or "Σ" in stem or not is_normalized("NFC", stem):
+                odd.append(word)
+                odd_hash.append(h)
+                continue
+            form = stem.lower()
+            if not form.isascii():
+                form = form.encode().decode("latin-1").translate(_VISIBLE)
+            plain.append(f"{form} {word[len(stem) :]}" if len(stem) < len(word) else form)
+            plain_hash.append(h)
+        some, counts = self._many(self.direct, plain, f" {_VISIBLE[28]} ")
+        more, odd_counts = self._many(self.model, odd, " \x1c ")
+        self.known.update(zip(plain_hash + odd_hash, range(len(self.count), len(self.count) + len(words)), strict=True))
+        self.pool = np.concatenate([self.pool, *some, *more])
+        self.count = np.concatenate([self.count, *counts, *odd_counts])
+        self.begin = self.count.cumsum() - self.count
 
     def _hashes(self, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         if len(self.power) <= len(code):
@@ -115,15 +130,10 @@ class WordEncoder:
         hashed, first, which = np.unique(self._hashes(code.astype(np.uint64), start, end), return_index=True, return_inverse=True)
         if len(self.known) > self.limit:
             self._forget()
-        new = [(k, h) for k, h in enumerate(hashed.tolist()) if h not in self.known]
+        new = [k for k, h in enumerate(hashed.tolist()) if h not in self.known]
         if new:
-            a, b = start[first].tolist(), end[first].tolist()
-            ids = self._learn([buffer[a[k] : b[k]].decode() for k, _ in new])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            self.known.update((h, len(self.count) + k) for k, (_, h) in enumerate(new))
-            self.begin = np.concatenate((self.begin, len(self.pool) + sizes.cumsum() - sizes))
-            self.count = np.concatenate((self.count, sizes))
-            self.pool = np.concatenate((self.pool, np.frombuffer(b"".join(ids), "<u4")))
+            at = first[new]
+            self._learn([buffer[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)], hashed[new].tolist())
         place = np.fromiter(map(self.known.__getitem__, hashed.tolist()), np.int64, len(hashed))[which]
         count = self.count[place]
         after = count.cumsum()
@@ -134,6 +144,15 @@ class WordEncoder:
         return [ids[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def _encoder(path: str) -> WordEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -151,7 +170,7 @@ def tokenize_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work to the cores
-        encoder, end = WordEncoder(path), np.array([end_id], "<u4").tobytes()
+        encoder, end = _encoder(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
