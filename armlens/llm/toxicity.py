@@ -1,16 +1,15 @@
 """Toxicity severity by cumulative-link ordinal regression.
 
-Labels say toxic or not; severity grades are derived from them. Words that are far more frequent in toxic documents
-than in others are markers; toxic documents are graded 1 to ``grades`` by the quantiles of their share of markers,
-others are grade 0. The model has one weight for each word feature, shared by all thresholds:
+Labels say toxic or not; severity grades are derived from them. Features that speak for toxicity in the sample are
+markers; toxic documents are graded 1 to ``grades`` by the quantiles of their sum of markers, others are grade 0. The model has one weight for each word feature, shared by all thresholds:
 
     P(grade > k) = sigmoid(w . x - theta_k),   theta_0 < theta_1 < ...
 
-x are the square roots of the words' shares of the whole text, hashed into ``2 ** bits`` features (so |x| is at most
-1 for any length). The expected severity is the sum of P(grade > k); a document is toxic if P(grade > 0) >= 0.5.
+Features are the lower-cased words without punctuation and their first 4 and 5 letters (insults are inflected), hashed
+into ``2 ** bits``; x are log(1 + how often they occur in the whole text). Only features that speak for
+toxicity in the sample get a weight, so long clean texts add nothing. The expected severity is the sum of P(grade > k); a document is toxic if P(grade > 0) >= 0.5.
 
-Fitting uses at most ``per_class`` labelled documents of either label (smallest hashes of ids): shards are trained in
-parallel by stochastic gradient steps and averaged. Scoring is one pass over the scan without a shuffle.
+Fitting uses at most ``per_class`` labelled documents of either label (smallest hashes of ids), so one task can do it. Scoring is one pass over the scan without a shuffle.
 
 Defined results: null, empty and wordless texts have severity 0; labels of documents that don't exist, and documents
 without labels, take no part in fitting; without both labels nothing is toxic; repeated rows are scored twice.
@@ -35,18 +34,45 @@ def normal_word(word: str) -> str:
     return word.strip(_EDGES).lower()
 
 
-def word_feature(word: str, bits: int) -> int:
-    """The feature of a word, or ``2 ** bits`` (an unused last one) if nothing but punctuation is left of it."""
+def word_features(word: str) -> list[str]:
+    """The word, and its first letters where it has more."""
     word = normal_word(word)
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) >> (32 - bits) if word else 1 << bits
-
-
-def _features(text: str, cache: BoundedCache, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    words = text.split()
-    at, counts = np.unique(np.fromiter(map(cache.__getitem__, words), dtype=np.int64, count=len(words)), return_counts=True)
-    used = at < 1 << bits
-    at, counts = at[used], counts[used]
-    return at, np.sqrt(counts / max(1, counts.sum()))
+    return [word, *(f"{word[:n]}*" for n in (4, 5) if len(word) > n)] if word else []
+
+
+class Features:
+    """Numbers the words of texts, and keeps the hashed features of the words it has seen."""
+
+    def __init__(self, bits: int, limit: int = 300_000):
+        self.bits, self.limit = bits, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number = BoundedCache(self._add, limit=1 << 62)
+        self.rows: list[list[int]] = []
+        self.table = np.zeros((0, 3), np.int64)
+
+    def _add(self, word: str) -> int:
+        none = 1 << self.bits  # an unused last feature
+        found = [zlib.crc32(f.encode("utf-8", "surrogatepass")) >> (32 - self.bits) for f in word_features(word)]
+        self.rows.append((found + [none] * 3)[:3])
+        return len(self.rows) + len(self.table) - 1
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Features of the whole text and log(1 + how often they occur)."""
+        if len(self.number) > self.limit:
+            self._forget()
+        words = text.split()
+        word, counts = np.unique(np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words)), return_counts=True)
+        if self.rows:
+            self.table, self.rows = np.concatenate((self.table, np.array(self.rows, np.int64))), []
+        rows = self.table[word]
+        used = rows[:, 0] < 1 << self.bits
+        rows, counts = rows[used], counts[used]
+        at, which = np.unique(rows, return_inverse=True)
+        tf = np.bincount(which.ravel(), weights=np.repeat(counts, 3), minlength=len(at))
+        inside = at < 1 << self.bits
+        return at[inside], np.log1p(tf[inside])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -59,46 +85,61 @@ class SeverityModel:
     thresholds: np.ndarray
     bits: int
 
-    def exceeding(self, text: str | None, cache: BoundedCache) -> np.ndarray:
+    def exceeding(self, text: str | None, features: Features) -> np.ndarray:
         """P(grade > k) for each threshold."""
         if not text or not len(self.thresholds):
             return np.zeros(max(1, len(self.thresholds)))
-        at, value = _features(text, cache, self.bits)
+        at, value = features.of(text)
         return _sigmoid(value @ self.weights[at] - self.thresholds) if len(at) else np.zeros(len(self.thresholds))
 
 
-def _train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_features: int, grades: int, epochs: int, rate: float, l2: float) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient steps (AdaGrad) on -log P(grade); thresholds are kept in order by their logarithmic gaps."""
-    w, g2 = np.zeros(n_features), np.full(n_features, 1e-8)
-    first, gaps = 1.0, np.zeros(grades - 1)
-    for epoch in range(epochs):
-        step = rate / (1 + epoch)
-        for at, value, grade in rows:
-            theta = first + np.append(0.0, np.exp(gaps).cumsum())
-            s = value @ w[at] - theta
-            up = _sigmoid(s)
-            # P(grade = k) = up[k - 1] - up[k]
-            p_above = 1.0 if grade == 0 else up[grade - 1]
-            p_below = 0.0 if grade == grades else up[grade]
-            slope = up * (1 - up)
-            p = max(p_above - p_below, 1e-9)
-            d = np.zeros(grades)  # d(-log p) / d s_k
-            if grade > 0:
-                d[grade - 1] -= slope[grade - 1] / p
-            if grade < grades:
-                d[grade] += slope[grade] / p
-            grad = d.sum() * value + l2 * w[at]
-            g2[at] += grad * grad
-            w[at] -= step * grad / np.sqrt(g2[at])
-            tail = -d[::-1].cumsum()[::-1]  # d / d theta_k, summed over k and those above
-            first -= 0.02 * step * np.clip(tail[0], -5, 5)
-            gaps -= 0.02 * step * np.clip(tail[1:] * np.exp(gaps), -5, 5)
-            np.clip(gaps, -3, 3, out=gaps)
-    return w, first + np.append(0.0, np.exp(gaps).cumsum())
+def _train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_features: int, grades: int, steps: int, rate: float, l2: float, screen: float) -> tuple[np.ndarray, np.ndarray]:
+    """Full-batch Adam on the mean of -log P(grade) + l2 / 2 * |w| ** 2; thresholds stay in order by positive gaps.
+
+    Only features that speak for toxicity get a weight: of a toxic and b other documents that have one (both kinds
+    scaled to the same number), a - b must exceed ``screen`` times the square root of a + b.
+    """
+    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+    at, value = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+    grade = np.array([r[2] for r in rows])
+    toxic, n_toxic = grade[row] > 0, max(1, (grade > 0).sum())
+    a, b = np.bincount(at[toxic], minlength=n_features), np.bincount(at[~toxic], minlength=n_features) * (n_toxic / max(1, len(grade) - n_toxic))
+    telling = (a - b > screen * np.sqrt(a + b))[at]
+    row, at, value = row[telling], at[telling], value[telling]
+    evidence = np.bincount(row, weights=value, minlength=len(grade))
+    if n_toxic and grades > 1:
+        edges = np.quantile(evidence[grade > 0], np.arange(1, grades) / grades)
+        grade = np.where(grade > 0, 1 + np.searchsorted(edges, evidence, side="left"), 0)
+    names, at = np.unique(at, return_inverse=True)
+    # Both kinds of documents weigh the same.
+    weight = np.where(grade > 0, 0.5 / max(1, (grade > 0).sum()), 0.5 / max(1, (grade == 0).sum()))
+    p = np.zeros(len(names) + grades)  # weights, the first threshold, logarithms of the gaps
+    p[len(names)] = 1.0
+    m, v = np.zeros_like(p), np.zeros_like(p)
+    each = np.arange(len(grade))
+    for step in range(1, steps + 1):
+        w, gaps = p[: len(names)], np.exp(p[len(names) + 1 :])
+        theta = p[len(names)] + np.append(0.0, gaps.cumsum())
+        s = np.bincount(row, weights=value * w[at], minlength=len(grade))[:, None] - theta
+        up = np.column_stack((np.ones(len(grade)), _sigmoid(s), np.zeros(len(grade))))  # P(grade >= k)
+        slope = up * (1 - up)
+        prob = np.maximum(up[each, grade] - up[each, grade + 1], 1e-9)
+        d = np.zeros_like(up)
+        d[each, grade] = -slope[each, grade] / prob
+        d[each, grade + 1] += slope[each, grade + 1] / prob
+        d = d[:, 1:-1] * weight[:, None]  # of the loss by s_k
+        by_theta = -d.sum(axis=0)[::-1].cumsum()[::-1]
+        g = np.concatenate((np.bincount(at, weights=value * d.sum(axis=1)[row], minlength=len(names)) + l2 * w, by_theta[:1], by_theta[1:] * gaps))
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        p[len(names) + 1 :] = np.clip(p[len(names) + 1 :], -3, 3)
+    w = np.zeros(n_features)
+    w[names] = p[: len(names)]
+    return w, p[len(names)] + np.append(0.0, np.exp(p[len(names) + 1 :]).cumsum())
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, bits: int = 18, per_class: int = 2000, grades: int = 3, shards: int = 4, epochs: int = 6, rate: float = 0.5, l2: float = 1e-4,
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, bits: int = 18, per_class: int = 2000, grades: int = 3, steps: int = 400, rate: float = 0.05, l2: float = 1e-5, screen: float = 4.5,
 ) -> SeverityModel:
     """Fit on at most ``per_class`` documents of either label."""
     spark = docs.sparkSession
@@ -110,36 +151,21 @@ def fit(
     chosen = known.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= 3 * per_class).drop("r")
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(chosen), "id")
     found = found.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_class)
-    tokens = found.select("id", "y", F.explode(F.split(F.lower("text"), r"[\s\p{Punct}«»“”„…¡¿]+")).alias("word")).where("word <> ''")
-    # Markers: words of at least 5 toxic documents whose smoothed rate there is 20 times that of the others.
-    sizes = {r["y"]: r["n"] for r in found.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
+    if found.groupBy("y").count().count() < 2:
         return SeverityModel(np.zeros(1 << bits), np.zeros(0), bits)
-    seen = tokens.distinct().groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
-    lift = ((F.col("toxic") + 0.5) / (sizes[1] + 1)) / ((F.col("clean") + 0.5) / (sizes[0] + 1))
-    markers = [r["word"] for r in seen.where(F.col("toxic") >= 5).where(lift >= 20).orderBy(F.desc(lift), F.desc("toxic"), "word").limit(500).collect()]
-    share = tokens.groupBy("id", "y").agg(F.avg(F.col("word").isin(markers).cast("double") if markers else F.lit(0.0)).alias("share")).where("y = 1")
-    edges = share.approxQuantile("share", [k / grades for k in range(1, grades)], 0.001) if grades > 1 else []
-    marked = set(markers)
 
     def train(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        cache = BoundedCache(lambda word: word_feature(word, bits))
-        rows = []
-        for text, y in zip(pdf.sort_values("h")["text"], pdf.sort_values("h")["y"], strict=True):
-            at, value = _features(text, cache, bits)
-            words = [w for w in map(normal_word, text.split()) if w]
-            part = sum(w in marked for w in words) / max(1, len(words))
-            rows.append((at, value, int(y and 1 + sum(part > e for e in edges))))
-        w, theta = _train(rows, 1 << bits, grades, epochs, rate, l2)
+        features = Features(bits)
+        rows = [(*features.of(text), y) for text, y in pdf.sort_values(["h", "id"])[["text", "y"]].itertuples(index=False)]
+        w, theta = _train(rows, 1 << bits, grades, steps, rate, l2, screen)
         at = w.nonzero()[0]
         return pd.DataFrame({"feature": [at], "value": [w[at]], "theta": [theta]})
 
-    # The two labels are dealt evenly to the shards.
-    sharded = found.withColumn("shard", F.pmod("r", F.lit(shards)))
-    parts = sharded.groupBy("shard").applyInPandas(train, "feature array<int>, value array<double>, theta array<double>").toPandas()
+    # At most 2 * per_class rows: one task fits them.
+    parts = found.groupBy(F.lit(0).alias("all")).applyInPandas(train, "feature array<int>, value array<double>, theta array<double>").toPandas()
     weights = np.zeros(1 << bits)
     for at, value in zip(parts["feature"], parts["value"], strict=True):
-        weights[at] += np.asarray(value) / len(parts)
+        weights[at] += np.asarray(value)
     return SeverityModel(weights, np.mean(np.stack(parts["theta"].to_list()), axis=0), bits)
 
 
@@ -148,14 +174,14 @@ def score(docs: DataFrame, model: SeverityModel, text_col: str = "text") -> Colu
     spark = docs.sparkSession
     text_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    cache: list[BoundedCache] = []
+    kept: list[Features] = []
 
     @F.pandas_udf("severity double, p_toxic double, grade int, toxic boolean")
     def of(texts: pd.Series) -> pd.DataFrame:
         model = shared.value
-        if not cache:
-            cache.append(BoundedCache(lambda word: word_feature(word, model.bits)))
-        up = [model.exceeding(t, cache[0]) for t in texts]
+        if not kept:
+            kept.append(Features(model.bits))
+        up = [model.exceeding(t, kept[0]) for t in texts]
         return pd.DataFrame({"severity": [float(p.sum()) for p in up], "p_toxic": [float(p[0]) for p in up], "grade": [int((p >= 0.5).sum()) for p in up], "toxic": [bool(p[0] >= 0.5) for p in up]})
 
     return of.asNondeterministic()(F.col(text_col))
