@@ -45,6 +45,21 @@ _POINTS = ".,!?;:"
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 
 
+_POWERS: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
+
+
+def word_keys(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit polynomial hashes of code[start:end], from prefix sums."""
+    if len(_POWERS[0]) <= len(code):
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            _POWERS[k] = np.full(len(code) + len(code) // 4 + 1, base, np.uint64)
+            _POWERS[k][0] = 1
+            _POWERS[k] = _POWERS[k].cumprod(dtype=np.uint64)
+    total = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum((code + np.uint64(1)) * _POWERS[0][: len(code)], out=total[1:], dtype=np.uint64)
+    return (total[end] - total[start]) * _POWERS[1][start] ^ (end - start).astype(np.uint64) << np.uint64(48)
+
+
 class WordEncoder:
     """Token ids of whole texts by the ids of their words.
 
@@ -60,7 +75,6 @@ class WordEncoder:
         self.direct = Tokenizer(self.model.model)
         self.direct.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         (self.mark,) = self._ids(self.model, "\x1c")
-        self.power = self.inverse = np.ones(0, np.uint64)
         self._forget()
 
     def _forget(self) -> None:
@@ -107,16 +121,6 @@ class WordEncoder:
         self.count = np.concatenate([self.count, *counts, *odd_counts])
         self.begin = self.count.cumsum() - self.count
 
-    def _hashes(self, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        if len(self.power) <= len(code):
-            ones = np.ones(len(code) + len(code) // 4 + 1, np.uint64)
-            self.power, self.inverse = ones.copy(), ones.copy()
-            self.power[1:], self.inverse[1:] = _BASE, pow(_BASE, -1, 1 << 64)
-            self.power, self.inverse = self.power.cumprod(dtype=np.uint64), self.inverse.cumprod(dtype=np.uint64)
-        total = np.zeros(len(code) + 1, np.uint64)
-        np.cumsum((code + np.uint64(1)) * self.power[: len(code)], out=total[1:], dtype=np.uint64)
-        return (total[end] - total[start]) * self.inverse[start] ^ (end - start).astype(np.uint64) << np.uint64(48)
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         if not texts:
@@ -127,7 +131,7 @@ class WordEncoder:
         space = _SPACE[code]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         start, end = edge[::2], edge[1::2]
-        hashed, first, which = np.unique(self._hashes(code.astype(np.uint64), start, end), return_index=True, return_inverse=True)
+        hashed, first, which = np.unique(word_keys(code.astype(np.uint64), start, end), return_index=True, return_inverse=True)
         if len(self.known) > self.limit:
             self._forget()
         new = [k for k, h in enumerate(hashed.tolist()) if h not in self.known]

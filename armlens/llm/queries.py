@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, minhash_dedup, packing, secrets, toxicity
+from . import hilbert_ann, language_id, licenses, minhash_dedup, packing, quality, secrets, sentencepiece_scan, simhash, toxicity
+from .common import cut
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +43,49 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", toxicity.score(docs, model).alias("t")).select("doc_id", "t.*")
 
 
+def op1_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_scan.encode(_table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op3_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.search(_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_sentences", F.array_join("sentences", ",").alias("sentences"), F.array_join("licenses", ",").alias("licenses"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the contract's columns: n_within_3, how many documents (itself included) have a fingerprint within 3 bits,
+    for the documents whose id is divisible by 50; null for others."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null").dropDuplicates(["doc_id"])
+    pairs = simhash.with_next(docs, "doc_id", ["text"])
+    pairs = pairs.select("doc_id", "next_id", "text", simhash.edited_text(F.col("text"), F.col("next_text")).alias("edited"))
+    prints = simhash.fingerprints(pairs, "doc_id", ["text", "edited"]).toDF("doc_id", "fp", "edited_fp")
+    light = pairs.select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    base = cut(light.join(prints, "doc_id"))
+    index = base.groupBy(F.col("fp").alias("print")).agg(F.count("*").alias("n"))
+    asked = base.where("doc_id % 50 = 0").select(F.col("fp").alias("query")).distinct()
+    met = simhash.near(asked, index.select("print")).join(index, "print").groupBy(F.col("query").alias("fp")).agg(F.sum("n").alias("n_within_3"))
+    nexts = base.select(F.col("doc_id").alias("next_id"), F.col("fp").alias("next_fp"))
+    full = base.join(nexts, "next_id").join(met, "fp", "left")
+    text = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
+    return full.select(
+        "doc_id", "n_chars", "edited_sha256", text("fp").alias("fingerprint"), text("edited_fp").alias("edited_fingerprint"),
+        simhash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), simhash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        F.when(F.col("doc_id") % 50 == 0, F.col("n_within_3")).alias("n_within_3"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_best_fit_packing, op5_language_id, op6_secret_scan, op8_minhash_dedup, op9_toxicity]
+    found = [op1_quality_kneser_ney, op2_sentencepiece, op3_hilbert_ann, op4_best_fit_packing, op5_language_id, op6_secret_scan, op7_license_scan, op8_minhash_dedup, op9_toxicity, op10_simhash]
     return {f.__name__: f for f in found}
 
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_license_scan": licenses.oracle_sql()}

@@ -148,7 +148,12 @@ def fit(
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     known = known.groupBy("id").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("id"))
     # Some labelled ids may have no text; so three times as many are looked up. At most 6 * per_class rows: broadcast.
-    chosen = known.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= 3 * per_class).drop("r")
+    # The labels are thinned by hash to about twice that before they are ranked.
+    n_of = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if len(n_of) < 2:
+        return SeverityModel(np.zeros(1 << bits), np.zeros(0), bits)
+    share = F.when(F.col("y") == 1, min(1.0, 6.0 * per_class / n_of[1])).otherwise(min(1.0, 6.0 * per_class / n_of[0]))
+    chosen = known.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= 3 * per_class).drop("r")
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(chosen), "id")
     found = found.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_class)
     if found.groupBy("y").count().count() < 2:
