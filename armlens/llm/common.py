@@ -15,15 +15,17 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
-
-    The folder is ``spark.checkpoint.dir``; only where a session has none (as in tests) a
-    temporary one is taken. What has been written survives the loss of executors.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only where a session has none (as in tests) a temporary one."""
+    context = spark.sparkContext
     if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="armlens-checkpoint-"))
+    return context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there; executors may be lost after that."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -109,6 +109,47 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rea
     return linked.groupBy("row", "doc_id").agg(*map(count, range(3)), F.array_sort(F.collect_list(F.when(F.col("kept"), F.struct("start", "kind", "end")))).alias("spans")).drop("row")
 
 
+def linked_spans(text: str, reach: int = 400) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of one text's base and linked spans: what ``scan`` finds, for rewriting the text in place."""
+    spans = find_spans(text)
+    partners = {3: (0, 2, 4), 4: (1, 3, 5), 5: (0, 2, 4)}
+    kept = [kind < 3 for kind, *_ in spans]
+    for order, place in ((range(len(spans)), 2), (range(len(spans) - 1, -1, -1), 1)):
+        # The nearest edge of each kind seen so far in the scope: the greatest end before, the least start after.
+        scope, edge = None, {}
+        for i in order:
+            kind, a, b, s = spans[i]
+            if s != scope:
+                scope, edge = s, {}
+            for k in partners.get(kind, ()):
+                if k in edge and (a - edge[k] if place == 2 else edge[k] - b) <= reach:
+                    kept[i] = True
+            edge[kind] = max(edge.get(kind, b), b) if place == 2 else min(edge.get(kind, a), a)
+    return [(a, kind, b) for (kind, a, b, _), keep in zip(spans, kept, strict=True) if keep]
+
+
+def redacted(docs: DataFrame, text_col: str = "text", *, reach: int = 400, mark: str = "[SECRET]") -> Column:
+    """The texts with base and linked spans (overlapping ones as one) replaced by ``mark``."""
+    text_batches(docs.sparkSession)
+
+    def one(text: str | None) -> str | None:
+        spans = linked_spans(text, reach) if text else []
+        if not spans:
+            return text
+        out, done = [], 0
+        for a, _, b in spans:
+            if a >= done:
+                out += [text[done:a], mark]
+            done = max(done, b)
+        return "".join(out) + text[done:]
+
+    @F.pandas_udf("string")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([one(t) for t in texts], dtype=object)
+
+    return of.asNondeterministic()(F.col(text_col))
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end of the spans, joined by commas."""
     names = F.array(*map(F.lit, KINDS))
