@@ -63,20 +63,19 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Beside the contract's columns: n_within_3, how many documents (itself included) have a fingerprint within 3 bits,
     for the documents whose id is divisible by 50; null for others."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null").dropDuplicates(["doc_id"])
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
     pairs = simhash.with_next(docs, "doc_id", ["text"])
     pairs = pairs.select("doc_id", "next_id", "text", simhash.edited_text(F.col("text"), F.col("next_text")).alias("edited"))
-    prints = simhash.fingerprints(pairs, "doc_id", ["text", "edited"]).toDF("doc_id", "fp", "edited_fp")
-    light = pairs.select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    base = cut(light.join(prints, "doc_id"))
+    pairs = pairs.select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"), *simhash.as_longs(F.sha2("edited", 256)), "text", "edited")
+    prints = simhash.fingerprints(pairs, ["text", "edited"], ["doc_id", "next_id", "n_chars", *[f"sha{k}" for k in range(4)]])
+    base = cut(prints.select("doc_id", "next_id", "n_chars", simhash.from_longs().alias("edited_sha256"), F.col("text").alias("fp"), F.col("edited").alias("edited_fp")))
     index = base.groupBy(F.col("fp").alias("print")).agg(F.count("*").alias("n"))
     asked = base.where("doc_id % 50 = 0").select(F.col("fp").alias("query")).distinct()
     met = simhash.near(asked, index.select("print")).join(index, "print").groupBy(F.col("query").alias("fp")).agg(F.sum("n").alias("n_within_3"))
-    nexts = base.select(F.col("doc_id").alias("next_id"), F.col("fp").alias("next_fp"))
+    nexts = base.select(F.col("doc_id").alias("next_id"), F.col("fp").alias("next_fp")).dropDuplicates(["next_id"])
     full = base.join(nexts, "next_id").join(met, "fp", "left")
-    text = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
     return full.select(
-        "doc_id", "n_chars", "edited_sha256", text("fp").alias("fingerprint"), text("edited_fp").alias("edited_fingerprint"),
+        "doc_id", "n_chars", "edited_sha256", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), simhash.hexadecimal(F.col("edited_fp")).alias("edited_fingerprint"),
         simhash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), simhash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
         F.when(F.col("doc_id") % 50 == 0, F.col("n_within_3")).alias("n_within_3"),
     )

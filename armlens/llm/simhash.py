@@ -7,8 +7,8 @@ where the votes for it are more than half. Votes are summed two bits to a number
 Two fingerprints within ``radius`` bits agree in at least ``blocks - radius`` of their blocks. So for each choice of
 that many blocks there is a table keyed by their bits; equal keys are candidates and a bit count confirms them.
 
-Defined results: null and empty texts have no terms and fingerprint 0; rows that occur twice are handled twice (for
-``edited`` the next document is found among distinct ids); extra columns are ignored.
+Defined results: null and empty texts have no terms and fingerprint 0; rows with the same id are rows of their own, and
+one of them is the other's next document; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,26 +21,40 @@ from pyspark.sql import functions as F
 _PAIR = 0x0000000100000001  # one bit in either half
 
 
-def fingerprints(texts: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``key`` and for each text column its 64-bit fingerprint as a long, in a column of the same name.
+def fingerprints(texts: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    """A row for each row: the long columns of ``keep`` and each text column's 64-bit fingerprint under its name.
 
-    ``key`` must be unique. Words are summed where they are read, so one row of sums for each text is shuffled.
+    Words are summed where they are read, so one row of sums for each text is shuffled, and no text.
     """
-    stacked = texts.select(F.col(key).alias("key"), F.posexplode(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in columns])).alias("which", "text"))
-    words = stacked.select("key", "which", F.explode(F.split("text", r"\s+")).alias("word"))
+    rows = texts.select(F.monotonically_increasing_id().alias("row"), *keep, F.array(*[F.coalesce(F.col(c), F.lit("")) for c in columns]).alias("texts"))
+    stacked = rows.select("row", *keep, F.posexplode("texts").alias("which", "text"))
+    words = stacked.select("row", *keep, "which", F.explode(F.split("text", r"\s+")).alias("word"))
     weight = F.greatest(F.least(F.length("word"), F.lit(12)) - 1, (F.length("word") > 0).cast("int")).cast("long")
-    voted = words.select("key", "which", F.xxhash64("word").alias("h"), weight.alias("w"))
+    voted = words.select("row", *keep, "which", F.xxhash64("word").alias("h"), weight.alias("w"))
     sums = [F.sum(F.shiftright("h", b).bitwiseAND(F.lit(_PAIR)) * F.col("w")).alias(f"v{b}") for b in range(32)]
-    votes = voted.groupBy("key", "which").agg(F.sum("w").alias("total"), *sums)
-    print_ = F.lit(0).cast("long")
+    votes = voted.groupBy("row", "which").agg(*[F.max(k).alias(k) for k in keep], F.sum("w").alias("total"), *sums)
+    found = F.lit(0).cast("long")
     for b in range(32):
         low, high = F.col(f"v{b}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"v{b}", 32)
         for bit, n in ((b, low), (b + 32, high)):
             value = 1 << bit if bit < 63 else -(1 << 63)
-            print_ = print_.bitwiseOR(F.when(2 * n > F.col("total"), F.lit(value)).otherwise(F.lit(0)).cast("long"))
-    each = votes.select("key", "which", print_.alias("print"))
+            found = found.bitwiseOR(F.when(2 * n > F.col("total"), F.lit(value)).otherwise(F.lit(0)).cast("long"))
+    each = votes.select("row", "which", *keep, found.alias("print"))
     pivoted = [F.max(F.when(F.col("which") == k, F.col("print"))).alias(c) for k, c in enumerate(columns)]
-    return each.groupBy("key").agg(*pivoted).withColumnRenamed("key", key)
+    return each.groupBy("row").agg(*[F.max(k).alias(k) for k in keep], *pivoted).drop("row")
+
+
+def as_longs(hex_digest: Column) -> list[Column]:
+    """A hexadecimal digest of 64 characters as four longs, which are cheaper to carry."""
+    return [F.conv(F.substring(hex_digest, 16 * k + 1, 16), 16, -10).cast("long").alias(f"sha{k}") for k in range(4)]
+
+
+def from_longs() -> Column:
+    return F.concat(*[hexadecimal(F.col(f"sha{k}")) for k in range(4)])
+
+
+def hexadecimal(x: Column) -> Column:
+    return F.lpad(F.lower(F.hex(x)), 16, "0")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -49,7 +63,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame, id_col: str, columns: list[str], *, per_bucket: int = 20_000) -> DataFrame:
-    """``docs`` (distinct ids) with next_id and next_<column> of the document with the next smaller id; after the
+    """``docs`` with next_id and next_<column> of the document with the next smaller id; after the
     smallest comes the greatest.
 
     Ids are cut into ranges at quantiles; within a range the next document is found by a window. The first document
