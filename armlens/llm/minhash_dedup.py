@@ -10,8 +10,9 @@ of the full shingle sets reaches the threshold. Candidates of a band's bucket ar
 
 1. documents with equal sets are one node;
 2. each node of a bucket is checked against a few leaders of it, and verified links are joined to components;
-3. only nodes outside the largest component of their bucket are then checked against all others of the bucket that
-   are in other components (and whose set sizes allow the threshold).
+3. only nodes outside the largest component of their bucket are then checked against others of the bucket that are in
+   other components and whose set sizes allow the threshold; in buckets of more than SMALL_BUCKET nodes only against
+   those that share one of their rarest shingles, early enough, as all that reach the threshold do.
 
 What is not compared is connected already, so the components are those of all candidate pairs; groups of thousands of
 near copies take a number of checks that is linear in their size. ``bands`` and ``rows`` decide how likely a link is
@@ -29,13 +30,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BoundedCache, cut, text_batches
 from .components import connected_components
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+#: Nodes of a bucket that are paired directly; in larger ones candidates must share a rare shingle.
+SMALL_BUCKET = 16
 _ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -169,11 +172,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # 3. Nodes outside the largest component of their bucket, against those of the bucket's other components.
     placed = meeting.select("key", "node", "size").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    largest = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    largest = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n")).where("parts > 1").drop("parts")
     open_ = cut(placed.join(largest, "key"))
-    outside = open_.where("component <> main").select("key", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("size").alias("sx"))
-    rest = outside.join(open_.drop("main"), "key").where("cx <> component").where(_fits(F.col("sx"), F.col("size"), percent))
-    rest = rest.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
+    few = F.col("n") <= SMALL_BUCKET
+    outside = open_.where(few & (F.col("component") != F.col("main"))).select("key", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("size").alias("sx"))
+    rest = outside.join(open_.where(few).drop("main", "n"), "key").where("cx <> component").where(_fits(F.col("sx"), F.col("size"), percent))
+    rest = rest.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+    crowd = open_.where(~few).groupBy("node", "size", "component").agg(F.max(F.col("component") != F.col("main")).alias("outside"))
+    rest = rest.union(_sharing_prefix(crowd, texts, width, percent)).distinct().join(checked, ["a", "b"], "left_anti")
     more = cut(verified(rest, texts, width, percent))
     if not more.isEmpty():
         name = lambda side: component.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
@@ -187,6 +193,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def _sharing_prefix(crowd: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of a node with ``outside`` and one of another component that may be linked: all that are.
+
+    Sets that reach the threshold share one of their rarest shingles: of the first size - ceil(threshold * size) + 1 in
+    any order that is the same for all, here by how many of these nodes have them. So near copies that differ too
+    much, each by edits of its own, aren't paired with each other though they share most of their text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = word_hashes()
+        for batch in batches:
+            sets = [shingle_hashes(t, words, width).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.select(["node", "size", "component", "outside"]).columns, pa.array(sets, pa.list_(pa.int64()))], ["node", "size", "component", "outside", "shingles"])
+
+    named = crowd.join(texts.toDF("node", "text"), "node").select("node", "size", "component", "outside", "text")
+    each = named.mapInArrow(run, "node long, size long, component long, outside boolean, shingles array<long>").select("node", "size", "component", "outside", F.explode("shingles").alias("shingle"))
+    each = cut(each)
+    often = each.groupBy("shingle").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("node").orderBy("df", "shingle")
+    length = F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1
+    # A shingle that one node has can't be shared, but counts as one of the first.
+    prefix = each.join(often, "shingle").withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= length) & (F.col("df") > 1))
+    prefix = prefix.withColumn("band", F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int"))
+    left = prefix.where("outside").select("shingle", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), F.col("node").alias("x"), F.col("component").alias("cx"), F.col("size").alias("sx"), F.col("rank").alias("rx"))
+    met = left.join(prefix.select("shingle", "band", "node", "component", "size", "rank"), ["shingle", "band"]).where("cx <> component").where(_fits(F.col("sx"), F.col("size"), percent))
+    # With the first shared one at these ranks, no more than this many can be shared.
+    most = 1 + F.least(F.col("sx") - F.col("rx"), F.col("size") - F.col("rank"))
+    met = met.where(most * (100 + percent) >= (F.col("sx") + F.col("size")) * percent)
+    return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
 def _fits(x: Column, y: Column, percent: int) -> Column:
     """Whether sets of these sizes can reach the threshold at all."""
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
