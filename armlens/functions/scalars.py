@@ -132,7 +132,8 @@ def squeeze_unit(y: Column, n: Column) -> Column:
 def excluded_by_annotation(types: Column, name: Column, parts: list[str] | None = None, prefixes: list[str] | None = None) -> Column:
     """The reasons, joined by +, for which a gene is left out: any of its types contains a part, its name starts with a
     prefix. Null if none."""
-    hits = [F.when(F.exists(types, lambda t, p=p: t.contains(p)), F.lit(p)) for p in parts or EXCLUDED_BIOTYPES]
+    any_has = lambda part: F.exists(types, lambda t: t.contains(part))
+    hits = [F.when(any_has(p), F.lit(p)) for p in parts or EXCLUDED_BIOTYPES]
     hits += [F.when(name.startswith(p), F.lit(p)) for p in prefixes or EXCLUDED_NAMES]
     found = F.concat_ws("+", *hits)
     return F.when(found != "", found)

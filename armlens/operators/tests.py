@@ -34,10 +34,10 @@ def exact_tail(n1: int, n2: int) -> list[float]:
 def _normal_p(sums: DataFrame) -> DataFrame:
     """u_stat, p_value, rbc from n1, n2, r1 (rank sum of the case arm) and ties (sum of t ** 3 - t)."""
     d = sums.withColumn("u_stat", F.expr("r1 - n1 * (n1 + 1) / 2e0"))
-    d = d.withColumn("_s", F.expr("sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1) - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1))))"))
+    d = d.withColumn("_s", F.expr("CASE WHEN n1 > 0 AND n2 > 0 THEN sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1) - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1)))) END"))
     d = d.withColumn("_z", F.expr("CASE WHEN _s > 0 THEN (greatest(u_stat, n1 * n2 - u_stat) - n1 * n2 / 2e0 - 0.5e0) / _s END"))
     upper = "(CASE WHEN _z >= 0 THEN " + two_sided_normal_sql("_z") + " ELSE 1e0 END)"
-    return d.withColumn("p_value", F.expr(f"CASE WHEN _z IS NOT NULL THEN {upper} END")).withColumn("rbc", F.expr("1 - 2 * u_stat / (n1 * n2)")).drop("_s", "_z")
+    return d.withColumn("p_value", F.expr(f"CASE WHEN _z IS NOT NULL THEN {upper} END")).withColumn("rbc", F.expr("CASE WHEN n1 > 0 AND n2 > 0 THEN 1 - 2 * u_stat / (n1 * n2) END")).drop("_s", "_z")
 
 
 def mannwhitney_padded(totals: DataFrame, key: str, n1: int, n2: int, value: str = "total") -> DataFrame:
@@ -140,7 +140,8 @@ def spearman(pairs: DataFrame, keys: list[str], x: str, y: str, least: int = 4)
     by = Window.partitionBy(*keys)
     rank = lambda v: F.rank().over(by.orderBy(v)) + (F.count("*").over(Window.partitionBy(*keys, v)) - 1) / 2.0
     r = pairs.select(*keys, rank(x).alias("rx"), rank(y).alias("ry"))
-    g = r.groupBy(*keys).agg(F.count("*").alias("n"), F.corr("rx", "ry").alias("c"), F.min("rx").alias("x0"), F.max("rx").alias("x1"), F.min("ry").alias("y0"), F.max("ry").alias("y1"))
+    g = r.groupBy(*keys).agg(F.count("*").alias("n"), F.try_divide(F.covar_pop("rx", "ry"), F.stddev_pop("rx") * F.stddev_pop("ry")).alias("c0"), F.min("rx").alias("x0"), F.max("rx").alias("x1"), F.min("ry").alias("y0"), F.max("ry").alias("y1"))
+    g = g.withColumn("c", F.round("c0", 12))  # so that 1 is 1
     ok = (F.col("n") >= least) & (F.col("x0") < F.col("x1")) & (F.col("y0") < F.col("y1"))
     g = g.select(*keys, "n", F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("c")))).alias("rho"))
     t = F.when(F.abs("rho") < 1, F.abs("rho") * F.sqrt((F.col("n") - 2) / (1 - F.col("rho") * F.col("rho"))))
