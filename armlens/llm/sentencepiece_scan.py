@@ -42,7 +42,7 @@ class PieceEncoder:
         pieces = [self.model.id_to_piece(i) for i in range(n)]
         if any("▁" in p.lstrip("▁") or "\n" in p for p in pieces):
             raise ValueError("parts of this model's texts aren't independent")
-        self.line = self.model.piece_to_id("<0x0A>")
+        self.line, self.blank = self.model.piece_to_id("<0x0A>"), self.model.piece_to_id("▁")
         self.text = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else b"" if self.model.is_control(i) or self.model.is_unknown(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self._forget()
 
@@ -54,7 +54,7 @@ class PieceEncoder:
         # The encoder puts a blank before each text: it stands for a part's own blank, or comes off with a line end.
         asked = [p[1:] if p[0] == " " else p if p == "\n" else "\n" + p for p in parts]
         ids = self.model.encode(asked, num_threads=1)
-        each = [[self.line] if p == "\n" else x if p[0] == " " else x[2:] for p, x in zip(parts, ids, strict=True)]
+        each = [[self.line] if p == "\n" else [self.blank] if p == " " else x if p[0] == " " else x[2:] for p, x in zip(parts, ids, strict=True)]
         sizes = np.fromiter(map(len, each), np.int64, len(each))
         flat = np.fromiter((i for x in each for i in x), "<u4", int(sizes.sum()))
         self.known.update(zip(keys, range(len(self.count), len(self.count) + len(parts)), strict=True))
