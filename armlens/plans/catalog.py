@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..functions.special import two_sided_normal_sql
-from ..operators import aggregates, joins, ranks, tests
+from ..operators import aggregates, expression, joins, models, ranks, tests
 from ..sources.driver_view import Cohort, with_views
 from . import analyses
 
@@ -331,3 +331,156 @@ def _(c):
     # A row for each individual: a cohort's size.
     burden = c.loaded.groupBy("individualID").agg(F.count("*").alias("n"))
     return burden.select("individualID", F.round(F.cume_dist().over(Window.orderBy("n")), 6).alias("share"))
+
+
+# Expression and models: samples are individuals, genes are parts, marker types are brands.
+MATRIX_ROWS = """xm AS (SELECT ref_id AS gene, "individualID" AS sample, fpkm AS value FROM expression)"""
+
+
+def _rows(c) -> DataFrame:
+    return c.expression.select(F.col("ref_id").alias("gene"), F.col("individualID").alias("sample"), F.col("fpkm").alias("value"))
+
+
+def _arms(c) -> DataFrame:
+    return c.individual.select(F.col("individualID").alias("sample"), "condition")
+
+
+def _markers(c) -> DataFrame:
+    return c.table("part").select(F.col("p_brand").alias("cell"), F.col("p_partkey").alias("gene"), F.col("p_size").alias("rank"))
+
+
+@_query("excluded_share", f"""SELECT * FROM (WITH {MATRIX_ROWS} SELECT sample, round(coalesce(sum(value) FILTER (gene % 10 = 0), 0) / sum(value), 6) AS excluded_share FROM xm GROUP BY 1)""")
+def _(c):
+    gone = c.gene.where("ref_id % 10 = 0").select(F.col("ref_id").alias("gene"))
+    return _rounded(expression.excluded_share(_rows(c), gone))
+
+
+@_query("top_genes", f"""SELECT * FROM (WITH {MATRIX_ROWS} SELECT gene, round(avg(value / t), 8) AS mean_share FROM (SELECT *, sum(value) OVER (PARTITION BY sample) AS t FROM xm) GROUP BY 1 ORDER BY avg(value / t) DESC, gene LIMIT 12)""")
+def _(c):
+    return _rounded(expression.top_genes(_rows(c)), 8)
+
+
+@_query(
+    "marker_coherence",
+    """SELECT * FROM (WITH mk AS (SELECT cell, gene FROM (SELECT p_brand AS cell, p_partkey AS gene, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS r FROM part) WHERE r <= 20),
+    x AS (SELECT cell, ref_id AS gene, "individualID" AS sample, log2(fpkm + 1) AS v, avg(log2(fpkm + 1)) OVER (PARTITION BY ref_id) AS m, stddev_samp(log2(fpkm + 1)) OVER (PARTITION BY ref_id) AS sd, count(*) OVER (PARTITION BY ref_id) AS n FROM expression JOIN mk ON ref_id = gene),
+    pr AS (SELECT a.cell, sum((a.v - a.m) / a.sd * (b.v - b.m) / b.sd) / (max(a.n) - 1) AS r FROM x a JOIN x b ON a.cell = b.cell AND a.sample = b.sample AND a.gene < b.gene WHERE a.sd > 0 AND b.sd > 0 GROUP BY a.cell, a.gene, b.gene)
+    SELECT cell, count(*) AS n_pairs, round(quantile_cont(r, 0.5), 6) AS median, round(quantile_cont(r, 0.25), 6) AS q1, round(quantile_cont(r, 0.75), 6) AS q3 FROM pr GROUP BY 1)""",
+)
+def _(c):
+    return _rounded(expression.marker_coherence(expression.marker_correlations(_rows(c), _markers(c))).select("cell", "n_pairs", "median", "q1", "q3"))
+
+
+@_query("marker_separation")
+def _(c):
+    return expression.marker_separation(expression.marker_correlations(_rows(c), _markers(c)))
+
+
+@_query("expression_filter")
+def _(c):
+    return expression.expression_filter(_rows(c), _arms(c), min_count=1000.0)
+
+
+@_query("tmm_factors")
+def _(c):
+    return expression.tmm_factors(_rows(c))
+
+
+@_query("sample_similarity")
+def _(c):
+    return expression.sample_similarity(_rows(c), 500)
+
+
+def _burden(c) -> DataFrame:
+    b = c.loaded.groupBy("individualID", "chrom").agg(F.count("*").cast("double").alias("value"))
+    return b.join(c.individual, "individualID")
+
+
+@_query(
+    "group_comparison",
+    f"""SELECT * FROM (WITH b AS (SELECT "individualID", chrom, CAST(count(*) AS DOUBLE) AS v FROM loaded GROUP BY 1, 2), v AS (SELECT chrom, condition, v FROM b JOIN individual USING ("individualID")),
+    st AS (SELECT chrom, count_if(condition = 'case') AS n_case, count_if(condition = 'ref') AS n_ref, quantile_cont(v, 0.5) FILTER (condition = 'case') AS median_case, quantile_cont(v, 0.5) FILTER (condition = 'ref') AS median_ref FROM v GROUP BY 1),
+    sh AS (SELECT a.chrom, quantile_cont(a.v - b.v, 0.5) AS shift, (count_if(a.v > b.v) - count_if(a.v < b.v)) / CAST(count(*) AS DOUBLE) AS cliffs_delta FROM v a JOIN v b ON a.chrom = b.chrom AND a.condition = 'case' AND b.condition = 'ref' GROUP BY 1)
+    SELECT chrom, n_case, n_ref, round(median_case, 6) AS median_case, round(median_ref, 6) AS median_ref, round(median_case / median_ref, 6) AS ratio, round(shift, 6) AS shift, round(cliffs_delta, 6) AS cliffs_delta FROM st JOIN sh USING (chrom))""",
+)
+def _(c):
+    return _rounded(models.group_comparison(_burden(c), "chrom").select("chrom", "n_case", "n_ref", "median_case", "median_ref", "ratio", "shift", "cliffs_delta"))
+
+
+def _terms(c) -> DataFrame:
+    """Per individual: burden, depth and shares of types, as the terms of models."""
+    t = c.eligible.groupBy("individualID").agg(F.count("*").cast("double").alias("burden"), F.avg("dp").alias("depth"), F.avg((F.col("a1type") == "ins").cast("double")).alias("ins_share"))
+    return c.individual.withColumn("is_case", (F.col("condition") == "case").cast("int")).join(t, "individualID")
+
+
+@_query("continuous_association")
+def _(c):
+    return models.continuous_association(_terms(c).withColumn("all", F.lit(1)), ["all"], "burden", "depth")
+
+
+@_query(
+    "partial_spearman",
+    """SELECT * FROM (WITH t AS (SELECT "individualID", condition, CAST(count(*) AS DOUBLE) AS x, avg(dp) AS y FROM eligible GROUP BY 1, 2), r AS (SELECT condition, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2e0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2e0 AS ry FROM t),
+    d AS (SELECT rx, ry, rx - avg(rx) OVER (PARTITION BY condition) AS dx, ry - avg(ry) OVER (PARTITION BY condition) AS dy FROM r) SELECT count(*) AS n, round(corr(rx, ry), 6) AS rho, round(corr(dx, dy), 6) AS partial_rho FROM d)""",
+)
+def _(c):
+    return _rounded(models.partial_spearman(_terms(c).withColumn("all", F.lit(1)), ["all"], "burden", "depth").select("n", "rho", "partial_rho"))
+
+
+@_query(
+    "grouped_ols",
+    """SELECT * FROM (WITH t AS (SELECT "individualID", CAST(count(*) AS DOUBLE) AS burden FROM eligible GROUP BY 1), e AS (SELECT ref_id, log2(fpkm + 1) AS y, burden FROM expression JOIN t USING ("individualID"))
+    SELECT ref_id, count(*) AS n, round(regr_slope(y, burden), 6) AS b_burden, round(regr_r2(y, burden), 5) AS r2 FROM e GROUP BY 1 HAVING count(*) > 5 AND var_pop(burden) > 0 AND var_pop(y) > 1e-9)""",
+)
+def _(c):
+    e = c.expression.join(_terms(c).select("individualID", "burden"), "individualID").withColumn("y", F.log2(F.col("fpkm") + 1))
+    some = e.groupBy("ref_id").agg(F.count("*").alias("k"), F.var_pop("burden").alias("v"), F.var_pop("y").alias("w")).where("k > 5 AND v > 0 AND w > 1e-9").select("ref_id")
+    fitted = models.grouped_ols(e.join(some, "ref_id", "left_semi"), "ref_id", "y", ["burden"])
+    return fitted.select("ref_id", "n", F.round("b_burden", 6).alias("b_burden"), F.round("r2", 5).alias("r2"))
+
+
+@_query(
+    "kruskal_wallis",
+    """SELECT * FROM (WITH v AS (SELECT a1type, "individualID", chrom, CAST(count(*) AS DOUBLE) AS x FROM eligible GROUP BY 1, 2, 3), r AS (SELECT a1type, chrom, rank() OVER (PARTITION BY a1type ORDER BY x) + (count(*) OVER (PARTITION BY a1type, x) - 1) / 2e0 AS r, count(*) OVER (PARTITION BY a1type, x) AS t FROM v),
+    p AS (SELECT a1type, chrom, CAST(count(*) AS DOUBLE) AS n, sum(r) AS s, sum(t * t - 1) AS ties FROM r GROUP BY 1, 2), g AS (SELECT a1type, sum(n) AS n, count(*) AS k, sum(s * s / n) AS q, sum(ties) AS ties FROM p GROUP BY 1)
+    SELECT a1type, round((12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - ties / (n * n * n - n)), 5) AS h, k - 1 AS dof FROM g WHERE k > 1)""",
+)
+def _(c):
+    v = c.eligible.groupBy("a1type", "individualID", "chrom").agg(F.count("*").cast("double").alias("x"))
+    return models.kruskal_wallis(v, ["a1type"], "chrom", "x").where("dof > 0").select("a1type", F.round("h", 5).alias("h"), "dof")
+
+
+@_query("bootstrap_median_difference")
+def _(c):
+    return models.bootstrap_median_difference(_terms(c).select("condition", "ins_share"), "ins_share")
+
+
+@_query("presence_models")
+def _(c):
+    seen = c.eligible.select("ref_id", "individualID").distinct().withColumn("present", F.lit(1))
+    grid = c.eligible.select("ref_id").distinct().join(_terms(c).select("individualID", "is_case", (F.col("burden") / 1000).alias("burden")), F.lit(True))
+    rows = grid.join(seen, ["ref_id", "individualID"], "left").fillna(0, ["present"])
+    return models.presence_models(rows, "ref_id", "present", ["burden"])
+
+
+@_query("site_models")
+def _(c):
+    rows = c.eligible.withColumn("is_case", (F.col("condition") == "case").cast("int"))
+    return models.site_models(rows, ["ref_id", "a1type"], least=20)
+
+
+@_query("risk_set_sensitivity")
+def _(c):
+    g = aggregates.tpm(c.expression).groupBy("ref_id").agg(F.avg("tpm").alias("tpm")).join(aggregates.classify_genes(c.eligible).select("ref_id", (F.col("n_calls_case") + F.col("n_calls_ref")).alias("calls")), "ref_id")
+    return models.risk_set_sensitivity(g, "tpm", [0.0, 0.25, 0.5, 0.75], "calls")
+
+
+@_query("centred_log_ratio", """SELECT * FROM (WITH s AS (SELECT i."individualID", t.part, coalesce(n, 0) / CAST(sum(coalesce(n, 0)) OVER (PARTITION BY i."individualID") AS DOUBLE) AS share FROM individual i CROSS JOIN (SELECT DISTINCT a1type AS part FROM eligible) t LEFT JOIN (SELECT "individualID", a1type AS part, count(*) AS n FROM eligible GROUP BY 1, 2) e ON e."individualID" = i."individualID" AND e.part = t.part),
+    f AS (SELECT "individualID", part, CASE WHEN share > 0 THEN share ELSE (SELECT min(share) / 2 FROM s WHERE share > 0) END AS v FROM s), l AS (SELECT "individualID", part, ln(v / sum(v) OVER (PARTITION BY "individualID")) AS l FROM f)
+    SELECT "individualID", part, round(l - avg(l) OVER (PARTITION BY "individualID"), 6) AS clr FROM l)""")
+def _(c):
+    n = c.eligible.groupBy("individualID", F.col("a1type").alias("part")).agg(F.count("*").alias("n"))
+    grid = c.individual.select("individualID").join(n.select("part").distinct(), F.lit(True)).join(n, ["individualID", "part"], "left").fillna(0, ["n"])
+    from pyspark.sql import Window
+
+    return _rounded(expression.centred_log_ratio(grid.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("individualID")))))
