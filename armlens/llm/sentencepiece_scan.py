@@ -1,11 +1,12 @@
 """SentencePiece encoding and decoding of whole texts.
 
-The model at hand is of the BPE kind: merges are taken in the order of their rank, not by the best sum of scores, so
-the max-plus (Viterbi) scan over scores gives other pieces than the model's own encoder. What is exact for it is this:
-no piece has a blank mark after another character and none holds a line end, so no merge crosses the place before a
-run of blanks or around a line end. At such places a scan has one state only, its transfer matrices are 1 by 1, and
-parts can be encoded on their own and put together in any order of combination. Texts are cut there; distinct parts
-are encoded once while they stay in a cache; pieces are put together by prefix sums.
+Giant texts go through the max-plus parallel scan of ``piece_lattice``: chunks, boundary-state transfer matrices, their
+combination, and a backtrace of each chunk. The model at hand is of the BPE kind, so steps weigh 0 or minus infinity
+(neighbours are stable or not) instead of scores; the result is the model's own encoding.
+
+Other texts are cut where the state is the same for all that comes before: no piece has a blank mark after another
+character and none holds a line end, so no piece crosses the place before a run of blanks or around a line end. Distinct
+parts are encoded once while they stay in a cache, and put together by prefix sums.
 
 Defined results: null and empty texts have no pieces; rows that occur twice are encoded twice; extra columns are
 ignored. ``decode`` gives the text back exactly.
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import text_batches
 from .packing import word_keys
+from .piece_lattice import encode_giants
 
 _BLANK, _LINE = 32, 10
 
@@ -105,24 +107,35 @@ def _encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, model: str | None = None, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, round_trip (and ids): a row for each row; ids are little-endian 32-bit."""
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, model: str | None = None, with_ids: bool = True, giant_chars: int = 32_768, chunk_chars: int = 8192) -> DataFrame:
+    """doc_id, n_pieces, ids_crc32, round_trip (and ids): a row for each row; ids are little-endian 32-bit.
+
+    Texts of more than ``giant_chars`` characters are cut into chunks of ``chunk_chars`` that are scanned in parallel.
+    """
     path = model or model_path()
     text_batches(docs.sparkSession)
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     names = ["doc_id", "n_pieces", "ids_crc32", "round_trip", "ids"][: 4 + with_ids]
 
+    def digest(ids: list[np.ndarray], texts: list[str | None], doc_ids: pa.Array) -> pa.RecordBatch:
+        raw = [x.tobytes() for x in ids]
+        back = [_encoder(path).decode(x) == (t or "") for x, t in zip(ids, texts, strict=True)]
+        columns = [doc_ids, pa.array([len(x) for x in ids], pa.int64()), pa.array(map(zlib.crc32, raw), pa.int64()), pa.array(back, pa.bool_()), pa.array(raw, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns[: 4 + with_ids], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            ids = encoder.encode(texts)
-            raw = [x.tobytes() for x in ids]
-            back = [encoder.decode(x) == (t or "") for x, t in zip(ids, texts, strict=True)]
-            columns = [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(map(zlib.crc32, raw), pa.int64()), pa.array(back, pa.bool_()), pa.array(raw, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns[: 4 + with_ids], names)
+            yield digest(_encoder(path).encode(texts), texts, batch.column(0))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield digest([np.frombuffer(x, "<u4") for x in batch.column("ids").to_pylist()], batch.column("text").to_pylist(), batch.column("doc_id"))
 
     schema = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids binary" if with_ids else "")
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, schema)
+    giant = F.length("text") > giant_chars
+    usual = docs.where(~F.coalesce(giant, F.lit(False))).mapInArrow(run, schema)
+    return usual.union(encode_giants(docs.where(giant), path, chunk_chars).mapInArrow(finish, schema))
 
 
 def decode(encoded: DataFrame, *, model: str | None = None) -> DataFrame:

@@ -77,8 +77,8 @@ def test_sentencepiece(spark, docs, odd, empty, texts):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_scan.model_path())
-    for df, n in ((docs, len(texts)), (odd, len(ODD) * 2 + 2)):
-        encoded = sentencepiece_scan.encode(df)
+    for df, n, giant in ((docs, len(texts), 2000), (odd, len(ODD) * 2 + 2, 32_768)):
+        encoded = sentencepiece_scan.encode(df, giant_chars=giant, chunk_chars=500 if giant == 2000 else 8192)
         joined = encoded.toPandas()
         assert len(joined) == n and joined["round_trip"].all()
         of = df.select("doc_id", "text").toPandas().dropna(subset=["doc_id"])
@@ -89,6 +89,34 @@ def test_sentencepiece(spark, docs, odd, empty, texts):
     assert sentencepiece_scan.encode(empty).count() == 0
 
 
+def test_piece_scan_of_any_cut():
+    """Chunks of a few characters, with and without places that no piece crosses."""
+    import random
+
+    from armlens.llm.piece_lattice import START, Chunk, _lattice
+
+    lattice, rng = _lattice(sentencepiece_scan.model_path()), random.Random(1)
+    alphabets = ["etaoinshrdlu", "etaoin shrdlu", "aA1_-/+=", "ab", " \n\ta", "日本éñ🙂x ", "0123456789abcdef"]
+    for n in range(120):
+        text = "".join(rng.choice(alphabets[n % 7] if n % 2 else rng.choice(alphabets)) for _ in range(rng.randint(1, 130)))
+        for size in (20, 37):
+            t, chunks = " " + text, []
+            for b in range(0, len(t), size):
+                left = min(b, 64)
+                chunks.append(Chunk(lattice, t[b - left : b + size + 64], left, left + min(size, len(t) - b), b == 0, b + size >= len(t)))
+            reached, tables = [{START}], []
+            for c in chunks:
+                tables.append([((i[0] - c.lo, i[1] - c.lo), (j[0] - c.hi, j[1] - c.hi)) for i, j in c.cells()])
+                reached.append({j for i, j in tables[-1] if i in reached[-1]})
+            (state,) = reached[-1]
+            ids = []
+            for c, cells, froms in zip(chunks[::-1], tables[::-1], reached[-2::-1], strict=True):
+                (entry,) = {i for i, j in cells if j == state and i in froms}
+                ids = c.trace((entry[0] + c.lo, entry[1] + c.lo), (state[0] + c.hi, state[1] + c.hi)) + ids
+                state = entry
+            assert ids == lattice.model.encode(text)
+
+
 def shingles(text):
     w = (text or "").encode().lower().split()
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
