@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armlens.llm import language_id, minhash_dedup, packing, secrets, toxicity
+from armlens.llm.common import cut, shared_folder
 
 #: Least calibrated probability of the predicted language.
 MIN_LANGUAGE_SCORE = 0.5
@@ -34,9 +35,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays (at 0.85 of the shingles)."""
-    found = minhash_dedup.near_duplicates(docs)
+    found = cut(minhash_dedup.near_duplicates(docs))
     dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    # Rows that share an id are in one group too; only they are looked at again.
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).union(once.select(docs.columns))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,8 +71,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each keeps is written to the shared checkpoint folder."""
-    from armlens.llm.common import shared_folder
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):

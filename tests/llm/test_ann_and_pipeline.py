@@ -67,6 +67,14 @@ def test_pipeline(spark):
     assert corpus_pipeline.STAGES[4][1](spark, kept, SF).groupBy("sequence_id").sum("length").where("`sum(length)` > 4096").count() == 0
 
 
+def test_repeated_rows_are_one_document(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text, "en", "s", 1), (3, "something else is written in this one", "en", "s", 1), (None, text + " x", "en", "s", 1)]
+    out = corpus_pipeline.dedup_stage(spark, spark.createDataFrame(rows, schema), SF)
+    assert out.columns == schema.names and sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 1, 3]
+
+
 def test_pipeline_edges(spark):
     schema = spark.read.parquet(f"{SF}/documents.parquet").schema
     rows = [(1, None, "en", "s", 0), (2, "", None, None, None), (3, "the same words here and there now", "en", "s", 1), (4, "the same words here and there now", "en", "s", 1), (None, "some other text", "en", None, 3)]
