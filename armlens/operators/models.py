@@ -169,3 +169,73 @@ def risk_set_sensitivity(genes: DataFrame, expression: str, quantiles: list[floa
     cuts = genes.agg(F.array(*[F.struct(F.lit(q).alias("quantile"), F.percentile(expression, q).alias("cutoff")) for q in quantiles]).alias("c")).select(F.explode("c").alias("c")).select("c.*")
     met = genes.join(F.broadcast(cuts), F.col(expression) >= F.col("cutoff"))
     return met.groupBy("quantile", "cutoff").agg(F.count("*").alias("n_genes"), F.percentile(measure, 0.5).alias("median"))
+
+
+def covariate_screen(wide: DataFrame, covariates: list[str], *, group: str = "condition") -> DataFrame:
+    """covariate, kind, n, p_value: binary covariates by Fisher's test against the group, others by Wilcoxon's; constant
+    ones and those that are the group itself are named as such. A row for each covariate."""
+    from .tests import fisher_exact_sql
+
+    long = wide.select(group, F.explode(F.array(*[F.struct(F.lit(c).alias("covariate"), F.col(c).cast("double").alias("v")) for c in covariates])).alias("x")).select(F.col(group).alias("condition"), "x.*").where("v IS NOT NULL")
+    case = F.col("condition") == "case"
+    g = long.groupBy("covariate").agg(
+        F.count("*").alias("n"), F.count_distinct("v").alias("values"), F.min("v").alias("low"), F.max("v").alias("high"),
+        F.count_distinct(F.when(case, F.col("v"))).alias("vc"), F.count_distinct(F.when(~case, F.col("v"))).alias("vr"), F.min(F.when(case, F.col("v"))).alias("c0"), F.min(F.when(~case, F.col("v"))).alias("r0"),
+    )
+    top = long.join(F.broadcast(g.select("covariate", "high")), "covariate").withColumn("top", F.col("v") == F.col("high"))
+    cells = top.groupBy("covariate").agg(*[F.count_if(c & t).alias(n) for n, c, t in (("a", case, F.col("top")), ("b", case, ~F.col("top")), ("c", ~case, F.col("top")), ("d", ~case, ~F.col("top")))])
+    fisher = cells.withColumn("fisher", F.expr(fisher_exact_sql("a", "b", "c", "d"))).select("covariate", "fisher")
+    by, tie = Window.partitionBy("covariate"), Window.partitionBy("covariate", "v")
+    r = long.select("covariate", "condition", (F.rank().over(by.orderBy("v")) + (F.count("*").over(tie) - 1) / 2.0).alias("r"), F.count("*").over(tie).alias("t"))
+    sums = r.groupBy("covariate").agg(F.count_if(case).alias("n1"), F.count_if(~case).alias("n2"), F.sum(F.when(case, F.col("r"))).alias("r1"), F.sum(F.col("t") * F.col("t") - 1).cast("double").alias("ties"))
+    wilcoxon = _normal_p(sums).select("covariate", F.col("p_value").alias("wilcoxon"))
+    same = (F.col("vc") == 1) & (F.col("vr") == 1) & (F.col("c0") != F.col("r0"))
+    kind = F.when(F.col("values") < 2, "constant").when(same, "collinear").when(F.col("values") == 2, "binary").otherwise("continuous")
+    out = g.join(fisher, "covariate").join(wilcoxon, "covariate").withColumn("kind", kind)
+    p = F.when(F.col("kind") == "constant", F.lit(None).cast("double")).when(F.col("values") == 2, F.col("fisher")).otherwise(F.col("wilcoxon"))
+    return out.select("covariate", "kind", "n", p.alias("p_value"))
+
+
+def class_crosstab(rows: DataFrame, group: str, resolution: str, usable: list[str], *, spread: float = 0.10) -> DataFrame:
+    """Per class: counts, how many are usable, their share, the spread of shares over classes and whether it is too wide."""
+    g = rows.groupBy(group).agg(F.count("*").alias("n"), F.count_if(F.col(resolution).isin(usable)).alias("n_usable")).withColumn("share", F.col("n_usable") / F.col("n"))
+    wide = g.agg((F.max("share") - F.min("share")).alias("spread"))
+    return g.join(F.broadcast(wide), F.lit(True)).withColumn("warn", F.col("spread") > spread)
+
+
+def _shares(g: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """Non-negative scales s that bring o @ s nearest to 1 over all sets of active columns (few types)."""
+    best, error = np.zeros(o.shape[1]), np.inf
+    for mask in range(1, 1 << o.shape[1]):
+        on = [k for k in range(o.shape[1]) if mask >> k & 1]
+        s, *_ = np.linalg.lstsq(o[:, on], g, rcond=None)
+        if (s >= 0).all() and (e := float(((o[:, on] @ s - g) ** 2).sum())) < error - 1e-15:
+            best, error = np.zeros(o.shape[1]), e
+            best[on] = s
+    return best
+
+
+def proportion_ensemble(rows: DataFrame, markers: DataFrame, *, draws: int = 20, size: int = 100, pool: int = 500, seed: int = 1) -> DataFrame:
+    """draw, sample, cell, proportion: for each draw, hashed samples of each type's markers are averaged per sample in
+    Spark; the small fit of one scale per type is solved for each draw, and shares are normalised."""
+    first = markers.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("rank", "gene"))).where(F.col("_r") <= pool).select("cell", "gene")
+    each = first.select("cell", "gene", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw"))
+    order = Window.partitionBy("draw", "cell").orderBy(F.xxhash64(F.lit(seed), "draw", "cell", "gene"))
+    drawn = each.withColumn("_d", F.row_number().over(order)).where(F.col("_d") <= size)
+    signal = rows.join(drawn, "gene").groupBy("draw", "sample", "cell").agg(F.avg("value").alias("value"))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        wide = pdf.pivot(index="sample", columns="cell", values="value").fillna(0.0)
+        o = wide.to_numpy(float) / np.maximum(1e-12, wide.to_numpy(float).mean(axis=0))
+        p = o * _shares(np.ones(len(o)), o)
+        p = p / np.maximum(1e-12, p.sum(axis=1, keepdims=True))
+        out = pd.DataFrame(p, index=wide.index, columns=wide.columns).stack().rename("proportion").reset_index()
+        return out.assign(draw=pdf["draw"].iloc[0])[["draw", "sample", "cell", "proportion"]]
+
+    kinds = dict(signal.dtypes)
+    return signal.groupBy("draw").applyInPandas(fit, f"draw int, sample {kinds['sample']}, cell {kinds['cell']}, proportion double")
+
+
+def ensemble_summary(proportions: DataFrame) -> DataFrame:
+    """sample, cell, mean, sd over draws."""
+    return proportions.groupBy("sample", "cell").agg(F.avg("proportion").alias("mean"), F.stddev_samp("proportion").alias("sd"))

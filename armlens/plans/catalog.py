@@ -484,3 +484,25 @@ def _(c):
     from pyspark.sql import Window
 
     return _rounded(expression.centred_log_ratio(grid.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("individualID")))))
+
+
+@_query("covariate_screen")
+def _(c):
+    t = _terms(c).withColumn("even", (F.col("individualID") % 3 == 0).cast("int")).withColumn("one", F.lit(1))
+    return models.covariate_screen(t, ["burden", "depth", "ins_share", "even", "one", "is_case"])
+
+
+@_query("class_crosstab", f"""SELECT * FROM (WITH {CLASSES}, g AS (SELECT gene_group, count(*) AS n, count_if(novel = 0) AS n_usable FROM classes JOIN gene USING (ref_id) GROUP BY 1), s AS (SELECT max(n_usable / CAST(n AS DOUBLE)) - min(n_usable / CAST(n AS DOUBLE)) AS spread FROM g)
+    SELECT gene_group, n, n_usable, round(n_usable / CAST(n AS DOUBLE), 6) AS share, round(spread, 6) AS spread, spread > 0.1 AS warn FROM g, s)""")
+def _(c):
+    rows = aggregates.classify_genes(c.eligible).join(c.gene.select("ref_id", F.when(F.col("novel") == 0, "matched").otherwise("absent").alias("resolution")), "ref_id")
+    return _rounded(models.class_crosstab(rows, "gene_group", "resolution", ["matched"]))
+
+
+def _few_markers(c) -> DataFrame:
+    return c.table("part").select(F.concat(F.lit("type"), (F.col("p_size") % 4).cast("string")).alias("cell"), F.col("p_partkey").alias("gene"), F.col("p_size").alias("rank"))
+
+
+@_query("proportion_ensemble")
+def _(c):
+    return models.ensemble_summary(models.proportion_ensemble(_rows(c), _few_markers(c)))
