@@ -32,7 +32,7 @@ def cut(df: DataFrame) -> DataFrame:
 class BoundedCache(dict):
     """A dict that computes missing values and forgets everything when it is full."""
 
-    def __init__(self, compute, limit: int = 300_000):
+    def __init__(self, compute, limit: int = 200_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 

@@ -68,7 +68,7 @@ class WordEncoder:
     it stays in a bounded cache, which a Python worker keeps from task to task.
     """
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.model, self.limit = Tokenizer.from_file(path), limit

@@ -43,7 +43,7 @@ def word_features(word: str) -> list[str]:
 class Features:
     """Numbers the words of texts, and keeps the hashed features of the words it has seen."""
 
-    def __init__(self, bits: int, limit: int = 300_000):
+    def __init__(self, bits: int, limit: int = 150_000):
         self.bits, self.limit = bits, limit
         self._forget()
 
