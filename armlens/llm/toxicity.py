@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import BoundedCache, text_batches
 
+#: How much oftener toxic documents must have a feature that gets a weight.
+LIFT = 8
 _EDGES = "\"'`.,;:!?()[]{}<>|*_#~-…«»“”‘’„¡¿"
 
 
@@ -97,17 +99,22 @@ def _train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_features: int, grad
     """Full-batch Adam on the mean of -log P(grade) + l2 / 2 * |w| ** 2; thresholds stay in order by positive gaps.
 
     Only features that speak for toxicity get a weight: of a toxic and b other documents that have one (both kinds
-    scaled to the same number), a - b must exceed ``screen`` times the square root of a + b.
+    scaled to the same number), a - b must exceed ``screen`` times the square root of a + b, and a must be LIFT times b.
     """
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     at, value = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
     grade = np.array([r[2] for r in rows])
-    toxic, n_toxic = grade[row] > 0, max(1, (grade > 0).sum())
-    a, b = np.bincount(at[toxic], minlength=n_features), np.bincount(at[~toxic], minlength=n_features) * (n_toxic / max(1, len(grade) - n_toxic))
-    telling = (a - b > screen * np.sqrt(a + b))[at]
+    # Copies count as one document: those with the same two least features, a sketch of their words, share its weight.
+    sketch = np.array([(*r[0][:2], -1, -1)[:2] for r in rows])
+    _, same, size = np.unique(sketch, axis=0, return_inverse=True, return_counts=True)
+    share = 1.0 / size[same.ravel()]
+    toxic, n_toxic = grade[row] > 0, max(1e-9, share[grade > 0].sum())
+    of = lambda which: np.bincount(at[which], weights=share[row[which]], minlength=n_features)
+    a, b = of(toxic), of(~toxic) * (n_toxic / max(1e-9, share[grade == 0].sum()))
+    telling = ((a - b > screen * np.sqrt(a + b)) & (a > LIFT * b))[at]
     row, at, value = row[telling], at[telling], value[telling]
     evidence = np.bincount(row, weights=value, minlength=len(grade))
-    if n_toxic and grades > 1:
+    if (grade > 0).any() and grades > 1:
         edges = np.quantile(evidence[grade > 0], np.arange(1, grades) / grades)
         grade = np.where(grade > 0, 1 + np.searchsorted(edges, evidence, side="left"), 0)
     names, at = np.unique(at, return_inverse=True)
@@ -139,7 +146,7 @@ def _train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_features: int, grad
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, bits: int = 18, per_class: int = 2000, grades: int = 3, steps: int = 400, rate: float = 0.05, l2: float = 1e-5, screen: float = 4.5,
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, bits: int = 18, per_class: int = 2000, grades: int = 3, steps: int = 400, rate: float = 0.05, l2: float = 1e-5, screen: float = 3.5,
 ) -> SeverityModel:
     """Fit on at most ``per_class`` documents of either label."""
     spark = docs.sparkSession
