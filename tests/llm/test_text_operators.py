@@ -255,9 +255,13 @@ def test_toxicity(spark, docs, odd, empty):
 
 
 def test_ordinal_fit_separates():
-    rows = [(np.array([0, 2]), np.array([1.0, 0.7]), 1)] * 30 + [(np.array([2]), np.array([0.7]), 0)] * 60
-    w, theta = toxicity._train(rows, 8, 3, 300, 0.05, 1e-5, 4.5)
-    assert w[0] > 0 and w[2] == 0 and 1 / (1 + np.exp(theta[0] - w[0])) > 0.9 and 1 / (1 + np.exp(theta[0])) < 0.1
+    """One telling feature (200) beside a common one (201) and one of each document's own."""
+    rows = [(np.array([i, 200, 201]), np.array([0.7, 1.0, 0.7]), 1) for i in range(40)] + [(np.array([i, 201]), np.array([0.7, 0.7]), 0) for i in range(50, 150)]
+    w, theta = toxicity._train(rows, 256, 3, 300, 0.05, 1e-5, 3.5)
+    assert w[200] > 0 and w.nonzero()[0].tolist() == [200] and 1 / (1 + np.exp(theta[0] - w[200])) > 0.9 and 1 / (1 + np.exp(theta[0])) < 0.1
+    # Copies count once: what thirty copies of one document have tells nothing.
+    copies = [(np.array([7, 8, 200]), np.array([1.0, 1.0, 1.0]), 1)] * 30 + rows[40:]
+    assert not toxicity._train(copies, 256, 3, 50, 0.05, 1e-5, 3.5)[0].any()
 
 
 def kneser_ney(texts):
