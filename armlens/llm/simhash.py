@@ -13,6 +13,7 @@ one of them is the other's next document; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,7 +63,19 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(64.0)
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str], *, per_bucket: int = 20_000) -> DataFrame:
+def _range_of(x: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are at most x, looked up in two steps."""
+    if not bounds:
+        return F.lit(0)
+    step = math.isqrt(len(bounds)) + 1
+    longs = lambda values: F.array(*map(F.lit, values)).cast("array<long>")
+    up_to = lambda values: F.size(F.filter(values, lambda c: c <= x))
+    coarse = up_to(longs(bounds[::step]))
+    begin = (coarse - 1) * step
+    return F.when(coarse == 0, 0).otherwise(begin + up_to(F.slice(longs(bounds), F.greatest(begin, F.lit(0)) + 1, F.lit(step)))).cast("int")
+
+
+def with_next(docs: DataFrame, id_col: str, columns: list[str], *, per_bucket: int = 5000) -> DataFrame:
     """``docs`` with next_id and next_<column> of the document with the next smaller id; after the
     smallest comes the greatest.
 
@@ -73,10 +86,9 @@ def with_next(docs: DataFrame, id_col: str, columns: list[str], *, per_bucket: i
     n = docs.count()
     if not n:
         return docs.select("*", F.col(id_col).alias("next_id"), *[F.col(c).alias(f"next_{c}") for c in columns])
-    ranges = min(1000, max(8, n // per_bucket))
+    ranges = min(10_000, max(8, n // per_bucket))
     cuts = sorted(set(docs.approxQuantile(id_col, [k / ranges for k in range(1, ranges)], 0.1 / ranges)))
-    bounds = F.array(*[F.lit(int(c)) for c in cuts]) if cuts else F.array().cast("array<long>")
-    placed = docs.withColumn("_range", F.size(F.filter(bounds, lambda c: c <= F.col(id_col))))
+    placed = docs.withColumn("_range", _range_of(F.col(id_col), [int(c) for c in cuts]))
     tops = {r["_range"]: r["top"] for r in placed.groupBy("_range").agg(F.max(id_col).alias("top")).collect()}
     order = sorted(tops)
     # The greatest id of a range is also sent to the range above it; that of the last range to the first one.

@@ -197,6 +197,20 @@ def test_simhash_edges(spark, odd, empty):
         assert simhash.fingerprints(pairs, ["text", "next_text"], ["doc_id", "next_id"]).count() == n
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 30])
+def test_ranges(spark, n):
+    bounds = [3 * k for k in range(n)]
+    got = spark.range(-2, 100).select("id", simhash._range_of(F.col("id"), bounds).alias("r")).collect()
+    assert all(r["r"] == sum(b <= r["id"] for b in bounds) for r in got)
+
+
+def test_next_over_many_ranges(spark):
+    ids = [7 * k + k % 3 for k in range(500)]
+    df = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string")
+    got = {r["doc_id"]: (r["next_id"], r["next_text"]) for r in simhash.with_next(df, "doc_id", ["text"], per_bucket=9).collect()}
+    assert got == {i: (ids[k - 1], str(ids[k - 1])) for k, i in enumerate(ids)}
+
+
 def test_near_fingerprints(spark):
     rng = np.random.default_rng(2)
     some = [int(x) for x in rng.integers(-(1 << 62), 1 << 62, 60)]
