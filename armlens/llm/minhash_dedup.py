@@ -164,7 +164,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = meeting.select("node", F.explode(F.array("l1", "l2", "l3")).alias("leader")).where("node <> leader")
     star = star.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     inside = meeting.select(F.col("node").alias("doc_id"), "size").distinct()
-    texts = cut(docs.join(inside.select("doc_id"), "doc_id", "left_semi")).dropDuplicates(["doc_id"])
+    texts = cut(docs.join(inside.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     sizes = inside.toDF("node", "size")
     checked = cut(_fitting(star, sizes, percent))
     links = verified(checked, texts, width, percent)
