@@ -59,9 +59,9 @@ def _(c):
 def _mwu_sql(source: str, key: str, value: str, digits: int) -> str:
     """Common table expressions that end in ``tested``."""
     return f"""tot AS (SELECT {key}, condition, "individualID", round(sum({value}), {digits}) AS v FROM {source} GROUP BY 1, 2, 3),
-    obs AS (SELECT {key}, count_if(condition = 'case') AS n_case_observed, count_if(condition = 'ref') AS n_ref_observed FROM tot GROUP BY 1),
+    obs AS (SELECT {key}, count(*) FILTER (condition = 'case') AS n_case_observed, count(*) FILTER (condition = 'ref') AS n_ref_observed FROM tot GROUP BY 1),
     rk AS (SELECT {key}, condition, count(*) OVER (PARTITION BY {key}) AS m, rank() OVER (PARTITION BY {key} ORDER BY v) + (count(*) OVER (PARTITION BY {key}, v) - 1) / 2e0 AS r, count(*) OVER (PARTITION BY {key}, v) AS t FROM tot WHERE v > 0),
-    su AS (SELECT {key}, max(m) AS m, coalesce(sum(r) FILTER (condition = 'case'), 0) AS r, count_if(condition = 'case') AS k, sum(t * t - 1) AS ties FROM rk GROUP BY 1),
+    su AS (SELECT {key}, max(m) AS m, coalesce(sum(r) FILTER (condition = 'case'), 0) AS r, count(*) FILTER (condition = 'case') AS k, sum(t * t - 1) AS ties FROM rk GROUP BY 1),
     fu AS (SELECT {key}, n1, n2, r + k * (n1 + n2 - m) + (n1 - k) * (n1 + n2 - m + 1) / 2e0 - n1 * (n1 + 1) / 2e0 AS u, ties + power(n1 + n2 - m, 3) - (n1 + n2 - m) AS ties FROM su, sizes),
     zs AS (SELECT *, CASE WHEN n1 * n2 / 12e0 * (n1 + n2 + 1 - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1))) > 0 THEN (greatest(u, n1 * n2 - u) - n1 * n2 / 2e0 - 0.5e0) / sqrt(n1 * n2 / 12e0 * (n1 + n2 + 1 - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1)))) END AS z FROM fu),
     tested AS (SELECT o.{key}, n_case_observed, n_ref_observed, n1 - n_case_observed AS n_case_padded, n2 - n_ref_observed AS n_ref_padded, u AS u_stat,
@@ -75,7 +75,7 @@ _GENES = f"""SELECT * FROM (WITH {COMPLETE}, kept AS (SELECT e.* FROM eligible e
 
 @_query(
     "gene_tests",
-    f"""{_GENES}, ns AS (SELECT ref_id, count_if(condition = 'case') AS n_sites_case, count_if(condition = 'ref') AS n_sites_ref FROM kept GROUP BY 1)
+    f"""{_GENES}, ns AS (SELECT ref_id, count(*) FILTER (condition = 'case') AS n_sites_case, count(*) FILTER (condition = 'ref') AS n_sites_ref FROM kept GROUP BY 1)
     SELECT ref_id, complete_in, round(u_stat, 6) AS u_stat, round(p_value, 6) AS p_value, round(adj_pvalue, 6) AS adj_pvalue, round(rbc, 6) AS rbc, CAST(n_case_observed AS BIGINT) AS n_case_observed, CAST(n_case_padded AS BIGINT) AS n_case_padded,
     CAST(n_ref_observed AS BIGINT) AS n_ref_observed, CAST(n_ref_padded AS BIGINT) AS n_ref_padded, CAST(n_sites_case AS BIGINT) AS n_sites_case, CAST(n_sites_ref AS BIGINT) AS n_sites_ref FROM adjusted JOIN complete USING (ref_id) JOIN ns USING (ref_id))""",
 )
@@ -94,8 +94,8 @@ def _(c):
 
 @_query(
     "choose_basis",
-    f"""{_GENES} SELECT count(*) AS n_tests, count_if(adj_pvalue < 0.05) AS n_adjusted, count_if(p_value < 0.05) AS n_raw,
-    CASE WHEN count(*) > 0 AND count_if(adj_pvalue < 0.05) >= 0.3 * count(*) THEN 'adj_pvalue' WHEN count(*) > 0 AND count_if(p_value < 0.05) >= 0.3 * count(*) THEN 'p_value' END AS basis FROM adjusted)""",
+    f"""{_GENES} SELECT count(*) AS n_tests, count(*) FILTER (adj_pvalue < 0.05) AS n_adjusted, count(*) FILTER (p_value < 0.05) AS n_raw,
+    CASE WHEN count(*) > 0 AND count(*) FILTER (adj_pvalue < 0.05) >= 0.3 * count(*) THEN 'adj_pvalue' WHEN count(*) > 0 AND count(*) FILTER (p_value < 0.05) >= 0.3 * count(*) THEN 'p_value' END AS basis FROM adjusted)""",
 )
 def _(c):
     return ranks.choose_basis(analyses.gene_tests(c))
@@ -109,7 +109,7 @@ def _(c):
 
 @_query(
     "aggregate_calltypes",
-    """SELECT ref_id, a1type, count_if(condition = 'case') AS n_sites_case, count_if(condition = 'ref') AS n_sites_ref, count(DISTINCT "individualID") FILTER (condition = 'case') AS n_indiv_case, count(DISTINCT "individualID") FILTER (condition = 'ref') AS n_indiv_ref,
+    """SELECT ref_id, a1type, count(*) FILTER (condition = 'case') AS n_sites_case, count(*) FILTER (condition = 'ref') AS n_sites_ref, count(DISTINCT "individualID") FILTER (condition = 'case') AS n_indiv_case, count(DISTINCT "individualID") FILTER (condition = 'ref') AS n_indiv_ref,
     CAST(coalesce(sum(a1_ad) FILTER (condition = 'case'), 0) AS BIGINT) AS sum_ad_case, CAST(coalesce(sum(a1_ad) FILTER (condition = 'ref'), 0) AS BIGINT) AS sum_ad_ref, CAST(coalesce(sum(dp) FILTER (condition = 'case'), 0) AS BIGINT) AS sum_dp_case, CAST(coalesce(sum(dp) FILTER (condition = 'ref'), 0) AS BIGINT) AS sum_dp_ref FROM eligible GROUP BY 1, 2""",
 )
 def _(c):
@@ -118,7 +118,7 @@ def _(c):
 
 CLASSES = """classes AS (SELECT ref_id, CASE WHEN a > b THEN 'case_enriched' WHEN b > a THEN 'ref_enriched' ELSE 'Both' END AS edit_dist,
     CASE WHEN a / CAST(a + b AS DOUBLE) >= 0.75 THEN 'case_enriched' WHEN b / CAST(a + b AS DOUBLE) >= 0.75 THEN 'ref_enriched' ELSE 'Shared' END AS gene_group, a AS n_calls_case, b AS n_calls_ref
-    FROM (SELECT ref_id, count_if(condition = 'case') AS a, count_if(condition = 'ref') AS b FROM eligible GROUP BY 1))"""
+    FROM (SELECT ref_id, count(*) FILTER (condition = 'case') AS a, count(*) FILTER (condition = 'ref') AS b FROM eligible GROUP BY 1))"""
 
 
 @_query("classify_genes", f"SELECT * FROM (WITH {CLASSES} SELECT * FROM classes)")
@@ -208,7 +208,7 @@ def _(c):
 @_query(
     "welch_stage4",
     """SELECT * FROM (WITH per AS (SELECT ref_id, a1type, condition, "individualID", sum(a1_ad) AS ad, sum(dp) AS depth, sum(a1_ad) / CAST(sum(dp) AS DOUBLE) AS p FROM eligible GROUP BY 1, 2, 3, 4),
-    g AS (SELECT ref_id, a1type, count_if(condition = 'case') AS n_case, count_if(condition = 'ref') AS n_ref, avg(p) FILTER (condition = 'case') AS m1, avg(p) FILTER (condition = 'ref') AS m2, var_samp(p) FILTER (condition = 'case') AS v1, var_samp(p) FILTER (condition = 'ref') AS v2,
+    g AS (SELECT ref_id, a1type, count(*) FILTER (condition = 'case') AS n_case, count(*) FILTER (condition = 'ref') AS n_ref, avg(p) FILTER (condition = 'case') AS m1, avg(p) FILTER (condition = 'ref') AS m2, var_samp(p) FILTER (condition = 'case') AS v1, var_samp(p) FILTER (condition = 'ref') AS v2,
       sum(ad) FILTER (condition = 'case') / CAST(sum(depth) FILTER (condition = 'case') AS DOUBLE) AS prop_case, sum(ad) FILTER (condition = 'ref') / CAST(sum(depth) FILTER (condition = 'ref') AS DOUBLE) AS prop_ref FROM per GROUP BY 1, 2),
     s AS (SELECT *, CASE WHEN n_case > 1 AND n_ref > 1 THEN v1 / n_case + v2 / n_ref END AS se FROM g)
     SELECT ref_id, a1type, n_case, n_ref, round(prop_case, 6) AS prop_case, round(prop_ref, 6) AS prop_ref, round(CASE WHEN se > 1e-18 THEN (m1 - m2) / sqrt(se) END, 5) AS t_stat, round(CASE WHEN se > 1e-18 THEN se * se / (power(v1 / n_case, 2) / (n_case - 1) + power(v2 / n_ref, 2) / (n_ref - 1)) END, 4) AS df FROM s)""",
@@ -291,7 +291,7 @@ def _(c):
 @_query(
     "rna_unique_summary",
     f"""SELECT * FROM (WITH {PANEL.replace('>= 2', '>= 4')}, oth AS (SELECT DISTINCT "individualID", chrom, pos FROM call WHERE o_orderstatus = 'F')
-    SELECT c."individualID", count(*) AS n_calls, count_if(o.pos IS NOT NULL) AS n_other, count_if(o.pos IS NULL AND p.pos IS NOT NULL) AS n_panel, count_if(o.pos IS NULL AND p.pos IS NULL) AS n_kept, count_if(o.pos IS NULL AND p.pos IS NULL AND c.pos % 3 = 0) AS n_germline
+    SELECT c."individualID", count(*) AS n_calls, count(*) FILTER (o.pos IS NOT NULL) AS n_other, count(*) FILTER (o.pos IS NULL AND p.pos IS NOT NULL) AS n_panel, count(*) FILTER (o.pos IS NULL AND p.pos IS NULL) AS n_kept, count(*) FILTER (o.pos IS NULL AND p.pos IS NULL AND c.pos % 3 = 0) AS n_germline
     FROM call c LEFT JOIN oth o ON c."individualID" = o."individualID" AND c.chrom = o.chrom AND c.pos = o.pos LEFT JOIN panel p ON c.chrom = p.chrom AND c.pos = p.pos GROUP BY 1)""",
 )
 def _(c):
@@ -313,7 +313,7 @@ def _(c):
     return _checked(c)
 
 
-@_query("external_totals", f"SELECT * FROM (WITH {CHECKED} SELECT count_if(in_a = 'yes') AS in_a, count_if(b_ids <> 'NA') AS in_b, count_if(in_a = 'yes' AND b_ids <> 'NA') AS both, count_if(in_a = 'no' AND b_ids = 'NA') AS neither, count(*) AS total FROM checked)")
+@_query("external_totals", f"SELECT * FROM (WITH {CHECKED} SELECT count(*) FILTER (in_a = 'yes') AS in_a, count(*) FILTER (b_ids <> 'NA') AS in_b, count(*) FILTER (in_a = 'yes' AND b_ids <> 'NA') AS both, count(*) FILTER (in_a = 'no' AND b_ids = 'NA') AS neither, count(*) AS total FROM checked)")
 def _(c):
     return joins.external_totals(_checked(c))
 
@@ -399,8 +399,8 @@ def _burden(c) -> DataFrame:
 @_query(
     "group_comparison",
     f"""SELECT * FROM (WITH b AS (SELECT "individualID", chrom, CAST(count(*) AS DOUBLE) AS v FROM loaded GROUP BY 1, 2), v AS (SELECT chrom, condition, v FROM b JOIN individual USING ("individualID")),
-    st AS (SELECT chrom, count_if(condition = 'case') AS n_case, count_if(condition = 'ref') AS n_ref, quantile_cont(v, 0.5) FILTER (condition = 'case') AS median_case, quantile_cont(v, 0.5) FILTER (condition = 'ref') AS median_ref FROM v GROUP BY 1),
-    sh AS (SELECT a.chrom, quantile_cont(a.v - b.v, 0.5) AS shift, (count_if(a.v > b.v) - count_if(a.v < b.v)) / CAST(count(*) AS DOUBLE) AS cliffs_delta FROM v a JOIN v b ON a.chrom = b.chrom AND a.condition = 'case' AND b.condition = 'ref' GROUP BY 1)
+    st AS (SELECT chrom, count(*) FILTER (condition = 'case') AS n_case, count(*) FILTER (condition = 'ref') AS n_ref, quantile_cont(v, 0.5) FILTER (condition = 'case') AS median_case, quantile_cont(v, 0.5) FILTER (condition = 'ref') AS median_ref FROM v GROUP BY 1),
+    sh AS (SELECT a.chrom, quantile_cont(a.v - b.v, 0.5) AS shift, (count(*) FILTER (a.v > b.v) - count(*) FILTER (a.v < b.v)) / CAST(count(*) AS DOUBLE) AS cliffs_delta FROM v a JOIN v b ON a.chrom = b.chrom AND a.condition = 'case' AND b.condition = 'ref' GROUP BY 1)
     SELECT chrom, n_case, n_ref, round(median_case, 6) AS median_case, round(median_ref, 6) AS median_ref, round(median_case / median_ref, 6) AS ratio, round(shift, 6) AS shift, round(cliffs_delta, 6) AS cliffs_delta FROM st JOIN sh USING (chrom))""",
 )
 def _(c):
@@ -492,7 +492,7 @@ def _(c):
     return models.covariate_screen(t, ["burden", "depth", "ins_share", "even", "one", "is_case"])
 
 
-@_query("class_crosstab", f"""SELECT * FROM (WITH {CLASSES}, g AS (SELECT gene_group, count(*) AS n, count_if(novel = 0) AS n_usable FROM classes JOIN gene USING (ref_id) GROUP BY 1), s AS (SELECT max(n_usable / CAST(n AS DOUBLE)) - min(n_usable / CAST(n AS DOUBLE)) AS spread FROM g)
+@_query("class_crosstab", f"""SELECT * FROM (WITH {CLASSES}, g AS (SELECT gene_group, count(*) AS n, count(*) FILTER (novel = 0) AS n_usable FROM classes JOIN gene USING (ref_id) GROUP BY 1), s AS (SELECT max(n_usable / CAST(n AS DOUBLE)) - min(n_usable / CAST(n AS DOUBLE)) AS spread FROM g)
     SELECT gene_group, n, n_usable, round(n_usable / CAST(n AS DOUBLE), 6) AS share, round(spread, 6) AS spread, spread > 0.1 AS warn FROM g, s)""")
 def _(c):
     rows = aggregates.classify_genes(c.eligible).join(c.gene.select("ref_id", F.when(F.col("novel") == 0, "matched").otherwise("absent").alias("resolution")), "ref_id")

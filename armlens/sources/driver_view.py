@@ -120,7 +120,7 @@ VIEWS = {
     "eligible": """SELECT l.ref_id, i.condition, l."individualID", l.chrom, l.pos, l.a1type, l.a1_ad, l.dp, g.gene_span, l.a1_ad / CAST(l.dp AS DOUBLE) AS proportion,
         l.a1_ad / CAST(l.dp AS DOUBLE) / g.gene_span AS weighted FROM loaded l JOIN gene g ON l.ref_id = g.ref_id JOIN individual i ON l."individualID" = i."individualID"
         WHERE l.ref_id IS NOT NULL AND l.a1type IS NOT NULL AND l.dp >= 20""",
-    "sizes": "SELECT count_if(condition = 'case') AS n1, count_if(condition = 'ref') AS n2 FROM individual",
+    "sizes": "SELECT count(*) FILTER (condition = 'case') AS n1, count(*) FILTER (condition = 'ref') AS n2 FROM individual",
     "expression": """SELECT s_nationkey AS "individualID", l_partkey AS ref_id, round(sum(l_extendedprice), 2) AS fpkm FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""",
 }
 
