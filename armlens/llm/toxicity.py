@@ -17,6 +17,7 @@ without labels, take no part in fitting; without both labels nothing is toxic; r
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from dataclasses import dataclass
 
@@ -104,9 +105,9 @@ def _train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_features: int, grad
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     at, value = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
     grade = np.array([r[2] for r in rows])
-    # Copies count as one document: those with the same two least features, a sketch of their words, share its weight.
-    sketch = np.array([(*r[0][:2], -1, -1)[:2] for r in rows])
-    _, same, size = np.unique(sketch, axis=0, return_inverse=True, return_counts=True)
+    # Copies count as one document: those with equal whole sets of features share its weight.
+    sets = np.array([hashlib.blake2b(np.asarray(r[0], np.int64).tobytes(), digest_size=16).hexdigest() for r in rows])
+    _, same, size = np.unique(sets, return_inverse=True, return_counts=True)
     share = 1.0 / size[same.ravel()]
     toxic, n_toxic = grade[row] > 0, max(1e-9, share[grade > 0].sum())
     of = lambda which: np.bincount(at[which], weights=share[row[which]], minlength=n_features)

@@ -278,6 +278,21 @@ def test_ordinal_fit_separates():
     assert not toxicity._train(copies, 256, 3, 50, 0.05, 1e-5, 3.5)[0].any()
 
 
+def test_texts_with_common_words_are_not_copies():
+    """All documents have the two least features 0 and 1; the toxic ones differ in a word of their own."""
+    rows = [(np.array([0, 1, 2 + i, 200]), np.ones(4), 1) for i in range(40)] + [(np.array([0, 1, 50 + i]), np.ones(3), 0) for i in range(100)]
+    w, _ = toxicity._train(rows, 256, 3, 50, 0.05, 1e-5, 3.5)
+    assert w.nonzero()[0].tolist() == [200]
+
+
+def test_toxicity_of_long_texts(spark):
+    """Recall beside false positives where every document has the same common words."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) > 8000"), spark.read.parquet(f"{sf}/labels.parquet")
+    out = docs.join(labels, "doc_id").select("toxic", toxicity.score(docs, toxicity.fit(docs, labels)).alias("t")).select(F.col("toxic").alias("y"), "t.toxic").toPandas()
+    assert out[out["y"] == 1]["toxic"].mean() > 0.6 and out[out["y"] == 0]["toxic"].mean() < 0.05
+
+
 def kneser_ney(texts):
     """Code lengths by the definition, with dictionaries."""
     from collections import Counter, defaultdict
