@@ -10,12 +10,15 @@ bit). Scoring is one pass over the scan.
 * discounts for counts of one, two, and three or more come from each order's counts of counts;
 * contexts' totals and left-over weights are joined to the n-grams by context.
 
-A document's perplexity is 2 ** (mean code length); it is kept if its perplexity lies between quantiles of held-out
-trusted documents' perplexities in its language, or beyond them by a factor of ``slack`` at most. Both ends count: text
-that repeats itself is too predictable, lists and shouting too little.
+A document's perplexity is 2 ** (mean code length); it is kept if its perplexity lies between the ``low`` and the
+``high`` quantile of held-out trusted documents' perplexities in its language. Both ends count: text that repeats itself
+is too predictable, lists and shouting too little. Extreme quantiles of few documents say little, so at every size those
+of a language with n held-out documents are drawn towards those of all languages: logarithms are averaged with the
+weights n and ``prior``.
 
 Defined results: null and empty texts have no perplexity and are not kept; documents of a language without trusted
-documents are measured by the quantiles of all; without trusted text nothing is kept; repeated rows are scored twice.
+documents (n = 0) are measured by the quantiles of all; without trusted text nothing is kept; repeated rows are scored
+twice.
 """
 
 from __future__ import annotations
@@ -133,7 +136,7 @@ def perplexity(docs: DataFrame, model: np.ndarray, text_col: str = "text") -> Co
     return of.asNondeterministic()(F.col(text_col))
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, low: float = 0.002, high: float = 0.995, slack: float = 1.5) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, low: float = 0.002, high: float = 0.995, prior: int = 100) -> DataFrame:
     """doc_id, lang, perplexity, kept. Trusted are documents labelled of good quality and not toxic."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col(id_col).alias("id")).distinct()
     # The model is trained on four fifths of the trusted documents; the quantiles come from the last fifth.
@@ -143,8 +146,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     scored = cut(docs.select(F.col(id_col).alias("id"), F.coalesce(lang_col, F.lit("und")).alias("lang"), perplexity(docs, model, text_col).alias("perplexity")))
     trusted = scored.join(good.where(held), "id", "left_semi").where("perplexity is not null")
     ends = F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 10_000)
-    by_lang = {r["lang"]: r["q"] for r in trusted.groupBy("lang").agg(ends.alias("q"), F.count("*").alias("n")).where("n >= 20").collect()}
     overall = trusted.agg(ends.alias("q")).first()["q"] or [1.0, 0.0]
-    bound = lambda k: F.coalesce(*([F.create_map(*[F.lit(x) for lang, q in by_lang.items() for x in (lang, float(q[k]))])[F.col("lang")]] if by_lang else []), F.lit(float(overall[k])))
-    kept = F.coalesce(F.col("perplexity").between(bound(0) / slack, bound(1) * slack), F.lit(False))
+    drawn = lambda q, n: [float(np.exp((n * np.log(x) + prior * np.log(y)) / (n + prior))) for x, y in zip(q, overall, strict=True)]
+    by_lang = {r["lang"]: drawn(r["q"], r["n"]) for r in trusted.groupBy("lang").agg(ends.alias("q"), F.count("*").alias("n")).collect()}
+    bound = lambda k: F.coalesce(*([F.create_map(*[F.lit(x) for lang, q in by_lang.items() for x in (lang, q[k])])[F.col("lang")]] if by_lang else []), F.lit(float(overall[k])))
+    kept = F.coalesce(F.col("perplexity").between(bound(0), bound(1)), F.lit(False))
     return scored.select(F.col("id").alias("doc_id"), "lang", "perplexity", kept.alias("kept"))

@@ -337,3 +337,10 @@ def test_quality_tells_labels_apart(spark):
     sf = "/root/testdata/sf0.01"
     out = quality.classify(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").toPandas()
     assert out[out["quality"] == 1]["kept"].mean() > 0.98 and out[out["quality"] == 0]["kept"].mean() < 0.2
+
+
+def test_quality_bounds_are_quantiles(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    out = quality.classify(spark.read.parquet(f"{sf}/documents.parquet"), labels).join(labels, "doc_id").toPandas()
+    assert out[out["quality"] == 1]["kept"].mean() > 0.98 and out[out["quality"] == 0]["kept"].mean() < 0.1
