@@ -1,9 +1,12 @@
 """Licence recognition by sentences, with DataFrame functions only.
 
 A text is cut into units at line ends and after sentence marks; units are normalised (lower case, runs of anything but
-letters and digits become one blank). One to four consecutive units joined are looked up among the known licence
-sentences, so a sentence may be wrapped over up to four lines. The identifiers found, in order, are matched against
-rules: a rule applies where its identifiers follow one another among those found.
+letters and digits become one blank). A known licence sentence is found where its words are those of consecutive units,
+however many: it begins where a unit does and ends where one does. Known sentences of MANY_WORDS words or more that have
+no mark at their end are beginnings of longer ones, so what follows them may be in the same unit. The identifiers found,
+in order, are matched against rules: a rule applies where its identifiers follow one another among those found.
+
+The SQL joins at most WRAP units and asks every sentence to end its unit, so it finds fewer in narrowly wrapped texts.
 
 Texts without any of the words that every known sentence has one of are not cut at all; that is no filter on results.
 
@@ -60,7 +63,8 @@ HINTS = ["licen", "copyright", "permission", "warrant", "redistribut"]
 #: Where units end: line ends, and blanks after sentence marks.
 UNIT_END = r"\s*\n\s*|(?<=[.!?;:])\s+"
 WORDLESS = r"[^\p{L}\p{N}]+"
-WRAP = 4
+WRAP = 4  # of the SQL only
+MANY_WORDS = 8
 
 
 def normal(sentence: str) -> str:
@@ -74,14 +78,31 @@ def _pieces(sentence: str) -> str:
 
 KNOWN = {_pieces(text): name for name, text in SENTENCES.items()}
 assert len(KNOWN) == len(SENTENCES) and all(any(h in s for h in HINTS) for s in KNOWN)
+#: Known sentences that may go on in their last unit.
+OPEN = [s for s, name in KNOWN.items() if SENTENCES[name][-1] not in ".!?;:" and len(s.split()) >= MANY_WORDS]
+#: The words of a known sentence that a unit can consist of, where the sentence begins.
+BEGINNINGS = sorted({" ".join(s.split()[:n]) for s in KNOWN for n in range(1, len(s.split()) + 1)})
+#: A unit has a word at least, so no sentence is in more units than this.
+MOST_UNITS = max(len(s.split()) for s in KNOWN)
 
 
 def sentence_ids(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in order."""
-    known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
+    known = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(KNOWN[s]).alias("id"), F.lit(s in OPEN).alias("open")) for s in sorted(KNOWN, key=len)])
+    begins = F.create_map(*[F.lit(x) for s in BEGINNINGS for x in (s, True)])
     units = F.filter(F.transform(F.split(text, UNIT_END), lambda u: F.trim(F.regexp_replace(F.lower(u), WORDLESS, " "))), lambda u: u != "")
-    # Joined units are looked up; the index is that of the first unit.
-    at = lambda units: F.flatten(F.transform(F.sequence(F.lit(1), F.size(units)), lambda i: F.array_compact(F.array(*[F.when(i + n - 1 <= F.size(units), F.try_element_at(known, F.array_join(F.slice(units, i, F.lit(n)), " "))) for n in range(1, WRAP + 1)]))))
+    may_begin = lambda u: F.map_contains_key(begins, u) | F.exists(F.array(*[F.lit(s + " ") for s in OPEN]), lambda s: F.startswith(u, s))
+
+    def of(lines: Column) -> Column:
+        """The known sentences that begin units joined by line ends, the shortest first."""
+        after = lambda k: F.substr(lines, F.length(k["s"]) + 1, F.lit(1))
+        met = lambda k: F.startswith(F.translate(lines, "\n", " "), k["s"]) & (after(k).isin("", "\n") | (k["open"] & (after(k) == " ")))
+        return F.transform(F.filter(known, met), lambda k: k["id"])
+
+    def at(units: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(1), F.size(units)), lambda i: may_begin(F.element_at(units, i)))
+        return F.flatten(F.transform(places, lambda i: of(F.array_join(F.slice(units, i, F.lit(MOST_UNITS)), "\n"))))
+
     # A one-element array binds the units, so that they are cut once.
     found = F.flatten(F.transform(F.array(units), lambda u: F.when(F.size(u) > 0, at(u)).otherwise(F.array().cast("array<string>"))))
     hinted = F.coalesce(text.rlike("(?i)" + "|".join(HINTS)), F.lit(False))

@@ -236,6 +236,22 @@ def test_licenses(spark, odd, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+PUBLISHED = {
+    "MIT": "MIT License\n\nCopyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.",
+    "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.",
+}
+
+
+def test_published_licenses_at_every_width(spark):
+    import textwrap
+
+    rows = [(f"{name} {width} {lead}", "\n".join(lead + line for part in text.split("\n") for line in textwrap.wrap(part, width, break_long_words=False) or [""])) for name, text in PUBLISHED.items() for width in (12, 40, 80, 10_000) for lead in ("", " * ")]
+    out = licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: r["licenses"] for r in out} == {i: [i.split()[0]] for i, _ in rows}
+
+
 def test_secrets(spark, odd, empty):
     access, key = "AKIA" + "A1B2C3D4E5F6G7H8", "abcDEF123ghiJKL456mno789pqrSTU"
     rows = [(1, f"id {access} then {key} end"), (2, f"lone {key} here"), (3, f"id {access}\n\nother part {key}"), (4, "Password = 'hunter2hunter2' 0123456789abcdef0123456789abcdef"), (5, "token=short apikey: longenough1"), (6, f"id {access} " + "x " * 300 + key), (7, "user=bob password: s3cretvalue https://example.com/x")]
