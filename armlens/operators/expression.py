@@ -6,6 +6,8 @@ dense matrix is made.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,16 +76,38 @@ def standardised(rows: DataFrame) -> DataFrame:
     return rows.select("gene", "sample", x.alias("x")).select("gene", "sample", F.try_divide(F.col("x") - F.avg("x").over(by), F.stddev_samp("x").over(by)).alias("z"), F.count("*").over(by).alias("n")).where("z IS NOT NULL")
 
 
-def marker_correlations(rows: DataFrame, markers: DataFrame, top: int = 20) -> DataFrame:
-    """cell_a, gene_a, cell_b, gene_b, r over the first ``top`` markers of each cell type.
+def marker_correlations(rows: DataFrame, markers: DataFrame, top: int = 500) -> DataFrame:
+    """cell_a, gene_a, cell_b, gene_b, r over the first ``top`` markers of each cell type; gene_a is the lesser gene.
 
-    Marker lists are bounded by ``top``, so the pairs are: at most (types * top) ** 2 / 2.
+    A task has one pair of types, so its two matrices are bounded by ``top`` and the cohort.
     """
     first = markers.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("rank", "gene"))).where(F.col("_r") <= top).select("cell", "gene")
     z = standardised(rows.join(F.broadcast(first.select("gene").distinct()), "gene", "left_semi")).join(F.broadcast(first), "gene")
-    a, b = z.toDF("gene_a", "sample", "za", "n", "cell_a"), z.drop("n").toDF("gene_b", "sample", "zb", "cell_b")
-    met = a.join(b, "sample").where("gene_a < gene_b OR (gene_a = gene_b AND cell_a < cell_b)")
-    return met.groupBy("cell_a", "gene_a", "cell_b", "gene_b").agg((F.sum(F.col("za") * F.col("zb")) / (F.max("n") - 1)).alias("r"))
+    cells = first.select("cell").distinct()
+    met = cells.toDF("cell_a").join(F.broadcast(cells.toDF("cell_b")), F.col("cell_a") <= F.col("cell_b"))
+    each = z.join(F.broadcast(met), (F.col("cell") == F.col("cell_a")) | (F.col("cell") == F.col("cell_b")))
+
+    def correlate(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        sample, names = pdf["sample"].factorize()
+
+        def matrices(cell) -> tuple[np.ndarray, ...]:
+            on = (pdf["cell"] == cell).to_numpy()
+            gene, genes = pdf.loc[on, "gene"].factorize()
+            zs, seen, n = np.zeros((len(genes), len(names))), np.zeros((len(genes), len(names))), np.zeros(len(genes))
+            np.add.at(zs, (gene, sample[on]), pdf.loc[on, "z"])
+            seen[gene, sample[on]] = 1
+            n[gene] = pdf.loc[on, "n"]
+            return np.asarray(genes), zs, seen, n
+
+        (ga, za, sa, na), (gb, zb, sb, nb) = matrices(key[0]), matrices(key[1])
+        lesser, same = ga[:, None] < gb, ga[:, None] == gb
+        r = za @ zb.T / (np.where(lesser, na[:, None], nb) - 1)
+        i, j = ((sa @ sb.T > 0) & (lesser if key[0] == key[1] else True)).nonzero()
+        swap = ~(lesser | same)[i, j]
+        return pd.DataFrame({"cell_a": np.where(swap, key[1], key[0]), "gene_a": np.where(swap, gb[j], ga[i]), "cell_b": np.where(swap, key[0], key[1]), "gene_b": np.where(swap, ga[i], gb[j]), "r": r[i, j]})
+
+    kinds = dict(z.dtypes)
+    return each.groupBy("cell_a", "cell_b").applyInPandas(correlate, f"cell_a {kinds['cell']}, gene_a {kinds['gene']}, cell_b {kinds['cell']}, gene_b {kinds['gene']}, r double")
 
 
 def marker_coherence(pairs: DataFrame, least: float = 0.25) -> DataFrame:

@@ -215,7 +215,7 @@ def _shares(g: np.ndarray, o: np.ndarray) -> np.ndarray:
     return best
 
 
-def proportion_ensemble(rows: DataFrame, markers: DataFrame, *, draws: int = 20, size: int = 100, pool: int = 500, seed: int = 1) -> DataFrame:
+def proportion_ensemble(rows: DataFrame, markers: DataFrame, *, draws: int = 100, size: int = 100, pool: int = 500, seed: int = 1) -> DataFrame:
     """draw, sample, cell, proportion: for each draw, hashed samples of each type's markers are averaged per sample in
     Spark; the small fit of one scale per type is solved for each draw, and shares are normalised."""
     first = markers.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("rank", "gene"))).where(F.col("_r") <= pool).select("cell", "gene")

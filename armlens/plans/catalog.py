@@ -368,7 +368,7 @@ def _(c):
     SELECT cell, count(*) AS n_pairs, round(quantile_cont(r, 0.5), 6) AS median, round(quantile_cont(r, 0.25), 6) AS q1, round(quantile_cont(r, 0.75), 6) AS q3 FROM pr GROUP BY 1)""",
 )
 def _(c):
-    return _rounded(expression.marker_coherence(expression.marker_correlations(_rows(c), _markers(c))).select("cell", "n_pairs", "median", "q1", "q3"))
+    return _rounded(expression.marker_coherence(expression.marker_correlations(_rows(c), _markers(c), 20)).select("cell", "n_pairs", "median", "q1", "q3"))
 
 
 @_query("marker_separation")
@@ -388,7 +388,7 @@ def _(c):
 
 @_query("sample_similarity")
 def _(c):
-    return expression.sample_similarity(_rows(c), 500)
+    return expression.sample_similarity(_rows(c))
 
 
 def _burden(c) -> DataFrame:

@@ -51,3 +51,20 @@ def test_group_comparison(spark):
     rows = [("k", "case", 3.0), ("k", "case", 5.0), ("k", "case", 7.0), ("k", "ref", 1.0), ("k", "ref", 2.0), ("k", "ref", 3.0)]
     r = models.group_comparison(spark.createDataFrame(rows, "k string, condition string, value double"), "k").first()
     assert (r["median_case"], r["median_ref"], r["ratio"], r["shift"]) == (5.0, 2.0, 2.5, 3.0) and r["cliffs_delta"] == pytest.approx(8.0 / 9)
+
+
+def test_all_markers_of_two_types(spark):
+    rng = np.random.default_rng(3)
+    x = rng.lognormal(size=(60, 12))
+    rows = spark.createDataFrame([(g, s, float(x[g, s])) for g in range(60) for s in range(12)], "gene long, sample long, value double")
+    markers = spark.createDataFrame([("ab"[g % 2], g, g) for g in range(60)], "cell string, gene long, rank long")
+    got = {(r["gene_a"], r["gene_b"]): (r["cell_a"], r["cell_b"], r["r"]) for r in expression.marker_correlations(rows, markers).collect()}
+    want = np.corrcoef(np.log2(x + 1))
+    assert set(got) == {(a, b) for b in range(60) for a in range(b)}
+    assert all((ca, cb) == ("ab"[a % 2], "ab"[b % 2]) and r == pytest.approx(want[a, b]) for (a, b), (ca, cb, r) in got.items())
+
+
+def test_ensemble_has_the_draws_of_the_reference(spark):
+    rows = spark.createDataFrame([(g, s, float(1 + (g * 7 + s * 3) % 11)) for g in range(8) for s in range(3)], "gene long, sample long, value double")
+    markers = spark.createDataFrame([("ab"[g % 2], g, g) for g in range(8)], "cell string, gene long, rank long")
+    assert models.proportion_ensemble(rows, markers).select("draw").distinct().count() == 100
