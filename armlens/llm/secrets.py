@@ -5,7 +5,7 @@ hexadecimal string). A credential often has several parts of which none is telli
 secret and the endpoint it opens. Weak candidates are
 
 * ``user``: a value given to user, login or account, 3 or more characters,
-* ``key``: a run of 20 to 128 base-64 characters with a digit, an upper and a lower case letter,
+* ``key``: a run of 20 or more base-64 characters with a digit, an upper and a lower case letter,
 * ``endpoint``: a URL or connection string.
 
 They are joined by intervals within scopes (parts of a text between blank lines): a weak candidate is reported only if
@@ -34,7 +34,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 USER = re.compile(r"""\b(?:user(?:_?name)?|login|account(?:_?id)?|access_?key(?:_?id)?|client_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,})""", re.I | re.A)
-KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/=_-])")
+KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"""\b(?:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqp)://[^\s"'<>]{3,}""", re.I | re.A)
 _ASSIGN_HINT = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 _USER_HINT = re.compile(r"user|login|account|access_?key|client_?id", re.I | re.A)

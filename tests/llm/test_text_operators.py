@@ -263,6 +263,13 @@ def test_secrets(spark, odd, empty):
     assert secrets.scan(odd).count() == len(ODD) * 2 + 2 and secrets.scan(empty).count() == 0
 
 
+def test_long_session_token():
+    access, token = "AKIA" + "A1B2C3D4E5F6G7H8", "abcDEF123/ghiJKL456+" * 30 + "=="
+    text = f"<id>{access}</id><session>{token}</session>"
+    assert [(secrets.KINDS[k], text[a:b]) for a, k, b in secrets.linked_spans(text)] == [("access", access), ("key", token)]
+    assert secrets.linked_spans(f"lone {token} here") == []
+
+
 def test_language(spark, docs, odd, empty):
     out = queries.op5_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").toPandas()
     assert (out["lang"] == out["lang_pred"]).mean() > 0.98 and out["score"].between(0, 1).all()
