@@ -190,6 +190,18 @@ def test_simhash(spark, docs, texts):
     assert out["near_edited"].mean() > out["near_next"].mean() + 0.1
 
 
+def test_simhash_without_ids(spark, tmp_path):
+    rows = [(50, "a b c d"), (51, "e f g"), (None, "a b c d"), (None, "a b c d"), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op10_simhash(spark, str(tmp_path)).collect()
+    placed = {r["doc_id"]: r for r in out if r["doc_id"] is not None}
+    rest = [r for r in out if r["doc_id"] is None]
+    assert len(out) == 5 and sorted(r["n_chars"] for r in rest) == [0, 7, 7] and placed[50]["n_within_3"] == 3
+    assert all(r["fingerprint"] == placed[50]["fingerprint"] for r in rest if r["n_chars"] == 7)
+    assert all(r["edited_sha256"] is None and r["edited_fingerprint"] is None and r["near_edited"] is None and r["near_next"] is None and r["n_within_3"] is None for r in rest)
+    assert all(r["near_next"] is not None for r in placed.values())
+
+
 def test_simhash_edges(spark, odd, empty):
     for df, n in ((odd, len(ODD) * 2 + 1), (empty, 0)):
         pairs = simhash.with_next(df.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", ["text"])
