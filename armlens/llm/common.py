@@ -16,9 +16,11 @@ def text_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where a session has none (as in tests) a temporary one."""
+    """The folder of ``spark.checkpoint.dir``; a local session without one (as in tests) gets a temporary folder."""
     context = spark.sparkContext
     if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="armlens-checkpoint-"))
     return context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
 

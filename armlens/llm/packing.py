@@ -26,6 +26,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 from unicodedata import is_normalized
 
 import numpy as np
@@ -37,48 +38,32 @@ from .common import cut, text_batches
 
 #: White space of the tokenizer's patterns (Unicode's White_Space property) beside the ASCII one (\x1c to \x1f aren't).
 _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
 #: The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _VISIBLE = {b: chr(b) for b in _PRINTED} | {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 _POINTS = ".,!?;:"
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
-
-
-_POWERS: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
-
-
-def word_keys(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hashes of code[start:end], from prefix sums."""
-    if len(_POWERS[0]) <= len(code):
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            _POWERS[k] = np.full(len(code) + len(code) // 4 + 1, base, np.uint64)
-            _POWERS[k][0] = 1
-            _POWERS[k] = _POWERS[k].cumprod(dtype=np.uint64)
-    total = np.zeros(len(code) + 1, np.uint64)
-    np.cumsum((code + np.uint64(1)) * _POWERS[0][: len(code)], out=total[1:], dtype=np.uint64)
-    return (total[end] - total[start]) * _POWERS[1][start] ^ (end - start).astype(np.uint64) << np.uint64(48)
 
 
 class WordEncoder:
     """Token ids of whole texts by the ids of their words.
 
     The tokenizer drops white space before anything else, so a text's ids are those of its words one after another.
-    Words of a batch are found and told apart by 64-bit hashes in numpy, and each distinct one is encoded once while
-    it stays in a bounded cache, which a Python worker keeps from task to task.
+    Each distinct word is encoded once while it stays in a bounded cache, whose keys are the words' own bytes and which
+    a Python worker keeps from task to task.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 400_000, limit_bytes: int = 64 << 20):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.model, self.limit = Tokenizer.from_file(path), limit
+        self.model, self.limit, self.limit_bytes = Tokenizer.from_file(path), limit, limit_bytes
         self.direct = Tokenizer(self.model.model)
         self.direct.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         (self.mark,) = self._ids(self.model, "\x1c")
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}  # the hash of a word -> its place in begin and count
+        self.known: dict[bytes, int] = {}  # a word -> its place in begin and count
+        self.held = 0  # bytes of the words
         self.pool, self.begin, self.count = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _ids(self, model, text: str) -> np.ndarray:
@@ -100,23 +85,25 @@ class WordEncoder:
                 ids_of += each
         return ids_of, sizes
 
-    def _learn(self, words: list[str], hashes: list[int]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         """Letters with points after them go to the tokenizer's model directly, in the form its first steps give them."""
-        plain, odd, plain_hash, odd_hash = [], [], [], []
-        for word, h in zip(words, hashes, strict=True):
+        plain, odd, plain_words, odd_words = [], [], [], []
+        for raw in words:
+            word = raw.decode()
             stem = word.rstrip(_POINTS)
             if not stem.isalpha() or "İ" in stem or "Σ" in stem or not is_normalized("NFC", stem):
                 odd.append(word)
-                odd_hash.append(h)
+                odd_words.append(raw)
                 continue
             form = stem.lower()
             if not form.isascii():
                 form = form.encode().decode("latin-1").translate(_VISIBLE)
             plain.append(f"{form} {word[len(stem) :]}" if len(stem) < len(word) else form)
-            plain_hash.append(h)
+            plain_words.append(raw)
         some, counts = self._many(self.direct, plain, f" {_VISIBLE[28]} ")
         more, odd_counts = self._many(self.model, odd, " \x1c ")
-        self.known.update(zip(plain_hash + odd_hash, range(len(self.count), len(self.count) + len(words)), strict=True))
+        self.known.update(zip(plain_words + odd_words, range(len(self.count), len(self.count) + len(words)), strict=True))
+        self.held += sum(map(len, words))
         self.pool = np.concatenate([self.pool, *some, *more])
         self.count = np.concatenate([self.count, *counts, *odd_counts])
         self.begin = self.count.cumsum() - self.count
@@ -125,26 +112,20 @@ class WordEncoder:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         if not texts:
             return []
-        raw = [(_WIDE_SPACE.sub(" ", t) if not t.isascii() and _WIDE_SPACE.search(t) else t).encode("utf-8", "replace") if t else b"" for t in texts]
-        buffer = b" " + b" ".join(raw) + b" "
-        code = np.frombuffer(buffer, np.uint8)
-        space = _SPACE[code]
-        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        start, end = edge[::2], edge[1::2]
-        hashed, first, which = np.unique(word_keys(code.astype(np.uint64), start, end), return_index=True, return_inverse=True)
-        if len(self.known) > self.limit:
+        if len(self.known) > self.limit or self.held > self.limit_bytes:
             self._forget()
-        new = [k for k, h in enumerate(hashed.tolist()) if h not in self.known]
-        if new:
-            at = first[new]
-            self._learn([buffer[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)], hashed[new].tolist())
-        place = np.fromiter(map(self.known.__getitem__, hashed.tolist()), np.int64, len(hashed))[which]
+        raw = [(_WIDE_SPACE.sub(" ", t) if not t.isascii() and _WIDE_SPACE.search(t) else t).encode("utf-8", "replace") if t else b"" for t in texts]
+        each = [r.split() for r in raw]  # bytes are split at ASCII white space only
+        words = list(chain.from_iterable(each))
+        place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        if len(unknown := np.flatnonzero(place < 0).tolist()):
+            self._learn(list(dict.fromkeys(words[i] for i in unknown)))
+            place[unknown] = [self.known[words[i]] for i in unknown]
         count = self.count[place]
         after = count.cumsum()
         ids = self.pool[np.repeat(self.begin[place] - after + count, count) + np.arange(after[-1] if len(after) else 0)].tobytes()
-        # Where each text ends: in bytes, in words, in ids.
-        ends = np.cumsum([len(r) + 1 for r in raw])
-        cuts = np.concatenate(([0], after))[np.searchsorted(start, ends, side="right")] * 4
+        # Where each text ends: in words, in bytes of ids.
+        cuts = np.concatenate(([0], after))[np.cumsum([len(x) for x in each])] * 4
         return [ids[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
 
 

@@ -1,15 +1,11 @@
-"""SentencePiece encoding and decoding of whole texts.
+"""SentencePiece encoding and decoding of whole texts by the max-plus parallel scan of ``piece_lattice``.
 
-Giant texts go through the max-plus parallel scan of ``piece_lattice``: chunks, boundary-state transfer matrices, their
-combination, and a backtrace of each chunk. The model at hand is of the BPE kind, so steps weigh 0 or minus infinity
-(neighbours are stable or not) instead of scores; the result is the model's own encoding.
-
-Other texts are cut where the state is the same for all that comes before: no piece has a blank mark after another
-character and none holds a line end, so no piece crosses the place before a run of blanks or around a line end. Distinct
-parts are encoded once while they stay in a cache, and put together by prefix sums.
+Every text is cut into chunks of ``chunk_chars`` characters, which yield boundary-state transfer matrices that are
+combined and traced back. Chunks of texts that have several are dealt to tasks; a text of one chunk is scanned where it
+is read. The result is the model's own encoding, with its pieces' scores summed up.
 
 Defined results: null and empty texts have no pieces; rows that occur twice are encoded twice; extra columns are
-ignored. ``decode`` gives the text back exactly.
+ignored; a text through which there is no path (none is known) has null pieces. ``decode`` gives the text back exactly.
 """
 
 from __future__ import annotations
@@ -23,10 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_batches
-from .packing import word_keys
-from .piece_lattice import encode_giants
-
-_BLANK, _LINE = 32, 10
+from .piece_lattice import encode_chunked, lattice_of
 
 
 def model_path() -> str:
@@ -35,107 +28,57 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-class PieceEncoder:
-    def __init__(self, path: str, limit: int = 300_000):
-        import sentencepiece
-
-        self.model, self.limit = sentencepiece.SentencePieceProcessor(model_file=path), limit
-        n = self.model.vocab_size()
-        pieces = [self.model.id_to_piece(i) for i in range(n)]
-        if any("▁" in p.lstrip("▁") or "\n" in p for p in pieces):
-            raise ValueError("parts of this model's texts aren't independent")
-        self.line, self.blank = self.model.piece_to_id("<0x0A>"), self.model.piece_to_id("▁")
-        self.text = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else b"" if self.model.is_control(i) or self.model.is_unknown(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.pool, self.begin, self.count = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _learn(self, parts: list[str], keys: list[int]) -> None:
-        # The encoder puts a blank before each text: it stands for a part's own blank, or comes off with a line end.
-        asked = [p[1:] if p[0] == " " else p if p == "\n" else "\n" + p for p in parts]
-        ids = self.model.encode(asked, num_threads=1)
-        each = [[self.line] if p == "\n" else [self.blank] if p == " " else x if p[0] == " " else x[2:] for p, x in zip(parts, ids, strict=True)]
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter((i for x in each for i in x), "<u4", int(sizes.sum()))
-        self.known.update(zip(keys, range(len(self.count), len(self.count) + len(parts)), strict=True))
-        self.pool, self.count = np.concatenate((self.pool, flat)), np.concatenate((self.count, sizes))
-        self.begin = self.count.cumsum() - self.count
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if not texts:
-            return []
-        raw = [b" " + t.encode("utf-8", "replace") if t else b"" for t in texts]
-        buffer = b"\n" + b"\n".join(raw) + b"\n"
-        code = np.frombuffer(buffer, np.uint8)
-        blank, line = code == _BLANK, code == _LINE
-        starts = blank | line
-        starts[1:] = (blank[1:] & ~blank[:-1]) | line[1:] | line[:-1]
-        start = np.flatnonzero(starts)
-        end = np.append(start[1:], len(code))
-        keys, first, which = np.unique(word_keys(code.astype(np.uint64), start, end), return_index=True, return_inverse=True)
-        if len(self.known) > self.limit:
-            self._forget()
-        new = [k for k, h in enumerate(keys.tolist()) if h not in self.known]
-        if new:
-            at = first[new]
-            self._learn([buffer[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)], keys[new].tolist())
-        place = np.fromiter(map(self.known.__getitem__, keys.tolist()), np.int64, len(keys))[which]
-        count = self.count[place]
-        # The line ends between texts aren't theirs.
-        ends = np.cumsum([1, *[len(r) + 1 for r in raw]]) - 1
-        between = np.searchsorted(start, ends)
-        count[between] = 0
-        after = count.cumsum()
-        ids = self.pool[np.repeat(self.begin[place] - after + count, count) + np.arange(after[-1])]
-        cuts = after[between].tolist()
-        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+class PieceDecoder:
+    def __init__(self, path: str):
+        model = lattice_of(path).model
+        pieces = [model.id_to_piece(i) for i in range(model.vocab_size())]
+        self.text = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else b"" if model.is_control(i) or model.is_unknown(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
 
     def decode(self, ids: np.ndarray) -> str:
         out = b"".join(map(self.text.__getitem__, ids.tolist()))
         return (out[1:] if out[:1] == b" " else out).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_DECODERS: dict[str, PieceDecoder] = {}
 
 
-def _encoder(path: str) -> PieceEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def _decoder(path: str) -> PieceDecoder:
+    if path not in _DECODERS:
+        _DECODERS[path] = PieceDecoder(path)
+    return _DECODERS[path]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, model: str | None = None, with_ids: bool = True, giant_chars: int = 32_768, chunk_chars: int = 8192) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, round_trip (and ids): a row for each row; ids are little-endian 32-bit.
-
-    Texts of more than ``giant_chars`` characters are cut into chunks of ``chunk_chars`` that are scanned in parallel.
-    """
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, model: str | None = None, with_ids: bool = True, chunk_chars: int = 32_768) -> DataFrame:
+    """doc_id, n_pieces, ids_crc32, score, round_trip (and ids): a row for each row; ids are little-endian 32-bit."""
     path = model or model_path()
     text_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    names = ["doc_id", "n_pieces", "ids_crc32", "round_trip", "ids"][: 4 + with_ids]
-
-    def digest(ids: list[np.ndarray], texts: list[str | None], doc_ids: pa.Array) -> pa.RecordBatch:
-        raw = [x.tobytes() for x in ids]
-        back = [_encoder(path).decode(x) == (t or "") for x, t in zip(ids, texts, strict=True)]
-        columns = [doc_ids, pa.array([len(x) for x in ids], pa.int64()), pa.array(map(zlib.crc32, raw), pa.int64()), pa.array(back, pa.bool_()), pa.array(raw, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns[: 4 + with_ids], names)
+    names = ["doc_id", "n_pieces", "ids_crc32", "score", "round_trip", "ids"][: 5 + with_ids]
+
+    def digest(found: list[tuple[np.ndarray | None, float]], texts: list[str | None], doc_ids: pa.Array) -> pa.RecordBatch:
+        found = [(None, None) if ids is None or w == -np.inf else (ids, w) for ids, w in found]
+        raw = [None if ids is None else ids.tobytes() for ids, _ in found]
+        back = [ids is not None and _decoder(path).decode(ids) == (t or "") for (ids, _), t in zip(found, texts, strict=True)]
+        columns = [
+            doc_ids, pa.array([None if ids is None else len(ids) for ids, _ in found], pa.int64()), pa.array([None if x is None else zlib.crc32(x) for x in raw], pa.int64()),
+            pa.array([w for _, w in found], pa.float64()), pa.array(back, pa.bool_()), pa.array(raw, pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns[: 5 + with_ids], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            yield digest(_encoder(path).encode(texts), texts, batch.column(0))
+            # The one cell of each text's one matrix, traced at once.
+            yield digest(lattice_of(path).encode([" " + t if t else "" for t in texts]), texts, batch.column(0))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield digest([np.frombuffer(x, "<u4") for x in batch.column("ids").to_pylist()], batch.column("text").to_pylist(), batch.column("doc_id"))
+            found = [(None if x is None else np.frombuffer(x, "<u4"), w) for x, w in zip(batch.column("ids").to_pylist(), batch.column("weight").to_pylist(), strict=True)]
+            yield digest(found, batch.column("text").to_pylist(), batch.column("doc_id"))
 
-    schema = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids binary" if with_ids else "")
-    giant = F.length("text") > giant_chars
-    usual = docs.where(~F.coalesce(giant, F.lit(False))).mapInArrow(run, schema)
-    return usual.union(encode_giants(docs.where(giant), path, chunk_chars).mapInArrow(finish, schema))
+    schema = "doc_id long, n_pieces long, ids_crc32 long, score double, round_trip boolean" + (", ids binary" if with_ids else "")
+    several = F.coalesce(F.length("text") + 1 > chunk_chars, F.lit(False))
+    return docs.where(~several).mapInArrow(run, schema).union(encode_chunked(docs.where(several), path, chunk_chars).mapInArrow(finish, schema))
 
 
 def decode(encoded: DataFrame, *, model: str | None = None) -> DataFrame:
@@ -144,7 +87,7 @@ def decode(encoded: DataFrame, *, model: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [_encoder(path).decode(np.frombuffer(x or b"", "<u4")) for x in batch.column(1).to_pylist()]
+            texts = [_decoder(path).decode(np.frombuffer(x or b"", "<u4")) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")

@@ -77,8 +77,8 @@ def test_sentencepiece(spark, docs, odd, empty, texts):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_scan.model_path())
-    for df, n, giant in ((docs, len(texts), 2000), (odd, len(ODD) * 2 + 2, 32_768)):
-        encoded = sentencepiece_scan.encode(df, giant_chars=giant, chunk_chars=500 if giant == 2000 else 8192)
+    for df, n, chunk in ((docs, len(texts), 500), (odd, len(ODD) * 2 + 2, 8192), (odd, len(ODD) * 2 + 2, 1 << 20)):
+        encoded = sentencepiece_scan.encode(df, chunk_chars=chunk)
         joined = encoded.toPandas()
         assert len(joined) == n and joined["round_trip"].all()
         of = df.select("doc_id", "text").toPandas().dropna(subset=["doc_id"])
@@ -90,31 +90,71 @@ def test_sentencepiece(spark, docs, odd, empty, texts):
 
 
 def test_piece_scan_of_any_cut():
-    """Chunks of a few characters, with and without places that no piece crosses."""
+    """Chunks of a few characters, with and without places that no piece crosses: ids and summed scores."""
     import random
 
-    from armlens.llm.piece_lattice import START, Chunk, _lattice
+    from armlens.llm.piece_lattice import Chunk, best_states, lattice_of
 
-    lattice, rng = _lattice(sentencepiece_scan.model_path()), random.Random(1)
+    lattice, rng = lattice_of(sentencepiece_scan.model_path()), random.Random(1)
     alphabets = ["etaoinshrdlu", "etaoin shrdlu", "aA1_-/+=", "ab", " \n\ta", "日本éñ🙂x ", "0123456789abcdef"]
     for n in range(120):
         text = "".join(rng.choice(alphabets[n % 7] if n % 2 else rng.choice(alphabets)) for _ in range(rng.randint(1, 130)))
-        for size in (20, 37):
+        want = lattice.model.encode(text)
+        for size in (20, 37, 200):
             t, chunks = " " + text, []
             for b in range(0, len(t), size):
                 left = min(b, 64)
                 chunks.append(Chunk(lattice, t[b - left : b + size + 64], left, left + min(size, len(t) - b), b == 0, b + size >= len(t)))
-            reached, tables = [{START}], []
-            for c in chunks:
-                tables.append([((i[0] - c.lo, i[1] - c.lo), (j[0] - c.hi, j[1] - c.hi)) for i, j in c.cells()])
-                reached.append({j for i, j in tables[-1] if i in reached[-1]})
-            (state,) = reached[-1]
-            ids = []
-            for c, cells, froms in zip(chunks[::-1], tables[::-1], reached[-2::-1], strict=True):
-                (entry,) = {i for i, j in cells if j == state and i in froms}
-                ids = c.trace((entry[0] + c.lo, entry[1] + c.lo), (state[0] + c.hi, state[1] + c.hi)) + ids
-                state = entry
-            assert ids == lattice.model.encode(text)
+            states, weight = best_states([{(i, j): w for i, j, w in c.cells()} for c in chunks])
+            ids = [x for c, i, j in zip(chunks, states[:-1], states[1:], strict=True) for x in c.trace(i, j).tolist()]
+            assert ids == want and weight == pytest.approx(sum(map(lattice.model.get_score, want)))
+
+
+def test_max_plus_product_is_associative():
+    from armlens.llm.piece_lattice import EDGE, best_states, product
+
+    rng = np.random.default_rng(3)
+    states = [(-k, 0) for k in range(4)]
+    for n in (1, 2, 3, 5, 8):
+        some = [{(i, j): float(rng.normal()) for i in states for j in states if rng.random() < 0.6} for _ in range(n)]
+        left = some[0]
+        for m in some[1:]:
+            left = product(left, m)
+        found = best_states(some)
+        assert (found is None) == ((EDGE, EDGE) not in left)
+        if found:
+            assert found[1] == pytest.approx(left[EDGE, EDGE]) and found[1] == pytest.approx(sum(m[i, j] for m, i, j in zip(some, found[0][:-1], found[0][1:], strict=True)))
+
+
+def test_words_that_a_polynomial_hash_confuses():
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo 2 ** 64 for every base."""
+    import sentencepiece
+
+    bits = [0]
+    while len(bits) < 4096:
+        bits += [1 - x for x in bits]
+    words = ["".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)]
+    encoder = packing.WordEncoder(packing.tokenizer_path())
+    for text in (*words, " ".join(words), " ".join(words[::-1])):
+        want = encoder.model.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want
+    from armlens.llm.piece_lattice import lattice_of
+
+    model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_scan.model_path())
+    got = lattice_of(sentencepiece_scan.model_path()).encode([" " + w for w in words])
+    assert [ids.tolist() for ids, _ in got] == [model.encode(w) for w in words]
+
+
+def test_caches_are_bounded():
+    from armlens.llm.piece_lattice import Lattice, lattice_of
+
+    lattice = Lattice(lattice_of(sentencepiece_scan.model_path()).model, parts=50, pairs=60)
+    encoder = packing.WordEncoder(packing.tokenizer_path(), limit=50)
+    for k in range(40):
+        text = " ".join(f"w{k}x{i}" for i in range(30))
+        assert lattice.encode([" " + text])[0][0].tolist() == lattice.model.encode(text)
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == encoder.model.encode(text, add_special_tokens=False).ids
+        assert len(lattice.known) <= 80 and len(lattice.stable) <= 60 and len(encoder.known) <= 80
 
 
 def shingles(text):
