@@ -19,8 +19,9 @@ near copies take a number of checks that is linear in their size. ``bands`` and
 to be a candidate at all: with 40 bands of 8 rows a pair at similarity 0.85 is missed with probability 3e-6.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing; with fewer words than
-``width`` the whole sequence is the one shingle; documents with the same id are one node of the result for each
-row; extra columns are ignored.
+``width`` the whole sequence is the one shingle; rows that share an id are documents of their own, with their own texts
+(each is in the component of its text, whose name is the smallest id in it); rows without an id are linked with nothing;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -97,15 +98,14 @@ def sketch(sets: list[np.ndarray], t: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, *, width: int = 5, bands: int = 40, rows: int = 8) -> DataFrame:
-    """doc_id, n_shingles, set_a and set_b (a 128-bit hash of the set), keys (a hash for each band)."""
+    """doc_id, text_key (a hash of the text), n_shingles, set_a and set_b (a 128-bit hash of the set), keys (one a band)."""
     text_batches(docs.sparkSession)
-    names = ["doc_id", "n_shingles", "set_a", "set_b", "keys"]
+    names = ["doc_id", "text_key", "n_shingles", "set_a", "set_b", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_hashes()
         for batch in batches:
-            ids = batch.column(0)
-            sets = [shingle_hashes(t, words, width) for t in batch.column(1).to_pylist()]
+            sets = [shingle_hashes(t, words, width) for t in batch.column(2).to_pylist()]
             full = [s for s in sets if len(s)]
             of = np.zeros((len(full), bands), np.uint64)
             part = 64
@@ -121,9 +121,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, *, width: int = 5, ban
                 at += bool(len(s))
             digest = [(_mix(s).sum(dtype=np.uint64), _mix(s + _ROLL).sum(dtype=np.uint64)) for s in sets]
             two = np.array(digest, np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(keys, pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(keys, pa.list_(pa.int64()))], names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>")
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col))
+    return given.mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_a long, set_b long, keys array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -150,22 +151,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``percent``: the least Jaccard similarity of a link, in hundredths. A row for each row of ``docs``.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = cut(sketches(docs, "doc_id", "text", width=width, bands=bands, rows=rows))
-    # 1. Equal sets are one node, named by its smallest id; the row of that id stands for it.
+    base = cut(sketches(docs, "doc_id", "text", width=width, bands=bands, rows=rows).withColumn("row", F.monotonically_increasing_id()))
+    # 1. Equal sets are one node, for which one row with the smallest id stands. Rows have numbers, as ids may repeat.
     same = ["n_shingles", "set_a", "set_b"]
     full = base.where("n_shingles > 0 and doc_id is not null")
-    nodes = full.groupBy(*same).agg(F.min("doc_id").alias("node"))
-    stands = full.join(nodes.withColumnRenamed("node", "doc_id"), [*same, "doc_id"], "left_semi")
-    member = stands.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), F.explode("keys").alias("key"))
+    nodes = full.groupBy(*same).agg(F.min(F.struct("doc_id", "row")).alias("s")).select(*same, F.col("s.doc_id").alias("least_id"), F.col("s.row").alias("node"))
+    stands = full.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
+    member = stands.select(F.col("row").alias("node"), F.col("n_shingles").alias("size"), F.explode("keys").alias("key"))
 
-    # 2. Buckets of several nodes, and three leaders of each: the least id, the least hash of an id and the largest set.
+    # 2. Buckets of several nodes, and three leaders of each: the first, the one with the least hash and the largest set.
     bucket = member.groupBy("key").agg(F.min("node").alias("l1"), F.max("node").alias("other"), F.min_by("node", F.xxhash64("node")).alias("l2"), F.max_by("node", "size").alias("l3")).where("l1 <> other").drop("other")
     meeting = cut(member.join(bucket, "key"))
     star = meeting.select("node", F.explode(F.array("l1", "l2", "l3")).alias("leader")).where("node <> leader")
     star = star.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    inside = meeting.select(F.col("node").alias("doc_id"), "size").distinct()
-    texts = cut(docs.join(inside.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    sizes = inside.toDF("node", "size")
+    sizes = meeting.select("node", "size").distinct()
+    wanted = stands.select(F.col("row").alias("node"), "doc_id", "text_key").join(sizes, "node", "left_semi")
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    texts = cut(keyed.join(wanted, ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]))
     checked = cut(_fitting(star, sizes, percent))
     links = verified(checked, texts, width, percent)
     component = cut(connected_components(links))
@@ -187,9 +189,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         second = connected_components(joined).toDF("component", "over")
         lone = second.join(component.select("component").distinct(), "component", "left_anti").select(F.col("component").alias("node"), F.col("over").alias("component"))
         component = component.join(second, "component", "left").select("node", F.coalesce("over", "component").alias("component")).union(lone)
-    # Nodes without links are their own components; documents without shingles too.
-    named = nodes.join(component, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
-    out = base.drop("keys").join(named, same, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    # A component's name is its smallest id. Nodes without links are their own components; rows without shingles too.
+    of = component.join(nodes.select("node", "least_id"), "node")
+    smallest = of.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    linked = of.join(smallest, "component").select("node", "component_id")
+    named = nodes.join(linked, "node", "left").select(*same, F.coalesce("component_id", "least_id").alias("component_id"))
+    out = base.where("n_shingles > 0 and doc_id is not null").select("doc_id", *same).join(named, same)
+    out = out.union(base.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id")).select(*out.columns))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

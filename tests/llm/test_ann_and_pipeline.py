@@ -51,6 +51,9 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 105: 100, 103: 100}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+    hubs = [(0, i) for i in range(1, 200)] + [(i, 900) for i in range(300, 500)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(hubs, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(200)} | {i: 300 for i in [*range(300, 500), 900]}
 
 
 def test_pipeline(spark):

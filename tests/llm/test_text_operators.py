@@ -204,6 +204,18 @@ def test_minhash_group_of_near_copies(spark, monkeypatch, small):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(texts)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_minhash_of_repeated_ids(spark, parts):
+    """Rows of one id with different texts are documents of their own, whatever the partitions."""
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join(words[::-1])
+    rows = [(1, a), (1, b), (2, a), (3, b + " more"), (1, a), (4, a + " x"), (9, b), (5, "quite another text of six words"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash_dedup.near_duplicates(df).collect())
+    want = sorted((i, len(shingles(t)), 5 if i == 5 else 1, i in (1, 5)) for i, t in rows)
+    assert got == want
+
+
 def test_sketch_is_full_and_fair():
     rng = np.random.default_rng(1)
     a, b = (rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (400, 100))
