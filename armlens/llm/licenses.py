@@ -4,9 +4,9 @@ A text is cut into units at line ends and after sentence marks; units are normal
 letters and digits become one blank). A known licence sentence is found where its words are those of consecutive units,
 however many: it begins where a unit does and ends where one does. Known sentences of MANY_WORDS words or more that have
 no mark at their end are beginnings of longer ones, so what follows them may be in the same unit. The identifiers found,
-in order, are matched against rules: a rule applies where its identifiers follow one another among those found.
-
-The SQL joins at most WRAP units and asks every sentence to end its unit, so it finds fewer in narrowly wrapped texts.
+in order, are matched against rules: a rule applies where its identifiers follow one another among those found. Where
+they are part of a longer rule's that applies (the clauses of one licence are the first of another's), the shorter rule
+doesn't count.
 
 Texts without any of the words that every known sentence has one of are not cut at all; that is no filter on results.
 
@@ -30,40 +30,75 @@ SENTENCES = {
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "mit-condition": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "mit-as-is": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "mit-grant-2": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal with the Software without restriction",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc-grant-2": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc-as-is": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "unlicense-free": "This is free and unencumbered software released into the public domain.",
+    "unlicense-anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "boost-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "boost-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software",
+    "apache-title": "Apache License Version 2.0, January 2004",
     "apache-notice": "Licensed under the Apache License, Version 2.0.",
     "apache-notice-2": "Licensed under the Apache License, Version 2.0 (the \"License\")",
     "apache-use": "you may not use this file except in compliance with the License.",
     "apache-copy": "You may obtain a copy of the License at",
     "apache-basis": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "gpl3-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-redistribute": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl2-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl2-only": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "gpl3-only": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation.",
+    "lgpl2-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl2-title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "gpl3-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "lgpl2-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "lgpl3-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "agpl3-title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "mpl2-title": "Mozilla Public License Version 2.0",
+    "lgpl-warranty": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
     "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
     "ccbync-notice": "Licensed under CC BY-NC 4.0.",
     "ccby-notice": "Licensed under CC BY 4.0.",
     "ccby-long": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "ccbysa-long": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "ccbynd-long": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "ccbync-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "ccbyncsa-long": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "ccbyncnd-long": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
     "cc0-notice": "This work is licensed under CC0 1.0 Universal.",
     "bsd-redistribute": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-endorse-2": "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-as-is": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
     "mpl2-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "rights": "All rights reserved under copyright.",
 }
 RULES = [
     ("MIT", ["mit-notice"]), ("MIT", ["mit-notice-2"]), ("MIT", ["mit-grant", "mit-condition"]), ("MIT", ["mit-title", "mit-grant"]), ("MIT", ["mit-title-2", "mit-grant"]), ("MIT", ["mit-condition", "mit-as-is"]),
-    ("Apache-2.0", ["apache-notice"]), ("Apache-2.0", ["apache-notice-2", "apache-use"]), ("Apache-2.0", ["apache-use", "apache-copy", "apache-basis"]),
-    ("GPL-3.0-only", ["gpl3-notice"]), ("GPL-3.0-or-later", ["gpl-redistribute"]), ("GPL-2.0-or-later", ["gpl2-redistribute", "gpl-warranty"]),
-    ("CC-BY-NC-4.0", ["ccbync-notice"]), ("CC-BY-4.0", ["ccby-notice"]), ("CC-BY-4.0", ["ccby-long"]), ("CC-BY-SA-4.0", ["ccbysa-long"]), ("CC0-1.0", ["cc0-notice"]),
-    ("BSD-2-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary"]), ("MPL-2.0", ["mpl2-form"]),
+    ("MIT", ["mit-grant-2", "mit-condition"]), ("ISC", ["isc-grant"]), ("ISC", ["isc-grant-2"]), ("Zlib", ["zlib-as-is", "zlib-grant"]), ("Unlicense", ["unlicense-free"]), ("Unlicense", ["unlicense-anyone"]),
+    ("BSL-1.0", ["boost-title"]), ("BSL-1.0", ["boost-grant"]),
+    ("Apache-2.0", ["apache-notice"]), ("Apache-2.0", ["apache-title"]), ("Apache-2.0", ["apache-notice-2", "apache-use"]), ("Apache-2.0", ["apache-use", "apache-copy", "apache-basis"]),
+    ("GPL-3.0-only", ["gpl3-notice"]), ("GPL-3.0-only", ["gpl3-only"]), ("GPL-2.0-only", ["gpl2-only"]), ("GPL-3.0-or-later", ["gpl-redistribute"]), ("GPL-2.0-or-later", ["gpl2-redistribute"]),
+    ("LGPL-2.1-or-later", ["lgpl2-redistribute"]), ("LGPL-3.0-or-later", ["lgpl3-redistribute"]), ("AGPL-3.0-or-later", ["agpl3-redistribute"]),
+    ("GPL-2.0", ["gpl2-title"]), ("GPL-3.0", ["gpl3-title"]), ("LGPL-2.1", ["lgpl2-title"]), ("LGPL-3.0", ["lgpl3-title"]), ("AGPL-3.0", ["agpl3-title"]),
+    ("CC-BY-NC-4.0", ["ccbync-notice"]), ("CC-BY-NC-4.0", ["ccbync-long"]), ("CC-BY-4.0", ["ccby-notice"]), ("CC-BY-4.0", ["ccby-long"]), ("CC-BY-SA-4.0", ["ccbysa-long"]), ("CC-BY-ND-4.0", ["ccbynd-long"]),
+    ("CC-BY-NC-SA-4.0", ["ccbyncsa-long"]), ("CC-BY-NC-ND-4.0", ["ccbyncnd-long"]), ("CC0-1.0", ["cc0-notice"]),
+    ("BSD-2-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary"]), ("BSD-3-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-3-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse-2"]), ("MPL-2.0", ["mpl2-form"]), ("MPL-2.0", ["mpl2-title"]),
 ]
 #: Every known sentence has one of these.
-HINTS = ["licen", "copyright", "permission", "warrant", "redistribut"]
+HINTS = ["licen", "copyright", "permission", "warrant", "distribut", "public domain"]
 
 #: Where units end: line ends, and blanks after sentence marks.
 UNIT_END = r"\s*\n\s*|(?<=[.!?;:])\s+"
 WORDLESS = r"[^\p{L}\p{N}]+"
-WRAP = 4  # of the SQL only
 MANY_WORDS = 8
 
 
@@ -80,18 +115,17 @@ KNOWN = {_pieces(text): name for name, text in SENTENCES.items()}
 assert len(KNOWN) == len(SENTENCES) and all(any(h in s for h in HINTS) for s in KNOWN)
 #: Known sentences that may go on in their last unit.
 OPEN = [s for s, name in KNOWN.items() if SENTENCES[name][-1] not in ".!?;:" and len(s.split()) >= MANY_WORDS]
-#: The words of a known sentence that a unit can consist of, where the sentence begins.
-BEGINNINGS = sorted({" ".join(s.split()[:n]) for s in KNOWN for n in range(1, len(s.split()) + 1)})
+#: The first two words of the known sentences, and the first of them, which may be a unit by itself.
+BEGINNINGS = sorted({" ".join(s.split()[:n]) for s in KNOWN for n in (1, 2)})
 #: A unit has a word at least, so no sentence is in more units than this.
 MOST_UNITS = max(len(s.split()) for s in KNOWN)
 
 
 def sentence_ids(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in order."""
-    known = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(KNOWN[s]).alias("id"), F.lit(s in OPEN).alias("open")) for s in sorted(KNOWN, key=len)])
-    begins = F.create_map(*[F.lit(x) for s in BEGINNINGS for x in (s, True)])
+    known = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(KNOWN[s]).alias("id"), F.lit(s in OPEN).alias("open")) for s in sorted(KNOWN, key=lambda s: (len(s), s))])
     units = F.filter(F.transform(F.split(text, UNIT_END), lambda u: F.trim(F.regexp_replace(F.lower(u), WORDLESS, " "))), lambda u: u != "")
-    may_begin = lambda u: F.map_contains_key(begins, u) | F.exists(F.array(*[F.lit(s + " ") for s in OPEN]), lambda s: F.startswith(u, s))
+    may_begin = lambda u: F.substring_index(u, " ", 2).isin(BEGINNINGS)
 
     def of(lines: Column) -> Column:
         """The known sentences that begin units joined by line ends, the shortest first."""
@@ -109,11 +143,24 @@ def sentence_ids(text: Column) -> Column:
     return F.when(hinted, found).otherwise(F.array().cast("array<string>"))
 
 
+def containing(ids: list[str]) -> list[list[str]]:
+    """The longer rules that these identifiers are part of."""
+    return [r for _, r in RULES if len(r) > len(ids) and any(r[k : k + len(ids)] == ids for k in range(len(r)))]
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_sentences, sentences (identifiers in order) and licenses (distinct, sorted): a row for each row."""
     found = docs.select(F.col(id_col).alias("doc_id"), sentence_ids(F.col(text_col)).alias("sentences"))
     line = F.concat(F.lit(","), F.array_join("sentences", ","), F.lit(","))
-    hits = F.array(*[F.when(line.contains("," + ",".join(ids) + ","), F.lit(name)) for name, ids in RULES])
+
+    def hit(ids: list[str]) -> Column:
+        """Whether a rule applies apart from where a longer one does."""
+        rest = line
+        for longer in containing(ids):
+            rest = F.replace(rest, F.lit(f",{','.join(longer)},"), F.lit(","))
+        return rest.contains("," + ",".join(ids) + ",")
+
+    hits = F.array(*[F.when(hit(ids), F.lit(name)) for name, ids in RULES])
     none = F.array().cast("array<string>")
     return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), "sentences", F.when(F.size("sentences") > 0, F.array_sort(F.array_distinct(F.array_compact(hits)))).otherwise(none).alias("licenses"))
 
@@ -121,20 +168,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def oracle_sql() -> str:
     """DuckDB SQL of the digest: doc_id, n_sentences, sentences, licenses (joined by commas)."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in KNOWN.items())
-    rules = ", ".join(f"({quote(n)}, {quote(',' + ','.join(ids) + ',')})" for n, ids in RULES)
-    wrapped = "SELECT row, i, 1 AS n, u AS s FROM units" + "".join(
-        f" UNION ALL SELECT * FROM (SELECT row, i, {n} AS n, " + " || ' ' || ".join(["u", *[f"lead(u, {k}) OVER w" for k in range(1, n)]]) + " AS s FROM units WINDOW w AS (PARTITION BY row ORDER BY i))" for n in range(2, WRAP + 1)
-    )
+    known = ", ".join(f"({quote(k)}, {quote(v)}, {k in OPEN})" for k, v in KNOWN.items())
+    joined = lambda ids: quote(f",{','.join(ids)},")
+
+    def rest(ids: list[str]) -> str:
+        line = "',' || ids || ','"
+        for longer in containing(ids):
+            line = f"replace({line}, {joined(longer)}, ',')"
+        return line
+
+    rules = " UNION ALL ".join(f"SELECT row, {quote(name)} AS license FROM seqs WHERE contains({rest(ids)}, {joined(ids)})" for name, ids in RULES)
     return f"""
-    WITH known(s, id) AS (VALUES {known}), rules(license, ids) AS (VALUES {rules}),
+    WITH known(s, id, open) AS (VALUES {known}),
     numbered AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
-    cut AS (SELECT row, unnest(string_split(regexp_replace(regexp_replace(text, '\\s*\\n\\s*', chr(1), 'g'), '([.!?;:])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS unit FROM numbered),
-    placed AS (SELECT row, row_number() OVER (PARTITION BY row) AS k, trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS u FROM cut),
-    units AS (SELECT row, k AS i, u FROM placed WHERE u <> ''),
-    wrapped AS ({wrapped}),
-    seqs AS (SELECT row, count(*) AS n, string_agg(id, ',' ORDER BY i, w.n) AS ids FROM wrapped w JOIN known USING (s) GROUP BY row),
-    found AS (SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM seqs, rules WHERE contains(',' || seqs.ids || ',', rules.ids) GROUP BY row)
+    listed AS (SELECT row, string_split(regexp_replace(regexp_replace(text, '\\s*\\n\\s*', chr(1), 'g'), '([.!?;:])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS l FROM numbered),
+    cut AS (SELECT row, unnest(l) AS unit, generate_subscripts(l, 1) AS k FROM listed),
+    placed AS (SELECT row, k, trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS u FROM cut),
+    units AS (SELECT row, k, u, coalesce(sum(length(u) + 1) OVER (PARTITION BY row ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed WHERE u <> ''),
+    lines AS (SELECT row, string_agg(u, chr(10) ORDER BY k) AS line FROM units GROUP BY row),
+    begun AS (SELECT u.row, u.k, s, id, open, substr(line, (before + 1)::BIGINT, length(s) + 1) AS here FROM units u JOIN known ON split_part(u, ' ', 1) = split_part(s, ' ', 1) JOIN lines USING (row)),
+    met AS (SELECT * FROM begun WHERE replace(substr(here, 1, length(s)), chr(10), ' ') = s AND (substr(here, length(s) + 1) IN ('', chr(10)) OR open AND substr(here, length(s) + 1) = ' ')),
+    seqs AS (SELECT row, count(*) AS n, string_agg(id, ',' ORDER BY k, length(s), s) AS ids FROM met GROUP BY row),
+    found AS (SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM ({rules}) GROUP BY row)
     SELECT doc_id, coalesce(n, 0)::BIGINT AS n_sentences, coalesce(ids, '') AS sentences, coalesce(licenses, '') AS licenses
     FROM numbered LEFT JOIN seqs USING (row) LEFT JOIN found USING (row)
     """
