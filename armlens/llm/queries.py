@@ -52,6 +52,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the contract's columns: n_scored, how many candidates were scored for the query."""
     return hilbert_ann.search(_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
 
 
@@ -67,19 +68,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rows whose id is null have no place in the order: they have n_chars and a fingerprint, and count in n_within_3, but
     what needs a next document is null."""
     rows = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = rows.where("doc_id is not null")
-    unplaced = rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("next_id"), F.length("text").cast("long").alias("n_chars"), "text")
-    unplaced = cut(simhash.fingerprints(unplaced, ["text"], ["doc_id", "next_id", "n_chars"]).withColumnRenamed("text", "fp"))
-    pairs = simhash.with_next(docs, "doc_id", ["text"])
-    pairs = pairs.select("doc_id", "next_id", "text", simhash.edited_text(F.col("text"), F.col("next_text")).alias("edited"))
-    pairs = pairs.select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"), *simhash.as_longs(F.sha2("edited", 256)), "text", "edited")
-    prints = simhash.fingerprints(pairs, ["text", "edited"], ["doc_id", "next_id", "n_chars", *[f"sha{k}" for k in range(4)]])
-    base = cut(prints.select("doc_id", "next_id", "n_chars", simhash.from_longs().alias("edited_sha256"), F.col("text").alias("fp"), F.col("edited").alias("edited_fp")))
+    unplaced = rows.where("doc_id is null").select("doc_id", F.length("text").cast("long").alias("n_chars"), "text")
+    unplaced = cut(simhash.fingerprints(unplaced, ["text"], ["doc_id", "n_chars"]).withColumnRenamed("text", "fp"))
+    pairs = simhash.with_next(rows.where("doc_id is not null"), "doc_id", ["text"])
+    # A text's hash tells rows apart that share an id.
+    keys = [F.xxhash64("text").alias("key"), F.xxhash64("next_text").alias("next_key")]
+    pairs = pairs.select("doc_id", "next_id", *keys, "text", simhash.edited_text(F.col("text"), F.col("next_text")).alias("edited"))
+    pairs = pairs.select("doc_id", "next_id", "key", "next_key", F.length("text").cast("long").alias("n_chars"), *simhash.as_longs(F.sha2("edited", 256)), "text", "edited")
+    prints = simhash.fingerprints(pairs, ["text", "edited"], ["doc_id", "next_id", "key", "next_key", "n_chars", *[f"sha{k}" for k in range(4)]])
+    base = cut(prints.select("doc_id", "next_id", "key", "next_key", "n_chars", simhash.from_longs().alias("edited_sha256"), F.col("text").alias("fp"), F.col("edited").alias("edited_fp")))
     index = base.select("fp").union(unplaced.select("fp")).groupBy(F.col("fp").alias("print")).agg(F.count("*").alias("n"))
     asked = base.where("doc_id % 50 = 0").select(F.col("fp").alias("query")).distinct()
-    met = simhash.near(asked, index.select("print")).join(index, "print").groupBy(F.col("query").alias("fp")).agg(F.sum("n").alias("n_within_3"))
-    nexts = base.select(F.col("doc_id").alias("next_id"), F.col("fp").alias("next_fp")).dropDuplicates(["next_id"])
-    full = base.join(nexts, "next_id").unionByName(unplaced, allowMissingColumns=True).join(met, "fp", "left")
+    # Everything here grows with the documents, so nothing is broadcast.
+    met = simhash.near(asked, index.select("print")).join(index.hint("merge"), "print").groupBy(F.col("query").alias("fp")).agg(F.sum("n").alias("n_within_3"))
+    nexts = base.select(F.col("doc_id").alias("next_id"), F.col("key").alias("next_key"), F.col("fp").alias("next_fp")).distinct()
+    full = base.join(nexts.hint("merge"), ["next_id", "next_key"]).unionByName(unplaced, allowMissingColumns=True).join(met.hint("merge"), "fp", "left")
     return full.select(
         "doc_id", "n_chars", "edited_sha256", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), simhash.hexadecimal(F.col("edited_fp")).alias("edited_fingerprint"),
         simhash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), simhash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),

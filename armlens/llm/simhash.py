@@ -7,8 +7,8 @@ where the votes for it are more than half. Votes are summed two bits to a number
 Two fingerprints within ``radius`` bits agree in at least ``blocks - radius`` of their blocks. So for each choice of
 that many blocks there is a table keyed by their bits; equal keys are candidates and a bit count confirms them.
 
-Defined results: null and empty texts have no terms and fingerprint 0; rows with the same id are rows of their own, and
-one of them is the other's next document; extra columns are ignored.
+Defined results: null and empty texts have no terms and fingerprint 0; rows with the same id are rows of their own, in
+the order of their texts, so one of them is the other's next document; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 _PAIR = 0x0000000100000001  # one bit in either half
 
 
@@ -75,30 +77,40 @@ def _range_of(x: Column, bounds: list[int]) -> Column:
     return F.when(coarse == 0, 0).otherwise(begin + up_to(F.slice(longs(bounds), F.greatest(begin, F.lit(0)) + 1, F.lit(step)))).cast("int")
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str], *, per_bucket: int = 5000) -> DataFrame:
-    """``docs`` with next_id and next_<column> of the document with the next smaller id; after the
-    smallest comes the greatest.
+def with_next(docs: DataFrame, id_col: str, columns: list[str], *, per_range: int = 5000, knots: int = 1000) -> DataFrame:
+    """id, the ``columns``, next_id and next_<column> of the document with the next smaller id; after the smallest comes
+    the greatest. Rows that share an id come in the order of their columns.
 
-    Ids are cut into ranges at quantiles; within a range the next document is found by a window. The first document
-    of a range needs the last one of the range below: that document is sent to both ranges. So texts are shuffled
-    once, and what the driver sees is the bounds (one number for each range) and each range's greatest id.
+    Ids are cut into ranges of about ``per_range`` documents: at quantiles (at most ``knots``, which is all that the
+    driver sees), and evenly between two of them. A window finds the next document within a range, where texts are
+    shuffled once. The first document of each range takes the last one of the range below, by a join of these alone.
     """
-    n = docs.count()
+    n, low, high = docs.agg(F.count(id_col), F.min(id_col), F.max(id_col)).first()
     if not n:
-        return docs.select("*", F.col(id_col).alias("next_id"), *[F.col(c).alias(f"next_{c}") for c in columns])
-    ranges = min(10_000, max(8, n // per_bucket))
-    cuts = sorted(set(docs.approxQuantile(id_col, [k / ranges for k in range(1, ranges)], 0.1 / ranges)))
-    placed = docs.withColumn("_range", _range_of(F.col(id_col), [int(c) for c in cuts]))
-    tops = {r["_range"]: r["top"] for r in placed.groupBy("_range").agg(F.max(id_col).alias("top")).collect()}
-    order = sorted(tops)
-    # The greatest id of a range is also sent to the range above it; that of the last range to the first one.
-    target = {tops[low]: high for low, high in zip(order, [*order[1:], order[0]], strict=True)}
-    lookup = F.create_map(*[F.lit(x) for pair in target.items() for x in pair])
-    both = placed.withColumn("_to", F.explode(F.array_compact(F.array(F.struct(F.col("_range").alias("at"), F.lit(False).alias("guest")), F.when(F.col(id_col).isin(list(target)), F.struct(lookup[F.col(id_col)].alias("at"), F.lit(True).alias("guest")))))))
-    # A guest comes before all others of its range, whatever its id.
-    window = Window.partitionBy("_to.at").orderBy(F.col("_to.guest").desc(), id_col)
-    nexts = [F.lag(id_col).over(window).alias("next_id"), *[F.lag(c).over(window).alias(f"next_{c}") for c in columns]]
-    return both.select("*", *nexts).where(~F.col("_to.guest")).drop("_range", "_to")
+        return docs.select(id_col, *columns, F.col(id_col).alias("next_id"), *[F.col(c).alias(f"next_{c}") for c in columns])
+    groups = max(1, min(knots, n // per_range))
+    cuts = sorted({int(c) for c in docs.approxQuantile(id_col, [k / groups for k in range(1, groups)], 0.1 / groups)} - {low}) if groups > 1 else []
+    placed = docs.select(id_col, *columns, _even_range(F.col(id_col), [low, *cuts, high + 1], -(-n // (per_range * groups))).alias("range"))
+    window = Window.partitionBy("range").orderBy(id_col, *columns)
+    seen = placed.select(id_col, *columns, "range", F.lag(F.struct(id_col, *columns)).over(window).alias("next"), F.lead(id_col).over(window).isNull().alias("last"))
+    shown = [id_col, *columns, F.col(f"next.{id_col}").alias("next_id"), *[F.col(f"next.{c}").alias(f"next_{c}") for c in columns]]
+    # One row for each range that isn't empty: the range below it, or the uppermost one.
+    ranges = docs.select(_even_range(F.col(id_col), [low, *cuts, high + 1], -(-n // (per_range * groups))).alias("range")).distinct()
+    below = cut(ranges.select("range", F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.partitionBy())).alias("below")))
+    firsts = seen.where("next is null").select(id_col, *columns, "range").join(below.hint("merge"), "range")
+    lasts = seen.where("last").select(F.col("range").alias("below"), F.struct(id_col, *columns).alias("next"))
+    return seen.where("next is not null").select(*shown).union(firsts.join(lasts.hint("merge"), "below").select(*shown))
+
+
+def _even_range(x: Column, edges: list[int], parts: int) -> Column:
+    """The number of x's range: the intervals between the edges are cut into so many even parts each."""
+    at = _range_of(x, edges[1:-1])
+    if parts == 1:
+        return at
+    longs = F.array(*map(F.lit, edges)).cast("array<long>")
+    begin, end = F.get(longs, at).cast("double"), F.get(longs, at + 1).cast("double")
+    part = F.floor((x.cast("double") - begin) / (end - begin) * parts)
+    return (at.cast("long") * parts + F.greatest(F.least(part, F.lit(parts - 1)), F.lit(0))).alias("range")
 
 
 def edited_text(text: Column, other: Column) -> Column:
@@ -121,5 +133,5 @@ def near(queries: DataFrame, index: DataFrame, *, radius: int = 3, blocks: int =
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
     table = F.posexplode(F.array(*map(F.lit, masks)))
     keyed = lambda df, c: df.select(c, table.alias("table", "mask")).select(c, "table", F.col(c).bitwiseAND(F.col("mask")).alias("bits"))
-    met = keyed(queries, "query").join(keyed(index, "print"), ["table", "bits"])
+    met = keyed(queries, "query").hint("merge").join(keyed(index, "print"), ["table", "bits"])
     return met.where(F.bit_count(F.col("query").bitwiseXOR(F.col("print"))) <= radius).select("query", "print").distinct()

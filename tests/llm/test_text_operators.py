@@ -236,6 +236,20 @@ def test_simhash(spark, docs, texts):
         assert out["near_next"][k] == 1 - bin(prints[k] ^ prints[after]).count("1") / 64
         if k % 50 == 0:
             assert out["n_within_3"][k] == sum(bin(prints[k] ^ p).count("1") <= 3 for p in prints.values())
+    # Fingerprints from their definition.
+    def print_of(text):
+        import re
+
+        import xxhash
+
+        votes, total = [0] * 64, 0
+        for word in filter(None, re.split(r"[ \t\n\x0b\f\r]+", text)):
+            w, h = max(1, min(len(word), 12) - 1), xxhash.xxh64_intdigest(word.encode(), seed=42)
+            total += w
+            votes = [v + w * (h >> b & 1) for b, v in enumerate(votes)]
+        return sum(1 << b for b, v in enumerate(votes) if 2 * v > total)
+
+    assert prints == {k: print_of(t) for k, t in texts.items()}
     same = {}
     for k, t in texts.items():
         assert same.setdefault(t, prints[k]) == prints[k]
@@ -268,13 +282,22 @@ def test_ranges(spark, n):
     assert all(r["r"] == sum(b <= r["id"] for b in bounds) for r in got)
 
 
-def test_next_over_many_ranges(spark):
-    ids = [7 * k + k % 3 for k in range(500)]
+@pytest.mark.parametrize("k", [1, 7, 1000])
+def test_next_over_many_ranges(spark, k):
+    ids = [7 * j + j % 3 for j in range(300)] + [10**12 + 2**j for j in range(35)]
     df = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string")
-    got = {r["doc_id"]: (r["next_id"], r["next_text"]) for r in simhash.with_next(df, "doc_id", ["text"], per_bucket=9).collect()}
+    got = {r["doc_id"]: (r["next_id"], r["next_text"]) for r in simhash.with_next(df, "doc_id", ["text"], per_range=9, knots=k).collect()}
     assert got == {i: (ids[k - 1], str(ids[k - 1])) for k, i in enumerate(ids)}
 
 
+def test_next_of_repeated_ids(spark):
+    rows = [(5, "b"), (5, "a"), (7, "x"), (7, "x"), (1, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for per_range in (1, 2, 100):
+        got = sorted(tuple(r) for r in simhash.with_next(df, "doc_id", ["text"], per_range=per_range).collect())
+        assert got == sorted([(1, "c", 7, "x"), (5, "a", 1, "c"), (5, "b", 5, "a"), (7, "x", 5, "b"), (7, "x", 7, "x")])
+
+
 def test_near_fingerprints(spark):
     rng = np.random.default_rng(2)
     some = [int(x) for x in rng.integers(-(1 << 62), 1 << 62, 60)]
@@ -304,6 +327,16 @@ PUBLISHED = {
     "MIT": "MIT License\n\nCopyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.\n\nThis library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU Lesser General Public License for more details.",
+    "LGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.",
 }
 
@@ -311,11 +344,27 @@ PUBLISHED = {
 def test_published_licenses_at_every_width(spark):
     import textwrap
 
-    rows = [(f"{name} {width} {lead}", "\n".join(lead + line for part in text.split("\n") for line in textwrap.wrap(part, width, break_long_words=False) or [""])) for name, text in PUBLISHED.items() for width in (12, 40, 80, 10_000) for lead in ("", " * ")]
+    rows = [(f"{name} {width} {lead}", "\n".join(lead + line for part in text.split("\n") for line in textwrap.wrap(part, width, break_long_words=False) or [""])) for name, text in PUBLISHED.items() for width in (12, 40, 60, 80, 10_000) for lead in ("", " * ")]
     out = licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
     assert {r["doc_id"]: r["licenses"] for r in out} == {i: [i.split()[0]] for i, _ in rows}
 
 
+def test_license_sql(spark):
+    """The SQL says the same of published texts, wrapped narrowly, and of two licences in one text."""
+    import textwrap
+
+    import duckdb
+
+    rows = [(k, "\n".join(line for part in text.split("\n") for line in textwrap.wrap(part, width) or [""])) for k, (text, width) in enumerate((t, w) for t in PUBLISHED.values() for w in (12, 60))]
+    rows += [(100, PUBLISHED["BSD-3-Clause"] + "\n" + PUBLISHED["BSD-2-Clause"]), (101, None), (102, "")]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {(r["doc_id"], r["n_sentences"], ",".join(r["sentences"]), ",".join(r["licenses"])) for r in found.collect()}
+    assert got == set(db.execute(licenses.oracle_sql()).fetchall()) and any(x[3] == "BSD-2-Clause,BSD-3-Clause" for x in got)
+
+
 def test_secrets(spark, odd, empty):
     access, key = "AKIA" + "A1B2C3D4E5F6G7H8", "abcDEF123ghiJKL456mno789pqrSTU"
     rows = [(1, f"id {access} then {key} end"), (2, f"lone {key} here"), (3, f"id {access}\n\nother part {key}"), (4, "Password = 'hunter2hunter2' 0123456789abcdef0123456789abcdef"), (5, "token=short apikey: longenough1"), (6, f"id {access} " + "x " * 300 + key), (7, "user=bob password: s3cretvalue https://example.com/x")]
