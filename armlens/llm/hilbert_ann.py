@@ -7,14 +7,15 @@
 * A query meets the vectors whose position on some curve is within a window of its own. The window is the smallest
   that would have caught ``target`` of the true neighbours of a bounded sample of queries, so data that clusters get
   narrow windows and data without structure wide ones.
-* In each block the candidates of the queries' windows are ranked by exact inner products; the best of all blocks and
-  curves are merged.
+* Blocks are sorted by position, so a query's window is a slice. A pair is scored on the first curve on which it meets
+  (positions on all curves travel with the vectors); the best of all slices are merged.
 
 Fitted on bounded samples: the axes and quantiles (``sample_rows`` vectors) and the window (``probe_queries`` queries,
 each against all rows). Everything else covers all rows.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or are not as long as most, take no
-part; of an id that occurs twice each row is a candidate of its own; extra columns are ignored.
+part. Rows that share id and vector are one; an id with several vectors is a row for each of them, none of which is a
+candidate of a query with that id. Equal scores are in the order of ids. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import cut
 
@@ -81,14 +83,14 @@ class Curves:
         return hilbert_keys(cells, self.bits)
 
     def positions(self, v: np.ndarray) -> np.ndarray:
-        """A row for each vector: its position in [0, 1) on each curve. Equal keys are spread by the vector's bytes."""
+        """A row for each vector: its position in [0, 1) on each curve. Equal keys are spread by the vector's values."""
         spread = (np.abs(v).sum(axis=1) * 1e6) % 1.0
         out = np.empty((len(v), len(self.maps)))
         for k, keys in enumerate(self.keys):
             key = self._key(v, k)
             left, right = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
             out[:, k] = (left + spread * np.maximum(1, right - left)) / (len(keys) + 1)
-        return np.minimum(out, 1 - 1e-9)
+        return np.minimum(out, 1 - 1e-6).astype(np.float32)
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -104,22 +106,28 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64)
 
 
+def _vectors(column: pd.Series, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype(np.float64)
+
+
 def search(
-    vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 20, curves: int = 4, dims: int = 6, bits: int = 8, target: float = 0.97, sample_rows: int = 8192, probe_queries: int = 64, block_rows: int = 32_768, queries_per_task: int = 4096,
+    vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 20, curves: int = 8, dims: int = 8, bits: int = 7, target: float = 0.95, sample_rows: int = 8192, probe_queries: int = 128, block_rows: int = 32_768, queries_per_task: int = 4096,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the ``k`` nearest rows found for each row whose id meets ``is_query(id)``."""
+    """query_id, rank, vec_id, score, n_scored: the ``k`` nearest rows found for each row whose id meets ``is_query(id)``,
+    and how many candidates (classes of equal vectors) were scored for the query."""
     spark = vectors.sparkSession
-    rows = _usable(vectors, id_col, vector_col)
+    rows = _usable(vectors, id_col, vector_col).distinct()
+    # Single precision travels as such.
+    kind = "<f4" if isinstance(vectors.schema[vector_col].dataType, ArrayType) and isinstance(vectors.schema[vector_col].dataType.elementType, FloatType) else "<f8"
     # Classes of equal vectors, with the k + 1 smallest ids: a query's own id may be among them.
     first = Window.partitionBy("v").orderBy("id")
     ranked = rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
-    classes = cut(ranked.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("class", F.col("ids")[0]))
+    classes = cut(ranked.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("class", F.col("ids")[0]).withColumn("number", F.monotonically_increasing_id()))
     n = classes.count()
-    schema = "query_id long, rank int, vec_id long, score double"
+    schema = "query_id long, rank int, vec_id long, score double, n_scored long"
     if not n:
         return spark.createDataFrame([], schema)
-    hashed = F.xxhash64("class")
-    sample = _matrix(classes.orderBy(hashed, "class").select("v").limit(sample_rows).toPandas()["v"])
+    sample = _matrix(classes.orderBy(F.xxhash64("v"), "class").select("v").limit(sample_rows).toPandas()["v"])
     fitted = spark.sparkContext.broadcast(Curves(sample, curves, min(dims, sample.shape[1], max(1, len(sample) - 1)), bits))
     queries = rows.where(is_query(F.col("id")))
     n_queries = queries.count()
@@ -131,47 +139,64 @@ def search(
         for pdf in batches:
             if not len(pdf):
                 continue
-            at = fitted.value.positions(_matrix(pdf["v"]))
+            v = _matrix(pdf["v"])
+            at = fitted.value.positions(v)
+            out = pdf.drop(columns="v").assign(vector=[x.tobytes() for x in v.astype(kind)], places=[x.tobytes() for x in at])
             for c in range(at.shape[1]):
-                yield pdf.assign(curve=c, at=at[:, c])
+                yield out.assign(curve=c, at=at[:, c].astype(np.float64))
 
-    placed = classes.select("class", "v").mapInPandas(place, "class long, v array<double>, curve int, at double")
+    # A class of one row can't be a candidate of that row.
+    placed = classes.select("class", "number", (F.size("ids") == 1).alias("single"), "v").mapInPandas(place, "class long, number long, single boolean, vector binary, places binary, curve int, at double")
     placed = placed.select("*", F.floor(F.col("at") * blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    asked = queries.mapInPandas(place, "id long, v array<double>, curve int, at double")
+    asked = queries.mapInPandas(place, "id long, vector binary, places binary, curve int, at double")
     edge = lambda x: F.floor(F.least(F.greatest(x, F.lit(0.0)), F.lit(1 - 1e-9)) * blocks).cast("int")
-    asked = asked.select("*", F.explode(F.sequence(edge(F.col("at") - window), edge(F.col("at") + window))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
-    asked = asked.select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("at").alias("q_at"), "curve", "block", "part")
-
-    def rank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "class": [], "score": []}).astype({"query_id": "int64", "class": "int64"})
-        v, name, at = _matrix(left["v"]), left["class"].to_numpy(), left["at"].to_numpy()
-        ids, q, q_at = right["query_id"].to_numpy(), _matrix(right["q"]), right["q_at"].to_numpy()
+    reach = window + 1e-9
+    asked = asked.select("*", F.explode(F.sequence(edge(F.col("at") - reach), edge(F.col("at") + reach))).alias("block"), F.pmod(F.xxhash64("id", "vector"), F.lit(parts)).cast("int").alias("part"))
+
+    def rank(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for begin in range(0, len(ids), 256):
-            some = slice(begin, begin + 256)
-            s = q[some] @ v.T
-            s[np.abs(q_at[some, None] - at[None, :]) > window] = -np.inf
-            m = min(len(name), k + 2)
-            best = np.argpartition(-s, m - 1, axis=1)[:, :m]
-            for row, picks in enumerate(best):
-                picks = picks[s[row, picks] > -np.inf]
-                # The score again by itself, so that it doesn't depend on what else is in the block.
-                exact = (v[picks] * q[begin + row]).sum(axis=1)
-                order = np.lexsort((name[picks], -exact))[: k + 1]
-                out.append((np.full(len(order), ids[begin + row]), name[picks][order], exact[order]))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        return pd.DataFrame(dict(zip(("query_id", "class", "score"), columns, strict=True)))
+        if len(left) and len(right):
+            c = int(key[0])
+            left, right = left.sort_values(["at", "class"]), right.sort_values(["at", "id"])
+            v, name, number, single = _vectors(left["vector"], kind), left["class"].to_numpy(), left["number"].to_numpy(), left["single"].to_numpy()
+            q, ids = _vectors(right["vector"], kind), right["id"].to_numpy()
+            at, q_at = _vectors(left["places"], "<f4"), _vectors(right["places"], "<f4")
+            slack = 1e-12 * max(1e-300, np.abs(v).max() * v.shape[1])
+            for begin in range(0, len(ids), 128):
+                some = slice(begin, min(begin + 128, len(ids)))
+                lo = int(np.searchsorted(at[:, c], q_at[some, c].min() - window, "left"))
+                hi = int(np.searchsorted(at[:, c], q_at[some, c].max() + window, "right"))
+                s = q[some] @ v[lo:hi].T
+                s[np.abs(q_at[some, None, c] - at[None, lo:hi, c]) > window] = -np.inf
+                s[(name[None, lo:hi] == ids[some, None]) & single[None, lo:hi]] = -np.inf
+                for earlier in range(c):
+                    s[np.abs(q_at[some, None, earlier] - at[None, lo:hi, earlier]) <= window] = -np.inf
+                scored = (s > -np.inf).sum(axis=1)
+                for row in range(len(s)):
+                    if not scored[row]:
+                        continue
+                    m = min(k, int(scored[row]))
+                    # All that may be among the k best, then their scores again one by one, so that ties are ties.
+                    least = np.partition(s[row], len(s[row]) - m)[len(s[row]) - m]
+                    picks = np.flatnonzero(s[row] >= least - slack * np.abs(q[begin + row]).max())
+                    exact = (v[lo + picks] * q[begin + row]).sum(axis=1)
+                    order = np.lexsort((name[lo + picks], -exact))[:k]
+                    n_scored = np.zeros(len(order), np.int64)
+                    n_scored[0] = scored[row]
+                    out.append((np.full(len(order), ids[begin + row]), number[lo + picks][order], name[lo + picks][order], exact[order], n_scored))
+        names = ("query_id", "number", "class", "score", "n_scored")
+        if not out:
+            return pd.DataFrame({x: [] for x in names}).astype({"query_id": "int64", "number": "int64", "class": "int64", "score": "float64", "n_scored": "int64"})
+        return pd.DataFrame(dict(zip(names, (np.concatenate(x) for x in zip(*out, strict=True)), strict=True)))
 
     keys = ["curve", "block", "part"]
-    found = placed.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(rank, "query_id long, class long, score double")
-    found = found.groupBy("query_id", "class").agg(F.max("score").alias("score"))
-    near = Window.partitionBy("query_id").orderBy(F.desc("score"), "class")
-    found = found.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1).drop("r")
+    found = placed.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(rank, "query_id long, number long, class long, score double, n_scored long")
+    of_query = Window.partitionBy("query_id")
+    found = found.withColumn("r", F.row_number().over(of_query.orderBy(F.desc("score"), "class"))).withColumn("n_scored", F.sum("n_scored").over(of_query)).where(F.col("r") <= k).drop("r")
     # Classes to rows, without the query's own.
-    members = found.join(classes.select("class", "ids"), "class").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
-    last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return members.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    members = found.join(classes.select("number", "ids"), "number").select("query_id", "score", "n_scored", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
+    last = of_query.orderBy(F.desc("score"), "vec_id")
+    return members.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "n_scored")
 
 
 def _window(classes: DataFrame, queries: DataFrame, fitted, k: int, probes: int, target: float) -> float:
@@ -181,24 +206,26 @@ def _window(classes: DataFrame, queries: DataFrame, fitted, k: int, probes: int,
         return 0.0
     q = _matrix(asked["v"])
     q_at = fitted.value.positions(q)
+    names = ["probe", "score", "class", "near"]
 
     def best(batches):
-        top: list[tuple[np.ndarray, np.ndarray]] = []
+        top: list[list[np.ndarray]] = [[] for _ in range(len(q))]
         for pdf in batches:
             if len(pdf):
-                v = _matrix(pdf["v"])
-                near = np.abs(fitted.value.positions(v)[None, :, :] - q_at[:, None, :]).min(axis=2)
-                s = q @ v.T
-                m = np.argsort(-s, axis=1)[:, : k + 1]
-                top.append((np.take_along_axis(s, m, 1), np.take_along_axis(near, m, 1)))
-        if top:
-            s, near = (np.concatenate(x, axis=1) for x in zip(*top, strict=True))
-            m = np.argsort(-s, axis=1)[:, : k + 1]
-            rows = np.repeat(np.arange(len(q)), m.shape[1])
-            yield pd.DataFrame({"probe": rows, "score": np.take_along_axis(s, m, 1).ravel(), "near": np.take_along_axis(near, m, 1).ravel()})
-
-    best_of = classes.select("v").mapInPandas(best, "probe int, score double, near double")
-    order = Window.partitionBy("probe").orderBy(F.desc("score"), "near")
+                v, name = _matrix(pdf["v"]), pdf["class"].to_numpy()
+                s = np.round(q @ v.T, 12)
+                at = fitted.value.positions(v)
+                for row in range(len(q)):
+                    m = np.lexsort((name, -s[row]))[: k + 1]
+                    near = np.abs(at[m] - q_at[row]).min(axis=1)
+                    top[row].append(np.column_stack((np.full(len(m), row), s[row, m], name[m], near)))
+        for row in top:
+            if row:
+                both = np.concatenate(row)
+                yield pd.DataFrame(both[np.lexsort((both[:, 2], -both[:, 1]))[: k + 1]], columns=names).astype({"probe": "int32", "class": "int64"})
+
+    best_of = classes.select("class", "v").mapInPandas(best, "probe int, score double, class long, near double")
+    order = Window.partitionBy("probe").orderBy(F.desc("score"), "class")
     true = best_of.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
     width = true.agg(F.expr(f"percentile(near, {target})").alias("w")).first()["w"]
     return float(min(1.0, (width or 0.0) + 1e-6))

@@ -31,6 +31,30 @@ def test_recall(spark):
     asked = [i for i, _ in rows if i % 20 == 0]
     assert sorted(found.index) == sorted(asked)
     assert np.mean([len(set(found[q]) & set(brute(rows, q))) / 20 for q in asked]) >= 0.9
+    # Fewer pairs than brute force, though these vectors are spread evenly; far fewer where vectors cluster.
+    assert out.groupby("query_id")["n_scored"].first().mean() < 0.9 * len(rows)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 64)) * 6
+    near = [(i, [float(x) for x in centres[i % 40] + rng.normal(size=64)]) for i in range(2000)]
+    out = hilbert_ann.search(spark.createDataFrame(near, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0).toPandas()
+    found = out.sort_values("rank").groupby("query_id")["vec_id"].apply(list)
+    assert np.mean([len(set(found[q]) & set(brute(near, q))) / 20 for q in range(0, 2000, 20)]) >= 0.9
+    assert out.groupby("query_id")["n_scored"].first().mean() < 0.4 * len(near)
+
+
+def test_ann_ties_and_repeated_ids(spark):
+    """Thousands of equal inner products; an id that occurs thirty times; an id with several vectors."""
+    rng = np.random.default_rng(1)
+    flat = [(0, [1.0] + [0.0] * 7)] + [(i, [0.5, *map(float, rng.normal(size=7))]) for i in range(1, 3000)]
+    df = spark.createDataFrame(flat, "vec_id long, embedding array<double>").repartition(5)
+    out = hilbert_ann.search(df, lambda i: i == 0, target=1.0).toPandas().sort_values("rank")
+    assert list(out["vec_id"]) == list(range(1, 21)) and set(out["score"]) == {0.5}
+    v = [float(x) for x in rng.normal(size=8)]
+    rows = [(40, v)] * 30 + [(i, v) for i in range(1, 5)] + [(100 + i, [float(x) for x in rng.normal(size=8)]) for i in range(30)] + [(200, v), (200, [-x for x in v])]
+    out = hilbert_ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i == 40, target=1.0).toPandas().sort_values("rank")
+    assert list(out["vec_id"])[:5] == [1, 2, 3, 4, 200] and len(out) == 20 and 40 not in set(out["vec_id"])
+    distinct = {(i, tuple(x)) for i, x in rows if i != 40}
+    assert list(zip(-out["score"].round(9), out["vec_id"], strict=True)) == sorted((-round(float(np.dot(v, x)), 9), i) for i, x in distinct)[:20]
 
 
 def test_ann_edges(spark):
