@@ -37,7 +37,7 @@ _WIDTH = 22  # bits of a token in a pair of tokens
 class Lattice:
     """Nodes, scores and stable steps of a model's pieces. Blanks stand for the model's blank marks."""
 
-    def __init__(self, model, parts: int = 300_000, pairs: int = 400_000):
+    def __init__(self, model, parts: int = 800_000, pairs: int = 600_000):
         self.model = model
         names = [model.id_to_piece(i) for i in range(model.vocab_size())]
         usual = [i for i in range(len(names)) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
@@ -93,19 +93,30 @@ class Lattice:
         Only one path has a finite weight, so a search that goes on with the longest node, and comes back from nodes
         that lead nowhere, ends with the heaviest.
         """
-        n, stable = len(part), self.stable
+        n, stable, begins = len(part), self.stable, self.begins.get
         steps: dict[int, list[tuple[int, int]]] = {}
         path: list[tuple[int, int, int]] = []  # (token, where it begins, its number among the steps there)
         nowhere: set[Node] = set()
         s, last, k = 0, None, None
         while s < n:
-            if s not in steps:
-                steps[s] = self.steps(part, s)
-            there = steps[s]
-            k = len(there) - 1 if k is None else k
+            if k is None:
+                there = steps.get(s)
+                if there is None:
+                    there = steps[s] = []
+                    for e in range(s + 1, n + 1):
+                        token = begins(part[s:e])
+                        if token is None:
+                            break
+                        if token >= 0:
+                            there.append((e, token))
+                    if not there or there[0][0] > s + 1:
+                        there.insert(0, (s + 1, -1 - ord(part[s])))
+                k = len(there) - 1
+            else:
+                there = steps[s]
             while k >= 0:
                 e, token = there[k]
-                if (last is None or stable[(last << _WIDTH) + token]) and (s, e) not in nowhere:
+                if (last is None or stable[(last << _WIDTH) + token]) and (not nowhere or (s, e) not in nowhere):
                     break
                 k -= 1
             if k >= 0:
@@ -117,6 +128,9 @@ class Lattice:
                 _, before, k = path.pop()
                 nowhere.add((before, s))
                 s, last, k = before, path[-1][0] if path else None, k - 1
+        tokens = [token for token, _, _ in path]
+        if min(tokens, default=0) >= 0:
+            return tokens, sum(map(self.scores.__getitem__, tokens))
         return [i for token, _, _ in path for i in self.ids(token)], sum(self.score(token) for token, _, _ in path)
 
     def _forget(self) -> None:
