@@ -1,19 +1,23 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-The n-grams are of characters, mapped to an alphabet of 64 symbols, four at a time. So the model has at most 64 ** 4
-n-grams however large the corpus is: its counts come from all trusted text by sharded counts and joins in Spark, and
-what is broadcast in the end is one byte for each possible n-gram (16.8 MB, its code length in steps of a tenth of a
-bit). Scoring is one pass over the scan.
+The n-grams are of ``order`` characters, any of Unicode's, so the model grows with the text that it is trained on.
 
-* counts of the highest order are occurrences; those of lower orders are continuation counts (in how many contexts a
-  symbol appears), got by grouping the distinct n-grams of the order above;
+* Counts of the highest order are occurrences; those of lower orders are continuation counts (in how many contexts a
+  character appears), got by grouping the distinct n-grams of the order above;
 * discounts for counts of one, two, and three or more come from each order's counts of counts;
-* contexts' totals and left-over weights are joined to the n-grams by context.
-
-A document's perplexity is 2 ** (mean code length); it is kept if its perplexity lies between the ``low`` and the
-``high`` quantile of held-out trusted documents' perplexities in its language. Both ends count: text that repeats itself
-is too predictable, lists and shouting too little. Extreme quantiles of few documents say little, so at every size those
-of a language with n held-out documents are drawn towards those of all languages: logarithms are averaged with the
+* contexts' totals and left-over weights are joined to the n-grams by context, and the probabilities of the order below
+  by suffix. All of these are tables that Spark shards by n-gram.
+
+Scoring a document needs the probability of each of its n-grams. The commonest n-grams of the model (at most
+``head_grams``, chosen by a least count) are broadcast; they only spare work. All others of a document are joined with
+the sharded tables, from the highest order down to the one that knows them, and summed up by document: the result is the
+same for every ``head_grams``. What travels is a row for each n-gram of a batch of documents, with the documents' numbers.
+
+A document's perplexity is 2 ** (mean code length); it is kept if its perplexity lies between the ``low`` quantile of all
+trusted documents' perplexities in its language and the ``high`` one of those that the model was not trained on (a
+document that it was trained on is more predictable, and so are that one's copies). Both ends count: text that repeats
+itself is too predictable, lists and shouting too little. Extreme quantiles of few documents say little, so at every size
+those of a language, of n documents, are drawn towards those of all languages: logarithms are averaged with the
 weights n and ``prior``.
 
 Defined results: null and empty texts have no perplexity and are not kept; documents of a language without trusted
@@ -24,65 +28,73 @@ twice.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, text_batches
 
-ORDER, BITS = 4, 6
-# The alphabet. Symbol 0 is a blank; what isn't listed is one of the four last classes.
-LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáçèéêëíïñóöúüß"
-MARKS = ".,!?;:'\"-()|/@_*"
-DIGIT, UPPER, LETTER, OTHER = 60, 61, 62, 63
-STEP = 0.1  # bits
-
-
-def _table() -> np.ndarray:
-    symbols = np.full(0x10000, OTHER, np.uint8)
-    for c in range(0x10000):
-        ch = chr(c)
-        symbols[c] = 0 if ch.isspace() else DIGIT if ch.isdigit() else UPPER if ch.isupper() else LETTER if ch.isalpha() else OTHER
-    for n, ch in enumerate(LETTERS + MARKS, 1):
-        symbols[ord(ch)] = n
-    return symbols
-
-
-_SYMBOLS: list[np.ndarray] = []
-
-
-def grams(text: str) -> np.ndarray:
-    """The codes of a whole text's n-grams; it is led by blanks, so each character ends one."""
-    if not _SYMBOLS:
-        _SYMBOLS.append(_table())
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    s = np.zeros(len(code) + ORDER - 1, np.int32)
-    s[ORDER - 1 :] = _SYMBOLS[0][np.minimum(code, 0xFFFF)]
-    out = s[: len(code)].copy()
-    for k in range(1, ORDER):
-        out = (out << BITS) | s[k : k + len(code)]
-    return out
-
-
-def count_grams(docs: DataFrame, text_col: str) -> DataFrame:
-    """code, c: over all texts. Each task sends a row for each n-gram it has seen."""
+_SEGMENT, _GROUP = 1 << 20, 1 << 21  # characters of a text, and of several, that are looked at at once
+_ROLL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
+
+
+def _segments(texts: list[str | None], order: int) -> Iterator[list[tuple[int, str]]]:
+    """Groups of (number of the text, segment): whole texts, each segment led by the characters before it or blanks."""
+    some, size = [], 0
+    for number, text in enumerate(texts):
+        for b in range(0, len(text or ""), _SEGMENT):
+            some.append((number, text[max(0, b - order + 1) : b].rjust(order - 1) + text[b : b + _SEGMENT]))
+            size += len(some[-1][1])
+            if size >= _GROUP:
+                yield some
+                some, size = [], 0
+    if some:
+        yield some
+
+
+def _hash(columns: list[np.ndarray]) -> np.ndarray:
+    h = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        h = (h ^ (h >> np.uint64(29))) * _ROLL + c
+        h = (h ^ (h >> np.uint64(32))) * _MIX
+    return h ^ (h >> np.uint64(31))
+
+
+class Grams:
+    """The n-grams of a group of segments: one ends at each character."""
+
+    def __init__(self, some: list[tuple[int, str]], order: int):
+        code = np.frombuffer("".join(s for _, s in some).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.code, self.order = np.where(code == 0, np.uint32(0xFFFD), code), order
+        sizes = np.array([len(s) - order + 1 for _, s in some])
+        start = np.arange(sizes.sum()) + np.repeat(np.arange(len(some)) * (order - 1), sizes)
+        n = len(code) - order + 1
+        hashed = _hash([self.code[j : j + n].astype(np.uint64) for j in range(order)])[start]
+        self.owner = np.repeat([number for number, _ in some], sizes)
+        self.hash, first, self.which, self.count = np.unique(hashed, return_index=True, return_inverse=True, return_counts=True)
+        self.at = start[first]
+
+    def names(self, some: np.ndarray) -> np.ndarray:
+        """The distinct n-grams of these numbers as strings."""
+        code = np.column_stack([self.code[self.at[some] + j] for j in range(self.order)])
+        return np.ascontiguousarray(code).view(f"<U{self.order}").ravel()
+
+
+def count_grams(docs: DataFrame, text_col: str, order: int) -> DataFrame:
+    """gram, c: over all texts. A row for each n-gram of a batch goes to Spark's partial aggregation."""
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << (BITS * ORDER), np.int64)
         for batch in batches:
-            if found := [grams(t) for t in batch.column(0).to_pylist() if t]:
-                code, c = np.unique(np.concatenate(found), return_counts=True)
-                total[code] += c
-        at = total.nonzero()[0]
-        for begin in range(0, len(at), 100_000):
-            part = at[begin : begin + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part])], ["code", "c"])
+            for some in _segments(batch.column(0).to_pylist(), order):
+                grams = Grams(some, order)
+                names = pa.array(grams.names(np.arange(len(grams.hash))), pa.string())
+                yield pa.RecordBatch.from_arrays([names, pa.array(grams.count, pa.int64())], ["gram", "c"])
 
-    return docs.select(text_col).mapInArrow(run, "code int, c long").groupBy("code").agg(F.sum("c").alias("c"))
+    return docs.select(text_col).mapInArrow(run, "gram string, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -93,62 +105,143 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(k - 0.05, max(0.05, d)) for k, d in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3))]
 
 
-def train(trusted: DataFrame, text_col: str = "text") -> np.ndarray:
-    """The code lengths, in steps of STEP bits, of all 64 ** 4 n-grams."""
-    counts = cut(count_grams(trusted, text_col))
-    tables = []
-    for order in range(ORDER, 0, -1):
+def _context(gram: Column, order: int) -> Column:
+    return F.substring(gram, 1, order - 1)
+
+
+def _suffix(gram: Column, order: int) -> Column:
+    return F.substring(gram, 2, order - 1)
+
+
+@dataclass
+class KneserNey:
+    """``seen``: for each order from 1 the table (gram, c, p); ``contexts``: (context, gamma). ``unknown``: the uniform
+    share of a character."""
+
+    order: int
+    seen: list[DataFrame]
+    contexts: list[DataFrame]
+    unknown: float
+
+    def resolve(self, grams: DataFrame, order: int) -> DataFrame:
+        """gram, p for distinct n-grams of an order (column gram): known ones, or the order below by left-over weight."""
+        known = grams.join(self.seen[order - 1].select("gram", "p").hint("merge"), "gram", "left").withColumn("context", _context(F.col("gram"), order))
+        known = cut(known.join(self.contexts[order - 1], "context", "left").select("gram", "p", F.coalesce("gamma", F.lit(1.0)).alias("gamma")))
+        if order == 1:
+            return known.select("gram", F.coalesce("p", F.col("gamma") * self.unknown).alias("p"))
+        missing = known.where("p is null").select(_suffix(F.col("gram"), order).alias("gram")).distinct()
+        lower = self.resolve(missing, order - 1).toDF("suffix", "lower")
+        found = known.withColumn("suffix", _suffix(F.col("gram"), order)).join(lower.hint("merge"), "suffix", "left")
+        return found.select("gram", F.coalesce("p", F.col("gamma") * F.col("lower")).alias("p"))
+
+    def head(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes, sorted, and code lengths of the commonest n-grams: all that have a least count, ``most`` at most."""
+        top = self.seen[-1]
+        step = F.floor(F.log2(F.col("c").cast("double")) * 8)
+        least, total = None, 0
+        for r in sorted(top.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["step"]):
+            total += r["n"]
+            if total > most:
+                break
+            least = r["step"]
+        if least is None:
+            return np.zeros(0, np.uint64), np.zeros(0)
+        rows = top.where(step >= least).select("gram", (-F.log2("p")).alias("bits")).toPandas()
+        code = np.array(rows["gram"].to_list(), f"<U{self.order}").view(np.uint32).reshape(-1, self.order).astype(np.uint64)
+        hashed = _hash([code[:, j] for j in range(self.order)])
+        order = hashed.argsort()
+        return hashed[order], rows["bits"].to_numpy()[order]
+
+
+def train(trusted: DataFrame, text_col: str = "text", *, order: int = 5) -> KneserNey:
+    """The model of all texts of ``trusted``."""
+    counts, seen, contexts, discounted = cut(count_grams(trusted, text_col, order)), [], [], []
+    for k in range(order, 0, -1):
         d1, d2, d3 = _discounts(counts)
         discount = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        grams_ = counts.select("code", "c", F.shiftright("code", BITS).alias("context"), discount.alias("d"))
-        contexts = grams_.groupBy("context").agg(F.sum("c").alias("total"), F.sum("d").alias("freed"))
-        joined = grams_.join(contexts, "context")
-        seen = joined.select(F.lit(order).alias("order"), "code", ((F.col("c") - F.col("d")) / F.col("total")).alias("p"), (F.col("freed") / F.col("total")).alias("gamma"))
-        tables.append(seen)
-        # In how many contexts each shorter n-gram appears.
-        counts = counts.groupBy(F.col("code").bitwiseAND((1 << (BITS * (order - 1))) - 1).alias("code")).agg(F.count("*").alias("c"))
-    # At most 64 ** 4 + 64 ** 3 + ... rows.
-    found = tables[0]
-    for t in tables[1:]:
-        found = found.union(t)
-    rows = found.select("order", "code", F.col("p").cast("float"), F.col("gamma").cast("float")).toPandas()
-    size = 1 << BITS
-    p = np.full(size, 1 / size, np.float32)
-    for order in range(1, ORDER + 1):
-        part = rows[rows["order"] == order]
-        code, gamma = part["code"].to_numpy(), np.ones(size ** (order - 1), np.float32)
-        gamma[code >> BITS] = part["gamma"]
-        lower = p if order == 1 else np.tile(p, size)  # by the code without its first symbol
-        p = np.repeat(gamma, size) * lower
-        p[code] += part["p"].to_numpy()
-    return np.minimum(255, np.rint(-np.log2(np.maximum(p, 1e-30)) / STEP)).astype(np.uint8)
-
-
-def perplexity(docs: DataFrame, model: np.ndarray, text_col: str = "text") -> Column:
+        grams = counts.select("gram", "c", _context(F.col("gram"), k).alias("context"), discount.alias("d"))
+        totals = cut(grams.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma")))
+        contexts.append(totals.select("context", "gamma"))
+        discounted.append(grams.join(totals, "context").select("gram", "c", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "gamma"))
+        if k > 1:
+            # In how many contexts each shorter n-gram appears.
+            counts = cut(counts.groupBy(_suffix(F.col("gram"), k).alias("gram")).agg(F.count("*").alias("c")))
+    unknown = 1.0 / (counts.count() + 1)
+    for k, own in enumerate(reversed(discounted), 1):
+        if k == 1:
+            p = own.select("gram", "c", (F.col("own") + F.col("gamma") * unknown).alias("p"))
+        else:
+            lower = seen[-1].select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
+            p = own.withColumn("suffix", _suffix(F.col("gram"), k)).join(lower, "suffix").select("gram", "c", (F.col("own") + F.col("gamma") * F.col("lower")).alias("p"))
+        seen.append(cut(p))
+    return KneserNey(order, seen, contexts[::-1], unknown)
+
+
+def perplexities(docs: DataFrame, model: KneserNey, text_col: str, keep: list[str], *, head_grams: int = 1 << 19) -> DataFrame:
+    """``keep`` (columns of ``docs``) and perplexity: a row for each row."""
     text_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def of(texts: pd.Series) -> pd.Series:
-        table = shared.value
-        return pd.Series([2.0 ** (STEP * float(table[grams(t)].mean())) if t else None for t in texts], dtype="float64")
-
-    return of.asNondeterministic()(F.col(text_col))
+    shared = docs.sparkSession.sparkContext.broadcast(model.head(head_grams))
+    order = model.order
+    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"), F.struct(*keep).alias("kept"))
+    kept_type = given.schema["kept"].dataType.simpleString()
 
-
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, low: float = 0.002, high: float = 0.995, prior: int = 100) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, lengths = shared.value
+        for batch in batches:
+            row, kept = batch.column(0), batch.column(2)
+            number = row.to_numpy(zero_copy_only=False)
+            texts = batch.column(1).to_pylist()
+            bits = np.zeros(len(texts))
+            none = lambda n, t: pa.nulls(n, t)
+            for some in _segments(texts, order):
+                grams = Grams(some, order)
+                place = np.minimum(np.searchsorted(hashes, grams.hash), max(0, len(hashes) - 1))
+                hit = hashes[place] == grams.hash if len(hashes) else np.zeros(len(grams.hash), bool)
+                if hit.any():
+                    bits += np.bincount(grams.owner, np.where(hit, lengths[place], 0.0)[grams.which], len(texts))
+                rest = ~hit[grams.which]
+                if rest.any():
+                    # (n-gram, document) pairs that the head doesn't know, by n-gram.
+                    pair, c = np.unique(grams.which[rest] * len(texts) + grams.owner[rest], return_counts=True)
+                    gram, of = np.divmod(pair, len(texts))
+                    distinct, begin = np.unique(gram, return_index=True)
+                    offsets = pa.array(np.append(begin, len(pair)), pa.int32())
+                    m = len(distinct)
+                    yield pa.RecordBatch.from_arrays(
+                        [none(m, pa.int64()), none(m, kept.type), none(m, pa.int64()), none(m, pa.float64()), pa.array(grams.names(distinct), pa.string()), pa.ListArray.from_arrays(offsets, pa.array(number[of], pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(c, pa.int32()))], names,
+                    )
+            n, size = len(texts), pa.array([len(t or "") for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([row, kept, size, pa.array(bits), none(n, pa.string()), none(n, pa.list_(pa.int64())), none(n, pa.list_(pa.int32()))], names)
+
+    names = ["row", "kept", "n", "bits", "gram", "rows", "counts"]
+    out = cut(given.select("row", "text", "kept").mapInArrow(run, f"row long, kept {kept_type}, n long, bits double, gram string, rows array<long>, counts array<int>"))
+    tail = out.where("gram is not null")
+    found = model.resolve(tail.select("gram").distinct(), order)
+    pairs = tail.join(found.hint("merge"), "gram").select((-F.log2("p")).alias("each"), F.explode(F.arrays_zip("rows", "counts")).alias("x"))
+    sums = pairs.groupBy(F.col("x.rows").alias("row")).agg(F.sum(F.col("each") * F.col("x.counts")).alias("more"))
+    whole = out.where("gram is null").join(sums.hint("merge"), "row", "left")
+    perplexity = F.when(F.col("n") > 0, F.pow(F.lit(2.0), (F.col("bits") + F.coalesce("more", F.lit(0.0))) / F.col("n")))
+    return whole.select("kept.*", perplexity.alias("perplexity"))
+
+
+def classify(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, order: int = 5, head_grams: int = 1 << 19, low: float = 0.002, high: float = 0.99, prior: int = 100,
+) -> DataFrame:
     """doc_id, lang, perplexity, kept. Trusted are documents labelled of good quality and not toxic."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col(id_col).alias("id")).distinct()
-    # The model is trained on four fifths of the trusted documents; the quantiles come from the last fifth.
+    # The model is trained on four fifths of the trusted documents; the last fifth is held out.
     held = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
+    given = docs.select(F.col(id_col).alias("id"), F.coalesce(lang_col, F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     # Ids grow with the corpus, so they are never broadcast: texts are shuffled once at every size.
-    model = train(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(good.where(~held).hint("merge"), "id", "left_semi"), "text")
-    scored = cut(docs.select(F.col(id_col).alias("id"), F.coalesce(lang_col, F.lit("und")).alias("lang"), perplexity(docs, model, text_col).alias("perplexity")))
-    trusted = scored.join(good.where(held), "id", "left_semi").where("perplexity is not null")
-    ends = F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 10_000)
-    overall = trusted.agg(ends.alias("q")).first()["q"] or [1.0, 0.0]
-    drawn = lambda q, n: [float(np.exp((n * np.log(x) + prior * np.log(y)) / (n + prior))) for x, y in zip(q, overall, strict=True)]
-    by_lang = {r["lang"]: drawn(r["q"], r["n"]) for r in trusted.groupBy("lang").agg(ends.alias("q"), F.count("*").alias("n")).collect()}
+    model = train(given.select("id", "text").join(good.where(~held).hint("merge"), "id", "left_semi"), "text", order=order)
+    scored = cut(perplexities(given, model, "text", ["id", "lang"], head_grams=head_grams))
+    trusted = scored.join(good.withColumn("held", held).hint("merge"), "id").where("perplexity is not null")
+    ends = F.array(F.percentile_approx("perplexity", low, 10_000), F.percentile_approx(F.when(F.col("held"), F.col("perplexity")), high, 10_000))
+    overall = trusted.agg(ends.alias("q")).first()["q"]
+    overall = [1.0, 0.0] if None in overall else overall
+    drawn = lambda q, ns: [y if x is None else float(np.exp((n * np.log(x) + prior * np.log(y)) / (n + prior))) for x, y, n in zip(q, overall, ns, strict=True)]
+    sizes = F.array(F.count("*"), F.count_if("held")).alias("n")
+    by_lang = {r["lang"]: drawn(r["q"], r["n"]) for r in trusted.groupBy("lang").agg(ends.alias("q"), sizes).collect()}
     bound = lambda k: F.coalesce(*([F.create_map(*[F.lit(x) for lang, q in by_lang.items() for x in (lang, q[k])])[F.col("lang")]] if by_lang else []), F.lit(float(overall[k])))
     kept = F.coalesce(F.col("perplexity").between(bound(0), bound(1)), F.lit(False))
     return scored.select(F.col("id").alias("doc_id"), "lang", "perplexity", kept.alias("kept"))

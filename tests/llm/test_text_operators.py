@@ -429,44 +429,71 @@ def test_toxicity_of_long_texts(spark):
     assert out[out["y"] == 1]["toxic"].mean() > 0.6 and out[out["y"] == 0]["toxic"].mean() < 0.05
 
 
-def kneser_ney(texts):
-    """Code lengths by the definition, with dictionaries."""
+def kneser_ney(texts, order):
+    """p(n-gram's last character | the others) by the definition, with dictionaries."""
     from collections import Counter, defaultdict
 
-    counts = Counter(g for t in texts for g in quality.grams(t).tolist())
-    p = np.full(64, 1 / 64)
-    levels = [counts]
-    for order in range(3, 0, -1):
-        levels.append(Counter(g & ((1 << 6 * order) - 1) for g in levels[-1]))
-    for order, level in enumerate(reversed(levels), 1):
+    grams = lambda t: [(" " * (order - 1) + t)[i : i + order] for i in range(len(t))]
+    levels = [Counter(g for t in texts for g in grams(t))]
+    for _ in range(order - 1):
+        levels.append(Counter(g[1:] for g in levels[-1]))
+    unknown = 1 / (len(levels[-1]) + 1)
+    known = []
+    for level in reversed(levels):
         n = Counter(level.values())
         n1, n2, n3, n4 = (max(1, n[k]) for k in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2)
         d = [min(k - 0.05, max(0.05, x)) for k, x in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3))]
         total, freed = defaultdict(int), defaultdict(float)
         for g, c in level.items():
-            total[g >> 6] += c
-            freed[g >> 6] += d[min(c, 3) - 1]
-        lower, p = p, {}
-        for g, c in level.items():
-            h = g >> 6
-            p[g] = (c - d[min(c, 3) - 1]) / total[h] + freed[h] / total[h] * lower[g & ((1 << 6 * (order - 1)) - 1) if order > 1 else g]
-        full = {g: p[g] for g in p}
-        p = type("P", (dict,), {"__missing__": lambda s, g, h=dict(freed), t=dict(total), low=lower, o=order: (h[g >> 6] / t[g >> 6] if (g >> 6) in t else 1.0) * low[g & ((1 << 6 * (o - 1)) - 1) if o > 1 else g]})(full)
-    return p
-
-
-def test_quality(spark, docs, odd, empty):
-    some = docs.limit(12)
-    model = quality.train(some)
-    p = kneser_ney([r["text"] for r in some.select("text").collect()])
-    codes = np.unique(np.concatenate([quality.grams(r["text"]) for r in docs.limit(40).select("text").collect()]))[:3000]
-    want = np.array([-np.log2(p[int(g)]) for g in codes])
-    assert np.abs(np.minimum(want, 25.5) - model[codes] * quality.STEP).max() < 0.06
+            total[g[:-1]] += c
+            freed[g[:-1]] += d[min(c, 3) - 1]
+        known.append((level, d, total, freed))
+
+    def p(g):
+        if not g:
+            return unknown
+        level, d, total, freed = known[len(g) - 1]
+        h, c = g[:-1], level.get(g, 0)
+        if not total[h]:
+            return p(g[1:])
+        return (max(0.0, c - d[min(c, 3) - 1]) if c else 0.0) / total[h] + freed[h] / total[h] * p(g[1:])
+
+    return lambda t: 2 ** (sum(-np.log2(p(g)) for g in grams(t)) / len(t)) if t else None
+
+
+@pytest.mark.parametrize("order", [1, 3, 5])
+def test_quality(spark, docs, odd, empty, order):
+    """Perplexities by the definition, whatever the head knows: of trained and of foreign texts."""
+    some = docs.where("length(text) < 3000").limit(12)
+    model = quality.train(some, order=order)
+    by_hand = kneser_ney([r["text"] for r in some.select("text").collect()], order)
+    asked = docs.where("length(text) < 3000").limit(30).select("text").union(spark.createDataFrame([("Привет, мир! 你好",), ("aaaa\x00bbbb",), ("",), (None,), ("🙂" * 9,)], "text string"))
+    for head in (0, 100, 1 << 19):
+        for r in quality.perplexities(asked, model, "text", ["text"], head_grams=head).collect():
+            want = by_hand((r["text"] or "").replace("\0", "\ufffd"))
+            assert r["perplexity"] == (want if want is None else pytest.approx(want, rel=1e-9))
+
+
+def test_quality_of_segments(spark, docs, monkeypatch):
+    """Texts that are looked at in several segments have the same n-grams."""
+    text = "some words that go on and on " * 7
+    whole = {int(g.hash.sum(dtype=np.uint64)) for g in [quality.Grams(s, 5) for s in quality._segments([text], 5)]}
+    counts = lambda: sorted((n, int(c)) for s in quality._segments([text, "x", None, text[:9]], 5) for g in [quality.Grams(s, 5)] for n, c in zip(g.names(np.arange(len(g.hash))), g.count, strict=True))
+    from collections import Counter
+
+    together = lambda: {k: sum(c for n, c in counts() if n == k) for k in Counter(n for n, _ in counts())}
+    want = together()
+    monkeypatch.setattr(quality, "_SEGMENT", 10)
+    monkeypatch.setattr(quality, "_GROUP", 25)
+    assert together() == want and len(whole) == 1
+
+
+def test_quality_edges(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1, 0), (3, 1, 0), (5, 1, None), (7, 1, 0)], "doc_id long, quality int, toxic int")
     out = quality.classify(odd, labels).collect()
     assert len(out) == len(ODD) * 2 + 2 and all(not r["kept"] for r in out if r["perplexity"] is None)
-    assert quality.classify(empty, labels).count() == 0
+    assert quality.classify(empty, labels).count() == 0 and not any(r["kept"] for r in quality.classify(odd, labels.limit(0)).collect())
 
 
 def test_quality_tells_labels_apart(spark):
