@@ -92,14 +92,18 @@ def with_next(docs: DataFrame, id_col: str, columns: list[str], *, per_range: in
     cuts = sorted({int(c) for c in docs.approxQuantile(id_col, [k / groups for k in range(1, groups)], 0.1 / groups)} - {low}) if groups > 1 else []
     placed = docs.select(id_col, *columns, _even_range(F.col(id_col), [low, *cuts, high + 1], -(-n // (per_range * groups))).alias("range"))
     window = Window.partitionBy("range").orderBy(id_col, *columns)
-    seen = placed.select(id_col, *columns, "range", F.lag(F.struct(id_col, *columns)).over(window).alias("next"), F.lead(id_col).over(window).isNull().alias("last"))
-    shown = [id_col, *columns, F.col(f"next.{id_col}").alias("next_id"), *[F.col(f"next.{c}").alias(f"next_{c}") for c in columns]]
+    # One column at a time: a struct would be made, and shuffled, before the window.
+    nexts = ["next_id", *[f"next_{c}" for c in columns]]
+    seen = placed.select(id_col, *columns, "range", *[F.lag(c).over(window).alias(n) for c, n in zip([id_col, *columns], nexts, strict=True)], F.lead(id_col).over(window).isNull().alias("last"))
+    # As a key that is never null the range adds no filter below the window, so all three branches share one exchange.
+    at = F.coalesce("range", F.lit(-1))
+    shown = [id_col, *columns, *nexts]
     # One row for each range that isn't empty: the range below it, or the uppermost one.
     ranges = docs.select(_even_range(F.col(id_col), [low, *cuts, high + 1], -(-n // (per_range * groups))).alias("range")).distinct()
     below = cut(ranges.select("range", F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.partitionBy())).alias("below")))
-    firsts = seen.where("next is null").select(id_col, *columns, "range").join(below.hint("merge"), "range")
-    lasts = seen.where("last").select(F.col("range").alias("below"), F.struct(id_col, *columns).alias("next"))
-    return seen.where("next is not null").select(*shown).union(firsts.join(lasts.hint("merge"), "below").select(*shown))
+    firsts = seen.where("next_id is null").select(id_col, *columns, at.alias("range")).join(below.hint("merge"), "range")
+    lasts = seen.where("last").select(at.alias("below"), *[F.col(c).alias(n) for c, n in zip([id_col, *columns], nexts, strict=True)])
+    return seen.where("next_id is not null").select(*shown).union(firsts.join(lasts.hint("merge"), "below").select(*shown))
 
 
 def _even_range(x: Column, edges: list[int], parts: int) -> Column:
