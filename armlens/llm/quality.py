@@ -146,11 +146,18 @@ class KneserNey:
             least = r["step"]
         if least is None:
             return np.zeros(0, np.uint64), np.zeros(0)
-        rows = top.where(step >= least).select("gram", (-F.log2("p")).alias("bits")).toPandas()
-        code = np.array(rows["gram"].to_list(), f"<U{self.order}").view(np.uint32).reshape(-1, self.order).astype(np.uint64)
-        hashed = _hash([code[:, j] for j in range(self.order)])
-        order = hashed.argsort()
-        return hashed[order], rows["bits"].to_numpy()[order]
+        order = self.order
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                code = np.array(batch.column(0).to_pylist(), f"<U{order}").view(np.uint32).reshape(-1, order).astype(np.uint64)
+                both = [_hash([code[:, j] for j in range(order)]).tobytes(), batch.column(1).to_numpy(zero_copy_only=False).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in both], ["hash", "bits"])
+
+        rows = top.where(step >= least).select("gram", (-F.log2("p")).alias("bits")).mapInArrow(run, "hash binary, bits binary").collect()
+        hashed, bits = (np.frombuffer(b"".join(r[k] for r in rows), t) for k, t in (("hash", np.uint64), ("bits", np.float64)))
+        at = hashed.argsort()
+        return hashed[at], bits[at]
 
 
 def train(trusted: DataFrame, text_col: str = "text", *, order: int = 5) -> KneserNey:
@@ -160,7 +167,7 @@ def train(trusted: DataFrame, text_col: str = "text", *, order: int = 5) -> Knes
         d1, d2, d3 = _discounts(counts)
         discount = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         grams = counts.select("gram", "c", _context(F.col("gram"), k).alias("context"), discount.alias("d"))
-        totals = cut(grams.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma")))
+        totals = grams.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma"))
         contexts.append(totals.select("context", "gamma"))
         discounted.append(grams.join(totals, "context").select("gram", "c", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "gamma"))
         if k > 1:
