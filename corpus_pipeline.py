@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet to the shared folder and
 read again as the next stage's docs. All stages but the last return the columns of ``documents``.
 
-Where a document's id is null it is kept by the filtering stages and forms a group of its own in deduplication.
+Where a document's id is null it is kept by the filtering stages and forms a group of its own in deduplication. An empty
+table gives an empty one at every stage. Columns may have any names: a stage's own are never beside them.
 """
 
 from __future__ import annotations
@@ -23,14 +24,15 @@ MIN_LANGUAGE_SCORE = 0.5
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or of no language with a probability of MIN_LANGUAGE_SCORE, go."""
     model = language_id.fit(docs)
-    found = docs.withColumn("_lang", language_id.predict(docs, model))
-    return found.where((F.col("_lang.lang") != language_id.UNDETERMINED) & (F.col("_lang.score") >= MIN_LANGUAGE_SCORE)).drop("_lang")
+    found = docs.select(F.struct(*docs.columns).alias("doc"), language_id.predict(docs, model).alias("found"))
+    return found.where((F.col("found.lang") != language_id.UNDETERMINED) & (F.col("found.score") >= MIN_LANGUAGE_SCORE)).select("doc.*")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic documents go."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.withColumn("_toxic", toxicity.score(docs, model)).where(~F.col("_toxic.toxic")).drop("_toxic")
+    found = docs.select(F.struct(*docs.columns).alias("doc"), toxicity.score(docs, model).alias("found"))
+    return found.where(~F.col("found.toxic")).select("doc.*")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
