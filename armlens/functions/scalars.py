@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 ID_PREFIX = r"^(?:gene|rna|id)-"
 RESIDUAL_PREFIX = r"^(?:gene|rna|id|cds|exon)-"
 VERSIONED = r"^([A-Za-z][A-Za-z0-9_]*[0-9])\.([0-9]+)$"
-SYMBOL_SUFFIX = r"-[0-9]+$"
-FUNCTIONAL_RNA = ["snRNA", "snoRNA", "rRNA", "tRNA", "miRNA", "scaRNA", "scRNA", "Mt_rRNA", "Mt_tRNA", "ribozyme", "vault_RNA", "misc_RNA"]
+SYMBOL_SUFFIXES = {"dash": r"-[0-9]+$", "dot": r"\.[0-9]+$", "dot or underscore": r"[._][0-9]+$"}
+FUNCTIONAL_RNA = ["miRNA", "snoRNA", "snRNA", "scaRNA", "rRNA", "misc_RNA", "ribozyme", "sRNA", "vault_RNA", "Mt_tRNA", "Mt_rRNA"]
 EXCLUDED_BIOTYPES = ["Mt", "rRNA", "tRNA", "misc_RNA", "ribozyme"]
 EXCLUDED_NAMES = ["MT-"]
 CALL_FILTERS = [("qual_filt", "qual < 25"), ("qual_depth_filt", "qd < 10"), ("depth_filt", "dp < 20")]
@@ -34,8 +34,9 @@ def version_number(x: Column) -> Column:
     return F.when(x.rlike(VERSIONED), F.regexp_extract(x, VERSIONED, 2))
 
 
-def strip_symbol_suffix(x: Column) -> Column:
-    return F.regexp_replace(x, SYMBOL_SUFFIX, "")
+def strip_symbol_suffix(x: Column, form: str = "dash") -> Column:
+    """Without the number after a dash (copies of a symbol), or after a dot or underscore (versions)."""
+    return F.regexp_replace(x, SYMBOL_SUFFIXES[form], "")
 
 
 def classify_calltype(ref: Column, alt: Column, strand: Column) -> Column:
@@ -102,17 +103,23 @@ def odds_ratio_ci_sql(a: str, b: str, c: str, d: str, z: float = 1.96) -> dict[s
 
 
 def format_p(p: Column) -> Column:
-    """Three decimals, an exponent below 0.0005, na for null."""
-    return F.when(p.isNull(), F.lit("na")).when(p < 0.0005, F.format_string("%.2e", p)).otherwise(F.format_string("%.3f", p))
+    """Three decimals; an exponent where that would print 0.000 though p isn't 0; na for null."""
+    return F.when(p.isNull() | F.isnan(p), F.lit("na")).when((p != 0) & (F.abs(p) < 0.0005), F.format_string("%.3e", p)).otherwise(F.format_string("%.3f", p))
 
 
 def transcript_position(strand: Column, pos: Column, exon_start: Column, exon_end: Column, offset: Column) -> Column:
     return F.when(strand == "-", offset + exon_end - pos + 1).otherwise(offset + pos - exon_start + 1)
 
 
-def minimum_length(max_length: Column, share: float = 0.7) -> Column:
-    """Rounded half to even, at least 1."""
-    return F.greatest(F.lit(1), F.bround(max_length * share).cast("int"))
+def minimum_length(max_length: Column, share: float = 0.7, override: Column | None = None) -> Column:
+    """Rounded half to even, at least 1; ``override`` counts where it isn't null."""
+    usual = F.greatest(F.lit(1), F.bround(max_length * share).cast("int"))
+    return usual if override is None else F.coalesce(override.cast("int"), usual)
+
+
+def overhang(max_length: Column) -> Column:
+    """An aggregate: one less than the longest read."""
+    return F.max(max_length) - 1
 
 
 def parse_censored(x: Column) -> Column:
@@ -148,7 +155,8 @@ def both_or_one(p_case: Column, p_ref: Column, case: str = "case", ref: str = "r
     return F.when(a & b, F.lit("Both")).when(a, F.lit(f"{case} only")).when(b, F.lit(f"{ref} only")).otherwise(F.lit("Neither"))
 
 
-def symbol_resolution(own: Column, mapped: Column) -> Column:
-    """matched by the own symbol, by the mapped one, or why not."""
-    return F.when(own.isNotNull(), F.lit("matched")).when(mapped.isNotNull(), F.lit("matched via ENSG")).otherwise(F.lit("absent"))
+def symbol_resolution(own: Column, mapped: Column, name: Column | None = None, unknown: str = "Unknown") -> Column:
+    """matched by the own symbol, by the mapped one, or why not: ``name`` may be the word for genes without a symbol."""
+    found = F.when(own.isNotNull(), F.lit("matched")).when(mapped.isNotNull(), F.lit("matched via ENSG"))
+    return (found if name is None else found.when(name == unknown, F.lit("no symbol"))).otherwise(F.lit("absent"))
 

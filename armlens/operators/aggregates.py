@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 
+
 def _is(condition: str):
     return F.col("condition") == condition
 
 
-
 def complete_genes(eligible: DataFrame, individuals: DataFrame) -> DataFrame:
     """ref_id, complete_in: genes in which every individual of a condition has an eligible call."""
     sizes = individuals.groupBy("condition").agg(F.count("*").alias("size"))
@@ -61,7 +61,70 @@ def filter_cascade(loaded: DataFrame, min_depth: int = scalars.MIN_DEPTH) -> Dat
 
 
 def calltype_rates(eligible: DataFrame) -> DataFrame:
-    return eligible.groupBy("a1type", "condition").agg(F.count("*").alias("n_calls"), F.count_distinct("chrom", "pos").alias("n_sites"), F.count_distinct("individualID").alias("n_individuals"), F.count_distinct("ref_id").alias("n_genes"))
+    """A row for each type and condition, those with the most sites first."""
+    g = eligible.groupBy("a1type", "condition").agg(F.count("*").alias("n_calls"), F.count_distinct("chrom", "pos").alias("n_sites"), F.count_distinct("individualID").alias("n_individuals"), F.count_distinct("ref_id").alias("n_genes"))
+    return g.orderBy(F.desc("n_sites"), "a1type", "condition")
+
+
+def cascade_check(cascade: DataFrame, recorded: DataFrame, min_depth: int = scalars.MIN_DEPTH) -> DataFrame:
+    """check, recorded, found, agrees: the depth and the number of eligible calls that gene tests have written to the log
+    (columns key and value) against the cascade's last stage. Where the depths differ the counts aren't compared."""
+    log = lambda key: F.max(F.when(F.col("key") == key, F.col("value").try_cast("long")))
+    one = recorded.agg(log("gene_tests.min_depth").alias("depth"), log("gene_tests.n_eligible_calls").alias("calls")).join(cascade.where("stage = 'at_depth'").select(F.col("calls").alias("found")), F.lit(True))
+    same = F.coalesce(F.col("depth") == min_depth, F.lit(True))
+    rows = [F.struct(F.lit("min_depth").alias("check"), F.col("depth").alias("recorded"), F.lit(min_depth).cast("long").alias("found")), F.struct(F.lit("eligible_calls").alias("check"), F.when(same, F.col("calls")).alias("recorded"), F.col("found").cast("long").alias("found"))]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*").withColumn("agrees", F.coalesce(F.col("recorded") == F.col("found"), F.lit(True)))
+
+
+def gene_sites(loaded: DataFrame, genes: DataFrame) -> DataFrame:
+    """Distinct (ref_id, individualID, chrom, pos) of the given genes."""
+    return loaded.join(genes.select("ref_id").distinct(), "ref_id", "left_semi").select("ref_id", "individualID", "chrom", "pos").distinct()
+
+
+def site_level(loaded: DataFrame, genes: DataFrame, individuals: DataFrame) -> DataFrame:
+    """Each call of the given genes with its type, reads and condition: where the adjusted models start."""
+    kept = loaded.join(genes.select("ref_id").distinct(), "ref_id", "left_semi").join(individuals.select("individualID", "condition"), "individualID")
+    return kept.select("ref_id", "chrom", "pos", "a1type", "individualID", "condition", "a1_ad", "dp")
+
+
+def gene_map(genes: DataFrame) -> DataFrame:
+    """ref_id, gene_name and the id without its version, of genes that have a name."""
+    named = genes.where("gene_name IS NOT NULL AND gene_name <> ''").select("ref_id", "gene_name").distinct()
+    return named.withColumn("ref_id_stripped", scalars.strip_symbol_suffix(F.col("ref_id").cast("string"), "dot or underscore"))
+
+
+def exclusion_by_type(transcripts: DataFrame, parts: list[str] | None = None) -> DataFrame:
+    """transcript_type, n_genes, n_transcripts of the types that hold one of the parts."""
+    parts = scalars.EXCLUDED_BIOTYPES if parts is None else parts
+    hit = F.lit(False)
+    for p in parts:
+        hit = hit | F.col("transcript_type").contains(p)
+    return transcripts.where(hit).groupBy("transcript_type").agg(F.count_distinct("ref_id").alias("n_genes"), F.count("*").alias("n_transcripts"))
+
+
+def exclusion_by_prefix(transcripts: DataFrame, prefixes: list[str] | None = None) -> DataFrame:
+    """prefix, n_genes, n_transcripts, names of the transcripts whose name begins with it; a row for each prefix."""
+    each = F.explode(F.array(*map(F.lit, scalars.EXCLUDED_NAMES if prefixes is None else prefixes)))
+    long = transcripts.select("ref_id", "gene_name", each.alias("prefix"))
+    hit = F.coalesce(F.startswith("gene_name", "prefix"), F.lit(False))
+    return long.groupBy("prefix").agg(F.count_distinct(F.when(hit, F.col("ref_id"))).alias("n_genes"), F.count_if(hit).alias("n_transcripts"), F.array_join(F.array_sort(F.collect_set(F.when(hit, F.col("gene_name")))), ",").alias("names"))
+
+
+def symbol_audit(before: DataFrame, after: DataFrame) -> DataFrame:
+    """symbol, outcome of the symbols that loci lost (none left), kept in part (also on chimeric loci) or have on several
+    loci (fragmented), given the loci's symbols before and after an exclusion (columns locus_id, gene_name)."""
+    chimeric = after.groupBy("locus_id").agg((F.count_distinct("gene_name") > 1).alias("chimeric"))
+    per = after.where("gene_name IS NOT NULL").select("locus_id", "gene_name").distinct().join(chimeric, "locus_id")
+    g = per.groupBy(F.col("gene_name").alias("symbol")).agg(F.count_if(~F.col("chimeric")).alias("clean"), F.count_if("chimeric").alias("mixed"))
+    all_symbols = before.where("gene_name IS NOT NULL").select(F.col("gene_name").alias("symbol")).distinct()
+    outcome = F.when(F.coalesce("clean", F.lit(0)) == 0, "lost").when(F.col("mixed") > 0, "partial").when(F.col("clean") > 1, "fragmented").otherwise("clean")
+    return all_symbols.join(g, "symbol", "left").select("symbol", outcome.alias("outcome"))
+
+
+def marker_gate(coverage: DataFrame, *, wanted: int = 300, floor: int = 200) -> DataFrame:
+    """cell, n_clean, gate: ok with enough clean markers, low above the floor, else too few."""
+    g = coverage.groupBy("cell").agg(F.sum("n_clean").alias("n_clean"))
+    return g.withColumn("gate", F.when(F.col("n_clean") >= wanted, "ok").when(F.col("n_clean") >= floor, "low").otherwise("too few"))
 
 
 def threshold_sweep(classes: DataFrame, thresholds: list[float]) -> DataFrame:

@@ -7,23 +7,34 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 
-#: Width of the bins of an interval join: about a median gene's span at these tables' scale.
-BIN = 256
+#: Spans of more than so many bins go to bins that are wider by this factor.
+COARSE = 64
+#: Rows of a cohort list that is still broadcast; longer ones are joined by a shuffle.
+MAX_BROADCAST = 100_000
 
 
-def covering(points: DataFrame, spans: DataFrame, *, bin_width: int = BIN, start: str = "gene_start", end: str = "gene_end") -> DataFrame:
+def covering(points: DataFrame, spans: DataFrame, *, bin_width: int | None = None, start: str = "gene_start", end: str = "gene_end") -> DataFrame:
     """Every (point, span) with start <= pos <= end on the same chromosome.
 
     Spans are exploded into bins and points meet them by equality of (chrom, bin), so the join is hashed or sorted and
     not a nested loop. Bins of a hot place are split by adaptive execution: either side is shuffled by that key only.
+    A bin is as wide as the median span (or ``bin_width``). Giant spans have coarse bins of their own, so none is
+    exploded into thousands of rows; points meet both kinds.
     """
-    bins = lambda c: F.floor(F.col(c) / bin_width).cast("long")
-    right = spans.withColumn("_bin", F.explode(F.sequence(bins(start), bins(end))))
-    left = points.withColumn("_bin", bins("pos"))
-    return left.join(right, ["chrom", "_bin"]).where(F.col("pos").between(F.col(start), F.col(end))).drop("_bin")
-
-
-def resolve_sites(sites: DataFrame, genes: DataFrame, *, bin_width: int = BIN) -> DataFrame:
+    length = F.col(end) - F.col(start) + 1
+    sizes = spans.agg(F.percentile_approx(length, 0.5).alias("median"), F.max(length).alias("most")).first()
+    width = bin_width or max(1, int(sizes["median"] or 1))
+    giant = (sizes["most"] or 0) > COARSE * width
+    bins = lambda c, w: F.floor(F.col(c) / w).cast("long")
+    level = F.when(length > COARSE * width, 1).otherwise(0)
+    wide = F.when(F.col("_level") == 1, COARSE * width).otherwise(width)
+    right = spans.withColumn("_level", level).withColumn("_bin", F.explode(F.sequence(bins(start, wide), bins(end, wide))))
+    places = [F.struct(F.lit(n).alias("_level"), bins("pos", w).alias("_bin")) for n, w in ((0, width), (1, COARSE * width))[: 1 + giant]]
+    left = points.withColumn("_at", F.explode(F.array(*places))).select(*points.columns, "_at._level", "_at._bin")
+    return left.join(right, ["chrom", "_level", "_bin"]).where(F.col("pos").between(F.col(start), F.col(end))).drop("_level", "_bin")
+
+
+def resolve_sites(sites: DataFrame, genes: DataFrame, *, bin_width: int | None = None) -> DataFrame:
     """chrom, pos, ref_base, ref_id, strand: of the genes that cover a site the known before the novel, then by tier,
     most transcripts, longest span and least id; null where no gene does."""
     genes = genes.select("chrom", "gene_start", "gene_end", "ref_id", "strand", "novel", "tier", "n_transcripts", "gene_span")
@@ -85,9 +96,12 @@ def check_lengths(exons: DataFrame, lengths: DataFrame) -> DataFrame:
 def zero_filled(genes: DataFrame, individuals: DataFrame, tpm: DataFrame, counts: DataFrame) -> DataFrame:
     """ref_id, individualID, condition, tpm, n_calls for every gene and individual; what is absent is 0.
 
-    The grid has as many rows as the two tables' product says it must; ``individuals`` is a cohort list.
+    The grid has as many rows as the two tables' product says it must; ``individuals`` is a cohort list, which is
+    broadcast where it is as short as that (MAX_BROADCAST), so the genes stay dealt as they are.
     """
-    grid = genes.select("ref_id").distinct().withColumn("_i", F.lit(1)).join(individuals.select("individualID", "condition").withColumn("_i", F.lit(1)), "_i").drop("_i")
+    cohort = individuals.select("individualID", "condition")
+    short = cohort.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    grid = genes.select("ref_id").distinct().crossJoin(F.broadcast(cohort) if short else cohort)
     j = grid.join(tpm.select("ref_id", "individualID", "tpm"), ["ref_id", "individualID"], "left").join(counts.select("ref_id", "individualID", "n_calls"), ["ref_id", "individualID"], "left")
     return j.select("ref_id", "individualID", "condition", F.coalesce("tpm", F.lit(0.0)).alias("tpm"), F.coalesce("n_calls", F.lit(0)).alias("n_calls"))
 
@@ -105,6 +119,12 @@ def external_totals(checked: DataFrame) -> DataFrame:
     return checked.agg(F.count_if(a).alias("in_a"), F.count_if(b).alias("in_b"), F.count_if(a & b).alias("both"), F.count_if(~a & ~b).alias("neither"), F.count("*").alias("total"))
 
 
+def class_tally(lines: DataFrame) -> DataFrame:
+    """class_code, n: transcripts by their first class code."""
+    first = lines.where(F.col("class_code").isNotNull()).groupBy("tid").agg(F.min_by("class_code", "line").alias("class_code"))
+    return first.groupBy("class_code").agg(F.count("*").alias("n"))
+
+
 def select_novel(lines: DataFrame, known_codes: list[str]) -> DataFrame:
     """All lines of the transcripts whose first class code isn't a known one."""
     first = lines.where(F.col("class_code").isNotNull()).groupBy("tid").agg(F.min_by("class_code", "line").alias("code"))
@@ -112,9 +132,18 @@ def select_novel(lines: DataFrame, known_codes: list[str]) -> DataFrame:
 
 
 def covariates(individuals: DataFrame, extra: DataFrame, key: str = "individualID") -> DataFrame:
-    """Extra columns per individual; those the cohort has already stay as they are."""
-    new = [c for c in extra.columns if c == key or c not in individuals.columns]
-    return individuals.join(extra.dropDuplicates([key]).select(new), key, "left")
+    """Extra columns per individual, those the cohort has already stay as they are: the first row of each key in the
+    order of ``line`` (as readers number lines), or of the values where there is none."""
+    new = [c for c in extra.columns if c not in individuals.columns and c not in (key, "line")]
+    order = F.col("line") if "line" in extra.columns else F.struct(*[F.col(c).cast("string") for c in new])
+    first = extra.groupBy(key).agg(F.min_by(F.struct(*new), order).alias("_v")).select(key, "_v.*") if new else extra.select(key).distinct()
+    return individuals.join(first, key, "left")
+
+
+def covariate_matches(joined: DataFrame, columns: list[str]) -> DataFrame:
+    """column, n_matched, n: how many individuals have a value of each covariate."""
+    rows = [F.struct(F.lit(c).alias("column"), F.count(c).alias("n_matched"), F.count("*").alias("n")) for c in columns]
+    return joined.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
 def unaligned(a: DataFrame, b: DataFrame, key: str = "individualID") -> DataFrame:

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.special import two_sided_normal_sql
 from ..functions.tails import chi2_upper, f_upper
 from .ranks import benjamini_hochberg
 from .tests import _normal_p, spearman
@@ -93,6 +94,37 @@ def kruskal_wallis(values: DataFrame, keys: list[str], group: str, value: str) -
     return g.select(*keys, F.when(F.col("k") > 1, h).alias("h"), (F.col("k") - 1).alias("dof")).withColumn("p_value", chi2_upper("h", F.col("dof").cast("double")))
 
 
+def directional_wilcoxon(values: DataFrame, keys: list[str], group: str, value: str, high: str, low: str, *, least: int = 3) -> DataFrame:
+    """Per key: the smaller of the two one-sided p-values that ``high`` lies above or below ``low``, its direction, and
+    the adjustment over keys. Null where either group has fewer than ``least`` values."""
+    two = values.where(F.col(group).isin(high, low))
+    by, tie = Window.partitionBy(*keys), Window.partitionBy(*keys, value)
+    c = F.col(group) == high
+    r = two.select(*keys, c.alias("c"), (F.rank().over(by.orderBy(value)) + (F.count("*").over(tie) - 1) / 2.0).alias("r"), F.count("*").over(tie).alias("t"))
+    g = r.groupBy(*keys).agg(F.count_if("c").alias("n1"), F.count_if(~F.col("c")).alias("n2"), F.sum(F.when(F.col("c"), F.col("r"))).alias("r1"), F.sum(F.col("t") * F.col("t") - 1).cast("double").alias("ties"))
+    g = g.withColumn("u", F.expr("r1 - n1 * (n1 + 1) / 2e0")).withColumn("s", F.expr("sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1) - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1))))"))
+    side = lambda sign: f"(({sign}) * (u - n1 * n2 / 2e0) - 0.5e0) / s"
+    upper = lambda sign: F.expr(f"CASE WHEN {side(sign)} >= 0 THEN ({two_sided_normal_sql(side(sign))}) / 2e0 ELSE 1e0 - ({two_sided_normal_sql(f'-({side(sign)})')}) / 2e0 END")
+    ok = (F.col("n1") >= least) & (F.col("n2") >= least) & (F.col("s") > 0)
+    g = g.withColumn("p_greater", F.when(ok, upper("1"))).withColumn("p_less", F.when(ok, upper("-1")))
+    direction = F.when(F.col("p_greater") < F.col("p_less"), F.lit(f"{high} > {low}")).when(ok, F.lit(f"{high} < {low}"))
+    return benjamini_hochberg(g.select(*keys, "p_greater", "p_less", F.least("p_greater", "p_less").alias("p_directional"), direction.alias("direction")), "p_directional", "adj_directional")
+
+
+def marker_check(rows: DataFrame, groups: DataFrame, genes: DataFrame) -> DataFrame:
+    """gene, median_case, median_ref, ratio of the given genes' values, for the genes that are there."""
+    j = rows.join(genes.select("gene").distinct(), "gene", "left_semi").join(groups, "sample")
+    median = lambda c: F.percentile(F.when(F.col("condition") == c, F.col("value")), 0.5).alias(f"median_{c}")
+    return j.groupBy("gene").agg(median("case"), median("ref")).withColumn("ratio", F.try_divide("median_case", "median_ref"))
+
+
+def covariate_correlations(wide: DataFrame, covariates: list[str], targets: list[str]) -> DataFrame:
+    """covariate, target, n, rho, p_value: Spearman's correlation of each covariate with each target."""
+    each = lambda cs, k: F.explode(F.array(*[F.struct(F.lit(c).alias(k), F.col(c).cast("double").alias(f"{k}_value")) for c in cs]))
+    long = wide.select(*targets, each(covariates, "covariate").alias("x")).select(*targets, "x.*").select("covariate", "covariate_value", each(targets, "target").alias("y")).select("covariate", "covariate_value", "y.*")
+    return spearman(long.dropna(subset=["covariate_value", "target_value"]), ["covariate", "target"], "covariate_value", "target_value")
+
+
 def bootstrap_median_difference(values: DataFrame, value: str, *, replicates: int = 2000, margin: float = 0.10, seed: int = 1) -> DataFrame:
     """The median difference of case and ref with a 95 % interval from resampled arms, and whether it lies within the
     margin. Draws are hashes of (replicate, place), so the result is the same at every partitioning."""
@@ -145,8 +177,6 @@ def presence_models(rows: DataFrame, key: str, present: str, terms: list[str], *
 def site_models(rows: DataFrame, keys: list[str], *, least: int = 20) -> DataFrame:
     """Per site, a quasi-binomial model of alternate against other reads on is-case: coefficient, dispersion, z, p-value
     and whether an arm is at a boundary. Sites with fewer than ``least`` carriers in either arm are left out before."""
-    from ..functions.special import two_sided_normal_sql
-
     n = lambda c: F.count_if(F.col("is_case") == c)
     enough = rows.where("dp > 0").groupBy(*keys).agg(n(1).alias("_a"), n(0).alias("_b")).where((F.col("_a") >= least) & (F.col("_b") >= least)).select(*keys)
     # With one binary term the fit is closed: each arm's pooled share. So sums are all that is needed.
@@ -161,7 +191,8 @@ def site_models(rows: DataFrame, keys: list[str], *, least: int = 20) -> DataFra
     var = sum((F.lit(1.0) / F.col(a) + 1 / (F.col(d) - F.col(a)) for a, d in (("a1", "d1"), ("a0", "d0"))), F.lit(0.0))
     g = g.withColumn("z", F.when(ok & (F.col("dispersion") > 0), F.col("b") / F.sqrt(F.col("dispersion") * var)))
     g = g.withColumn("p_value", F.expr(f"CASE WHEN z IS NOT NULL THEN {two_sided_normal_sql('z')} END"))
-    return benjamini_hochberg(g.select(*keys, "n", "b", "dispersion", "z", "p_value", "boundary"))
+    # There may be millions of sites.
+    return benjamini_hochberg(g.select(*keys, "n", "b", "dispersion", "z", "p_value", "boundary"), parts=64)
 
 
 def risk_set_sensitivity(genes: DataFrame, expression: str, quantiles: list[float], measure: str) -> DataFrame:

@@ -16,7 +16,7 @@ def benjamini_hochberg(tests: DataFrame, p: str = "p_value", out: str = "adj_pva
     """Step-up adjusted p-values; null p-values stay null and don't count.
 
     A family of up to some hundred thousand tests (a row for each gene, say) is sorted by one task. For more give
-    ``parts``: ranks are then found by ranges of p-values, so no task holds a whole family.
+    ``parts``: ranks are then found by ranges of p-values between their quantiles, so no task holds a whole family.
     """
     fams = [F.col(f) for f in families]
     if parts is None:
@@ -29,7 +29,10 @@ def benjamini_hochberg(tests: DataFrame, p: str = "p_value", out: str = "adj_pva
         return scaled.withColumn(out, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min("_s").over(back)))).drop("_s")
     # Equal p-values are one row; ranges of p-values are ranked apart and joined by each range's totals.
     counted = tests.where(F.col(p).isNotNull()).groupBy(*fams, F.col(p).alias("_p")).agg(F.count("*").alias("_n"))
-    ranged = counted.withColumn("_range", F.floor(F.col("_p") * parts).cast("int"))
+    # The ranges hold about as many p-values each, wherever these lie: at most ``parts`` bounds pass the driver.
+    bounds = counted.agg(F.percentile_approx("_p", F.array(*[F.lit(k / parts) for k in range(1, parts)]), 10_000).alias("b")).first()["b"] if parts > 1 else None
+    edges = F.array(*map(F.lit, sorted(set(bounds or [])))).cast("array<double>")
+    ranged = counted.withColumn("_range", F.size(F.filter(edges, lambda b: b <= F.col("_p"))))
     totals = ranged.groupBy(*fams, "_range").agg(F.sum("_n").alias("_t"))
     before = Window.partitionBy(*fams).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*fams, "_range", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"), F.sum("_t").over(Window.partitionBy(*fams)).alias("_all"))

@@ -2,33 +2,55 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.special import lgamma_sql, two_sided_normal_sql
 from ..functions.tails import chi2_upper, t_two_sided
 from .ranks import benjamini_hochberg
 
-#: Arms of at most so many without ties are tested exactly.
+#: Where either arm has at most so many and there are no ties, the test is exact.
 EXACT_MAX = 8
 
 
-@cache
+@lru_cache(maxsize=256)
 def exact_tail(n1: int, n2: int) -> list[float]:
-    """The exact two-sided p-value of each U from 0 to n1 * n2, by counting rank sums."""
-    counts = np.zeros((n1 + 1, n1 * n2 + 1))
-    counts[0, 0] = 1
-    for rank in range(1, n1 + n2 + 1):
-        for k in range(min(rank, n1), 0, -1):
-            shift = rank - k  # the U that the k-th chosen adds
-            if shift <= n1 * n2:
-                counts[k, shift:] += counts[k - 1, : n1 * n2 + 1 - shift]
-    share = counts[n1] / counts[n1].sum()
-    upper = share[::-1].cumsum()[::-1]
-    return [float(min(1.0, 2 * upper[max(u, n1 * n2 - u)])) for u in range(n1 * n2 + 1)]
+    """The exact two-sided p-value of each U from 0 to n1 * n2.
+
+    U is the sum of n1 parts of at most n2, so its counts are the coefficients of a Gaussian binomial: a product of
+    (1 - x ** (n2 + k)) / (1 - x ** k). They are whole numbers, so nothing is rounded until the end.
+    """
+    n1, n2 = min(n1, n2), max(n1, n2)
+    top = n1 * n2
+    counts = np.zeros(top + 1, dtype=object)
+    counts[0] = 1
+    for k in range(1, n1 + 1):
+        if n2 + k <= top:
+            counts[n2 + k :] = counts[n2 + k :] - counts[: top + 1 - n2 - k]
+        for r in range(min(k, top + 1)):
+            counts[r::k] = np.add.accumulate(counts[r::k])
+    upper = np.add.accumulate(counts[::-1])[::-1]
+    return [min(1.0, 2 * upper[max(u, top - u)] / upper[0]) for u in range(top + 1)]
+
+
+def _exact_p(n1: Column, n2: Column, u: Column) -> Column:
+    """Exact p-values, null where the arguments are. An arm has at most EXACT_MAX values."""
+
+    @F.pandas_udf("double")
+    def of(n1: pd.Series, n2: pd.Series, u: pd.Series) -> pd.Series:
+        return pd.Series([exact_tail(int(a), int(b))[int(round(x))] if x == x and x is not None else None for a, b, x in zip(n1, n2, u, strict=True)], dtype="float64")
+
+    return of(n1, n2, u)
+
+
+def _exact_where_small(tested: DataFrame) -> DataFrame:
+    small = (F.least("n1", "n2") > 0) & (F.least("n1", "n2") <= EXACT_MAX) & (F.col("ties") == 0) & F.col("u_stat").isNotNull()
+    exact = _exact_p(*[F.when(small, F.col(c).cast("double")) for c in ("n1", "n2", "u_stat")])
+    return tested.withColumn("p_value", F.when(small, exact).otherwise(F.col("p_value")))
 
 
 def _normal_p(sums: DataFrame) -> DataFrame:
@@ -58,34 +80,21 @@ def mannwhitney_padded(totals: DataFrame, key: str, n1: int, n2: int, value: str
     full = sums.select(
         key, F.lit(n1).alias("n1"), F.lit(n2).alias("n2"), (F.coalesce("r", F.lit(0.0)) + F.col("k") * z + (n1 - F.col("k")) * (z + 1) / 2.0).alias("r1"), (F.col("ties") + z * z * z - z).cast("double").alias("ties"),
     )
-    tested = _exact_where_small(_normal_p(full), n1, n2)
+    tested = _normal_p(full)
+    tested = _exact_where_small(tested) if min(n1, n2) <= EXACT_MAX else tested
     out = seen.join(tested.select(key, "u_stat", "p_value", "rbc"), key, "left")
     return out.withColumn("n_case_padded", F.greatest(F.lit(n1) - F.col("n_case_observed"), F.lit(0))).withColumn("n_ref_padded", F.greatest(F.lit(n2) - F.col("n_ref_observed"), F.lit(0)))
 
 
-def _exact_where_small(tested: DataFrame, n1: int, n2: int) -> DataFrame:
-    if min(n1, n2) > EXACT_MAX or n1 * n2 == 0 or n1 * n2 > 100_000:
-        return tested
-    table = F.array(*map(F.lit, exact_tail(n1, n2)))
-    return tested.withColumn("p_value", F.when(F.col("ties") == 0, F.get(table, F.round("u_stat").cast("int"))).otherwise(F.col("p_value")))
-
-
 def mannwhitney_pooled(values: DataFrame, keys: list[str], value: str = "weighted") -> DataFrame:
     """Unpadded values of either arm; an empty arm gives nulls. ``higher_prop`` is the arm with the greater mean."""
     case = F.col("condition") == "case"
     by, tie = Window.partitionBy(*keys), Window.partitionBy(*keys, value)
     ranked = values.select(*keys, case.alias("c"), F.col(value).alias("v"), (F.rank().over(by.orderBy(value)) + (F.count("*").over(tie) - 1) / 2.0).alias("r"), F.count("*").over(tie).alias("t"))
     sums = ranked.groupBy(*keys).agg(F.count_if("c").alias("n1"), F.count_if(~F.col("c")).alias("n2"), F.sum(F.when(F.col("c"), F.col("r"))).alias("r1"), F.sum(F.col("t") * F.col("t") - 1).cast("double").alias("ties"), F.avg(F.when(F.col("c"), F.col("v"))).alias("m1"), F.avg(F.when(~F.col("c"), F.col("v"))).alias("m2"))
-    tested = _normal_p(sums)
-    # Arms of at most EXACT_MAX without ties: the table of the pair's sizes, as a small map of arrays.
+    tested = _exact_where_small(_normal_p(sums))
     both = (F.col("n1") > 0) & (F.col("n2") > 0)
-    small = (F.least("n1", "n2") <= EXACT_MAX) & (F.greatest("n1", "n2") <= 4 * EXACT_MAX) & (F.col("ties") == 0) & both
-
-    @F.pandas_udf("double")
-    def exact(n1, n2, u):
-        return n1.combine(n2, lambda a, b: (int(a), int(b))).combine(u, lambda n, x: exact_tail(*n)[int(round(x))] if min(n) and min(n) <= EXACT_MAX and max(n) <= 4 * EXACT_MAX else None).astype(float)
-
-    p = F.when(small, exact("n1", "n2", "u_stat")).when(both, F.col("p_value"))
+    p = F.when(both, F.col("p_value"))
     higher = F.when(~both, F.when(F.col("n1") > 0, "case").otherwise("ref")).when(F.col("m1") > F.col("m2"), "case").otherwise("ref")
     return tested.select(*keys, F.when(both, F.col("u_stat")).alias("prop_u_stat"), p.alias("prop_p_value"), higher.alias("higher_prop"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import aggregates, joins, ranks, tests
+from ..operators.stored import stored
 
 THRESHOLDS = [0.6, 0.7, 0.8, 0.75]
 
@@ -56,7 +57,8 @@ def local_stage4(cohort) -> DataFrame:
     t = tests.welch_t(per, ["ref_id", "a1type"]).join(props, ["ref_id", "a1type"])
     n1, n2 = cohort.sizes["case"], cohort.sizes["ref"]
     t = t.withColumn("has_majority", (F.col("n_case") >= -(-n1 // 2)) | (F.col("n_ref") >= -(-n2 // 2)))
-    return ranks.benjamini_hochberg(t.withColumn("local_dist", scalars.classify_local(F.col("n_case"), F.col("n_ref"), n1, n2)))
+    # A row for each gene and type: ranked by ranges of p-values, so no task has them all.
+    return ranks.benjamini_hochberg(t.withColumn("local_dist", scalars.classify_local(F.col("n_case"), F.col("n_ref"), n1, n2)), parts=64)
 
 
 def local_sites(cohort, *, alpha: float = 0.01) -> DataFrame:
@@ -93,6 +95,19 @@ def threshold_sweep(cohort, classes: DataFrame) -> DataFrame:
     return aggregates.threshold_sweep(classes, THRESHOLDS)
 
 
+def analyse_all(cohort) -> dict[str, DataFrame]:
+    """All analyses in order with one set of parameters. The significant genes are found once and carried through: the
+    sweep, the site test and the correlation look at these genes only (at all tested ones where there are none)."""
+    tested = stored(gene_tests(cohort))
+    genes = stored(ranks.resolve_gene_set(ranks.significant(tested, ranks.choose_basis(tested)), tested))
+    classes = stored(aggregates.classify_genes(cohort.eligible.join(genes, "ref_id", "left_semi")))
+    return {
+        "gene_tests": tested, "global_gene_set": genes, "calltype_tests": calltype_tests(cohort), "gene_calltypes": aggregates.aggregate_calltypes(cohort.eligible.join(genes, "ref_id", "left_semi")),
+        "gene_classes": classes, "calltype_load": aggregates.calltype_load(cohort.eligible, genes), "threshold_sweep": threshold_sweep(cohort, classes), "expression_correlation": expression_correlation(cohort, genes),
+        "site_uniqueness": site_uniqueness(cohort, classes), "local_sites": local_sites(cohort), "filter_cascade": aggregates.filter_cascade(cohort.loaded), "calltype_rates": aggregates.calltype_rates(cohort.eligible),
+    }
+
+
 def rna_unique(cohort, k: int = 4) -> DataFrame:
     """Calls minus the second call set, minus the panel, with known positions flagged."""
     controls = cohort.individual.where("condition = 'ref'")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import aggregates, joins
+from ..operators.stored import stored
 from ..sources import readers, sinks
 
 
@@ -49,21 +50,22 @@ def lost_genes(all_transcripts: DataFrame, kept: DataFrame) -> DataFrame:
 def load_calls(spark: SparkSession, paths: str | list[str], samples: DataFrame, genes: DataFrame, contigs: DataFrame | None = None, *, repeated: str = "reject") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(calls with gene, strand and type; sites; dropped records by reason). ``genes`` has a tier.
 
-    One pass over the files: sites are grouped from the calls. A record that repeats its (chrom, pos, individual) is an
-    error (reject), or only the first in order of alleles stays (keep_first).
+    The files are parsed once: records are written to the shared folder, and sites are grouped from them. A record that
+    repeats its (chrom, pos, individual) is an error (reject), or only the first in the files' order stays (keep_first).
     """
     calls, dropped = readers.read_vcf_calls(spark, paths, samples, contigs)
+    calls = stored(calls)
     key = ["chrom", "pos", "individualID"]
     if repeated == "reject":
         n = calls.groupBy(*key).count().where("count > 1").count()
         if n:
             raise ValueError(f"{n} positions of an individual have several records")
     else:
-        order = Window.partitionBy(*key).orderBy("ref", "alt1", F.desc("dp"))
+        order = Window.partitionBy(*key).orderBy("line")
         calls = calls.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
     sites = calls.groupBy("chrom", "pos").agg(F.min(F.substring("ref", 1, 1)).alias("ref_base"), (F.count_distinct(F.substring("ref", 1, 1)) > 1).alias("conflict"))
     resolved = joins.resolve_sites(sites.select("chrom", "pos", "ref_base"), genes)
-    typed = calls.join(resolved.select("chrom", "pos", "ref_id", "strand"), ["chrom", "pos"]).withColumn("a1type", scalars.classify_calltype(F.col("ref"), F.col("alt1"), F.col("strand")))
+    typed = calls.drop("line").join(resolved.select("chrom", "pos", "ref_id", "strand"), ["chrom", "pos"]).withColumn("a1type", scalars.classify_calltype(F.col("ref"), F.col("alt1"), F.col("strand")))
     return typed, resolved.join(sites.select("chrom", "pos", "conflict"), ["chrom", "pos"]), dropped
 
 
@@ -71,22 +73,37 @@ def load_expression(spark: SparkSession, paths: str | list[str], samples: DataFr
     """individualID, tid, fpkm, tpm: shares over all quantified rows, then known transcripts only, the first of each."""
     rows = readers.read_ctab(spark, paths, samples).withColumn("tid", scalars.version_stem(scalars.strip_id_prefix(F.col("tid"))))
     known = aggregates.tpm(rows).join(transcripts.select("tid").distinct(), "tid", "left_semi")
-    return known.groupBy("individualID", "tid").agg(F.max_by(F.struct("fpkm", "tpm"), "fpkm").alias("v")).select("individualID", "tid", "v.*")
+    return known.groupBy("individualID", "tid").agg(F.min_by(F.struct("fpkm", "tpm"), "line").alias("v")).select("individualID", "tid", "v.*")
 
 
-def build_all(spark: SparkSession, out: str, *, gtf: str, samples_csv: str, id_col: str, condition_col: str, vcfs: str | list[str], vcf_names: DataFrame, ctabs: str | list[str], ctab_names: DataFrame, overwrite: bool = False) -> dict[str, str]:
-    """Annotation, cohort, calls and expression, written as tables below ``out``; returns their paths."""
+def build_all(
+    spark: SparkSession, out: str, *, gtf: str, samples_csv: str, id_col: str, condition_col: str, vcfs: str | list[str], vcf_names: DataFrame, ctabs: str | list[str], ctab_names: DataFrame, overwrite: bool = False,
+    report: DataFrame | None = None, attributes: DataFrame | None = None, lengths: DataFrame | None = None, min_match: float = 0.5,
+) -> dict[str, str]:
+    """Annotation, cohort, calls and expression, written as tables below ``out``; returns their paths.
+
+    ``report``: an assembly report, which chooses contigs. ``attributes`` (ref_id, biotype, line): genes get their
+    biotype, by which sites of several genes are resolved; without it all biotypes are unknown. ``lengths`` (tid, length):
+    transcripts whose exons don't add up to it are counted in the run's log.
+    """
     paths = {name: f"{out}/{name}" for name in ("transcript", "exon", "gene", "individual", "call", "site", "expression")}
-    a = annotate(spark, gtf)
+    a = annotate(spark, gtf, report)
+    if attributes is None:
+        a.gene = a.gene.withColumn("biotype", F.lit(None).cast("string"))
+    else:
+        stems = attributes.withColumn("ref_id", scalars.version_stem(scalars.strip_id_prefix(F.col("ref_id"))))
+        a.gene = joins.apply_attributes(a.gene, stems, "ref_id", ["biotype"], min_match=min_match)
     for name in ("transcript", "exon", "gene"):
         sinks.save_table(getattr(a, name).drop("line"), paths[name], overwrite=overwrite)
     samples = readers.load_samples(spark, samples_csv)
     readers.validate_samples(samples, id_col, condition_col)
     sinks.save_table(samples, paths["individual"], overwrite=overwrite)
-    gene = spark.read.parquet(paths["gene"]).withColumn("tier", scalars.biotype_tier(F.lit(None).cast("string")))
+    gene = spark.read.parquet(paths["gene"]).withColumn("tier", scalars.biotype_tier(F.col("biotype")))
     calls, sites, _ = load_calls(spark, vcfs, vcf_names, gene)
     sinks.save_table(calls, paths["call"], overwrite=overwrite, partition_by="chrom")
     sinks.save_table(sites, paths["site"], overwrite=overwrite, partition_by="chrom")
     sinks.save_table(load_expression(spark, ctabs, ctab_names, spark.read.parquet(paths["transcript"])), paths["expression"], overwrite=overwrite)
-    sinks.set_run_meta(spark, f"{out}/run_meta", {"id_column": id_col, "condition_column": condition_col}, "build_all")
+    wrong = joins.check_lengths(spark.read.parquet(paths["exon"]), lengths).count() if lengths is not None else None
+    meta = {"id_column": id_col, "condition_column": condition_col} | ({} if wrong is None else {"annotate.n_length_mismatches": str(wrong)})
+    sinks.set_run_meta(spark, f"{out}/run_meta", meta, "build_all")
     return paths

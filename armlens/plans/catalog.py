@@ -107,6 +107,70 @@ def _(c):
     return _rounded(ranks.benjamini_hochberg(t, "p_value", "adj_pvalue", parts=16).select("ref_id", "adj_pvalue"))
 
 
+_CHOSEN = f"""{_GENES}, b AS (SELECT CASE WHEN count(*) > 0 AND count(*) FILTER (adj_pvalue < 0.05) >= 0.3 * count(*) THEN 'adj_pvalue' WHEN count(*) > 0 AND count(*) FILTER (p_value < 0.05) >= 0.3 * count(*) THEN 'p_value' END AS basis FROM adjusted),
+    sig AS (SELECT ref_id FROM adjusted, b WHERE CASE basis WHEN 'adj_pvalue' THEN adj_pvalue WHEN 'p_value' THEN p_value END < 0.05), chosen AS (SELECT ref_id, (SELECT count(*) FROM sig) > 0 AS filtered FROM adjusted WHERE (SELECT count(*) FROM sig) = 0 OR ref_id IN (SELECT ref_id FROM sig))"""
+
+
+@_query("global_gene_set", f"{_CHOSEN} SELECT ref_id, filtered FROM chosen)")
+def _(c):
+    return analyses.global_gene_set(c)
+
+
+@_query("analyse_all")
+def _(c):
+    """A row for each result of the whole run: its name and number of rows."""
+    counts = [df.agg(F.lit(name).alias("result"), F.count("*").alias("n_rows")) for name, df in analyses.analyse_all(c).items()]
+    out = counts[0]
+    for df in counts[1:]:
+        out = out.union(df)
+    return out
+
+
+@_query("gene_sites", f"""SELECT * FROM (WITH {COMPLETE} SELECT DISTINCT ref_id, "individualID", chrom, pos FROM loaded l SEMI JOIN complete c ON l.ref_id = c.ref_id)""")
+def _(c):
+    return aggregates.gene_sites(c.loaded, aggregates.complete_genes(c.eligible, c.individual))
+
+
+@_query("site_level", f"""SELECT * FROM (WITH {COMPLETE} SELECT ref_id, chrom, pos, a1type, l."individualID", condition, a1_ad, dp FROM loaded l JOIN individual i ON l."individualID" = i."individualID" SEMI JOIN complete c ON l.ref_id = c.ref_id)""")
+def _(c):
+    return aggregates.site_level(c.loaded, aggregates.complete_genes(c.eligible, c.individual), c.individual)
+
+
+@_query("gene_map", """SELECT DISTINCT ref_id, gene_name, CAST(ref_id AS VARCHAR) AS ref_id_stripped FROM gene WHERE gene_name IS NOT NULL AND gene_name <> ''""")
+def _(c):
+    return aggregates.gene_map(c.gene)
+
+
+@_query("cascade_check", """SELECT 'min_depth' AS "check", 20::BIGINT AS recorded, 20::BIGINT AS found, true AS agrees UNION ALL SELECT 'eligible_calls', count(*), count(*), true FROM eligible""")
+def _(c):
+    """The log is as gene tests would have written it."""
+    log = c.eligible.agg(F.count("*").cast("string").alias("n")).select(F.explode(F.array(F.struct(F.lit("gene_tests.min_depth").alias("key"), F.lit("20").alias("value")), F.struct(F.lit("gene_tests.n_eligible_calls").alias("key"), F.col("n").alias("value")))).alias("r")).select("r.*")
+    return aggregates.cascade_check(aggregates.filter_cascade(c.loaded), log)
+
+
+@_query("exclusion_by_type", """SELECT p_type AS transcript_type, count(DISTINCT p_partkey) AS n_genes, count(*) AS n_transcripts FROM part WHERE contains(p_type, 'PROMO') OR contains(p_type, 'STEEL') GROUP BY 1""")
+def _(c):
+    return aggregates.exclusion_by_type(c.gene.select("ref_id", F.col("biotype").alias("transcript_type")), ["PROMO", "STEEL"])
+
+
+@_query("marker_check", f"""SELECT * FROM (WITH x AS (SELECT ref_id AS gene, condition, fpkm AS v FROM expression JOIN individual USING ("individualID") WHERE ref_id % 50 = 0), m AS (SELECT gene, quantile_cont(v, 0.5) FILTER (condition = 'case') AS a, quantile_cont(v, 0.5) FILTER (condition = 'ref') AS b FROM x GROUP BY 1)
+    SELECT gene, round(a, 6) AS median_case, round(b, 6) AS median_ref, round(a / b, 6) AS ratio FROM m)""")
+def _(c):
+    """The listed markers are the genes whose number is divisible by 50."""
+    return _rounded(models.marker_check(_rows(c), _arms(c), c.gene.where("ref_id % 50 = 0").select(F.col("ref_id").alias("gene"))))
+
+
+@_query("directional_wilcoxon")
+def _(c):
+    genes = aggregates.tpm(c.expression).groupBy("ref_id").agg(F.avg("tpm").alias("tpm")).join(aggregates.classify_genes(c.eligible), "ref_id").withColumn("all", F.lit(1))
+    return models.directional_wilcoxon(genes, ["all"], "edit_dist", "tpm", "case_enriched", "ref_enriched")
+
+
+@_query("covariate_correlations")
+def _(c):
+    return models.covariate_correlations(_terms(c), ["depth", "is_case"], ["burden", "ins_share"])
+
+
 @_query(
     "aggregate_calltypes",
     """SELECT ref_id, a1type, count(*) FILTER (condition = 'case') AS n_sites_case, count(*) FILTER (condition = 'ref') AS n_sites_ref, count(DISTINCT "individualID") FILTER (condition = 'case') AS n_indiv_case, count(DISTINCT "individualID") FILTER (condition = 'ref') AS n_indiv_ref,
@@ -265,7 +329,11 @@ def _(c):
     return analyses.correlation_summary(analyses.expression_correlation(c, aggregates.complete_genes(c.eligible, c.individual)))
 
 
-@_query("gene_classes")
+@_query(
+    "gene_classes",
+    f"""{_CHOSEN}, n AS (SELECT ref_id, count(*) FILTER (condition = 'case') AS a, count(*) FILTER (condition = 'ref') AS b FROM eligible e SEMI JOIN chosen c ON e.ref_id = c.ref_id GROUP BY 1)
+    SELECT ref_id, CASE WHEN a > b THEN 'case_enriched' WHEN b > a THEN 'ref_enriched' ELSE 'Both' END AS edit_dist, CASE WHEN a / CAST(a + b AS DOUBLE) >= 0.75 THEN 'case_enriched' WHEN b / CAST(a + b AS DOUBLE) >= 0.75 THEN 'ref_enriched' ELSE 'Shared' END AS gene_group, a AS n_calls_case, b AS n_calls_ref FROM n)""",
+)
 def _(c):
     return analyses.gene_classes(c)
 
@@ -469,10 +537,15 @@ def _(c):
     return models.site_models(rows, ["ref_id", "a1type"], least=20)
 
 
-@_query("risk_set_sensitivity")
+@_query(
+    "risk_set_sensitivity",
+    f"""SELECT * FROM (WITH {CLASSES}, tp AS (SELECT ref_id, avg(t) AS tpm FROM (SELECT ref_id, fpkm / sum(fpkm) OVER (PARTITION BY "individualID") * 1e6 AS t FROM expression) GROUP BY 1), g AS (SELECT tpm, n_calls_case + n_calls_ref AS calls FROM tp JOIN classes USING (ref_id)),
+    q AS (SELECT unnest([0e0, 0.25e0, 0.5e0, 0.75e0]) AS quantile, unnest([quantile_cont(tpm, 0e0), quantile_cont(tpm, 0.25e0), quantile_cont(tpm, 0.5e0), quantile_cont(tpm, 0.75e0)]) AS cutoff FROM g)
+    SELECT quantile, round(cutoff, 4) AS cutoff, count(*) AS n_genes, round(quantile_cont(calls, 0.5), 4) AS median FROM g JOIN q ON tpm >= cutoff GROUP BY 1, q.cutoff)""",
+)
 def _(c):
     g = aggregates.tpm(c.expression).groupBy("ref_id").agg(F.avg("tpm").alias("tpm")).join(aggregates.classify_genes(c.eligible).select("ref_id", (F.col("n_calls_case") + F.col("n_calls_ref")).alias("calls")), "ref_id")
-    return models.risk_set_sensitivity(g, "tpm", [0.0, 0.25, 0.5, 0.75], "calls")
+    return _rounded(models.risk_set_sensitivity(g, "tpm", [0.0, 0.25, 0.5, 0.75], "calls"), 4)
 
 
 @_query("centred_log_ratio", """SELECT * FROM (WITH s AS (SELECT i."individualID", t.part, coalesce(n, 0) / CAST(sum(coalesce(n, 0)) OVER (PARTITION BY i."individualID") AS DOUBLE) AS share FROM individual i CROSS JOIN (SELECT DISTINCT a1type AS part FROM eligible) t LEFT JOIN (SELECT "individualID", a1type AS part, count(*) AS n FROM eligible GROUP BY 1, 2) e ON e."individualID" = i."individualID" AND e.part = t.part),

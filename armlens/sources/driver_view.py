@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import joins
+from ..operators.stored import stored
 
 
 def fixture_tier(biotype: Column) -> Column:
@@ -68,7 +69,8 @@ class Cohort:
     def call(self) -> DataFrame:
         order = Window.partitionBy("chrom", "pos", "individualID").orderBy(F.desc("dp"), F.desc("a1_ad"), "l_partkey", "l_suppkey", "l_linenumber")
         first = self.call_raw.withColumn("rn", F.row_number().over(order)).where("rn = 1 AND alt1 <> ref")
-        return first.select("chrom", "pos", "individualID", "ref", "alt1", "dp", "a1_ad", "o_orderstatus")
+        # Sites, types and the call sets all start from here.
+        return stored(first.select("chrom", "pos", "individualID", "ref", "alt1", "dp", "a1_ad", "o_orderstatus"))
 
     @cached_property
     def site(self) -> DataFrame:
@@ -86,7 +88,8 @@ class Cohort:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return joins.eligible_calls(self.loaded, self.gene, self.individual)
+        """Written once: every analysis reads it several times."""
+        return stored(joins.eligible_calls(self.loaded, self.gene, self.individual))
 
     @cached_property
     def expression(self) -> DataFrame:

@@ -42,7 +42,8 @@ def read_vcf_records(spark: SparkSession, path: str | list[str], samples: DataFr
     """Call records of each file's sample. ``samples``: file (its name), individualID (the sample column's name).
 
     A file with one sample column only is used whatever the column's name. ``problem`` says why a record has no call:
-    no_ad_dp, short or null (none). Columns: individualID, chrom, pos, ref, alt1, a1_ad, dp, filter, problem.
+    no_ad_dp, short or null (none). Columns: individualID, chrom, pos, ref, alt1, a1_ad, dp, filter, line (which orders the
+    records), problem.
     """
     lines = _lines(spark, path).withColumn("name", F.element_at(F.split("file", "/"), -1))
     head = lines.where(F.col("value").startswith("#CHROM")).select("file", "name", F.split("value", "\t").alias("h")).join(samples.withColumnRenamed("file", "name"), "name")
@@ -51,7 +52,7 @@ def read_vcf_records(spark: SparkSession, path: str | list[str], samples: DataFr
     head = head.select("file", "individualID", F.when(at > VCF_FIXED, at).cast("int").alias("at"))
     part = F.split("value", "\t")
     # One row per file: the header table is as long as the list of files.
-    body = lines.where(~F.col("value").startswith("#")).select("file", part.alias("p")).join(head, "file")
+    body = lines.where(~F.col("value").startswith("#")).select("file", F.struct("file", "line").alias("line"), part.alias("p")).join(head, "file")
     keys, values = F.split(F.get("p", F.lit(8)), ":"), F.split(F.get("p", F.col("at") - 1), ":")
     of = lambda key: F.get(values, F.array_position(keys, key).cast("int") - 1)
     has = F.array_contains(keys, "AD") & F.array_contains(keys, "DP")
@@ -60,7 +61,7 @@ def read_vcf_records(spark: SparkSession, path: str | list[str], samples: DataFr
     return body.select(
         "individualID", F.get("p", F.lit(0)).alias("chrom"), F.get("p", F.lit(1)).try_cast("long").alias("pos"), F.upper(F.get("p", F.lit(3))).alias("ref"),
         F.upper(F.get(F.split(F.get("p", F.lit(4)), ","), F.lit(0))).alias("alt1"), F.when(has, ad).alias("a1_ad"), F.when(has, dp).alias("dp"),
-        F.when(filters.isNull() | (filters == ""), ".").otherwise(filters).alias("filter"),
+        F.when(filters.isNull() | (filters == ""), ".").otherwise(filters).alias("filter"), "line",
         F.when(F.col("at").isNull(), "no_sample").when(~F.coalesce(has, F.lit(False)), "no_ad_dp").when(ad.isNull() | dp.isNull(), "short").alias("problem"),
     )
 
@@ -113,9 +114,10 @@ def validate_samples(samples: DataFrame, id_col: str, condition_col: str) -> Non
 
 
 def read_ctab(spark: SparkSession, path: str | list[str], samples: DataFrame) -> DataFrame:
-    """individualID, tid, fpkm from tables with t_name and FPKM. ``samples``: file (its name), individualID."""
+    """individualID, tid, fpkm, line from tables with t_name and FPKM. ``samples``: file (its name), individualID."""
     raw = spark.read.csv(path, header=True, sep="\t", inferSchema=False)
-    rows = raw.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.col("t_name").alias("tid"), F.col("FPKM").try_cast("double").alias("fpkm"))
+    line = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n"))
+    rows = raw.select(line.alias("line"), F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.col("t_name").alias("tid"), F.col("FPKM").try_cast("double").alias("fpkm"))
     return rows.where("fpkm IS NOT NULL").join(samples, "file").drop("file")
 
 
