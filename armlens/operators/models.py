@@ -102,11 +102,13 @@ def directional_wilcoxon(values: DataFrame, keys: list[str], group: str, value:
     c = F.col(group) == high
     r = two.select(*keys, c.alias("c"), (F.rank().over(by.orderBy(value)) + (F.count("*").over(tie) - 1) / 2.0).alias("r"), F.count("*").over(tie).alias("t"))
     g = r.groupBy(*keys).agg(F.count_if("c").alias("n1"), F.count_if(~F.col("c")).alias("n2"), F.sum(F.when(F.col("c"), F.col("r"))).alias("r1"), F.sum(F.col("t") * F.col("t") - 1).cast("double").alias("ties"))
-    g = g.withColumn("u", F.expr("r1 - n1 * (n1 + 1) / 2e0")).withColumn("s", F.expr("sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1) - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1))))"))
-    side = lambda sign: f"(({sign}) * (u - n1 * n2 / 2e0) - 0.5e0) / s"
-    upper = lambda sign: F.expr(f"CASE WHEN {side(sign)} >= 0 THEN ({two_sided_normal_sql(side(sign))}) / 2e0 ELSE 1e0 - ({two_sided_normal_sql(f'-({side(sign)})')}) / 2e0 END")
+    g = g.withColumn("u", F.expr("r1 - n1 * (n1 + 1) / 2e0")).withColumn("s", F.expr("sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1) - ties / nullif(CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1), 0e0)))"))
+    side = lambda sign: F.expr(f"(({sign}) * (u - n1 * n2 / 2e0) - 0.5e0) / nullif(s, 0e0)")
+    g = g.withColumns({"z_greater": side("1"), "z_less": side("-1")})
+    g = g.withColumns({"tail_greater": F.expr(two_sided_normal_sql("abs(z_greater)")) / 2, "tail_less": F.expr(two_sided_normal_sql("abs(z_less)")) / 2})
+    upper = lambda k: F.when(F.col(f"z_{k}") >= 0, F.col(f"tail_{k}")).otherwise(1 - F.col(f"tail_{k}"))
     ok = (F.col("n1") >= least) & (F.col("n2") >= least) & (F.col("s") > 0)
-    g = g.withColumn("p_greater", F.when(ok, upper("1"))).withColumn("p_less", F.when(ok, upper("-1")))
+    g = g.withColumn("p_greater", F.when(ok, upper("greater"))).withColumn("p_less", F.when(ok, upper("less")))
     direction = F.when(F.col("p_greater") < F.col("p_less"), F.lit(f"{high} > {low}")).when(ok, F.lit(f"{high} < {low}"))
     return benjamini_hochberg(g.select(*keys, "p_greater", "p_less", F.least("p_greater", "p_less").alias("p_directional"), direction.alias("direction")), "p_directional", "adj_directional")
 

@@ -160,17 +160,6 @@ def _(c):
     return _rounded(models.marker_check(_rows(c), _arms(c), c.gene.where("ref_id % 50 = 0").select(F.col("ref_id").alias("gene"))))
 
 
-@_query("directional_wilcoxon")
-def _(c):
-    genes = aggregates.tpm(c.expression).groupBy("ref_id").agg(F.avg("tpm").alias("tpm")).join(aggregates.classify_genes(c.eligible), "ref_id").withColumn("all", F.lit(1))
-    return models.directional_wilcoxon(genes, ["all"], "edit_dist", "tpm", "case_enriched", "ref_enriched")
-
-
-@_query("covariate_correlations")
-def _(c):
-    return models.covariate_correlations(_terms(c), ["depth", "is_case"], ["burden", "ins_share"])
-
-
 @_query(
     "aggregate_calltypes",
     """SELECT ref_id, a1type, count(*) FILTER (condition = 'case') AS n_sites_case, count(*) FILTER (condition = 'ref') AS n_sites_ref, count(DISTINCT "individualID") FILTER (condition = 'case') AS n_indiv_case, count(DISTINCT "individualID") FILTER (condition = 'ref') AS n_indiv_ref,
@@ -319,12 +308,46 @@ def _(c):
     return _rounded(tests.spearman(m, ["ref_id", "condition"], "tpm", "n_calls").select("ref_id", "condition", "n", "rho"))
 
 
-@_query("expression_correlation")
+def _t_sql(t: str, df: str) -> str:
+    """Two-sided p-value of t: the tail as an integral over the angle (Simpson's rule), another way than the engine's."""
+    phi = f"(atan(sqrt({df}) / ({t})))"
+    area = f"list_sum([(CASE WHEN k % 2 = 1 THEN 4 WHEN k = 400 THEN 1 ELSE 2 END) * power(k / 400e0, 3) * power(sin({phi} * power(k / 400e0, 4)), {df} - 1) for k in range(1, 401)])"
+    return f"CASE WHEN {t} = 0 THEN 1e0 WHEN {t} > 0 THEN 2e0 * exp(lgamma(({df} + 1) / 2e0) - lgamma({df} / 2e0)) / sqrt(pi()) * 4 * {phi} / 1200e0 * {area} END"
+
+
+def _bh_sql(source: str, p: str, adjusted: str) -> str:
+    """Every row of ``source`` with its adjusted p-value."""
+    return f"""SELECT *, CASE WHEN {p} IS NOT NULL THEN least(1e0, min(bh) OVER (PARTITION BY {p} IS NULL ORDER BY {p} DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) END AS {adjusted}
+        FROM (SELECT *, {p} * count({p}) OVER () / count(*) OVER (PARTITION BY {p} IS NULL ORDER BY {p} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bh FROM {source})"""
+
+
+def _spearman_sql(source: str, keys: str, x: str, y: str, least: int = 4) -> str:
+    """Common table expressions that end in ``correlated``: keys, n, rho, p_value."""
+    rank = lambda v: f"rank() OVER (PARTITION BY {keys} ORDER BY {v}) + (count(*) OVER (PARTITION BY {keys}, {v}) - 1) / 2e0"
+    t = "abs(rho) * sqrt((n - 2) / (1 - rho * rho))"
+    return f"""ranked AS (SELECT {keys}, {rank(x)} AS rx, {rank(y)} AS ry FROM {source}),
+    rhos AS (SELECT {keys}, count(*) AS n, CASE WHEN count(*) >= {least} AND min(rx) < max(rx) AND min(ry) < max(ry) THEN round(corr(rx, ry), 12) END AS rho FROM ranked GROUP BY ALL),
+    correlated AS (SELECT * EXCLUDE (t), CASE WHEN abs(rho) >= 1 THEN 0e0 ELSE {_t_sql('t', '(n - 2)')} END AS p_value FROM (SELECT *, CASE WHEN abs(rho) < 1 THEN {t} END AS t FROM rhos))"""
+
+
+_CORRELATED = f"""{MATRIX}, {_spearman_sql('matrix', 'ref_id, condition', 'tpm', 'n_calls')},
+    wide AS (SELECT ref_id, {', '.join(f"max({x}) FILTER (condition = '{a}') AS {x}_{a}" for a in ('case', 'ref') for x in ('n', 'rho', 'p_value'))} FROM correlated GROUP BY 1),
+    zs AS (SELECT *, CASE WHEN n_case > 3 AND n_ref > 3 AND abs(rho_case) < 1 AND abs(rho_ref) < 1 THEN abs(atanh(rho_case) - atanh(rho_ref)) / sqrt(1e0 / (n_case - 3) + 1e0 / (n_ref - 3)) END AS z FROM wide),
+    ps AS (SELECT * EXCLUDE (z), CASE WHEN z IS NOT NULL THEN {two_sided_normal_sql('z')} END AS diff_pvalue FROM zs)"""
+
+
+@_query(
+    "expression_correlation",
+    f"""SELECT * FROM (WITH {_CORRELATED} SELECT ref_id, n_case, n_ref, {', '.join(f'round({x}, 5) AS {x}' for x in ('rho_case', 'rho_ref', 'p_value_case', 'p_value_ref', 'diff_pvalue', 'diff_adj_pvalue'))} FROM ({_bh_sql('ps', 'diff_pvalue', 'diff_adj_pvalue')}))""",
+)
 def _(c):
-    return analyses.expression_correlation(c, aggregates.complete_genes(c.eligible, c.individual))
+    return _rounded(analyses.expression_correlation(c, aggregates.complete_genes(c.eligible, c.individual)), 5)
 
 
-@_query("correlation_summary")
+@_query(
+    "correlation_summary",
+    f"""SELECT * FROM (WITH {_CORRELATED}, hit AS (SELECT coalesce(p_value_case < 0.05, false) AS a, coalesce(p_value_ref < 0.05, false) AS b FROM wide) SELECT CASE WHEN a AND b THEN 'Both' WHEN a THEN 'case only' WHEN b THEN 'ref only' ELSE 'Neither' END AS kind, count(*) AS n_genes FROM hit GROUP BY 1)""",
+)
 def _(c):
     return analyses.correlation_summary(analyses.expression_correlation(c, aggregates.complete_genes(c.eligible, c.individual)))
 
@@ -439,24 +462,49 @@ def _(c):
     return _rounded(expression.marker_coherence(expression.marker_correlations(_rows(c), _markers(c), 20)).select("cell", "n_pairs", "median", "q1", "q3"))
 
 
-@_query("marker_separation")
+@_query(
+    "marker_separation",
+    """SELECT * FROM (WITH mk AS (SELECT cell, gene FROM (SELECT p_brand AS cell, p_partkey AS gene, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS r FROM part) WHERE r <= 500),
+    x AS (SELECT gene, sample, (v - avg(v) OVER w) / stddev_samp(v) OVER w AS z, count(*) OVER w AS n, stddev_samp(v) OVER w AS sd FROM (SELECT ref_id AS gene, "individualID" AS sample, log2(fpkm + 1) AS v FROM expression) WINDOW w AS (PARTITION BY gene)),
+    y AS (SELECT * FROM x JOIN mk USING (gene) WHERE sd > 0), pr AS (SELECT a.cell AS ca, b.cell AS cb, sum(a.z * b.z) / (max(a.n) - 1) AS r FROM y a JOIN y b ON a.sample = b.sample AND a.gene < b.gene GROUP BY a.cell, b.cell, a.gene, b.gene),
+    own AS (SELECT ca AS cell, quantile_cont(r, 0.5) AS own FROM pr WHERE ca = cb GROUP BY 1), cr AS (SELECT cell, other, quantile_cont(r, 0.5) AS m FROM (SELECT ca AS cell, cb AS other, r FROM pr WHERE ca <> cb UNION ALL SELECT cb, ca, r FROM pr WHERE ca <> cb) GROUP BY 1, 2),
+    near AS (SELECT cell, other AS nearest, m AS nearest_r FROM cr QUALIFY row_number() OVER (PARTITION BY cell ORDER BY m DESC, other DESC) = 1)
+    SELECT cell, round(own, 6) AS own, round(nearest_r, 6) AS nearest_r, nearest, round(own - nearest_r, 6) AS margin, own - nearest_r < 0.1 AS tight FROM own JOIN near USING (cell))""",
+)
 def _(c):
-    return expression.marker_separation(expression.marker_correlations(_rows(c), _markers(c)))
+    return _rounded(expression.marker_separation(expression.marker_correlations(_rows(c), _markers(c))))
 
 
-@_query("expression_filter")
+@_query(
+    "expression_filter",
+    f"""SELECT * FROM (WITH {MATRIX_ROWS}, lib AS (SELECT sample, sum(value) AS library FROM xm GROUP BY 1), md AS (SELECT quantile_cont(library, 0.5) AS median FROM lib), nd AS (SELECT CASE WHEN least(n1, n2) > 10 THEN 10 + (least(n1, n2) - 10) * 0.7e0 ELSE least(n1, n2) END AS need FROM sizes)
+    SELECT gene, count(*) FILTER (value / library >= 1000e0 / median) AS n_above, round(sum(value), 6) AS total FROM xm JOIN lib USING (sample), md, nd GROUP BY gene, need HAVING count(*) FILTER (value / library >= 1000e0 / median) >= need - 1e-14 AND sum(value) >= 15)""",
+)
 def _(c):
-    return expression.expression_filter(_rows(c), _arms(c), min_count=1000.0)
+    return _rounded(expression.expression_filter(_rows(c), _arms(c), min_count=1000.0))
 
 
-@_query("tmm_factors")
+@_query(
+    "tmm_factors",
+    f"""SELECT * FROM (WITH {MATRIX_ROWS}, p AS (SELECT *, value / library AS share FROM (SELECT *, sum(value) OVER (PARTITION BY sample) AS library FROM xm) WHERE value > 0), up AS (SELECT sample, quantile_cont(share, 0.75) AS q FROM p GROUP BY 1),
+    rf AS (SELECT sample FROM up ORDER BY abs(q - (SELECT avg(q) FROM up)), sample LIMIT 1), base AS (SELECT gene, value AS rv, library AS rl, share AS rs FROM p SEMI JOIN rf USING (sample)),
+    m AS (SELECT sample, gene, log2(share / rs) AS m, log2(share * rs) / 2 AS a, 1 / ((library - value) / library / value + (rl - rv) / rl / rv) AS w FROM p JOIN base USING (gene)),
+    rk AS (SELECT *, count(*) OVER (PARTITION BY sample) AS n, row_number() OVER (PARTITION BY sample ORDER BY m, gene) AS rm, row_number() OVER (PARTITION BY sample ORDER BY a, gene) AS ra FROM m),
+    f AS (SELECT sample, sum(m * w) / sum(w) AS f FROM rk WHERE rm > floor(n * 0.3e0) AND rm <= n - floor(n * 0.3e0) AND ra > floor(n * 0.05e0) AND ra <= n - floor(n * 0.05e0) GROUP BY 1) SELECT sample, round(power(2, f - (SELECT avg(f) FROM f)), 6) AS factor FROM f)""",
+)
 def _(c):
-    return expression.tmm_factors(_rows(c))
+    return _rounded(expression.tmm_factors(_rows(c)))
 
 
-@_query("sample_similarity")
+@_query(
+    "sample_similarity",
+    f"""SELECT * FROM (WITH {MATRIX_ROWS}, va AS (SELECT gene FROM (SELECT gene, var_samp(log2(value + 1)) AS v FROM xm GROUP BY 1) WHERE v > 0 ORDER BY v DESC, gene LIMIT 2000),
+    r AS (SELECT gene, sample, rank() OVER (PARTITION BY sample ORDER BY value) + (count(*) OVER (PARTITION BY sample, value) - 1) / 2e0 AS r FROM xm SEMI JOIN va USING (gene)),
+    rho AS (SELECT a.sample, b.sample AS other, corr(a.r, b.r) AS rho FROM r a JOIN r b ON a.gene = b.gene AND a.sample <> b.sample GROUP BY 1, 2), med AS (SELECT sample, quantile_cont(rho, 0.5) AS m FROM rho GROUP BY 1),
+    ce AS (SELECT quantile_cont(m, 0.5) AS c FROM med), sp AS (SELECT c, quantile_cont(abs(m - c), 0.5) AS mad FROM med, ce GROUP BY 1) SELECT sample, round(m, 6) AS median_rho, round(c - 3 * 1.4826e0 * mad, 6) AS cutoff, m < c - 3 * 1.4826e0 * mad AS outlier FROM med, sp)""",
+)
 def _(c):
-    return expression.sample_similarity(_rows(c))
+    return _rounded(expression.sample_similarity(_rows(c)))
 
 
 def _burden(c) -> DataFrame:
@@ -481,9 +529,16 @@ def _terms(c) -> DataFrame:
     return c.individual.withColumn("is_case", (F.col("condition") == "case").cast("int")).join(t, "individualID")
 
 
-@_query("continuous_association")
+TERMS = """terms AS (SELECT i."individualID", condition, CAST(condition = 'case' AS INT) AS is_case, burden, depth, ins_share FROM individual i JOIN (SELECT "individualID", CAST(count(*) AS DOUBLE) AS burden, avg(dp) AS depth, avg(CAST(a1type = 'ins' AS INT)) AS ins_share FROM eligible GROUP BY 1) t ON i."individualID" = t."individualID")"""
+
+
+@_query(
+    "continuous_association",
+    f"""SELECT * FROM (WITH {TERMS}, one AS (SELECT *, 1 AS "all" FROM terms), {_spearman_sql('one', '"all"', 'burden', 'depth', 5)}, w AS (SELECT *, 1.959964e0 * sqrt(1.06e0) / sqrt(n - 3) AS w FROM correlated)
+    SELECT "all", n, round(rho, 6) AS rho, round(p_value, 6) AS p_value, round(CASE WHEN abs(rho) < 1 AND n > 3 THEN tanh(atanh(rho) - w) END, 6) AS ci_low, round(CASE WHEN abs(rho) < 1 AND n > 3 THEN tanh(atanh(rho) + w) END, 6) AS ci_high FROM w)""",
+)
 def _(c):
-    return models.continuous_association(_terms(c).withColumn("all", F.lit(1)), ["all"], "burden", "depth")
+    return _rounded(models.continuous_association(_terms(c).withColumn("all", F.lit(1)), ["all"], "burden", "depth"))
 
 
 @_query(
@@ -518,6 +573,33 @@ def _(c):
     return models.kruskal_wallis(v, ["a1type"], "chrom", "x").where("dof > 0").select("a1type", F.round("h", 5).alias("h"), "dof")
 
 
+@_query(
+    "covariate_correlations",
+    f"""SELECT * FROM (WITH {TERMS}, long AS (SELECT 'depth' AS covariate, depth AS x, burden, ins_share FROM terms UNION ALL SELECT 'is_case', is_case, burden, ins_share FROM terms), met AS (SELECT covariate, x, 'burden' AS target, burden AS y FROM long UNION ALL SELECT covariate, x, 'ins_share', ins_share FROM long),
+    {_spearman_sql('met', 'covariate, target', 'x', 'y')} SELECT covariate, target, n, round(rho, 6) AS rho, round(p_value, 6) AS p_value FROM correlated)""",
+)
+def _(c):
+    return _rounded(models.covariate_correlations(_terms(c), ["depth", "is_case"], ["burden", "ins_share"]))
+
+
+def _upper_sql(z: str) -> str:
+    """The normal tail above z."""
+    return f"CASE WHEN {z} >= 0 THEN ({two_sided_normal_sql(f'abs({z})')}) / 2e0 ELSE 1e0 - ({two_sided_normal_sql(f'abs({z})')}) / 2e0 END"
+
+
+@_query(
+    "directional_wilcoxon",
+    f"""SELECT * FROM (WITH {CLASSES}, tp AS (SELECT ref_id, avg(t) AS tpm FROM (SELECT ref_id, "individualID", fpkm / sum(fpkm) OVER (PARTITION BY "individualID") * 1e6 AS t FROM expression) GROUP BY 1),
+    r AS (SELECT edit_dist = 'case_enriched' AS c, rank() OVER (ORDER BY tpm) + (count(*) OVER (PARTITION BY tpm) - 1) / 2e0 AS r, count(*) OVER (PARTITION BY tpm) AS t FROM tp JOIN classes USING (ref_id) WHERE edit_dist <> 'Both'),
+    g AS (SELECT count(*) FILTER (c) AS n1, count(*) FILTER (NOT c) AS n2, sum(r) FILTER (c) AS r1, sum(t * t - 1) AS ties FROM r), z AS (SELECT *, r1 - n1 * (n1 + 1) / 2e0 - n1 * n2 / 2e0 AS d, sqrt(n1 * n2 / 12e0 * (n1 + n2 + 1 - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1)))) AS s FROM g),
+    e AS (SELECT (d - 0.5e0) / s AS zg, (-d - 0.5e0) / s AS zl FROM z WHERE n1 >= 3 AND n2 >= 3 AND s > 0), p AS (SELECT {_upper_sql('zg')} AS p_greater, {_upper_sql('zl')} AS p_less FROM e)
+    SELECT 1 AS "all", round(p_greater, 6) AS p_greater, round(p_less, 6) AS p_less, round(least(p_greater, p_less), 6) AS p_directional, CASE WHEN p_greater < p_less THEN 'case_enriched > ref_enriched' ELSE 'case_enriched < ref_enriched' END AS direction, round(least(p_greater, p_less), 6) AS adj_directional FROM p)""",
+)
+def _(c):
+    genes = aggregates.tpm(c.expression).groupBy("ref_id").agg(F.avg("tpm").alias("tpm")).join(aggregates.classify_genes(c.eligible), "ref_id").withColumn("all", F.lit(1))
+    return _rounded(models.directional_wilcoxon(genes, ["all"], "edit_dist", "tpm", "case_enriched", "ref_enriched"))
+
+
 @_query("bootstrap_median_difference")
 def _(c):
     return models.bootstrap_median_difference(_terms(c).select("condition", "ins_share"), "ins_share")
@@ -531,10 +613,18 @@ def _(c):
     return models.presence_models(rows, "ref_id", "present", ["burden"])
 
 
-@_query("site_models")
+@_query(
+    "site_models",
+    f"""SELECT * FROM (WITH k AS (SELECT *, sum(a1_ad) OVER w / CAST(sum(dp) OVER w AS DOUBLE) AS p FROM eligible WINDOW w AS (PARTITION BY ref_id, a1type, condition)),
+    g AS (SELECT ref_id, a1type, count(*) AS n, sum(CASE WHEN p > 0 AND p < 1 THEN power(a1_ad - dp * p, 2) / (dp * p * (1 - p)) ELSE 0 END) AS x2, max(CAST(p <= 0 OR p >= 1 AS INT)) AS boundary, CAST(sum(a1_ad) FILTER (condition = 'case') AS DOUBLE) AS a1, CAST(sum(dp) FILTER (condition = 'case') AS DOUBLE) AS d1,
+      CAST(sum(a1_ad) FILTER (condition = 'ref') AS DOUBLE) AS a0, CAST(sum(dp) FILTER (condition = 'ref') AS DOUBLE) AS d0 FROM k GROUP BY 1, 2 HAVING count(*) FILTER (condition = 'case') >= 20 AND count(*) FILTER (condition = 'ref') >= 20),
+    b AS (SELECT *, CASE WHEN boundary = 0 THEN ln(a1 / (d1 - a1)) - ln(a0 / (d0 - a0)) END AS b, x2 / (n - 2) AS dispersion FROM g), z AS (SELECT *, CASE WHEN boundary = 0 AND dispersion > 0 THEN b / sqrt(dispersion * (1 / a1 + 1 / (d1 - a1) + 1 / a0 + 1 / (d0 - a0))) END AS z FROM b),
+    s AS (SELECT ref_id, a1type, n, b, dispersion, z, CASE WHEN z IS NOT NULL THEN {two_sided_normal_sql('abs(z)')} END AS p_value, boundary FROM z)
+    SELECT ref_id, a1type, n, boundary, {', '.join(f'round({x}, 6) AS {x}' for x in ('b', 'dispersion', 'z', 'p_value', 'adj_pvalue'))} FROM ({_bh_sql('s', 'p_value', 'adj_pvalue')}))""",
+)
 def _(c):
     rows = c.eligible.withColumn("is_case", (F.col("condition") == "case").cast("int"))
-    return models.site_models(rows, ["ref_id", "a1type"], least=20)
+    return _rounded(models.site_models(rows, ["ref_id", "a1type"], least=20))
 
 
 @_query(

@@ -68,3 +68,9 @@ def test_ensemble_has_the_draws_of_the_reference(spark):
     rows = spark.createDataFrame([(g, s, float(1 + (g * 7 + s * 3) % 11)) for g in range(8) for s in range(3)], "gene long, sample long, value double")
     markers = spark.createDataFrame([("ab"[g % 2], g, g) for g in range(8)], "cell string, gene long, rank long")
     assert models.proportion_ensemble(rows, markers).select("draw").distinct().count() == 100
+
+
+def test_directional_wilcoxon_of_few_rows_is_null(spark):
+    rows = [("one", "up", 1.0), ("tied", "up", 2.0), ("tied", "up", 2.0), ("tied", "up", 2.0), ("tied", "down", 2.0), ("tied", "down", 2.0), ("tied", "down", 2.0)]
+    got = models.directional_wilcoxon(spark.createDataFrame(rows, "k string, side string, v double"), ["k"], "side", "v", "up", "down").collect()
+    assert sorted(r["k"] for r in got) == ["one", "tied"] and all(r["p_greater"] is None and r["direction"] is None for r in got)
