@@ -213,11 +213,11 @@ def marker_coverage(markers: DataFrame, available: DataFrame, clean: DataFrame,
 
 
 def largest_gap(values: DataFrame, value: str, key: str) -> DataFrame:
-    """The midpoint of the widest gap between neighbouring values and the side each row is on.
+    """The midpoint of the widest gap between neighbouring values (the lowest of equal ones) and the side each row is on.
 
     One row per sample passes through the window: a cohort's size.
     """
     order = Window.orderBy(value)
     gaps = values.select(value, (F.lead(value).over(order) - F.col(value)).alias("gap")).where("gap IS NOT NULL")
-    cut = gaps.agg(F.max_by(F.col(value) + F.col("gap") / 2, "gap").alias("cut"))
+    cut = gaps.agg(F.max_by(F.col(value) + F.col("gap") / 2, F.struct("gap", F.lit(0.0) - F.col(value))).alias("cut"))
     return values.join(F.broadcast(cut), F.lit(True)).select(key, value, "cut", F.when(F.col(value) > F.col("cut"), "high").otherwise("low").alias("side"))

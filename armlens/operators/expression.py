@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .aggregates import largest_gap
+
 
 def gene_matrix(rows: DataFrame, value: str = "fpkm") -> DataFrame:
     """Sums per (gene, sample): aliases of a symbol and its transcripts fall together."""
@@ -149,3 +151,64 @@ def centred_log_ratio(parts: DataFrame) -> DataFrame:
     by = Window.partitionBy("individualID")
     closed = F.ln(F.col("s") / F.sum("s").over(by))
     return filled.select("individualID", "part", closed.alias("l")).select("individualID", "part", (F.col("l") - F.avg("l").over(by)).alias("clr"))
+
+
+def _components(gram: DataFrame, k: int) -> DataFrame:
+    """sample, pc1 to pc<k>, pct1 to pct<k> from the inner products (a, b, g) of centred samples: scores and the shares of
+    variance in per cent. A component's greatest score (by size) is positive. One task has a cohort's square."""
+    kind = dict(gram.dtypes)["a"]
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        samples = np.unique(pdf["a"])
+        g = np.zeros((len(samples), len(samples)))
+        g[np.searchsorted(samples, pdf["a"]), np.searchsorted(samples, pdf["b"])] = pdf["g"]
+        values, vectors = np.linalg.eigh((g + g.T) / 2)
+        values, vectors = np.maximum(values[::-1][:k], 0), vectors[:, ::-1][:, :k]
+        vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
+        out, total = {"sample": samples}, max(np.trace(g), 1e-300)
+        for i in range(k):
+            there = i < len(values)
+            out[f"pc{i + 1}"] = vectors[:, i] * np.sqrt(values[i]) if there else np.nan
+            out[f"pct{i + 1}"] = 100 * values[i] / total if there else np.nan
+        return pd.DataFrame(out)
+
+    fields = ", ".join(f"pc{i + 1} double, pct{i + 1} double" for i in range(k))
+    return gram.groupBy().applyInPandas(solve, f"sample {kind}, {fields}")
+
+
+def sample_components(rows: DataFrame, genes: int = 2000, k: int = 3) -> DataFrame:
+    """Principal components of samples over the most variable genes' scaled log2(value + 1); a missing value is 0.
+
+    The inner products are summed per pair of samples that share a gene; what missing values add follows from the sums.
+    """
+    x = rows.groupBy("gene", "sample").agg(F.log2(F.sum("value") + 1).alias("x"))
+    size = F.broadcast(x.agg(F.count_distinct("sample").cast("double").alias("n")))
+    g = x.groupBy("gene").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q")).join(size, F.lit(True))
+    g = g.select("gene", (F.col("s") / F.col("n")).alias("m"), F.try_divide(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.col("n") - 1).alias("v")).where("v > 1e-12")
+    g = g.orderBy(F.desc("v"), "gene").limit(genes)
+    kept = x.join(g, "gene").select("gene", "sample", "x", (F.col("x") / F.col("v")).alias("w"), (F.col("m") * F.col("x") / F.col("v")).alias("c"))
+    both = kept.select("gene", F.col("sample").alias("a"), "x").join(kept.select("gene", F.col("sample").alias("b"), "w"), "gene")
+    shared = both.groupBy("a", "b").agg(F.sum(F.col("x") * F.col("w")).alias("p"))
+    cohort = x.select("sample").distinct().join(kept.groupBy("sample").agg(F.sum("c").alias("c")), "sample", "left").fillna(0.0, ["c"])
+    centre = F.broadcast(g.agg(F.sum(F.col("m") * F.col("m") / F.col("v")).alias("mm")))
+    # Every pair of samples: a cohort's square, the size of the result's matrix.
+    pairs = cohort.toDF("a", "ca").join(cohort.toDF("b", "cb"), F.lit(True)).join(shared, ["a", "b"], "left").join(centre, F.lit(True))
+    return _components(pairs.select("a", "b", (F.coalesce("p", F.lit(0.0)) - F.col("ca") - F.col("cb") + F.col("mm")).alias("g")).where("g IS NOT NULL"), k)
+
+
+def composition_axis(clr: DataFrame) -> DataFrame:
+    """individualID, pc1, pct1: the leading component of centred log ratios (individualID, part, clr), not scaled."""
+    d = clr.select("part", F.col("individualID").alias("sample"), (F.col("clr") - F.avg("clr").over(Window.partitionBy("part"))).alias("d"))
+    gram = d.toDF("part", "a", "da").join(d.toDF("part", "b", "db"), "part").groupBy("a", "b").agg(F.sum(F.col("da") * F.col("db")).alias("g"))
+    return _components(gram, 1).withColumnRenamed("sample", "individualID")
+
+
+def sex_contrast(rows: DataFrame, y_genes: list, x_gene) -> DataFrame:
+    """sample, y_score, x_score, contrast, sex_call: the mean log2(value + 1) of the Y genes less the X gene's; samples are
+    split in the middle of the widest gap of contrasts. Missing values are 0; without any Y gene all calls are null."""
+    x = rows.groupBy("gene", "sample").agg(F.log2(F.sum("value") + 1).alias("x"))
+    seen = F.broadcast(x.where(F.col("gene").isin(y_genes)).agg(F.count_distinct("gene").alias("n_y")))
+    s = x.groupBy("sample").agg(F.coalesce(F.sum(F.when(F.col("gene").isin(y_genes), F.col("x"))), F.lit(0.0)).alias("y"), F.coalesce(F.sum(F.when(F.col("gene") == x_gene, F.col("x"))), F.lit(0.0)).alias("x_score"))
+    s = s.join(seen, F.lit(True)).select("sample", F.try_divide("y", "n_y").alias("y_score"), "x_score").withColumn("contrast", F.col("y_score") - F.col("x_score"))
+    call = F.when(F.col("side") == "high", "Y_high").when(F.col("contrast").isNotNull(), "X_high")
+    return s.join(largest_gap(s, "contrast", "sample").select("sample", "side"), "sample").select("sample", "y_score", "x_score", "contrast", call.alias("sex_call"))

@@ -507,6 +507,37 @@ def _(c):
     return _rounded(expression.sample_similarity(_rows(c)))
 
 
+@_query("sample_components")
+def _(c):
+    return expression.sample_components(_rows(c))
+
+
+@_query("component_drivers")
+def _(c):
+    """What the leading components track: the condition, calls and depth of each sample."""
+    pcs = expression.sample_components(_rows(c)).withColumnRenamed("sample", "individualID")
+    return models.covariate_correlations(pcs.join(_terms(c), "individualID"), ["is_case", "burden", "depth"], ["pc1", "pc2", "pc3"])
+
+
+@_query("composition_axis")
+def _(c):
+    n = c.eligible.groupBy("individualID", F.col("a1type").alias("part")).agg(F.count("*").alias("n"))
+    grid = c.individual.select("individualID").join(n.select("part").distinct(), F.lit(True)).join(n, ["individualID", "part"], "left").fillna(0, ["n"])
+    total = n.groupBy("individualID").agg(F.sum("n").alias("total"))
+    return expression.composition_axis(expression.centred_log_ratio(grid.join(total, "individualID").select("individualID", "part", (F.col("n") / F.col("total")).alias("share"))))
+
+
+@_query(
+    "sex_contrast",
+    f"""SELECT * FROM (WITH {MATRIX_ROWS}, y AS (SELECT count(DISTINCT gene) AS n FROM xm WHERE gene IN (3, 5, 7, 11)), s AS (SELECT sample, coalesce(sum(log2(value + 1)) FILTER (gene IN (3, 5, 7, 11)), 0) / max(n) AS ys, coalesce(sum(log2(value + 1)) FILTER (gene = 2), 0) AS xs FROM xm, y GROUP BY 1),
+    g AS (SELECT ys - xs AS c, lead(ys - xs) OVER (ORDER BY ys - xs) - (ys - xs) AS gap FROM s), a AS (SELECT c + gap / 2 AS cut FROM g WHERE gap IS NOT NULL ORDER BY gap DESC, c LIMIT 1)
+    SELECT sample, round(ys, 6) AS y_score, round(xs, 6) AS x_score, round(ys - xs, 6) AS contrast, CASE WHEN ys - xs > cut THEN 'Y_high' ELSE 'X_high' END AS sex_call FROM s, a)""",
+)
+def _(c):
+    """Genes 3, 5, 7 and 11 stand for those of Y, gene 2 for the one of X."""
+    return _rounded(expression.sex_contrast(_rows(c), [3, 5, 7, 11], 2))
+
+
 def _burden(c) -> DataFrame:
     b = c.loaded.groupBy("individualID", "chrom").agg(F.count("*").cast("double").alias("value"))
     return b.join(c.individual, "individualID")

@@ -74,3 +74,34 @@ def test_directional_wilcoxon_of_few_rows_is_null(spark):
     rows = [("one", "up", 1.0), ("tied", "up", 2.0), ("tied", "up", 2.0), ("tied", "up", 2.0), ("tied", "down", 2.0), ("tied", "down", 2.0), ("tied", "down", 2.0)]
     got = models.directional_wilcoxon(spark.createDataFrame(rows, "k string, side string, v double"), ["k"], "side", "v", "up", "down").collect()
     assert sorted(r["k"] for r in got) == ["one", "tied"] and all(r["p_greater"] is None and r["direction"] is None for r in got)
+
+
+def _same_components(got, centred, k):
+    u, d, _ = np.linalg.svd(centred, full_matrices=False)
+    for i in range(k):
+        mine = got[f"pc{i + 1}"].to_numpy()
+        assert np.allclose(np.abs(mine), np.abs(u[:, i] * d[i]), atol=1e-6) and mine[np.abs(mine).argmax()] > 0
+        assert np.allclose(got[f"pct{i + 1}"], 100 * d[i] ** 2 / (d**2).sum())
+
+
+def test_sample_components_are_those_of_the_dense_matrix(spark):
+    x = np.random.default_rng(3).integers(0, 4, (9, 30)) * np.random.default_rng(4).random((9, 30)) * 50
+    rows = [(f"g{j:02d}", i, float(x[i, j])) for i in range(9) for j in range(30) if x[i, j] > 0]
+    got = expression.sample_components(spark.createDataFrame(rows, "gene string, sample long, value double"), genes=12).toPandas().sort_values("sample")
+    z = np.log2(x + 1)
+    z = z[:, np.argsort(-z.var(axis=0, ddof=1))[:12]]
+    _same_components(got, (z - z.mean(axis=0)) / z.std(axis=0, ddof=1), 3)
+
+
+def test_composition_axis(spark):
+    x = np.random.default_rng(5).random((8, 4))
+    rows = [(i, f"p{j}", float(x[i, j])) for i in range(8) for j in range(4)]
+    got = expression.composition_axis(spark.createDataFrame(rows, "individualID long, part string, clr double")).toPandas().sort_values("individualID")
+    _same_components(got, x - x.mean(axis=0), 1)
+
+
+def test_components_and_contrast_of_nothing(spark):
+    none = spark.createDataFrame([], "gene long, sample long, value double")
+    assert expression.sample_components(none).count() == 0 and expression.sex_contrast(none, [1], 2).count() == 0
+    some = spark.createDataFrame([(9, 1, 4.0), (2, 2, 4.0)], "gene long, sample long, value double")
+    assert [r["sex_call"] for r in expression.sex_contrast(some, [1], 2).collect()] == [None, None]
