@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert_ann, language_id, licenses, minhash_dedup, packing, quality, secrets, sentencepiece_scan, simhash, toxicity
+from . import hilbert_ann, language_id, licenses, minhash_dedup, packing, quality, secrets, sentencepiece_scan, simhash, toxicity, whitening
 from .common import cut
 
 
@@ -90,8 +90,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_kneser_ney, op2_sentencepiece, op3_hilbert_ann, op4_best_fit_packing, op5_language_id, op6_secret_scan, op7_license_scan, op8_minhash_dedup, op9_toxicity, op10_simhash]
+    found = [op1_quality_kneser_ney, op2_sentencepiece, op3_hilbert_ann, op4_best_fit_packing, op5_language_id, op6_secret_scan, op7_license_scan, op8_minhash_dedup, op9_toxicity, op10_simhash, op13_embedding_whitening]
     return {f.__name__: f for f in found}
 
 
