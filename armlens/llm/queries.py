@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, hilbert_ann, language_id, licenses, minhash_dedup, packing, quality, secrets, sentencepiece_scan, simhash, toxicity, whitening
+from . import alignment, hilbert_ann, language_id, licenses, minhash_dedup, packing, quality, repeated_windows, secrets, sentencepiece_scan, simhash, toxicity, whitening
 from .common import cut
 
 
@@ -94,12 +94,17 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.digests(_table(spark, sf_dir, "documents"))
 
 
+def op12_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_windows.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_kneser_ney, op2_sentencepiece, op3_hilbert_ann, op4_best_fit_packing, op5_language_id, op6_secret_scan, op7_license_scan, op8_minhash_dedup, op9_toxicity, op10_simhash, op11_tokenizer_alignment, op13_embedding_whitening]
+    found = [op1_quality_kneser_ney, op2_sentencepiece, op3_hilbert_ann, op4_best_fit_packing, op5_language_id, op6_secret_scan, op7_license_scan, op8_minhash_dedup, op9_toxicity, op10_simhash, op11_tokenizer_alignment, op12_repeated_windows, op13_embedding_whitening]
     return {f.__name__: f for f in found}
 
 
