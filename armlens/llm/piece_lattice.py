@@ -300,7 +300,7 @@ def lattice_of(path: str) -> Lattice:
 def encode_chunked(docs: DataFrame, path: str, chunk_chars: int) -> DataFrame:
     """doc_id, text, ids, weight of texts of several chunks (columns doc_id, text), whose chunks tasks share."""
     context = 64  # characters on either side; no piece is as long
-    spaced = F.concat(F.lit(" "), F.col("text"))
+    spaced = F.translate(F.concat(F.lit(" "), F.col("text")), "▁", " ")  # the model's mark is a blank to it
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.ceil((F.length("text") + 1) / chunk_chars).cast("int").alias("n"))
     rows = cut(rows)
     begin = F.col("k") * chunk_chars
