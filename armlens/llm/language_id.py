@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import text_batches
 
+#: Weights are dense by language, so their number is bounded.
+MAX_LANGUAGES = 512
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
 _CHUNK = 1 << 20  # characters hashed at once
@@ -150,23 +152,28 @@ def fit(
     """Learn from rows of ``labelled`` with text and language.
 
     ``per_class`` bounds the rows of each language that are fitted; a fifth of them is kept for the calibration.
-    Document frequencies and the set of languages come from all rows.
+    Document frequencies and the set of languages (at most MAX_LANGUAGES, or ValueError) come from all rows.
     """
     text_batches(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     idf = np.zeros(1 << bits)
     frequencies = document_frequencies(rows, "text", bits).toPandas()
-    classes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()
+    # Rows count as one where id and text are equal, so a language of one text, or of one id, is learnt as well.
+    rows = rows.withColumn("h", F.xxhash64("id", "text"))
+    classes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("distinct"), F.min("h").alias("least")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(classes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages, n_docs = [r["lang"] for r in classes], sum(r["n"] for r in classes)
     if not languages:
         return LanguageModel([], idf, np.zeros((1 << bits, 0)), np.zeros(0), 1.0, bits)
     idf[frequencies["feature"]] = np.log((1 + n_docs) / (1 + frequencies["df"])) + 1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    order = Window.partitionBy("lang").orderBy("h")
     # By its hash each language's rows are thinned to about four times what is needed, so that little is shuffled.
-    share = F.create_map(*[x for r in classes for x in (F.lit(r["lang"]), F.lit(4.0 * per_class / r["n"]))])[F.col("lang")]
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20))
+    of_lang = lambda f: F.create_map(*[x for r in classes for x in (F.lit(r["lang"]), F.lit(f(r)))])[F.col("lang")]
+    share = of_lang(lambda r: 4.0 * per_class / max(1, r["distinct"]))
+    sample = rows.where((F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)) | (F.col("h") == of_lang(lambda r: r["least"]))).dropDuplicates(["lang", "h"])
     sample = sample.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class)
-    sample = sample.withColumn("shard", F.when(F.col("rank") % 5 == 0, F.lit(-1)).otherwise(F.pmod("rank", F.lit(shards)))).drop("id")
+    sample = sample.withColumn("shard", F.when(F.col("rank") % 5 == 0, F.lit(-1)).otherwise(F.pmod("rank", F.lit(shards)))).drop("id", "h")
     index = {lang: k for k, lang in enumerate(languages)}
 
     def train(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
