@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, text_batches
+from .common import BoundedCache, cut, text_batches
 
 #: How much oftener toxic documents must have a feature that gets a weight.
 LIFT = 8
@@ -153,17 +153,18 @@ def fit(
     spark = docs.sparkSession
     text_batches(spark)
     by_hash = Window.partitionBy("y").orderBy("h", "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     known = known.groupBy("id").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("id"))
-    # Some labelled ids may have no text; so three times as many are looked up. At most 6 * per_class rows: broadcast.
-    # The labels are thinned by hash to about twice that before they are ranked.
+    # Only labels that have a text count. They are thinned by hash to about twice what is needed before they are ranked.
+    known = cut(known.join(texts.select("id").distinct().hint("merge"), "id", "left_semi"))
     n_of = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n_of) < 2:
         return SeverityModel(np.zeros(1 << bits), np.zeros(0), bits)
-    share = F.when(F.col("y") == 1, min(1.0, 6.0 * per_class / n_of[1])).otherwise(min(1.0, 6.0 * per_class / n_of[0]))
-    chosen = known.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= 3 * per_class).drop("r")
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(chosen), "id")
-    found = found.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_class)
+    share = F.when(F.col("y") == 1, min(1.0, 2.0 * per_class / n_of[1])).otherwise(min(1.0, 2.0 * per_class / n_of[0]))
+    chosen = known.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_class).drop("r")
+    # At most 2 * per_class rows: broadcast. Of texts that share an id the one with the least hash stands for it.
+    found = texts.join(F.broadcast(chosen), "id").groupBy("y", "id", "h").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     if found.groupBy("y").count().count() < 2:
         return SeverityModel(np.zeros(1 << bits), np.zeros(0), bits)
 
