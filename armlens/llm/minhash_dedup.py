@@ -150,6 +150,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``percent``: the least Jaccard similarity of a link, in hundredths. A row for each row of ``docs``.
     """
+    found = grouped(docs, id_col, text_col, width=width, percent=percent, bands=bands, rows=rows)
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, percent: int = 85, bands: int = 40, rows: int = 8) -> DataFrame:
+    """The rows of ``docs`` (all columns) without those that are near duplicates of a row that stays.
+
+    Of a component the row with the smallest id stays; of those that share it the one with the least hash of its text, and
+    of rows with equal id and text the one with the least hash of all columns. What has no duplicate stays, whatever its
+    id: rows without an id, and texts without words, are nobody's duplicates.
+    """
+    found = cut(grouped(docs, id_col, text_col, width=width, percent=percent, bands=bands, rows=rows).where("component is not null").select("component", "doc_id", "text_key"))
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    each = found.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    fate = each.join(first.hint("merge"), "component").select("doc_id", "text_key", "n", (F.struct("doc_id", "text_key") == F.col("first")).alias("stays"))
+    fate = cut(fate.where(~F.col("stays") | (F.col("n") > 1)))
+    rest = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"))
+    gone = fate.where(~F.col("stays")).select("doc_id", "text_key")
+    kept = rest.join(gone.hint("merge"), ["doc_id", "text_key"], "left_anti")
+    repeated = fate.where("stays").select("doc_id", "text_key")
+    if repeated.isEmpty():
+        return kept.select("doc.*")
+    # Equal rows: one of them is taken in tasks first, so of rows that occur very often few are shuffled.
+    equal = kept.join(repeated.hint("merge"), ["doc_id", "text_key"], "left_semi")
+    once = equal.groupBy("doc_id", "text_key").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    return kept.join(repeated.hint("merge"), ["doc_id", "text_key"], "left_anti").select("doc.*").union(once.select("doc.*"))
+
+
+def grouped(docs: DataFrame, id_col: str, text_col: str, *, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, component (a number; null for rows without an id or words), component_id."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = cut(sketches(docs, "doc_id", "text", width=width, bands=bands, rows=rows).withColumn("row", F.monotonically_increasing_id()))
     # 1. Equal sets are one node, for which one row with the smallest id stands. Rows have numbers, as ids may repeat.
@@ -192,11 +222,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A component's name is its smallest id. Nodes without links are their own components; rows without shingles too.
     of = component.join(nodes.select("node", "least_id"), "node")
     smallest = of.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    linked = of.join(smallest, "component").select("node", "component_id")
-    named = nodes.join(linked, "node", "left").select(*same, F.coalesce("component_id", "least_id").alias("component_id"))
-    out = base.where("n_shingles > 0 and doc_id is not null").select("doc_id", *same).join(named, same)
-    out = out.union(base.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id")).select(*out.columns))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    linked = of.join(smallest, "component").select("node", "component", "component_id")
+    named = nodes.join(linked, "node", "left").select(*same, F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "least_id").alias("component_id"))
+    shown = ["doc_id", "text_key", "n_shingles", "component", "component_id"]
+    out = base.where("n_shingles > 0 and doc_id is not null").select("doc_id", "text_key", *same).join(named, same).select(*shown)
+    return out.union(base.where("n_shingles = 0 or doc_id is null").select("doc_id", "text_key", "n_shingles", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id")))
 
 
 def _sharing_prefix(crowd: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
