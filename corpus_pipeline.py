@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armlens.llm import language_id, minhash_dedup, packing, secrets, toxicity
-from armlens.llm.common import cut, shared_folder
+from armlens.llm.common import shared_folder
 
 #: Least calibrated probability of the predicted language.
 MIN_LANGUAGE_SCORE = 0.5
@@ -36,16 +36,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays (at 0.85 of the shingles)."""
-    found = cut(minhash_dedup.near_duplicates(docs))
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
-    # Rows that share an id are in one group too; only they are looked at again.
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).union(once.select(docs.columns))
+    """Of each group of near duplicates (0.85 of the shingles) one row stays: that with the smallest id, of rows that share
+    it the one with the least hash of its text. Rows that are nobody's near duplicate stay, also where ids repeat."""
+    return minhash_dedup.one_of_each(docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
