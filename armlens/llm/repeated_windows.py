@@ -199,8 +199,8 @@ def _utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, ends[1:] - ends[0]
 
 
-def _screened(docs: DataFrame, length: int, digit: int) -> DataFrame:
-    """doc, tie, gone (runs that are repeated), open (runs to be compared by their bytes or windows)."""
+def _screened(docs: DataFrame, place: list[str], length: int, digit: int) -> DataFrame:
+    """The columns of ``place``, gone (runs that are repeated), open (runs to be compared by their bytes or windows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -229,7 +229,7 @@ def _screened(docs: DataFrame, length: int, digit: int) -> DataFrame:
     kept = placed.select("doc", "tie", "key", "start", "n", fate.alias("fate")).where("fate is not null")
     at = F.shiftleft(F.col("start").cast("long"), 32) + F.col("n")
     opened = F.when(F.col("fate") != _GONE, F.struct(F.col("fate").alias("kind"), F.col("key"), at.alias("at")))
-    return kept.groupBy("doc", "tie").agg(F.collect_list(F.when(F.col("fate") == _GONE, at)).alias("gone"), F.collect_list(opened).alias("open"))
+    return kept.groupBy(*place).agg(F.collect_list(F.when(F.col("fate") == _GONE, at)).alias("gone"), F.collect_list(opened).alias("open"))
 
 
 def _window_hashes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -275,7 +275,7 @@ def _opened(joined: DataFrame, length: int) -> DataFrame:
         if held:
             yield from windows(held)
 
-    return joined.select("doc", "tie", "copies", "text", "open").mapInArrow(run, _ROW_TYPE + ", bytes binary")
+    return joined.select("doc", "tie", "doc_id", "copies", "text", "open").mapInArrow(run, _ROW_TYPE + ", bytes binary")
 
 
 def repeated(data: np.ndarray, places: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -300,8 +300,8 @@ def repeated(data: np.ndarray, places: np.ndarray, group: np.ndarray, length: in
     return alive, of
 
 
-def _resolved(opened: DataFrame, length: int) -> DataFrame:
-    """doc, tie, gone: windows that aren't the first of their group, as runs."""
+def _resolved(opened: DataFrame, place: list[str], length: int) -> DataFrame:
+    """The columns of ``place``, more: windows that aren't the first of their group, as runs."""
 
     def ranges(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((start, tie, doc))
@@ -351,7 +351,7 @@ def _resolved(opened: DataFrame, length: int) -> DataFrame:
 
     dealt = opened.repartition("kind", "key").sortWithinPartitions("kind", "key")
     each = dealt.mapInArrow(run, "doc long, tie long, at long")
-    return each.groupBy("doc", "tie").agg(F.collect_list("at").alias("more"))
+    return each.groupBy(*place).agg(F.collect_list("at").alias("more"))
 
 
 def _kept(joined: DataFrame, length: int, with_kept: bool) -> DataFrame:
@@ -401,11 +401,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), order.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # Where no id occurs twice the id alone is a document's place.
     twice = not given.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    given = given.withColumn("tie", F.xxhash64("text") if twice else F.lit(0).cast("long"))
-    found = cut(_screened(given, length, digit))
-    # Both joins share this exchange of the texts.
-    texts = given.groupBy("doc", "tie").agg(F.max("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").cast("int").alias("copies"))
+    place, tie = (["doc", "tie"], F.xxhash64("text")) if twice else (["doc"], F.lit(0).cast("long"))
+    found = cut(_screened(given.withColumn("tie", tie), place, length, digit))
+    # Both joins share this exchange of the texts: the columns are the same.
+    texts = given.withColumn("tie", tie).groupBy(*place).agg(F.max("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").cast("int").alias("copies"))
     merge = lambda df: df.hint("merge")
-    opened = _opened(texts.select("doc", "tie", "doc_id", "text", "copies").join(merge(found.where(F.size("open") > 0).select("doc", "tie", "open")), ["doc", "tie"]), length)
-    joined = texts.join(merge(found.select("doc", "tie", "gone")), ["doc", "tie"], "left").join(merge(_resolved(opened, length)), ["doc", "tie"], "left")
+    with_open = texts.join(merge(found.where(F.size("open") > 0).select(*place, "open")), place)
+    opened = _opened(with_open if twice else with_open.withColumn("tie", tie), length)
+    joined = texts.join(merge(found.select(*place, "gone")), place, "left").join(merge(_resolved(opened, place, length)), place, "left")
     return _kept(joined, length, with_kept)
