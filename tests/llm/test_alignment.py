@@ -96,6 +96,19 @@ def test_links_and_groups(spark):
         assert r["a_groups"] == [sum(e < p[2] for e in ends) for p in x] and r["b_groups"] == [sum(e < q[2] for e in ends) for q in y]
 
 
+def test_side_a_is_the_library_tokenizer():
+    """For every code point, long runs and special tokens."""
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(alignment.public_sides().a)
+    a.encode_special_tokens = True
+    fast = alignment.aligner(alignment.public_sides()).a
+    texts = [" ".join(f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in range(low, low + 64) if not 0xD800 <= c < 0xE000) for low in range(0, 0x20000, 64)]
+    texts += ["x" * 30_000, " " * 30_000 + "y", "\n" * 5000, "ab" * 20_000, "<|endoftext|><|endoftext|>", "it's we'LL 've"]
+    for text, want in zip(texts, a.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert fast.encode_to_numpy(text, disallowed_special=()).tolist() == want.ids, text[:40]
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(None, "a text"), (None, "a text"), (3, None), (3, "other")], "doc_id long, text string")
     out = alignment.digests(df).collect()
