@@ -19,7 +19,7 @@ from .tests import _normal_p, spearman
 
 def group_comparison(values: DataFrame, key: str, value: str = "value") -> DataFrame:
     """Medians, quartiles, ratio, change in per cent, Wilcoxon's p, the shift (median of pairwise differences) and Cliff's
-    delta of case against ref. The pairs of a key are its two arms' product: a cohort's square at most."""
+    delta of case against ref. A key has a value for each individual, so its arms are a cohort at most."""
     arm = {"case": F.col("condition") == "case", "ref": F.col("condition") == "ref"}
     q = lambda c, p: F.percentile(F.when(c, F.col(value)), p)
     stats = values.groupBy(key).agg(*[f.alias(f"{n}_{k}") for k, c in arm.items() for n, f in (("n", F.count(F.when(c, F.col(value)))), ("median", q(c, 0.5)), ("q1", q(c, 0.25)), ("q3", q(c, 0.75)))])
@@ -27,13 +27,75 @@ def group_comparison(values: DataFrame, key: str, value: str = "value") -> DataF
     r = values.select(key, "condition", (F.rank().over(by.orderBy(value)) + (F.count("*").over(tie) - 1) / 2.0).alias("r"), F.count("*").over(tie).alias("t"))
     sums = r.groupBy(key).agg(F.count_if(arm["case"]).alias("n1"), F.count_if(arm["ref"]).alias("n2"), F.sum(F.when(arm["case"], F.col("r"))).alias("r1"), F.sum(F.col("t") * F.col("t") - 1).cast("double").alias("ties"))
     p = _normal_p(sums).select(key, "p_value", (F.lit(0.0) - F.col("rbc")).alias("cliffs_delta"))
-    a = values.where(arm["case"]).select(key, F.col(value).alias("x"))
-    b = values.where(arm["ref"]).select(key, F.col(value).alias("y"))
-    shift = a.join(b, key).groupBy(key).agg(F.percentile(F.col("x") - F.col("y"), 0.5).alias("shift"))
+    shift = location_shift(values, key, value)
     out = stats.join(p, key).join(shift, key, "left").withColumn("ratio", F.try_divide("median_case", "median_ref"))
     return benjamini_hochberg(out.withColumn("pct_change", 100 * (F.col("ratio") - 1)))
 
 
+def median_difference(x: np.ndarray, y: np.ndarray) -> float:
+    """The median of all differences x - y (the mean of the two middle ones), without making them.
+
+    The sorted arms are a matrix of differences with sorted rows and columns. Every step takes the weighted median of what
+    the rows have left, counts the differences below and up to it by two searches, and drops what can't hold the median:
+    a quarter at least. Memory is that of the arms."""
+    x, y = np.sort(x), np.sort(y)[::-1]  # x[i] - y[j] rises with i and with j
+    n, m = len(x), len(y)
+    if not n or not m:
+        return float("nan")
+    neg = -y  # rising
+
+    def kth(k: int) -> float:
+        """The k-th smallest difference, from 0."""
+        lo, hi = np.zeros(n, np.int64), np.full(n, m, np.int64)
+        while True:
+            left = hi - lo
+            some = left > 0
+            middle = x[some] + neg[(lo[some] + hi[some]) // 2]
+            order = np.argsort(middle, kind="stable")
+            weight = left[some][order].cumsum()
+            pivot = middle[order][np.searchsorted(weight, (weight[-1] + 1) // 2)]
+            below, up_to = _counts(x, neg, pivot)
+            if below.sum() <= k < up_to.sum():
+                return float(pivot)
+            if k < below.sum():
+                hi = np.minimum(hi, below)
+            else:
+                lo = np.maximum(lo, up_to)
+
+    total = n * m
+    return kth(total // 2) if total % 2 else (kth(total // 2 - 1) + kth(total // 2)) / 2
+
+
+def _counts(x: np.ndarray, neg: np.ndarray, pivot: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each x how many of x + neg are below the pivot, and how many are at most it, as floats round their sums."""
+    guess = np.searchsorted(neg, pivot - x, "left")
+    m = len(neg)
+    below, up_to = guess.copy(), guess.copy()
+    for at, inside in ((below, np.less), (up_to, np.less_equal)):
+        while True:  # pivot - x may be rounded by an ulp, so the edge is walked to
+            back = (at > 0) & ~inside(x + neg[np.maximum(at - 1, 0)], pivot)
+            on = (at < m) & inside(x + neg[np.minimum(at, m - 1)], pivot)
+            if not (back | on).any():
+                break
+            value = neg[np.clip(np.where(on, at, at - 1), 0, m - 1)]
+            # Equal values are passed at once.
+            at[on] = np.searchsorted(neg, value[on], "right")
+            at[back & ~on] = np.searchsorted(neg, value[back & ~on], "left")
+    return below, up_to
+
+
+def location_shift(values: DataFrame, key: str, value: str = "value") -> DataFrame:
+    """key, shift: the median of all pairwise differences of case and ref; keys without either arm are left out."""
+    arm = lambda c: F.collect_list(F.when(F.col("condition") == c, F.col(value).cast("double"))).alias(c)
+    arms = values.groupBy(key).agg(arm("case"), arm("ref")).where((F.size("case") > 0) & (F.size("ref") > 0))
+
+    @F.pandas_udf("double")
+    def of(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([median_difference(np.asarray(x, float), np.asarray(y, float)) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return arms.select(key, of("case", "ref").alias("shift"))
+
+
 def continuous_association(pairs: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """Spearman's rho with an interval of 1.06 / sqrt(n - 3) on its arc tangent; null below five rows."""
     s = spearman(pairs, keys, x, y, least=5)

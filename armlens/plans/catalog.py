@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..functions.special import two_sided_normal_sql
-from ..operators import aggregates, expression, joins, models, ranks, tests
+from ..operators import aggregates, deconvolution, expression, joins, models, ranks, regressions, tests
 from ..sources.driver_view import Cohort, with_views
 from . import analyses
 
@@ -700,3 +700,26 @@ def _few_markers(c) -> DataFrame:
 @_query("proportion_ensemble")
 def _(c):
     return models.ensemble_summary(models.proportion_ensemble(_rows(c), _few_markers(c)))
+
+
+@_query("call_models")
+def _(c):
+    """All genes with calls over all individuals: presence by condition, with the share of insertions, and with detection."""
+    size = aggregates.tpm(c.expression).groupBy("individualID").agg(F.sum("fpkm").alias("lib_size"))
+    cohort = _terms(c).select("individualID", "is_case", "ins_share").join(size, "individualID")
+    fpkm = c.expression.select("ref_id", "individualID", F.col("fpkm").alias("expression"))
+    return _rounded(regressions.cohort_call_models(c.eligible, fpkm, cohort, "ref_id", ["ins_share"]))
+
+
+@_query("site_models_adjusted")
+def _(c):
+    """Sites are (gene, type) here, as a position of these tables has too few carriers."""
+    rows = c.eligible.join(_terms(c).select("individualID", "is_case", (F.col("burden") / 1000).alias("burden"), "ins_share"), "individualID")
+    return _rounded(regressions.adjusted_site_models(rows, ["ref_id", "a1type"], ["burden", "ins_share"], min_n=20))
+
+
+@_query("deconvolution")
+def _(c):
+    """Types are the kinds of parts; proportions by three aggregators over a hundred draws of markers."""
+    markers = c.table("part").select(F.col("p_type").alias("cell"), F.col("p_partkey").alias("gene"), F.col("p_size").alias("rank"))
+    return _rounded(deconvolution.ensemble(_rows(c), markers, size=20, aggregators=("mean", "scaled_mean", "median")).proportions)
