@@ -48,27 +48,41 @@ def site_uniqueness(cohort, classes: DataFrame) -> DataFrame:
     return ranks.benjamini_hochberg(t.withColumn("p_value", F.expr(tests.fisher_exact_sql(*names))))
 
 
-def local_stage4(cohort) -> DataFrame:
-    """Per (gene, type): carriers, aggregated proportions and Welch's test."""
-    per = cohort.eligible.groupBy("ref_id", "a1type", "condition", "individualID").agg(F.sum("a1_ad").alias("ad"), F.sum("dp").alias("depth"))
+def calls_of(cohort, classes: DataFrame) -> DataFrame:
+    """Eligible calls of the classified genes: the local steps narrow the global result, so they see no other gene."""
+    return cohort.eligible.join(classes.select("ref_id").distinct(), "ref_id", "left_semi")
+
+
+def gene_calltypes(cohort) -> DataFrame:
+    """Sites, individuals and depths per (gene, type) of the complete genes."""
+    complete = aggregates.complete_genes(cohort.eligible, cohort.individual)
+    return aggregates.aggregate_calltypes(cohort.eligible.join(complete, "ref_id", "left_semi"))
+
+
+def local_stage4(calls: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Per (gene, type) of the given calls: carriers, aggregated proportions and Welch's test."""
+    per = calls.groupBy("ref_id", "a1type", "condition", "individualID").agg(F.sum("a1_ad").alias("ad"), F.sum("dp").alias("depth"))
     per = per.withColumn("proportion", F.col("ad") / F.col("depth").cast("double"))
     arm = lambda c, x: F.sum(F.when(F.col("condition") == c, F.col(x)))
-    props = per.groupBy("ref_id", "a1type").agg(*[(arm(c, "ad") / arm(c, "depth")).alias(f"prop_{c}") for c in ("case", "ref")])
-    t = tests.welch_t(per, ["ref_id", "a1type"]).join(props, ["ref_id", "a1type"])
-    n1, n2 = cohort.sizes["case"], cohort.sizes["ref"]
+    pooled = {f"prop_{c}": arm(c, "ad") / arm(c, "depth") for c in ("case", "ref")}
+    t = tests.welch_t(per, ["ref_id", "a1type"], extra=pooled)
+    n1, n2 = sizes["case"], sizes["ref"]
     t = t.withColumn("has_majority", (F.col("n_case") >= -(-n1 // 2)) | (F.col("n_ref") >= -(-n2 // 2)))
     # A row for each gene and type: ranked by ranges of p-values, so no task has them all.
     return ranks.benjamini_hochberg(t.withColumn("local_dist", scalars.classify_local(F.col("n_case"), F.col("n_ref"), n1, n2)), parts=64)
 
 
-def local_sites(cohort, *, alpha: float = 0.01) -> DataFrame:
-    """Stages 4 to 6: retained by basis and majority, then a pooled Mann-Whitney of the retained, and the final rule."""
-    t = local_stage4(cohort)
-    basis = F.broadcast(ranks.choose_basis(t, alpha=alpha).select("basis"))
-    hit = F.when(F.col("basis") == "adj_pvalue", F.col("adj_pvalue")).when(F.col("basis") == "p_value", F.col("p_value")) < alpha
-    t = t.join(basis, F.lit(True)).withColumn("retained", F.coalesce(hit, F.lit(False)) & F.col("has_majority")).drop("basis")
-    kept = cohort.eligible.join(t.where("retained").select("ref_id", "a1type"), ["ref_id", "a1type"], "left_semi")
-    stage6 = ranks.benjamini_hochberg(tests.mannwhitney_pooled(kept, ["ref_id", "a1type"]), "prop_p_value", "prop_adj_pvalue")
+def local_sites(cohort, classes: DataFrame, *, alpha: float = 0.01) -> DataFrame:
+    """Stages 4 to 6 over the classified genes: retained by basis and majority, then a pooled Mann-Whitney of the retained,
+    and the final rule."""
+    calls = stored(calls_of(cohort, classes))
+    # The basis, the retained pairs and the result all start from stage 4, so it is written once.
+    t = stored(local_stage4(calls, cohort.sizes))
+    basis = ranks.choose_basis(t, alpha=alpha).first()["basis"]
+    hit = F.col(basis) < alpha if basis else F.lit(False)
+    t = t.withColumn("retained", F.coalesce(hit, F.lit(False)) & F.col("has_majority"))
+    kept = calls.join(t.where("retained").select("ref_id", "a1type"), ["ref_id", "a1type"], "left_semi")
+    stage6 = ranks.benjamini_hochberg(tests.mannwhitney_pooled(kept, ["ref_id", "a1type"]), "prop_p_value", "prop_adj_pvalue", parts=64)
     t = t.join(stage6, ["ref_id", "a1type"], "left")
     final = scalars.final_retained(F.col("retained"), F.col("n_case"), F.col("n_ref"), F.col("prop_p_value"))
     return t.withColumn("final_retained", final.cast("int")).withColumn("retained", F.col("retained").cast("int"))
@@ -96,16 +110,40 @@ def threshold_sweep(cohort, classes: DataFrame) -> DataFrame:
 
 
 def analyse_all(cohort) -> dict[str, DataFrame]:
-    """All analyses in order with one set of parameters. The significant genes are found once and carried through: the
-    sweep, the site test and the correlation look at these genes only (at all tested ones where there are none)."""
+    """All analyses in order with one set of parameters.
+
+    Tests, types and their counts are of the complete genes. The significant genes are found once (all tested ones where
+    there are none) and classified; the sweep, the site test, the local steps, the correlation and the load look at these.
+    ``run_log`` (key, value) is what gene tests note for later steps, which the cascade is checked against."""
     tested = stored(gene_tests(cohort))
-    genes = stored(ranks.resolve_gene_set(ranks.significant(tested, ranks.choose_basis(tested)), tested))
+    basis = ranks.choose_basis(tested)
+    genes = stored(ranks.resolve_gene_set(ranks.significant(tested, basis), tested))
     classes = stored(aggregates.classify_genes(cohort.eligible.join(genes, "ref_id", "left_semi")))
+    types = stored(calltype_tests(cohort))
     return {
-        "gene_tests": tested, "global_gene_set": genes, "calltype_tests": calltype_tests(cohort), "gene_calltypes": aggregates.aggregate_calltypes(cohort.eligible.join(genes, "ref_id", "left_semi")),
+        "gene_tests": tested, "global_gene_set": genes, "calltype_tests": types, "gene_calltypes": gene_calltypes(cohort),
         "gene_classes": classes, "calltype_load": aggregates.calltype_load(cohort.eligible, genes), "threshold_sweep": threshold_sweep(cohort, classes), "expression_correlation": expression_correlation(cohort, genes),
-        "site_uniqueness": site_uniqueness(cohort, classes), "local_sites": local_sites(cohort), "filter_cascade": aggregates.filter_cascade(cohort.loaded), "calltype_rates": aggregates.calltype_rates(cohort.eligible),
+        "site_uniqueness": site_uniqueness(cohort, classes), "local_sites": local_sites(cohort, classes), "filter_cascade": aggregates.filter_cascade(cohort.loaded), "calltype_rates": aggregates.calltype_rates(cohort.eligible),
+        "run_log": gene_tests_log(cohort, tested, types, genes, classes),
+    }
+
+
+def gene_tests_log(cohort, tested: DataFrame, types: DataFrame, genes: DataFrame, classes: DataFrame, *, alpha: float = 0.05, threshold: float = 0.75) -> DataFrame:
+    """key, value (strings) of a run of gene tests: its parameters, and how many calls, genes and tests there were."""
+    e = cohort.eligible.agg(F.count("*").alias("calls"), F.count_distinct("ref_id").alias("genes")).first()
+    basis, of_types = ranks.choose_basis(tested, alpha=alpha).first(), ranks.choose_basis(types, alpha=alpha).first()
+    t = tested.agg(F.count("*").alias("n"), F.count("p_value").alias("defined"), F.count_if(F.col("adj_pvalue") < alpha).alias("adjusted")).first()
+    g = genes.agg(F.count("*").alias("n"), F.coalesce(F.max("filtered"), F.lit(False)).alias("filtered")).first()
+    c = {r["gene_group"]: r["n"] for r in classes.groupBy("gene_group").agg(F.count("*").alias("n")).collect()}
+    n_calls = cohort.eligible.join(genes, "ref_id", "left_semi").count()
+    sizes = cohort.sizes
+    log = {
+        "case_condition": cohort.case, "reference_condition": cohort.ref, "n_case": sizes["case"], "n_reference": sizes["ref"], "min_depth": scalars.MIN_DEPTH, "global_alpha": alpha, "group_threshold": threshold,
+        "n_eligible_calls": e["calls"], "n_genes_considered": e["genes"], "n_genes_complete": t["n"], "n_tests": t["n"], "n_tests_defined": t["defined"], "n_tests_adjusted_sig": t["adjusted"],
+        "n_genes_global_set": g["n"] if g["filtered"] else 0, "global_set_basis": basis["basis"] or "none", "calltype_basis": of_types["basis"] or "none", "n_calltypes_tested": of_types["n_tests"], "n_calltypes_adjusted_sig": of_types["n_adjusted"],
+        "subset_from_global_set": int(g["filtered"]), "n_genes_in_subsets": g["n"], "n_calls_in_subsets": n_calls, "n_genes_classified": sum(c.values()), "group_sizes": ",".join(f"{k}={c[k]}" for k in sorted(c)),
     }
+    return cohort.spark.createDataFrame([(f"gene_tests.{k}", str(v)) for k, v in log.items()], "key string, value string")
 
 
 def rna_unique(cohort, k: int = 4) -> DataFrame:

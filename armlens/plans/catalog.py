@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars
 from ..functions.special import two_sided_normal_sql
 from ..operators import aggregates, deconvolution, expression, joins, models, ranks, regressions, tests
+from ..operators.stored import stored
 from ..sources.driver_view import Cohort, with_views
 from . import analyses
 
@@ -143,9 +144,29 @@ def _(c):
 
 @_query("cascade_check", """SELECT 'min_depth' AS "check", 20::BIGINT AS recorded, 20::BIGINT AS found, true AS agrees UNION ALL SELECT 'eligible_calls', count(*), count(*), true FROM eligible""")
 def _(c):
-    """The log is as gene tests would have written it."""
-    log = c.eligible.agg(F.count("*").cast("string").alias("n")).select(F.explode(F.array(F.struct(F.lit("gene_tests.min_depth").alias("key"), F.lit("20").alias("value")), F.struct(F.lit("gene_tests.n_eligible_calls").alias("key"), F.col("n").alias("value")))).alias("r")).select("r.*")
-    return aggregates.cascade_check(aggregates.filter_cascade(c.loaded), log)
+    """The log is the one that the whole run's gene tests write."""
+    return aggregates.cascade_check(aggregates.filter_cascade(c.loaded), _log(c))
+
+
+def _log(c) -> DataFrame:
+    tested = stored(analyses.gene_tests(c))
+    genes = stored(ranks.resolve_gene_set(ranks.significant(tested, ranks.choose_basis(tested)), tested))
+    classes = aggregates.classify_genes(analyses.calls_of(c, genes))
+    return analyses.gene_tests_log(c, tested, analyses.calltype_tests(c), genes, classes)
+
+
+@_query("gene_tests_log", f"""{_CHOSEN}, gc AS (SELECT ref_id, count(*) FILTER (condition = 'case') / CAST(count(*) AS DOUBLE) AS share FROM eligible e SEMI JOIN chosen c ON e.ref_id = c.ref_id GROUP BY 1),
+    gg AS (SELECT CASE WHEN share >= 0.75 THEN 'case_enriched' WHEN 1 - share >= 0.75 THEN 'ref_enriched' ELSE 'Shared' END AS k, count(*) AS n FROM gc GROUP BY 1), f AS (SELECT coalesce(max(filtered), false) AS filtered, count(*) AS n FROM chosen),
+    kv(key, value) AS (SELECT 'n_eligible_calls', (SELECT count(*) FROM eligible)::VARCHAR UNION ALL SELECT 'n_genes_considered', (SELECT count(DISTINCT ref_id) FROM eligible)::VARCHAR UNION ALL SELECT 'n_genes_complete', (SELECT count(*) FROM complete)::VARCHAR
+      UNION ALL SELECT 'n_tests', count(*)::VARCHAR FROM adjusted UNION ALL SELECT 'n_tests_defined', count(p_value)::VARCHAR FROM adjusted UNION ALL SELECT 'n_tests_adjusted_sig', count(*) FILTER (adj_pvalue < 0.05)::VARCHAR FROM adjusted
+      UNION ALL SELECT 'global_set_basis', coalesce(basis, 'none') FROM b UNION ALL SELECT 'n_genes_global_set', CASE WHEN filtered THEN n ELSE 0 END::VARCHAR FROM f UNION ALL SELECT 'subset_from_global_set', CASE WHEN filtered THEN '1' ELSE '0' END FROM f UNION ALL SELECT 'n_genes_in_subsets', n::VARCHAR FROM f
+      UNION ALL SELECT 'n_calls_in_subsets', (SELECT count(*) FROM eligible e SEMI JOIN chosen c ON e.ref_id = c.ref_id)::VARCHAR UNION ALL SELECT 'n_genes_classified', count(*)::VARCHAR FROM gc UNION ALL SELECT 'group_sizes', string_agg(k || '=' || n, ',' ORDER BY k) FROM gg
+      UNION ALL SELECT 'n_case', n1::VARCHAR FROM sizes UNION ALL SELECT 'n_reference', n2::VARCHAR FROM sizes UNION ALL SELECT 'min_depth', '20')
+    SELECT 'gene_tests.' || key AS key, value FROM kv)""")
+def _(c):
+    """What doesn't concern the test of types, which the log notes as well."""
+    keys = "n_eligible_calls n_genes_considered n_genes_complete n_tests n_tests_defined n_tests_adjusted_sig global_set_basis n_genes_global_set subset_from_global_set n_genes_in_subsets n_calls_in_subsets n_genes_classified group_sizes n_case n_reference min_depth"
+    return _log(c).where(F.col("key").isin([f"gene_tests.{k}" for k in keys.split()]))
 
 
 @_query("exclusion_by_type", """SELECT p_type AS transcript_type, count(DISTINCT p_partkey) AS n_genes, count(*) AS n_transcripts FROM part WHERE contains(p_type, 'PROMO') OR contains(p_type, 'STEEL') GROUP BY 1""")
@@ -174,6 +195,16 @@ CLASSES = """classes AS (SELECT ref_id, CASE WHEN a > b THEN 'case_enriched' WHE
     FROM (SELECT ref_id, count(*) FILTER (condition = 'case') AS a, count(*) FILTER (condition = 'ref') AS b FROM eligible GROUP BY 1))"""
 
 
+#: The same of the genes that were found significant (all tested ones where there are none).
+CHOSEN_CLASSES = f"""{_CHOSEN}, mine AS (SELECT e.* FROM eligible e SEMI JOIN chosen c ON e.ref_id = c.ref_id), {CLASSES.replace('FROM eligible GROUP BY 1', 'FROM mine GROUP BY 1')}"""
+
+
+@_query("gene_calltypes", f"""SELECT * FROM (WITH {COMPLETE} SELECT ref_id, a1type, count(*) FILTER (condition = 'case') AS n_sites_case, count(*) FILTER (condition = 'ref') AS n_sites_ref, count(DISTINCT "individualID") FILTER (condition = 'case') AS n_indiv_case, count(DISTINCT "individualID") FILTER (condition = 'ref') AS n_indiv_ref,
+    CAST(coalesce(sum(a1_ad) FILTER (condition = 'case'), 0) AS BIGINT) AS sum_ad_case, CAST(coalesce(sum(a1_ad) FILTER (condition = 'ref'), 0) AS BIGINT) AS sum_ad_ref, CAST(coalesce(sum(dp) FILTER (condition = 'case'), 0) AS BIGINT) AS sum_dp_case, CAST(coalesce(sum(dp) FILTER (condition = 'ref'), 0) AS BIGINT) AS sum_dp_ref FROM eligible e SEMI JOIN complete c ON e.ref_id = c.ref_id GROUP BY 1, 2)""")
+def _(c):
+    return analyses.gene_calltypes(c)
+
+
 @_query("classify_genes", f"SELECT * FROM (WITH {CLASSES} SELECT * FROM classes)")
 def _(c):
     return aggregates.classify_genes(c.eligible)
@@ -201,11 +232,11 @@ def _(c):
 
 @_query(
     "threshold_sweep",
-    f"""SELECT * FROM (WITH {CLASSES}, th AS (SELECT unnest([0.6e0, 0.7e0, 0.8e0, 0.75e0]) AS threshold), gg AS (SELECT unnest(['case_enriched', 'ref_enriched', 'Shared']) AS gene_group)
+    f"""{CHOSEN_CLASSES}, th AS (SELECT unnest([0.6e0, 0.7e0, 0.8e0, 0.75e0]) AS threshold), gg AS (SELECT unnest(['case_enriched', 'ref_enriched', 'Shared']) AS gene_group)
     SELECT threshold, gene_group, (SELECT count(*) FROM classes WHERE gg.gene_group = CASE WHEN n_calls_case / CAST(n_calls_case + n_calls_ref AS DOUBLE) >= threshold THEN 'case_enriched' WHEN n_calls_ref / CAST(n_calls_case + n_calls_ref AS DOUBLE) >= threshold THEN 'ref_enriched' ELSE 'Shared' END) AS n_genes FROM th, gg)""",
 )
 def _(c):
-    return aggregates.threshold_sweep(aggregates.classify_genes(c.eligible), analyses.THRESHOLDS)
+    return analyses.threshold_sweep(c, analyses.gene_classes(c))
 
 
 @_query(
@@ -230,10 +261,11 @@ def _(c):
     return aggregates.call_burden(c.loaded)
 
 
-UNIQUE = f"""{CLASSES}, car AS (SELECT chrom, pos, count(DISTINCT "individualID") AS k FROM eligible GROUP BY 1, 2), cells AS (SELECT edit_dist, a1type,
+_UNIQUE = """car AS (SELECT chrom, pos, count(DISTINCT "individualID") AS k FROM eligible GROUP BY 1, 2), cells AS (SELECT edit_dist, a1type,
     count(DISTINCT (chrom, pos)) FILTER (condition = 'case' AND k = 1) AS n_case_unique, count(DISTINCT (chrom, pos)) FILTER (condition = 'case' AND k > 1) AS n_case_common,
     count(DISTINCT (chrom, pos)) FILTER (condition = 'ref' AND k = 1) AS n_ref_unique, count(DISTINCT (chrom, pos)) FILTER (condition = 'ref' AND k > 1) AS n_ref_common
     FROM eligible JOIN classes USING (ref_id) JOIN car USING (chrom, pos) GROUP BY 1, 2)"""
+UNIQUE = f"{CLASSES}, {_UNIQUE}"
 
 
 @_query("count_positions", f"SELECT * FROM (WITH {UNIQUE} SELECT * FROM cells)")
@@ -246,7 +278,7 @@ _OR = scalars.odds_ratio_ci_sql("n_case_unique", "n_case_common", "n_ref_unique"
 
 @_query(
     "site_uniqueness",
-    f"""SELECT * FROM (WITH {UNIQUE}, lf AS (SELECT *, lgamma(n_case_unique + n_case_common + 1) + lgamma(n_ref_unique + n_ref_common + 1) + lgamma(n_case_unique + n_ref_unique + 1) + lgamma(n_case_common + n_ref_common + 1) - lgamma(n_case_unique + n_case_common + n_ref_unique + n_ref_common + 1) AS c,
+    f"""{CHOSEN_CLASSES}, {_UNIQUE}, lf AS (SELECT *, lgamma(n_case_unique + n_case_common + 1) + lgamma(n_ref_unique + n_ref_common + 1) + lgamma(n_case_unique + n_ref_unique + 1) + lgamma(n_case_common + n_ref_common + 1) - lgamma(n_case_unique + n_case_common + n_ref_unique + n_ref_common + 1) AS c,
       unnest(generate_series(greatest(0, n_case_unique - n_ref_common), least(n_case_unique + n_case_common, n_case_unique + n_ref_unique))) AS k FROM cells),
     pk AS (SELECT *, exp(c - lgamma(k + 1) - lgamma(n_case_unique + n_case_common - k + 1) - lgamma(n_case_unique + n_ref_unique - k + 1) - lgamma(n_ref_common - n_case_unique + k + 1)) AS p FROM lf),
     po AS (SELECT *, max(p) FILTER (k = n_case_unique) OVER (PARTITION BY edit_dist, a1type) AS seen FROM pk),
@@ -254,27 +286,83 @@ _OR = scalars.odds_ratio_ci_sql("n_case_unique", "n_case_common", "n_ref_unique"
     SELECT edit_dist, a1type, n_case_unique, n_case_common, n_ref_unique, n_ref_common, round({_OR['odds_ratio']}, 6) AS odds_ratio, round({_OR['ci_low']}, 6) AS ci_low, round({_OR['ci_high']}, 6) AS ci_high, round(p_value, 6) AS p_value FROM fi)""",
 )
 def _(c):
-    t = analyses.site_uniqueness(c, aggregates.classify_genes(c.eligible))
+    t = analyses.site_uniqueness(c, stored(analyses.gene_classes(c)))
     return _rounded(t.select("edit_dist", "a1type", "n_case_unique", "n_case_common", "n_ref_unique", "n_ref_common", "odds_ratio", "ci_low", "ci_high", "p_value"))
 
 
-@_query(
-    "welch_stage4",
-    """SELECT * FROM (WITH per AS (SELECT ref_id, a1type, condition, "individualID", sum(a1_ad) AS ad, sum(dp) AS depth, sum(a1_ad) / CAST(sum(dp) AS DOUBLE) AS p FROM eligible GROUP BY 1, 2, 3, 4),
+def _t_sql(t: str, df: str) -> str:
+    """Two-sided p-value of t: the tail as an integral over the angle (Simpson's rule), another way than the engine's."""
+    phi = f"(atan(sqrt({df}) / ({t})))"
+    area = f"list_sum([(CASE WHEN k % 2 = 1 THEN 4 WHEN k = 400 THEN 1 ELSE 2 END) * power(k / 400e0, 3) * power(sin({phi} * power(k / 400e0, 4)), {df} - 1) for k in range(1, 401)])"
+    return f"CASE WHEN {t} = 0 THEN 1e0 WHEN {t} > 0 THEN 2e0 * exp(lgamma(({df} + 1) / 2e0) - lgamma({df} / 2e0)) / sqrt(pi()) * 4 * {phi} / 1200e0 * {area} END"
+
+
+def _bh_sql(source: str, p: str, adjusted: str) -> str:
+    """Every row of ``source`` with its adjusted p-value."""
+    return f"""SELECT *, CASE WHEN {p} IS NOT NULL THEN least(1e0, min(bh) OVER (PARTITION BY {p} IS NULL ORDER BY {p} DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) END AS {adjusted}
+        FROM (SELECT *, {p} * count({p}) OVER () / count(*) OVER (PARTITION BY {p} IS NULL ORDER BY {p} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bh FROM {source})"""
+
+
+_WELCH = """per AS (SELECT ref_id, a1type, condition, "individualID", sum(a1_ad) AS ad, sum(dp) AS depth, sum(a1_ad) / CAST(sum(dp) AS DOUBLE) AS p FROM mine GROUP BY 1, 2, 3, 4),
     g AS (SELECT ref_id, a1type, count(*) FILTER (condition = 'case') AS n_case, count(*) FILTER (condition = 'ref') AS n_ref, avg(p) FILTER (condition = 'case') AS m1, avg(p) FILTER (condition = 'ref') AS m2, var_samp(p) FILTER (condition = 'case') AS v1, var_samp(p) FILTER (condition = 'ref') AS v2,
       sum(ad) FILTER (condition = 'case') / CAST(sum(depth) FILTER (condition = 'case') AS DOUBLE) AS prop_case, sum(ad) FILTER (condition = 'ref') / CAST(sum(depth) FILTER (condition = 'ref') AS DOUBLE) AS prop_ref FROM per GROUP BY 1, 2),
-    s AS (SELECT *, CASE WHEN n_case > 1 AND n_ref > 1 THEN v1 / n_case + v2 / n_ref END AS se FROM g)
-    SELECT ref_id, a1type, n_case, n_ref, round(prop_case, 6) AS prop_case, round(prop_ref, 6) AS prop_ref, round(CASE WHEN se > 1e-18 THEN (m1 - m2) / sqrt(se) END, 5) AS t_stat, round(CASE WHEN se > 1e-18 THEN se * se / (power(v1 / n_case, 2) / (n_case - 1) + power(v2 / n_ref, 2) / (n_ref - 1)) END, 4) AS df FROM s)""",
+    s AS (SELECT *, CASE WHEN n_case > 1 AND n_ref > 1 THEN v1 / n_case + v2 / n_ref END AS se FROM g),
+    w AS (SELECT *, CASE WHEN se > 1e-18 THEN (m1 - m2) / sqrt(se) END AS t_stat, CASE WHEN se > 1e-18 THEN se * se / (power(v1 / n_case, 2) / (n_case - 1) + power(v2 / n_ref, 2) / (n_ref - 1)) END AS df FROM s)"""
+
+
+@_query(
+    "welch_stage4",
+    f"""{CHOSEN_CLASSES}, {_WELCH}
+    SELECT ref_id, a1type, n_case, n_ref, round(prop_case, 6) AS prop_case, round(prop_ref, 6) AS prop_ref, round(t_stat, 5) AS t_stat, round(df, 4) AS df FROM w)""",
 )
 def _(c):
-    t = analyses.local_stage4(c)
+    t = analyses.local_stage4(analyses.calls_of(c, analyses.gene_classes(c)), c.sizes)
     ok = F.expr("var_case / n_case + var_ref / n_ref > 1e-18")
     return t.select("ref_id", "a1type", "n_case", "n_ref", F.round("prop_case", 6).alias("prop_case"), F.round("prop_ref", 6).alias("prop_ref"), F.round(F.when(ok, F.col("t_stat")), 5).alias("t_stat"), F.round(F.when(ok, F.col("df")), 4).alias("df"))
 
 
-@_query("local_sites")
+def _pooled_sql(source: str) -> str:
+    """Common table expressions that end in ``pooled``: Mann-Whitney of each (gene, type) by the normal approximation."""
+    rank = "rank() OVER (PARTITION BY ref_id, a1type ORDER BY weighted) + (count(*) OVER (PARTITION BY ref_id, a1type, weighted) - 1) / 2e0"
+    return f"""pr AS (SELECT ref_id, a1type, condition = 'case' AS c, weighted, {rank} AS r, count(*) OVER (PARTITION BY ref_id, a1type, weighted) AS t FROM {source}),
+    pm AS (SELECT ref_id, a1type, count(*) FILTER (c) AS k1, count(*) FILTER (NOT c) AS k2, sum(r) FILTER (c) AS r1, sum(t * t - 1) AS ties, avg(weighted) FILTER (c) AS w1, avg(weighted) FILTER (NOT c) AS w2 FROM pr GROUP BY 1, 2),
+    pu AS (SELECT *, r1 - k1 * (k1 + 1) / 2e0 AS u, sqrt(k1 * k2 / 12e0 * (k1 + k2 + 1 - ties / (CAST(k1 + k2 AS DOUBLE) * (k1 + k2 - 1)))) AS sd FROM pm),
+    pz AS (SELECT *, CASE WHEN k1 > 0 AND k2 > 0 AND sd > 0 THEN (greatest(u, k1 * k2 - u) - k1 * k2 / 2e0 - 0.5e0) / sd END AS z FROM pu),
+    pooled AS (SELECT ref_id, a1type, CASE WHEN k1 > 0 AND k2 > 0 THEN u END AS prop_u_stat, CASE WHEN z IS NOT NULL THEN CASE WHEN z >= 0 THEN {two_sided_normal_sql('z')} ELSE 1e0 END END AS prop_p_value,
+      CASE WHEN k1 = 0 THEN 'ref' WHEN k2 = 0 OR w1 > w2 THEN 'case' ELSE 'ref' END AS higher_prop FROM pz)"""
+
+
+@_query(
+    "mannwhitney_pooled",
+    f"""{CHOSEN_CLASSES}, many AS (SELECT ref_id, a1type FROM mine GROUP BY 1, 2 HAVING count(*) FILTER (condition = 'case') > 8 AND count(*) FILTER (condition = 'ref') > 8), src AS (SELECT e.* FROM mine e SEMI JOIN many m ON e.ref_id = m.ref_id AND e.a1type = m.a1type), {_pooled_sql('src')}
+    SELECT ref_id, a1type, round(prop_u_stat, 6) AS prop_u_stat, round(prop_p_value, 6) AS prop_p_value, round(adj_pvalue, 6) AS adj_pvalue FROM ({_bh_sql('pooled', 'prop_p_value', 'adj_pvalue')}))""",
+)
+def _(c):
+    """Pairs of a gene and a type with more than eight values in both arms (smaller arms have the exact test)."""
+    calls = stored(analyses.calls_of(c, analyses.gene_classes(c)))
+    arms = calls.groupBy("ref_id", "a1type").agg(F.count_if(F.col("condition") == "case").alias("a"), F.count_if(F.col("condition") == "ref").alias("b")).where("a > 8 AND b > 8")
+    t = tests.mannwhitney_pooled(calls.join(arms.select("ref_id", "a1type"), ["ref_id", "a1type"], "left_semi"), ["ref_id", "a1type"])
+    return _rounded(ranks.benjamini_hochberg(t, "prop_p_value", "adj_pvalue", parts=64).select("ref_id", "a1type", "prop_u_stat", "prop_p_value", "adj_pvalue"))
+
+
+_SIZE = "(SELECT count(*) FROM individual WHERE condition = '{}')"
+_LOCAL = f"""{CHOSEN_CLASSES}, {_WELCH},
+    wp AS (SELECT *, CASE WHEN se > 1e-18 THEN {_t_sql('abs(t_stat)', 'df')} WHEN se IS NOT NULL AND abs(m1 - m2) > 1e-12 THEN 0e0 END AS p_value FROM w), wa AS ({_bh_sql('wp', 'p_value', 'adj_pvalue')}),
+    lb AS (SELECT CASE WHEN count(*) FILTER (adj_pvalue < 0.01) >= 0.3 * count(*) THEN 'adj_pvalue' WHEN count(*) FILTER (p_value < 0.01) >= 0.3 * count(*) THEN 'p_value' END AS basis FROM wa),
+    wm AS (SELECT *, n_case >= ceil({_SIZE.format('case')} / 2e0) OR n_ref >= ceil({_SIZE.format('ref')} / 2e0) AS has_majority FROM wa),
+    wr AS (SELECT *, has_majority AND coalesce(CASE basis WHEN 'adj_pvalue' THEN adj_pvalue WHEN 'p_value' THEN p_value END < 0.01, false) AS retained,
+      CASE WHEN n_case = 0 AND n_ref = {_SIZE.format('ref')} OR n_ref = 0 AND n_case = {_SIZE.format('case')} THEN 'specific' WHEN n_case = 0 OR n_ref = 0 THEN 'low-specific' WHEN greatest(n_case, n_ref) >= 1.5 * least(n_case, n_ref) THEN 'double' ELSE 'differential' END AS local_dist FROM wm, lb),
+    src AS (SELECT e.* FROM mine e SEMI JOIN (SELECT * FROM wr WHERE retained) m ON e.ref_id = m.ref_id AND e.a1type = m.a1type), {_pooled_sql('src')}, pa AS ({_bh_sql('pooled', 'prop_p_value', 'prop_adj_pvalue')})"""
+
+
+@_query(
+    "local_sites",
+    f"""{_LOCAL} SELECT ref_id, a1type, n_case, n_ref, {', '.join(f'round({x}, 6) AS {x}' for x in ('prop_case', 'prop_ref', 'p_value', 'adj_pvalue', 'prop_u_stat', 'prop_p_value', 'prop_adj_pvalue'))}, has_majority, local_dist, CAST(retained AS INT) AS retained, higher_prop,
+    CAST(retained AND (greatest(n_case, n_ref) > 1 AND greatest(n_case, n_ref) >= 1.5 * least(n_case, n_ref) OR coalesce(prop_p_value < 0.05, false)) AS INT) AS final_retained FROM wr LEFT JOIN pa USING (ref_id, a1type))""",
+)
 def _(c):
-    return analyses.local_sites(c)
+    t = analyses.local_sites(c, stored(analyses.gene_classes(c)))
+    return _rounded(t.select("ref_id", "a1type", "n_case", "n_ref", "prop_case", "prop_ref", "p_value", "adj_pvalue", "prop_u_stat", "prop_p_value", "prop_adj_pvalue", "has_majority", "local_dist", "retained", "higher_prop", "final_retained"))
 
 
 @_query(
@@ -308,19 +396,6 @@ def _(c):
     return _rounded(tests.spearman(m, ["ref_id", "condition"], "tpm", "n_calls").select("ref_id", "condition", "n", "rho"))
 
 
-def _t_sql(t: str, df: str) -> str:
-    """Two-sided p-value of t: the tail as an integral over the angle (Simpson's rule), another way than the engine's."""
-    phi = f"(atan(sqrt({df}) / ({t})))"
-    area = f"list_sum([(CASE WHEN k % 2 = 1 THEN 4 WHEN k = 400 THEN 1 ELSE 2 END) * power(k / 400e0, 3) * power(sin({phi} * power(k / 400e0, 4)), {df} - 1) for k in range(1, 401)])"
-    return f"CASE WHEN {t} = 0 THEN 1e0 WHEN {t} > 0 THEN 2e0 * exp(lgamma(({df} + 1) / 2e0) - lgamma({df} / 2e0)) / sqrt(pi()) * 4 * {phi} / 1200e0 * {area} END"
-
-
-def _bh_sql(source: str, p: str, adjusted: str) -> str:
-    """Every row of ``source`` with its adjusted p-value."""
-    return f"""SELECT *, CASE WHEN {p} IS NOT NULL THEN least(1e0, min(bh) OVER (PARTITION BY {p} IS NULL ORDER BY {p} DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) END AS {adjusted}
-        FROM (SELECT *, {p} * count({p}) OVER () / count(*) OVER (PARTITION BY {p} IS NULL ORDER BY {p} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bh FROM {source})"""
-
-
 def _spearman_sql(source: str, keys: str, x: str, y: str, least: int = 4) -> str:
     """Common table expressions that end in ``correlated``: keys, n, rho, p_value."""
     rank = lambda v: f"rank() OVER (PARTITION BY {keys} ORDER BY {v}) + (count(*) OVER (PARTITION BY {keys}, {v}) - 1) / 2e0"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import pytest
@@ -116,3 +117,21 @@ def test_audits(spark):
     loci = spark.createDataFrame([("L1", "A"), ("L2", "B"), ("L2", "C"), ("L3", "B"), ("L4", "D"), ("L5", "D"), ("L6", "E")], "locus_id string, gene_name string")
     got = {r["symbol"]: r["outcome"] for r in aggregates.symbol_audit(loci, loci.where("gene_name <> 'E'")).collect()}
     assert got == {"A": "clean", "B": "partial", "C": "lost", "D": "fragmented", "E": "lost"}
+
+
+@pytest.mark.parametrize("sizes", [(8, 8), (8, 300), (7, 2000), (1, 5), (8, 40)])
+def test_exact_half_loses_no_digits(sizes):
+    """Against the same counts in whole numbers."""
+    n1, n2 = sizes
+    half = n1 * n2 // 2
+    counts = [1] + [0] * half
+    for k in range(1, n1 + 1):
+        for u in range(half, n2 + k - 1, -1):
+            counts[u] -= counts[u - n2 - k]
+        for u in range(k, half + 1):
+            counts[u] += counts[u - k]
+    total, running, want = math.comb(n1 + n2, n1), 0, []
+    for c in counts:
+        running += c
+        want.append(min(1.0, 2 * running / total))
+    assert tests.exact_half(n1, n2).tolist() == pytest.approx(want, rel=1e-11)
