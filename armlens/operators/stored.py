@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -15,3 +15,12 @@ def stored(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="armlens-stored-"))
     return df.checkpoint()
+
+
+def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and an observation of aggregates that the next action over it fills (``.get``), so no pass of its own counts.
+
+    Rows are counted where they pass. Put it behind the last shuffle of that action: then each row is counted once, also
+    where tasks run again."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen

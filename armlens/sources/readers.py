@@ -23,6 +23,11 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return text.select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n")).alias("line"))
 
 
+def named_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """name (the file's, without its folder), file, value and line, which orders the lines of a file."""
+    return _lines(spark, path).withColumn("name", F.element_at(F.split("file", "/"), -1))
+
+
 def attribute(attrs: Column, key: str) -> Column:
     """A quoted attribute of a GTF line; empty is null."""
     found = F.regexp_extract(attrs, rf'(?:^|[;\s]){key}\s+"([^"]*)"', 1)
@@ -41,8 +46,9 @@ def read_gtf(spark: SparkSession, path: str, extra: tuple[str, ...] = ()) -> Dat
 def read_vcf_records(spark: SparkSession, path: str | list[str], samples: DataFrame) -> DataFrame:
     """Call records of each file's sample. ``samples``: file (its name), individualID (the sample column's name).
 
-    A file with one sample column only is used whatever the column's name. ``problem`` says why a record has no call:
-    no_ad_dp, short or null (none). Columns: individualID, chrom, pos, ref, alt1, a1_ad, dp, filter, line (which orders the
+    A file with one sample column only is used whatever the column's name. Lines that end before the sample's column aren't
+    records. ``problem`` says why a record has no call: no_sample, no_position, no_ad_dp, short (fewer values than the
+    format names, or no numbers) or null (none). Columns: individualID, chrom, pos, ref, alt1, a1_ad, dp, filter, line (which orders the
     records), problem.
     """
     lines = _lines(spark, path).withColumn("name", F.element_at(F.split("file", "/"), -1))
@@ -53,6 +59,7 @@ def read_vcf_records(spark: SparkSession, path: str | list[str], samples: DataFr
     part = F.split("value", "\t")
     # One row per file: the header table is as long as the list of files.
     body = lines.where(~F.col("value").startswith("#")).select("file", F.struct("file", "line").alias("line"), part.alias("p")).join(head, "file")
+    body = body.where(F.col("at").isNull() | (F.size("p") >= F.col("at")))
     keys, values = F.split(F.get("p", F.lit(8)), ":"), F.split(F.get("p", F.col("at") - 1), ":")
     of = lambda key: F.get(values, F.array_position(keys, key).cast("int") - 1)
     has = F.array_contains(keys, "AD") & F.array_contains(keys, "DP")
@@ -62,7 +69,7 @@ def read_vcf_records(spark: SparkSession, path: str | list[str], samples: DataFr
         "individualID", F.get("p", F.lit(0)).alias("chrom"), F.get("p", F.lit(1)).try_cast("long").alias("pos"), F.upper(F.get("p", F.lit(3))).alias("ref"),
         F.upper(F.get(F.split(F.get("p", F.lit(4)), ","), F.lit(0))).alias("alt1"), F.when(has, ad).alias("a1_ad"), F.when(has, dp).alias("dp"),
         F.when(filters.isNull() | (filters == ""), ".").otherwise(filters).alias("filter"), "line",
-        F.when(F.col("at").isNull(), "no_sample").when(~F.coalesce(has, F.lit(False)), "no_ad_dp").when(ad.isNull() | dp.isNull(), "short").alias("problem"),
+        F.when(F.col("at").isNull(), "no_sample").when(F.get("p", F.lit(1)).try_cast("long").isNull(), "no_position").when(~F.coalesce(has, F.lit(False)), "no_ad_dp").when(ad.isNull() | dp.isNull() | (F.size(values) < F.size(keys)), "short").alias("problem"),
     )
 
 
@@ -177,14 +184,19 @@ def load_catalogue(spark: SparkSession, path: str, chrom: str, pos: str, columns
     return rows if columns else rows.distinct()
 
 
+def files_below(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """individualID, path, file of files named <individualID><suffix> anywhere below the folder. The content isn't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(folder).select("path")
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.select("path", name.alias("file")).select(F.substring("file", F.lit(1), F.length("file") - len(suffix)).alias("individualID"), "path", "file")
+
+
 def cohort_files(spark: SparkSession, folder: str, individuals: DataFrame, suffix: str) -> DataFrame:
     """individualID, n_files, file: files named <individualID><suffix> anywhere below the folder. The content isn't read.
 
     Raises where an individual has none or several.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(folder).select("path")
-    name = F.element_at(F.split("path", "/"), -1)
-    named = files.select(F.expr(f"substring(element_at(split(path, '/'), -1), 1, length(element_at(split(path, '/'), -1)) - {len(suffix)})").alias("individualID"), "path", name.alias("file"))
+    named = files_below(spark, folder, suffix)
     found = individuals.select(F.col("individualID").cast("string")).join(named, "individualID", "left").groupBy("individualID").agg(F.count("path").alias("n_files"), F.min("path").alias("path"), F.min("file").alias("file"))
     wrong = found.where("n_files <> 1").limit(5).collect()
     if wrong:

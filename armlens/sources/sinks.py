@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +42,8 @@ def set_run_meta(spark: SparkSession, path: str, values: dict[str, str], writer:
 
 
 def run_meta(spark: SparkSession, path: str) -> DataFrame:
-    """The latest value of each key."""
-    return spark.read.parquet(path).groupBy("key").agg(F.max_by(F.struct("value", "written_by"), "written_at").alias("v"), F.max("written_at").alias("written_at")).select("key", "v.*", "written_at")
+    """The latest value of each key; of several of one moment the greatest, so it is the same in every read."""
+    return spark.read.parquet(path).groupBy("key").agg(F.max_by(F.struct("value", "written_by"), F.struct("written_at", "value", "written_by")).alias("v"), F.max("written_at").alias("written_at")).select("key", "v.*", "written_at")
 
 
 def write_lines(lines: DataFrame, path: str, keys: list[str], order: str, text: str = "value") -> None:
@@ -49,6 +51,49 @@ def write_lines(lines: DataFrame, path: str, keys: list[str], order: str, text:
     lines.select(*keys, order, text).repartition(*keys).sortWithinPartitions(*keys, order).select(*keys, text).write.mode("overwrite").partitionBy(*keys).text(path)
 
 
+def _store(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it takes it: any store that Spark can write to."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _store(spark, path)
+    return fs.exists(at)
+
+
+def write_files(lines: DataFrame, targets: dict[str, str], key: str, order: str, text: str = "value", *, overwrite: bool = False) -> None:
+    """One text file for each key of ``targets`` (key -> path), its lines in ``order``.
+
+    A key's lines are sorted by one task, which may spill, as a file needs one writer. All files are written to a folder
+    beside the first target; when all are there each is renamed to its place, so no reader sees a part of one. Keys
+    without lines get no file."""
+    spark = lines.sparkSession
+    aside = f"{next(iter(targets.values())).rsplit('/', 1)[0]}/_writing-{uuid.uuid4().hex}"
+    # Keys may hold signs that folder names can't, so folders are numbered.
+    number = {k: n for n, k in enumerate(sorted(targets))}
+    numbers = spark.createDataFrame(list(number.items()), f"{key} string, file_number int")
+    dealt = lines.join(numbers, key).repartition("file_number").sortWithinPartitions("file_number", order)
+    dealt.select("file_number", text).write.partitionBy("file_number").text(aside)
+    fs, folder = _store(spark, aside)
+    try:
+        for k, target in targets.items():
+            _, part = _store(spark, f"{aside}/file_number={number[k]}")
+            if not fs.exists(part):
+                continue
+            (written,) = [x.getPath() for x in fs.listStatus(part) if x.getPath().getName().startswith("part-")]
+            _, place = _store(spark, target)
+            if fs.exists(place):
+                if not overwrite:
+                    raise ValueError(f"{target} is there already")
+                fs.delete(place, False)
+            fs.mkdirs(place.getParent())
+            if not fs.rename(written, place):
+                raise OSError(f"{target} can't be written")
+    finally:
+        fs.delete(folder, True)
+
+
 def merge_parts(spark: SparkSession, folder: str, expected: int) -> DataFrame:
     """The union of summary parts, once all of them are there."""
     parts = spark.read.csv(folder, header=True, inferSchema=False).withColumn("_f", F.col("_metadata.file_path"))
