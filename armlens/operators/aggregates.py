@@ -221,3 +221,27 @@ def largest_gap(values: DataFrame, value: str, key: str) -> DataFrame:
     gaps = values.select(value, (F.lead(value).over(order) - F.col(value)).alias("gap")).where("gap IS NOT NULL")
     cut = gaps.agg(F.max_by(F.col(value) + F.col("gap") / 2, F.struct("gap", F.lit(0.0) - F.col(value))).alias("cut"))
     return values.join(F.broadcast(cut), F.lit(True)).select(key, value, "cut", F.when(F.col(value) > F.col("cut"), "high").otherwise("low").alias("side"))
+
+
+def rescue_audit(before: DataFrame, after: DataFrame) -> DataFrame:
+    """kind, name: what an exclusion gave back, from the loci's symbols (locus_id, gene_name) before and after it.
+
+    ``locus_removed``: a named locus has no symbol left. ``locus_rescued``: it had several symbols and has one now.
+    ``symbol_rescued``: it was on no locus of its own before and is on one now."""
+
+    def per_locus(rows: DataFrame, side: str) -> DataFrame:
+        named = rows.where("gene_name IS NOT NULL").select("locus_id", "gene_name").distinct()
+        return named.groupBy("locus_id").agg(F.count("*").alias(f"n_{side}"), F.min("gene_name").alias(f"symbol_{side}"))
+
+    loci = per_locus(before, "before").join(per_locus(after, "after"), "locus_id", "left")
+    kind = F.when(F.col("n_after").isNull(), "locus_removed").when((F.col("n_before") > 1) & (F.col("n_after") == 1), "locus_rescued")
+    moved = loci.select(kind.alias("kind"), F.col("locus_id").cast("string").alias("name")).where("kind IS NOT NULL")
+    alone = lambda side: loci.where(F.col(f"n_{side}") == 1).select(F.col(f"symbol_{side}").alias("name")).distinct()
+    symbols = alone("after").join(alone("before"), "name", "left_anti").join(before.select(F.col("gene_name").alias("name")).distinct(), "name", "left_semi")
+    return moved.unionByName(symbols.select(F.lit("symbol_rescued").alias("kind"), F.col("name").cast("string").alias("name")))
+
+
+def rescue_totals(audit: DataFrame) -> DataFrame:
+    """One row: loci_removed, loci_rescued, symbols_rescued."""
+    n = lambda k: F.count_if(F.col("kind") == k)
+    return audit.agg(n("locus_removed").alias("loci_removed"), n("locus_rescued").alias("loci_rescued"), n("symbol_rescued").alias("symbols_rescued"))

@@ -212,3 +212,44 @@ def sex_contrast(rows: DataFrame, y_genes: list, x_gene) -> DataFrame:
     s = s.join(seen, F.lit(True)).select("sample", F.try_divide("y", "n_y").alias("y_score"), "x_score").withColumn("contrast", F.col("y_score") - F.col("x_score"))
     call = F.when(F.col("side") == "high", "Y_high").when(F.col("contrast").isNotNull(), "X_high")
     return s.join(largest_gap(s, "contrast", "sample").select("sample", "side"), "sample").select("sample", "y_score", "x_score", "contrast", call.alias("sex_call"))
+
+
+def rescued_filter(counts: DataFrame, fpkm: DataFrame, groups: DataFrame, markers: DataFrame, *, min_fpkm: float = 1.0, **rule) -> DataFrame:
+    """gene, kept_by: ``filter`` (enough counts, see expression_filter), or ``rescue``: a marker that the filter would lose,
+    but whose mean share of the samples' totals (in millions) is above ``min_fpkm``.
+
+    Shares are of the given rows' totals, so a sample's excluded part doesn't move the threshold. A gene and sample
+    without a row count as 0. ``rule``: further arguments of the filter."""
+    kept = expression_filter(counts, groups, **rule).select("gene", F.lit("filter").alias("kept_by"))
+    n = fpkm.agg(F.count_distinct("sample").alias("n_samples"))
+    share = fpkm.withColumn("share", F.try_divide("value", F.sum("value").over(Window.partitionBy("sample"))) * 1e6)
+    # One row: the number of samples.
+    mean = share.groupBy("gene").agg(F.sum("share").alias("total")).join(F.broadcast(n), F.lit(True)).where(F.col("total") / F.col("n_samples") > min_fpkm)
+    saved = mean.join(markers.select("gene").distinct(), "gene", "left_semi").join(kept, "gene", "left_anti")
+    return kept.unionByName(saved.select("gene", F.lit("rescue").alias("kept_by")))
+
+
+def carried_matrices(counts: DataFrame, fpkm: DataFrame, kept: DataFrame) -> DataFrame:
+    """gene, sample, tpm, tmm, in_filter for all genes on the scale of the kept ones.
+
+    Totals, library sizes and scaling factors are those of the kept genes and are carried over to the others, so the
+    filtered matrices are the rows with ``in_filter`` and the whole ones a superset with the same values. That a sample's
+    kept shares add up to a million is asserted as the rows are made."""
+    genes = kept.select("gene").distinct().withColumn("in_filter", F.lit(True))
+    flag = lambda df: df.join(genes, "gene", "left").withColumn("in_filter", F.coalesce("in_filter", F.lit(False)))
+    c, f = flag(counts), flag(fpkm)
+    of = lambda df, name: df.where("in_filter").groupBy("sample").agg(F.sum("value").alias(name))
+    scale = of(f, "fpkm_total").join(of(c, "library"), "sample").join(tmm_factors(c.where("in_filter").select("gene", "sample", "value")), "sample", "left")
+    both = f.select("gene", "sample", "in_filter", F.col("value").alias("fpkm")).join(c.select("gene", "sample", "in_filter", F.col("value").alias("count")), ["gene", "sample", "in_filter"], "full").join(scale, "sample")
+    out = both.select("gene", "sample", F.try_divide("fpkm", "fpkm_total").alias("share"), (F.try_divide("count", F.col("library") * F.col("factor")) * 1e6).alias("tmm"), "in_filter")
+    whole = F.sum(F.when(F.col("in_filter"), F.col("share"))).over(Window.partitionBy("sample"))
+    checked = F.when(F.abs(whole - 1) > 1e-6, F.raise_error(F.lit("kept shares of a sample don't add up to 1"))).otherwise(F.col("share") * 1e6)
+    return out.select("gene", "sample", checked.cast("double").alias("tpm"), "tmm", "in_filter")
+
+
+def marker_survival(markers: DataFrame, everything: DataFrame, filtered: DataFrame, *, top: int = 500) -> DataFrame:
+    """cell, n_markers, in_matrix_all, in_matrix_filtered: how many of a type's first markers are among the matrix's genes."""
+    first = markers.withColumn("nth", F.row_number().over(Window.partitionBy("cell").orderBy("rank", "gene"))).where(F.col("nth") <= top).select("cell", "gene").distinct()
+    there = lambda df, name: df.select("gene").distinct().withColumn(name, F.lit(1))
+    j = first.join(there(everything, "in_all"), "gene", "left").join(there(filtered, "in_filtered"), "gene", "left")
+    return j.groupBy("cell").agg(F.count("*").alias("n_markers"), F.count("in_all").alias("in_matrix_all"), F.count("in_filtered").alias("in_matrix_filtered"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.special import two_sided_normal_sql
-from ..functions.tails import chi2_upper, f_upper
+from ..functions.tails import chi2_upper, f_upper, t_two_sided
 from .ranks import benjamini_hochberg
 from .tests import _normal_p, spearman
 
@@ -334,3 +334,26 @@ def proportion_ensemble(rows: DataFrame, markers: DataFrame, *, draws: int = 100
 def ensemble_summary(proportions: DataFrame) -> DataFrame:
     """sample, cell, mean, sd over draws."""
     return proportions.groupBy("sample", "cell").agg(F.avg("proportion").alias("mean"), F.stddev_samp("proportion").alias("sd"))
+
+
+def burden_composition(values: DataFrame, part: str, burden: str, share: str, group: str = "condition") -> DataFrame:
+    """Per part (of a composition): n, Spearman's rho of burden and share with p-value, the same of ranks less their
+    group's mean rank (rho_partial), and both p-values adjusted over parts. ``values``: a row for each part and individual.
+    Below five rows all are null."""
+    rows = values.dropna(subset=[burden, share])
+    marginal = spearman(rows, [part], burden, share, least=5)
+    partial = partial_spearman(rows, [part], burden, share, group).select(part, F.when(F.col("n") >= 5, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.round("partial_rho", 12)))).alias("rho_partial"))
+    j = marginal.join(partial, part).withColumn("df", (F.col("n") - 2).cast("double"))
+    r = F.col("rho_partial")
+    t = F.when(F.abs(r) < 1, F.abs(r) * F.sqrt(F.col("df") / (1 - r * r)))
+    j = j.withColumn("p_partial", F.when(F.abs(r) >= 1, F.lit(0.0)).otherwise(t_two_sided(t, F.col("df")))).drop("df")
+    return benjamini_hochberg(benjamini_hochberg(j, "p_value", "fdr"), "p_partial", "fdr_partial")
+
+
+def burden_contrast(values: DataFrame, burden: str) -> DataFrame:
+    """One row: each condition's number of individuals and mean burden, the ratio of the means, Wilcoxon's p-value and the
+    shift."""
+    one = values.dropna(subset=[burden]).withColumn("all", F.lit(1))
+    arm = lambda c: F.avg(F.when(F.col("condition") == c, F.col(burden))).alias(f"mean_{c}")
+    means = one.groupBy("all").agg(arm("case"), arm("ref"))
+    return group_comparison(one, "all", burden).select("all", "n_case", "n_ref", "p_value", "shift").join(means, "all").select("n_case", "n_ref", "mean_case", "mean_ref", F.try_divide("mean_case", "mean_ref").alias("ratio"), "shift", "p_value")

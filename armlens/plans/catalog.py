@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
@@ -492,8 +492,6 @@ def _(c):
 
 @_query("percentile_of_burden", """SELECT "individualID", round(cume_dist() OVER (ORDER BY count(*)), 6) AS share FROM loaded GROUP BY 1""")
 def _(c):
-    from pyspark.sql import Window
-
     # A row for each individual: a cohort's size.
     burden = c.loaded.groupBy("individualID").agg(F.count("*").alias("n"))
     return burden.select("individualID", F.round(F.cume_dist().over(Window.orderBy("n")), 6).alias("share"))
@@ -750,8 +748,6 @@ def _(c):
 def _(c):
     n = c.eligible.groupBy("individualID", F.col("a1type").alias("part")).agg(F.count("*").alias("n"))
     grid = c.individual.select("individualID").join(n.select("part").distinct(), F.lit(True)).join(n, ["individualID", "part"], "left").fillna(0, ["n"])
-    from pyspark.sql import Window
-
     return _rounded(expression.centred_log_ratio(grid.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("individualID")))))
 
 
@@ -798,3 +794,77 @@ def _(c):
     """Types are the kinds of parts; proportions by three aggregators over a hundred draws of markers."""
     markers = c.table("part").select(F.col("p_type").alias("cell"), F.col("p_partkey").alias("gene"), F.col("p_size").alias("rank"))
     return _rounded(deconvolution.ensemble(_rows(c), markers, size=20, aggregators=("mean", "scaled_mean", "median")).proportions)
+
+
+_FILTER = f"""{MATRIX_ROWS}, lib AS (SELECT sample, sum(value) AS library FROM xm GROUP BY 1), md AS (SELECT quantile_cont(library, 0.5) AS median FROM lib), nd AS (SELECT CASE WHEN least(n1, n2) > 10 THEN 10 + (least(n1, n2) - 10) * 0.7e0 ELSE least(n1, n2) END AS need FROM sizes),
+    fl AS (SELECT gene FROM xm JOIN lib USING (sample), md, nd GROUP BY gene, need HAVING count(*) FILTER (value / library >= 1000e0 / median) >= need - 1e-14 AND sum(value) >= 15),
+    mk AS (SELECT p_brand AS cell, p_partkey AS gene, p_size AS rank FROM part), few AS (SELECT gene FROM mk WHERE rank <= 10),
+    av AS (SELECT gene, sum(value / library) * 1e6 / (SELECT count(*) FROM lib) AS mean FROM xm JOIN lib USING (sample) GROUP BY 1),
+    kept AS (SELECT gene, 'filter' AS kept_by FROM fl UNION ALL SELECT DISTINCT gene, 'rescue' FROM av JOIN few USING (gene) WHERE mean > 100 AND gene NOT IN (SELECT gene FROM fl))"""
+
+
+def _rescued(c) -> DataFrame:
+    markers = _markers(c).where("rank <= 10")
+    return expression.rescued_filter(_rows(c), _rows(c), _arms(c), markers, min_fpkm=100.0, min_count=1000.0)
+
+
+@_query("marker_rescue", f"SELECT * FROM (WITH {_FILTER} SELECT gene, kept_by FROM kept)")
+def _(c):
+    return _rescued(c)
+
+
+@_query("carried_tpm", f"""SELECT * FROM (WITH {_FILTER}, tt AS (SELECT sample, sum(value) AS total FROM xm SEMI JOIN kept k ON xm.gene = k.gene GROUP BY 1)
+    SELECT xm.gene, xm.sample, round(value / total * 1e6, 4) AS tpm, xm.gene IN (SELECT gene FROM kept) AS in_filter FROM xm JOIN tt USING (sample))""")
+def _(c):
+    rows = _rows(c)
+    return expression.carried_matrices(rows, rows, stored(_rescued(c))).select("gene", "sample", F.round("tpm", 4).alias("tpm"), "in_filter")
+
+
+@_query("marker_survival", f"""SELECT * FROM (WITH {_FILTER}, top AS (SELECT cell, gene FROM (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY rank, gene) AS r FROM mk) WHERE r <= 500)
+    SELECT cell, count(*) AS n_markers, count(*) FILTER (gene IN (SELECT gene FROM xm)) AS in_matrix_all, count(*) FILTER (gene IN (SELECT gene FROM kept)) AS in_matrix_filtered FROM top GROUP BY 1)""")
+def _(c):
+    return expression.marker_survival(_markers(c), _rows(c), _rescued(c))
+
+
+@_query("rescue_audit", """SELECT * FROM (WITH l AS (SELECT p_partkey // 3 AS locus_id, p_brand AS s, p_type <> 'PROMO' AS stays FROM part), lo AS (SELECT locus_id, count(DISTINCT s) AS b, min(s) AS sb, count(DISTINCT s) FILTER (stays) AS a, min(s) FILTER (stays) AS sa FROM l GROUP BY 1)
+    SELECT 'locus_removed' AS kind, locus_id::VARCHAR AS name FROM lo WHERE a = 0 UNION ALL SELECT 'locus_rescued', locus_id::VARCHAR FROM lo WHERE b > 1 AND a = 1
+    UNION ALL SELECT 'symbol_rescued', sa FROM (SELECT DISTINCT sa FROM lo WHERE a = 1) WHERE sa NOT IN (SELECT sb FROM lo WHERE b = 1))""")
+def _(c):
+    """Loci are three parts each, symbols are brands, and the parts of one kind are excluded."""
+    rows = c.table("part").select(F.expr("p_partkey div 3").alias("locus_id"), F.col("p_brand").alias("gene_name"), "p_type")
+    return aggregates.rescue_audit(rows, rows.where("p_type <> 'PROMO'"))
+
+
+def _shares(c) -> DataFrame:
+    """A row for each call type and individual: its share of the individual's calls, and their number."""
+    total = F.sum("n").over(Window.partitionBy("individualID"))
+    n = c.eligible.groupBy("individualID", "condition", "a1type").agg(F.count("*").alias("n"))
+    return n.select("individualID", "condition", "a1type", (F.col("n") / total).alias("share"), total.cast("double").alias("burden"))
+
+
+_SHARES = """sh AS (SELECT "individualID", condition, a1type, count(*) / CAST(sum(count(*)) OVER (PARTITION BY "individualID") AS DOUBLE) AS share, CAST(sum(count(*)) OVER (PARTITION BY "individualID") AS DOUBLE) AS burden FROM eligible GROUP BY 1, 2, 3)"""
+
+
+@_query(
+    "burden_composition",
+    f"""SELECT * FROM (WITH {_SHARES}, {_spearman_sql('sh', 'a1type', 'burden', 'share', 5)},
+    ra AS (SELECT a1type, condition, rank() OVER (PARTITION BY a1type ORDER BY burden) + (count(*) OVER (PARTITION BY a1type, burden) - 1) / 2e0 AS x, rank() OVER (PARTITION BY a1type ORDER BY share) + (count(*) OVER (PARTITION BY a1type, share) - 1) / 2e0 AS y FROM sh),
+    de AS (SELECT a1type, x - avg(x) OVER (PARTITION BY a1type, condition) AS dx, y - avg(y) OVER (PARTITION BY a1type, condition) AS dy FROM ra), pa AS (SELECT a1type, CASE WHEN count(*) >= 5 THEN round(corr(dx, dy), 12) END AS rho_partial, count(*) AS cnt FROM de GROUP BY 1),
+    pt AS (SELECT *, abs(rho_partial) * sqrt((cnt - 2) / (1 - rho_partial * rho_partial)) AS t FROM pa), both_ AS (SELECT a1type, n, rho, p_value, rho_partial, CASE WHEN t IS NOT NULL THEN {_t_sql('t', '(cnt - 2)')} END AS p_partial FROM correlated JOIN pt USING (a1type)),
+    f1 AS ({_bh_sql('both_', 'p_value', 'fdr')}), f2 AS ({_bh_sql('(SELECT * EXCLUDE (bh) FROM f1)', 'p_partial', 'fdr_partial')})
+    SELECT a1type, n, {', '.join(f'round({x}, 6) AS {x}' for x in ('rho', 'p_value', 'fdr', 'rho_partial', 'p_partial', 'fdr_partial'))} FROM f2)""",
+)
+def _(c):
+    return _rounded(models.burden_composition(_shares(c), "a1type", "burden", "share").select("a1type", "n", "rho", "p_value", "fdr", "rho_partial", "p_partial", "fdr_partial"))
+
+
+@_query(
+    "burden_contrast",
+    f"""SELECT * FROM (WITH bu AS (SELECT "individualID", condition = 'case' AS c, CAST(count(*) AS DOUBLE) AS v FROM eligible GROUP BY 1, 2), ra AS (SELECT *, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2e0 AS r, count(*) OVER (PARTITION BY v) AS t FROM bu),
+    su AS (SELECT count(*) FILTER (c) AS k1, count(*) FILTER (NOT c) AS k2, avg(v) FILTER (c) AS m1, avg(v) FILTER (NOT c) AS m2, sum(r) FILTER (c) - count(*) FILTER (c) * (count(*) FILTER (c) + 1) / 2e0 AS u, sum(t * t - 1) AS ties FROM ra),
+    z AS (SELECT *, (greatest(u, k1 * k2 - u) - k1 * k2 / 2e0 - 0.5e0) / sqrt(k1 * k2 / 12e0 * (k1 + k2 + 1 - ties / (CAST(k1 + k2 AS DOUBLE) * (k1 + k2 - 1)))) AS z FROM su)
+    SELECT k1 AS n_case, k2 AS n_ref, round(m1, 6) AS mean_case, round(m2, 6) AS mean_ref, round(m1 / m2, 6) AS ratio, (SELECT round(quantile_cont(a.v - b.v, 0.5), 6) FROM bu a, bu b WHERE a.c AND NOT b.c) AS shift, round(CASE WHEN z >= 0 THEN {two_sided_normal_sql('z')} ELSE 1e0 END, 6) AS p_value FROM z)""",
+)
+def _(c):
+    burden = c.eligible.groupBy("individualID", "condition").agg(F.count("*").cast("double").alias("burden"))
+    return _rounded(models.burden_contrast(burden, "burden"))
