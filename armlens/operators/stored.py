@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` from the folder of ``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a local session without one (as in tests) gets a temporary folder."""
+    context = spark.sparkContext
     if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
         if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="armlens-stored-"))
+    return context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` from the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
