@@ -161,20 +161,21 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of rows with equal id and text the one with the least hash of all columns. What has no duplicate stays, whatever its
     id: rows without an id, and texts without words, are nobody's duplicates.
     """
-    found = cut(grouped(docs, id_col, text_col, width=width, percent=percent, bands=bands, rows=rows).where("component is not null").select("component", "doc_id", "text_key"))
-    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
-    each = found.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("n"))
-    fate = each.join(first.hint("merge"), "component").select("doc_id", "text_key", "n", (F.struct("doc_id", "text_key") == F.col("first")).alias("stays"))
-    fate = cut(fate.where(~F.col("stays") | (F.col("n") > 1)))
+    found = cut(grouped(docs, id_col, text_col, width=width, percent=percent, bands=bands, rows=rows).where("component is not null").select("component", "component_id", "doc_id", "text_key"))
+    own = found.where("doc_id = component_id")
+    # A component has one row with its smallest id, unless ids repeat; only then is there more to choose.
+    several = own.groupBy("component", "doc_id").agg(F.min("text_key").alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = found.where("doc_id <> component_id").select("doc_id", "text_key")
     rest = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"))
-    gone = fate.where(~F.col("stays")).select("doc_id", "text_key")
-    kept = rest.join(gone.hint("merge"), ["doc_id", "text_key"], "left_anti")
-    repeated = fate.where("stays").select("doc_id", "text_key")
-    if repeated.isEmpty():
-        return kept.select("doc.*")
-    # Equal rows: one of them is taken in tasks first, so of rows that occur very often few are shuffled.
-    equal = kept.join(repeated.hint("merge"), ["doc_id", "text_key"], "left_semi")
-    once = equal.groupBy("doc_id", "text_key").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    out = lambda gone: rest.join(gone.hint("merge"), ["doc_id", "text_key"], "left_anti")
+    if several.isEmpty():
+        return out(gone).select("doc.*")
+    several = cut(several)
+    others = own.join(several.hint("merge"), ["component", "doc_id"]).where("text_key <> first").select("doc_id", "text_key")
+    kept = out(gone.union(others))
+    # Rows of equal id and text: one of them is taken in tasks first, so of rows that occur very often few are shuffled.
+    repeated = several.select("doc_id", F.col("first").alias("text_key"))
+    once = kept.join(repeated.hint("merge"), ["doc_id", "text_key"], "left_semi").groupBy("doc_id", "text_key").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
     return kept.join(repeated.hint("merge"), ["doc_id", "text_key"], "left_anti").select("doc.*").union(once.select("doc.*"))
 
 
