@@ -6,12 +6,16 @@ dense matrix is made.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import largest_gap
+from .stored import stored
 
 
 def gene_matrix(rows: DataFrame, value: str = "fpkm") -> DataFrame:
@@ -153,54 +157,118 @@ def centred_log_ratio(parts: DataFrame) -> DataFrame:
     return filled.select("individualID", "part", closed.alias("l")).select("individualID", "part", (F.col("l") - F.avg("l").over(by)).alias("clr"))
 
 
-def _components(gram: DataFrame, k: int) -> DataFrame:
-    """sample, pc1 to pc<k>, pct1 to pct<k> from the inner products (a, b, g) of centred samples: scores and the shares of
-    variance in per cent. A component's greatest score (by size) is positive. One task has a cohort's square."""
-    kind = dict(gram.dtypes)["a"]
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        samples = np.unique(pdf["a"])
-        g = np.zeros((len(samples), len(samples)))
-        g[np.searchsorted(samples, pdf["a"]), np.searchsorted(samples, pdf["b"])] = pdf["g"]
-        values, vectors = np.linalg.eigh((g + g.T) / 2)
-        values, vectors = np.maximum(values[::-1][:k], 0), vectors[:, ::-1][:, :k]
-        vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
-        out, total = {"sample": samples}, max(np.trace(g), 1e-300)
-        for i in range(k):
-            there = i < len(values)
-            out[f"pc{i + 1}"] = vectors[:, i] * np.sqrt(values[i]) if there else np.nan
-            out[f"pct{i + 1}"] = 100 * values[i] / total if there else np.nan
-        return pd.DataFrame(out)
-
+def _leading(apply: Callable[[np.ndarray], np.ndarray], size: int, k: int, *, extra: int = 8, steps: int = 40, tol: float = 1e-11, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The k greatest eigenvalues of a symmetric matrix, and their vectors as columns, by block Lanczos steps.
+
+    ``apply`` multiplies the matrix by a block of k + ``extra`` columns. Each step adds what the product of the last block
+    has beyond the space so far, kept at right angles to all of it; in that space the best vectors are found, until they
+    are eigenvectors to ``tol`` of the greatest value. Here are matrices of ``size`` rows only."""
+    width = min(size, k + extra)
+    block = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, width)))[0]
+    basis, image = np.zeros((size, 0)), np.zeros((size, 0))
+    for _ in range(steps):
+        product = apply(block)
+        basis, image = np.hstack([basis, block]), np.hstack([image, product])
+        inner = basis.T @ image
+        values, inside = np.linalg.eigh((inner + inner.T) / 2)
+        values, inside = values[::-1][:k], inside[:, ::-1][:, :k]
+        left = image @ inside - basis @ inside * values
+        if np.abs(left).max(initial=0.0) <= tol * max(values[0], 1e-300) or basis.shape[1] >= size:
+            break
+        for _ in range(2):
+            product = product - basis @ (basis.T @ product)
+        q, r = np.linalg.qr(product)
+        keep = np.abs(np.diag(r)) > 1e-13 * max(values[0], 1e-300)
+        block = q[:, keep][:, : size - basis.shape[1]]
+        if not block.shape[1]:
+            break
+    return np.maximum(values, 0), basis @ inside
+
+
+def _components(vectors: DataFrame, base: np.ndarray, total: float, k: int) -> DataFrame:
+    """sample, pc1 to pc<k>, pct1 to pct<k>: scores of samples and the shares of ``total`` in per cent.
+
+    ``vectors``: sample, at (places), value; a sample's vector is ``base`` with the values added at their places. Samples
+    stay where they are: a step's product is summed up in their tasks, so the driver and each task have matrices as long
+    as the vectors and a few columns wide, however many samples there are. A component's greatest score (by size) is
+    positive; components beyond the rank or the vectors' length are 0 or null."""
+    size, spark = len(base), vectors.sparkSession
+    kind = dict(vectors.dtypes)["sample"]
     fields = ", ".join(f"pc{i + 1} double, pct{i + 1} double" for i in range(k))
-    return gram.groupBy().applyInPandas(solve, f"sample {kind}, {fields}")
+    if not size:
+        return spark.createDataFrame([], f"sample {kind}, {fields}")
+    vectors = stored(vectors)
+    columns = lambda batch: (batch.column("at").flatten().to_numpy(), batch.column("value").flatten().to_numpy(), np.repeat(np.arange(len(batch)), batch.column("at").value_lengths().to_numpy()))
+
+    def times(batch: pa.RecordBatch, block: np.ndarray) -> np.ndarray:
+        at, value, row = columns(batch)
+        out = np.tile(base @ block, (len(batch), 1))
+        np.add.at(out, row, block[at] * value[:, None])
+        return out
+
+    def apply(block: np.ndarray) -> np.ndarray:
+        sent = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(block.shape)
+            for batch in batches:
+                y = times(batch, sent.value)
+                at, value, row = columns(batch)
+                np.add.at(total, at, y[row] * value[:, None])
+                total += np.outer(base, y.sum(axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), *map(pa.array, np.ascontiguousarray(total.T))], ["place", *[f"c{j}" for j in range(block.shape[1])]])
+
+        names = [f"c{j}" for j in range(block.shape[1])]
+        each = vectors.mapInArrow(run, "place long, " + ", ".join(f"{n} double" for n in names))
+        summed = each.groupBy("place").agg(*[F.sum(n).alias(n) for n in names]).toPandas().set_index("place")
+        return summed.reindex(np.arange(size)).fillna(0.0).to_numpy()
+
+    values, directions = _leading(apply, size, k)
+    found = len(values)
+    share = [100 * v / total if total > 0 else None for v in values]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = times(batch, directions)
+            cells = [c for i in range(k) for c in (pa.array(y[:, i] if i < found else [None] * len(batch), pa.float64()), pa.array([share[i] if i < found else None] * len(batch), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("sample"), *cells], ["sample", *[f"{n}{i + 1}" for i in range(k) for n in ("pc", "pct")]])
+
+    scores = vectors.mapInArrow(score, f"sample {kind}, {fields}")
+    signs = scores.agg(*[F.max_by(F.signum(f"pc{i + 1}"), F.struct(F.round(F.abs(f"pc{i + 1}"), 9), F.lit(0))).alias(f"s{i + 1}") for i in range(k)]).first()
+    return scores.select("sample", *[c for i in range(k) for c in ((F.col(f"pc{i + 1}") * (signs[f"s{i + 1}"] or 1.0)).alias(f"pc{i + 1}"), f"pct{i + 1}")])
+
+
+def _sparse(rows: DataFrame, sample: str, place: str, value: str) -> DataFrame:
+    """sample, at, value: a row for each sample, its places in order."""
+    return rows.groupBy(F.col(sample).alias("sample")).agg(F.array_sort(F.collect_list(F.struct(F.col(place).cast("int").alias("p"), F.col(value).cast("double").alias("v")))).alias("e")).select("sample", F.col("e.p").alias("at"), F.col("e.v").alias("value"))
 
 
 def sample_components(rows: DataFrame, genes: int = 2000, k: int = 3) -> DataFrame:
     """Principal components of samples over the most variable genes' scaled log2(value + 1); a missing value is 0.
 
-    The inner products are summed per pair of samples that share a gene; what missing values add follows from the sums.
-    """
+    A sample is one row with its values; what a missing value adds to a scaled vector is the same for all samples. The
+    leading directions come from block Lanczos steps over the genes, so the number of samples isn't bound by memory."""
     x = rows.groupBy("gene", "sample").agg(F.log2(F.sum("value") + 1).alias("x"))
-    size = F.broadcast(x.agg(F.count_distinct("sample").cast("double").alias("n")))
-    g = x.groupBy("gene").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q")).join(size, F.lit(True))
-    g = g.select("gene", (F.col("s") / F.col("n")).alias("m"), F.try_divide(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.col("n") - 1).alias("v")).where("v > 1e-12")
-    g = g.orderBy(F.desc("v"), "gene").limit(genes)
-    kept = x.join(g, "gene").select("gene", "sample", "x", (F.col("x") / F.col("v")).alias("w"), (F.col("m") * F.col("x") / F.col("v")).alias("c"))
-    both = kept.select("gene", F.col("sample").alias("a"), "x").join(kept.select("gene", F.col("sample").alias("b"), "w"), "gene")
-    shared = both.groupBy("a", "b").agg(F.sum(F.col("x") * F.col("w")).alias("p"))
-    cohort = x.select("sample").distinct().join(kept.groupBy("sample").agg(F.sum("c").alias("c")), "sample", "left").fillna(0.0, ["c"])
-    centre = F.broadcast(g.agg(F.sum(F.col("m") * F.col("m") / F.col("v")).alias("mm")))
-    # Every pair of samples: a cohort's square, the size of the result's matrix.
-    pairs = cohort.toDF("a", "ca").join(cohort.toDF("b", "cb"), F.lit(True)).join(shared, ["a", "b"], "left").join(centre, F.lit(True))
-    return _components(pairs.select("a", "b", (F.coalesce("p", F.lit(0.0)) - F.col("ca") - F.col("cb") + F.col("mm")).alias("g")).where("g IS NOT NULL"), k)
+    n = x.select("sample").distinct().count()
+    g = x.groupBy("gene").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
+    g = g.select("gene", (F.col("s") / n).alias("m"), F.try_divide(F.col("q") - F.col("s") * F.col("s") / n, F.lit(n - 1)).alias("v")).where("v > 1e-12")
+    # At most ``genes`` rows.
+    top = stored(g.orderBy(F.desc("v"), "gene").limit(genes).withColumn("place", F.row_number().over(Window.orderBy(F.desc("v"), "gene")) - 1))
+    table = top.orderBy("place").select("m", "v").toPandas()
+    base = -(table["m"] / np.sqrt(table["v"])).to_numpy(float)
+    kept = x.join(F.broadcast(top), "gene").select("sample", "place", (F.col("x") / F.sqrt("v")).alias("w"))
+    cohort = x.select("sample").distinct().join(_sparse(kept, "sample", "place", "w"), "sample", "left")
+    whole = cohort.select("sample", F.coalesce("at", F.array().cast("array<int>")).alias("at"), F.coalesce("value", F.array().cast("array<double>")).alias("value"))
+    return _components(whole, base, float(n - 1) * len(base), k)
 
 
 def composition_axis(clr: DataFrame) -> DataFrame:
     """individualID, pc1, pct1: the leading component of centred log ratios (individualID, part, clr), not scaled."""
-    d = clr.select("part", F.col("individualID").alias("sample"), (F.col("clr") - F.avg("clr").over(Window.partitionBy("part"))).alias("d"))
-    gram = d.toDF("part", "a", "da").join(d.toDF("part", "b", "db"), "part").groupBy("a", "b").agg(F.sum(F.col("da") * F.col("db")).alias("g"))
-    return _components(gram, 1).withColumnRenamed("sample", "individualID")
+    parts = clr.groupBy("part").agg(F.avg("clr").alias("m"), F.var_pop("clr").alias("v"), F.count("*").alias("n")).withColumn("place", F.row_number().over(Window.orderBy("part")) - 1)
+    parts = stored(parts)
+    total = parts.agg(F.sum(F.col("v") * F.col("n")).alias("t")).first()["t"] or 0.0
+    d = clr.join(parts.select("part", "m", "place"), "part").select("individualID", "place", (F.col("clr") - F.col("m")).alias("d"))
+    return _components(_sparse(d, "individualID", "place", "d"), np.zeros(parts.count()), float(total), 1).withColumnRenamed("sample", "individualID")
 
 
 def sex_contrast(rows: DataFrame, y_genes: list, x_gene) -> DataFrame:

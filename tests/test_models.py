@@ -105,3 +105,28 @@ def test_components_and_contrast_of_nothing(spark):
     assert expression.sample_components(none).count() == 0 and expression.sex_contrast(none, [1], 2).count() == 0
     some = spark.createDataFrame([(9, 1, 4.0), (2, 2, 4.0)], "gene long, sample long, value double")
     assert [r["sex_call"] for r in expression.sex_contrast(some, [1], 2).collect()] == [None, None]
+
+
+@pytest.mark.parametrize("samples,genes", [(9, 60), (40, 25), (30, 30)])
+def test_components_of_any_shape_against_a_dense_decomposition(spark, samples, genes):
+    rng = np.random.default_rng(samples)
+    x = np.round(rng.lognormal(1, 1, (genes, samples)), 3) * (rng.random((genes, samples)) < 0.8)
+    rows = [(g, s, float(x[g, s])) for g in range(genes) for s in range(samples) if x[g, s]]
+    got = expression.sample_components(spark.createDataFrame(rows, "gene long, sample long, value double").repartition(3), genes=20).toPandas().sort_values("sample")
+    z = np.log2(x + 1)
+    z = z[np.argsort(-z.var(axis=1, ddof=1), kind="stable")[:20]]
+    z = ((z - z.mean(axis=1, keepdims=True)) / z.std(axis=1, ddof=1, keepdims=True)).T
+    u, s, _ = np.linalg.svd(z, full_matrices=False)
+    for k in range(3):
+        want = u[:, k] * s[k]
+        want *= np.sign(want[np.abs(want).argmax()])
+        assert np.allclose(got[f"pc{k + 1}"], want, atol=1e-7) and np.allclose(got[f"pct{k + 1}"], 100 * s[k] ** 2 / (s**2).sum())
+
+
+def test_leading_pairs_of_close_and_equal_values():
+    rng = np.random.default_rng(3)
+    q = np.linalg.qr(rng.normal(size=(120, 120)))[0]
+    values = np.r_[5.0, 5.0, 4.999, np.linspace(4, 0, 117)]
+    a = q * values @ q.T
+    found, vectors = expression._leading(lambda b: a @ b, 120, 4)
+    assert np.allclose(found, values[:4], atol=1e-9) and np.abs(a @ vectors - vectors * found).max() < 1e-8
