@@ -138,7 +138,7 @@ def gene_tests_log(cohort, tested: DataFrame, types: DataFrame, genes: DataFrame
     n_calls = cohort.eligible.join(genes, "ref_id", "left_semi").count()
     sizes = cohort.sizes
     log = {
-        "case_condition": cohort.case, "reference_condition": cohort.ref, "n_case": sizes["case"], "n_reference": sizes["ref"], "min_depth": scalars.MIN_DEPTH, "global_alpha": alpha, "group_threshold": threshold,
+        "case_condition": "case", "reference_condition": "ref", "n_case": sizes["case"], "n_reference": sizes["ref"], "min_depth": scalars.MIN_DEPTH, "global_alpha": alpha, "group_threshold": threshold,
         "n_eligible_calls": e["calls"], "n_genes_considered": e["genes"], "n_genes_complete": t["n"], "n_tests": t["n"], "n_tests_defined": t["defined"], "n_tests_adjusted_sig": t["adjusted"],
         "n_genes_global_set": g["n"] if g["filtered"] else 0, "global_set_basis": basis["basis"] or "none", "calltype_basis": of_types["basis"] or "none", "n_calltypes_tested": of_types["n_tests"], "n_calltypes_adjusted_sig": of_types["n_adjusted"],
         "subset_from_global_set": int(g["filtered"]), "n_genes_in_subsets": g["n"], "n_calls_in_subsets": n_calls, "n_genes_classified": sum(c.values()), "group_sizes": ",".join(f"{k}={c[k]}" for k in sorted(c)),

@@ -21,7 +21,7 @@ SQL: dict[str, str] = {}
 
 def _query(name: str, sql: str | None = None):
     def add(f: Callable[[Cohort], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: f(Cohort(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: f(Cohort.of(spark, sf_dir))
         if sql:
             SQL[name] = with_views(sql)
         return f

@@ -291,3 +291,38 @@ def _(c):
 def _(c):
     rows = c.table("part").select(F.expr("p_partkey div 3").alias("locus_id"), F.col("p_brand").alias("gene_name"), "p_type")
     return aggregates.symbol_audit(rows, rows.where("p_type <> 'PROMO'"))
+
+
+@_query(
+    "qc_by_individual",
+    """SELECT s_suppkey::VARCHAR AS "individualID", CASE WHEN s_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS "group", 's' || s_suppkey AS name, CASE WHEN s_suppkey % 4 = 0 THEN 'MISSING' ELSE 'OK' END AS status,
+    CASE WHEN s_suppkey % 4 > 0 THEN CAST(s_suppkey * 3 + s_nationkey AS BIGINT) END AS mapped, CASE WHEN s_suppkey % 4 > 0 THEN CAST(s_nationkey + 2 AS BIGINT) END AS unmapped, CASE WHEN s_suppkey % 4 > 1 THEN '0.' || s_nationkey END AS contamination,
+    CASE WHEN s_suppkey % 4 = 1 THEN CAST(s_nationkey % 3 + 1 AS BIGINT) END AS transcripts, CASE WHEN s_suppkey % 4 = 3 THEN s_suppkey::VARCHAR END AS total_sequences FROM supplier""",
+)
+def _(c):
+    """Index statistics of most suppliers, and one of three other kinds of files; every fourth has none."""
+    s = c.table("supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("n"))
+
+    def files(where: str, *lines) -> DataFrame:
+        """One file for each supplier, its lines in order."""
+        folder = _folder(c)
+        s.where(where).select("k", F.concat_ws("\n", *lines).alias("value")).write.partitionBy("k").text(folder)
+        return readers.named_lines(c.spark, folder).withColumn("name", F.concat(F.lit("s"), F.regexp_extract("file", "/k=([0-9]+)/", 1)))
+
+    totals = readers.index_totals(files("k % 4 > 0", _tabs("1", "900", F.col("k") * 3, "2"), _tabs("*", "0", F.col("n"), F.col("n")), F.lit("short line")))
+    dirty = readers.first_values(files("k % 4 > 1", _tabs("sample", "contamination", "error"), _tabs("x", F.concat(F.lit("0."), F.col("n")), "0.1")), "contamination")
+    part = lambda feature: _tabs("1", "made", feature, "1", "2")
+    counts = readers.transcript_counts(files("k % 4 = 1", F.lit("# transcript"), part("transcript"), part("exon"), F.when(F.col("n") % 3 > 0, part("transcript")), F.when(F.col("n") % 3 > 1, part("transcript"))))
+    report = files("k % 4 = 3", F.lit("##report"), F.lit(">>Basic Statistics\tpass"), _tabs("Total Sequences", F.col("k")), F.lit(">>END_MODULE"), F.lit(">>Other\tfail"), _tabs("Total Sequences", "9"), F.lit(">>END_MODULE"))
+    basic = readers.module_values(report).where("key = 'Total Sequences'").select("name", F.col("value").alias("total_sequences"))
+    expected = s.select(F.col("k").cast("string").alias("individualID"), F.when(F.col("n") % 2 == 0, "even").otherwise("odd").alias("group"), F.concat(F.lit("s"), "k").alias("name"))
+    return readers.qc_by_individual(expected, totals, dirty, counts, basic)
+
+
+@_query("read_length_rollup", """SELECT CASE WHEN f = 1 THEN 'RNA' ELSE 'WGS' END AS seq_type, count(DISTINCT f) AS n_files, CAST(min(n) AS INT) AS min_length, CAST(max(n) AS INT) AS max_length, min(n) = max(n) AS uniform
+    FROM (SELECT l_linenumber AS f, CASE WHEN l_linenumber = 1 THEN 50 ELSE CAST(l_quantity AS INT) END AS n FROM lineitem) GROUP BY 1""")
+def _(c):
+    n = F.when(F.col("l_linenumber") == 1, 50).otherwise(F.col("l_quantity").cast("int"))
+    reads = c.table("lineitem").select(F.concat(F.lit("f"), "l_linenumber").alias("file"), F.lit(0).cast("long").alias("record_no"), F.repeat(F.lit("A"), n).alias("seq"))
+    kinds = reads.select("file").distinct().withColumn("seq_type", F.when(F.col("file") == "f1", "RNA").otherwise("WGS"))
+    return readers.read_length_rollup(readers.read_length_stats(reads), kinds)

@@ -22,12 +22,42 @@ def fixture_tier(biotype: Column) -> Column:
     return F.when(kind == "STANDARD", 0).when(kind == "ECONOMY", 1).when(kind == "PROMO", 2).otherwise(3)
 
 
+#: Tables that a cohort is made from.
+SOURCES = ("lineitem", "orders", "supplier", "part")
+#: Cohorts of this driver's session that queries share, the last ones first.
+_SHARED: list[tuple[tuple, Cohort]] = []
+KEPT = 2
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, lengths and times of the files of the cohort's tables, and the application that asks."""
+    files = []
+    for table in SOURCES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in store.listStatus(path))
+    return (spark.sparkContext.applicationId, sf_dir, *files)
+
+
 @dataclass
 class Cohort:
+    """Conditions are ``case`` and ``ref`` (``readers.as_conditions`` names a user's labels so)."""
+
     spark: SparkSession
     sf_dir: str
-    case: str = "case"
-    ref: str = "ref"
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Cohort:
+        """The session's cohort of these tables: its calls and eligible calls are written once, by the first query that
+        needs them, and read by those after it, as long as the tables' files are the same."""
+        key = _fingerprint(spark, sf_dir)
+        for known, cohort in _SHARED:
+            if known == key:
+                return cohort
+        cohort = cls(spark, sf_dir)
+        _SHARED.insert(0, (key, cohort))
+        del _SHARED[KEPT:]
+        return cohort
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

@@ -6,7 +6,7 @@ order of lines matters it is (file, block, number within the scan).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Columns, markers and words of the file formats.
@@ -120,6 +120,14 @@ def validate_samples(samples: DataFrame, id_col: str, condition_col: str) -> Non
         raise ValueError(f"{s['labels']} conditions; there must be two")
 
 
+def as_conditions(samples: DataFrame, id_col: str, condition_col: str, case: str) -> DataFrame:
+    """individualID, condition (``case`` for the given label, ``ref`` for the other one) of a validated metadata table."""
+    validate_samples(samples, id_col, condition_col)
+    if samples.where(F.col(condition_col) == case).isEmpty():
+        raise ValueError(f"no individual has the condition {case!r}")
+    return samples.select(F.col(id_col).alias("individualID"), F.when(F.col(condition_col) == case, "case").otherwise("ref").alias("condition"))
+
+
 def read_ctab(spark: SparkSession, path: str | list[str], samples: DataFrame) -> DataFrame:
     """individualID, tid, fpkm, line from tables with t_name and FPKM. ``samples``: file (its name), individualID."""
     raw = spark.read.csv(path, header=True, sep="\t", inferSchema=False)
@@ -216,6 +224,59 @@ def qc_rollup(metrics: DataFrame, files: DataFrame, keys: list[str]) -> DataFram
     return files.join(wide, "file", "left").withColumn("status", F.when(F.col("_s"), "OK").otherwise("MISSING")).drop("_s")
 
 
+def index_totals(lines: DataFrame) -> DataFrame:
+    """name, mapped, unmapped: sums of the third and fourth field of index statistics (contig, length, mapped, unmapped) of
+    each file; lines with fewer fields don't count. ``lines``: name, value."""
+    part = F.split("value", "\t")
+    field = lambda n: F.coalesce(F.sum(F.when(F.size(part) >= 4, F.get(part, F.lit(n)).try_cast("long"))), F.lit(0))
+    return lines.groupBy("name").agg(field(2).alias("mapped"), field(3).alias("unmapped"))
+
+
+def first_values(lines: DataFrame, column: str) -> DataFrame:
+    """name, <column>: the column's value in the first data line of each small table with a header (as contamination
+    tables are); null where the file has no such column or no data line. ``lines``: name, value, line."""
+    two = lines.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("l"))
+    head, data = F.split(F.get("l", F.lit(0))["value"], "\t"), F.split(F.get("l", F.lit(1))["value"], "\t")
+    at = F.array_position(head, column)
+    return two.select("name", F.when(at > 0, F.get(data, (at - 1).cast("int"))).alias(column))
+
+
+def transcript_counts(lines: DataFrame) -> DataFrame:
+    """name, transcripts: transcript lines of each assembled annotation. ``lines``: name, value."""
+    is_one = ~F.startswith("value", F.lit("#")) & (F.get(F.split("value", "\t"), F.lit(2)) == "transcript")
+    return lines.groupBy("name").agg(F.count_if(is_one).alias("transcripts"))
+
+
+def module_values(lines: DataFrame, module: str = "Basic Statistics") -> DataFrame:
+    """name, key, value of the tab-separated lines of one module (from >>module to >>END_MODULE) of each report.
+    ``lines``: name, value, line. A report's lines are one file's, ordered by a window over it."""
+    before = Window.partitionBy("name").orderBy("line")
+    mark = F.when(F.startswith("value", F.lit(">>")), F.col("value"))
+    at = lines.withColumn("module", F.last(mark, ignorenulls=True).over(before))
+    part = F.split("value", "\t", 2)
+    inside = at.where(F.startswith("module", F.lit(f">>{module}")) & ~F.startswith("value", F.lit(">>")) & F.col("value").contains("\t"))
+    return inside.select("name", F.get(part, F.lit(0)).alias("key"), F.get(part, F.lit(1)).alias("value"))
+
+
+def qc_by_individual(files: DataFrame, *metrics: DataFrame) -> DataFrame:
+    """individualID, group, name, status and the columns of each of ``metrics`` (name and its values): a row for each
+    expected file (individualID, group, name); MISSING where no metric knows the file."""
+    out = files.select("individualID", "group", "name")
+    seen = F.lit(False)
+    for n, m in enumerate(metrics):
+        out = out.join(m.withColumn(f"seen_{n}", F.lit(True)), "name", "left")
+        seen = seen | F.coalesce(F.col(f"seen_{n}"), F.lit(False))
+    out = out.withColumn("status", F.when(seen, "OK").otherwise("MISSING")).drop(*[f"seen_{n}" for n in range(len(metrics))])
+    return out.select("individualID", "group", "name", "status", *[c for m in metrics for c in m.columns if c != "name"])
+
+
+def read_length_rollup(stats: DataFrame, kinds: DataFrame) -> DataFrame:
+    """seq_type, n_files, min_length, max_length, uniform (every file is, and all have one length) of read-length
+    statistics per file; ``kinds``: file, seq_type."""
+    g = stats.join(kinds, "file").groupBy("seq_type").agg(F.count("*").alias("n_files"), F.min("min_length").alias("min_length"), F.max("max_length").alias("max_length"), F.min("uniform").alias("each"))
+    return g.select("seq_type", "n_files", "min_length", "max_length", (F.col("each") & (F.col("min_length") == F.col("max_length"))).alias("uniform"))
+
+
 def module_counts(statuses: DataFrame) -> DataFrame:
     """file, n_pass, n_warn, n_fail, failed (modules joined by ;) from file, module, status."""
     n = lambda s: F.count_if(F.col("status") == s)

@@ -69,3 +69,26 @@ def test_sinks(spark, tmp_path):
     sinks.set_run_meta(spark, meta, {"case": "a"}, "w")
     sinks.set_run_meta(spark, meta, {"case": "b"}, "w")
     assert [r["value"] for r in sinks.run_meta(spark, meta).collect()] == ["b"]
+
+
+def test_conditions_by_a_users_labels(spark):
+    rows = spark.createDataFrame([("a", "AD"), ("b", "CN"), ("c", "AD")], "id string, dx string")
+    got = {r["individualID"]: r["condition"] for r in readers.as_conditions(rows, "id", "dx", "AD").collect()}
+    assert got == {"a": "case", "b": "ref", "c": "case"}
+    for wrong in (dict(case="XX"), dict(case="AD", id_col="dx")):
+        with pytest.raises(ValueError):
+            readers.as_conditions(rows, **{"id_col": "id", "condition_col": "dx"} | wrong)
+
+
+def test_queries_share_a_cohort_until_its_files_change(spark, tmp_path):
+    import os
+    import shutil
+
+    from armlens.sources.driver_view import SOURCES, Cohort
+
+    for t in SOURCES:
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
+    first = Cohort.of(spark, str(tmp_path))
+    assert Cohort.of(spark, str(tmp_path)) is first and Cohort.of(spark, "/root/testdata/sf0.001") is not first
+    os.utime(tmp_path / "part.parquet", (1, 1))
+    assert Cohort.of(spark, str(tmp_path)) is not first
