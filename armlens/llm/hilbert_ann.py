@@ -4,14 +4,15 @@
 * For each of ``curves`` orderings the vectors are projected to a few dimensions by a random rotation of their
   principal axes (found on a bounded sample), shifted, and numbered along a Hilbert curve. Positions are quantiles of
   the sample's curve keys; ranges of positions are the blocks that Spark deals out.
-* A query meets the vectors whose position on some curve is within a window of its own. The window is the smallest
-  that would have caught ``target`` of the true neighbours of a bounded sample of queries, so data that clusters get
-  narrow windows and data without structure wide ones.
+* A query meets the vectors whose position on some curve is within a window of its own. Queries are put into strata by
+  how alone they are (the distance to the fifth nearest of a bounded sample), and a stratum's window is the smallest that
+  would have caught ``target`` of the true neighbours of its probes: rows in clusters have narrow windows, rows without
+  company wide ones.
 * Blocks are sorted by position, so a query's window is a slice. A pair is scored on the first curve on which it meets
   (positions on all curves travel with the vectors); the best of all slices are merged.
 
-Fitted on bounded samples: the axes and quantiles (``sample_rows`` vectors) and the window (``probe_queries`` queries,
-each against all rows). Everything else covers all rows.
+Fitted on bounded samples: the axes and quantiles (``sample_rows`` vectors), the strata (32 * ``probe_queries`` queries)
+and the windows (half of ``probe_queries`` for each stratum, each against all rows). Everything else covers all rows.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or are not as long as most, take no
 part. Rows that share id and vector are one; an id with several vectors is a row for each of them, none of which is a
@@ -57,6 +58,30 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+#: Shares of the queries, from the least alone to the most, at which strata end; each has a window of its own.
+STRATA = (0.5, 0.75, 0.9, 0.95, 0.98)
+#: Vectors of the sample that tell how alone a query is.
+ANCHORS = 2048
+
+
+class Windows:
+    """How alone queries are (the distance to the fifth nearest anchor), and the half-width of window for each stratum."""
+
+    def __init__(self, anchors: np.ndarray, edges: np.ndarray, widths: np.ndarray):
+        self.anchors, self.edges, self.widths = anchors, edges, widths
+
+    def alone(self, v: np.ndarray) -> np.ndarray:
+        squares = (v * v).sum(axis=1)[:, None] - 2 * (v @ self.anchors.T) + (self.anchors * self.anchors).sum(axis=1)
+        m = min(5, squares.shape[1] - 1)
+        return np.sqrt(np.maximum(np.partition(squares, m, axis=1)[:, m], 0))
+
+    def stratum(self, v: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.edges, self.alone(v), "left")
+
+    def of(self, v: np.ndarray) -> np.ndarray:
+        return self.widths[self.stratum(v)]
+
+
 class Curves:
     """The fitted projections and the quantiles of their keys."""
 
@@ -131,46 +156,54 @@ def search(
     fitted = spark.sparkContext.broadcast(Curves(sample, curves, min(dims, sample.shape[1], max(1, len(sample) - 1)), bits))
     queries = rows.where(is_query(F.col("id")))
     n_queries = queries.count()
-    window = _window(classes, queries, fitted, k, probe_queries, target)
+    windows = _windows(classes, queries, fitted, sample[:ANCHORS], k, probe_queries, target)
+    shared = spark.sparkContext.broadcast(windows)
     blocks = max(1, -(-n // block_rows))
-    parts = max(1, int(-(-n_queries * min(1.0, 2 * window + 1 / blocks) // queries_per_task)))
+    mean_window = float(np.diff([0.0, *STRATA, 1.0]) @ windows.widths)
+    parts = max(1, int(-(-n_queries * min(1.0, 2 * mean_window + 1 / blocks) // queries_per_task)))
 
-    def place(batches):
+    def place(batches, asking=False):
         for pdf in batches:
             if not len(pdf):
                 continue
             v = _matrix(pdf["v"])
             at = fitted.value.positions(v)
             out = pdf.drop(columns="v").assign(vector=[x.tobytes() for x in v.astype(kind)], places=[x.tobytes() for x in at])
+            if asking:
+                out = out.assign(window=shared.value.of(v))
             for c in range(at.shape[1]):
                 yield out.assign(curve=c, at=at[:, c].astype(np.float64))
 
+    def ask(batches):
+        return place(batches, asking=True)
+
     # A class of one row can't be a candidate of that row.
     placed = classes.select("class", "number", (F.size("ids") == 1).alias("single"), "v").mapInPandas(place, "class long, number long, single boolean, vector binary, places binary, curve int, at double")
     placed = placed.select("*", F.floor(F.col("at") * blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    asked = queries.mapInPandas(place, "id long, vector binary, places binary, curve int, at double")
+    asked = queries.mapInPandas(ask, "id long, vector binary, places binary, window double, curve int, at double")
     edge = lambda x: F.floor(F.least(F.greatest(x, F.lit(0.0)), F.lit(1 - 1e-9)) * blocks).cast("int")
-    reach = window + 1e-9
+    reach = F.col("window") + 1e-9
     asked = asked.select("*", F.explode(F.sequence(edge(F.col("at") - reach), edge(F.col("at") + reach))).alias("block"), F.pmod(F.xxhash64("id", "vector"), F.lit(parts)).cast("int").alias("part"))
 
     def rank(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             c = int(key[0])
-            left, right = left.sort_values(["at", "class"]), right.sort_values(["at", "id"])
+            left, right = left.sort_values(["at", "class"]), right.sort_values(["window", "at", "id"])
             v, name, number, single = _vectors(left["vector"], kind), left["class"].to_numpy(), left["number"].to_numpy(), left["single"].to_numpy()
-            q, ids = _vectors(right["vector"], kind), right["id"].to_numpy()
+            q, ids, wide = _vectors(right["vector"], kind), right["id"].to_numpy(), right["window"].to_numpy()
             at, q_at = _vectors(left["places"], "<f4"), _vectors(right["places"], "<f4")
             slack = 1e-12 * max(1e-300, np.abs(v).max() * v.shape[1])
             for begin in range(0, len(ids), 128):
                 some = slice(begin, min(begin + 128, len(ids)))
-                lo = int(np.searchsorted(at[:, c], q_at[some, c].min() - window, "left"))
-                hi = int(np.searchsorted(at[:, c], q_at[some, c].max() + window, "right"))
+                w = wide[some, None]
+                lo = int(np.searchsorted(at[:, c], (q_at[some, c] - wide[some]).min(), "left"))
+                hi = int(np.searchsorted(at[:, c], (q_at[some, c] + wide[some]).max(), "right"))
                 s = q[some] @ v[lo:hi].T
-                s[np.abs(q_at[some, None, c] - at[None, lo:hi, c]) > window] = -np.inf
+                s[np.abs(q_at[some, None, c] - at[None, lo:hi, c]) > w] = -np.inf
                 s[(name[None, lo:hi] == ids[some, None]) & single[None, lo:hi]] = -np.inf
                 for earlier in range(c):
-                    s[np.abs(q_at[some, None, earlier] - at[None, lo:hi, earlier]) <= window] = -np.inf
+                    s[np.abs(q_at[some, None, earlier] - at[None, lo:hi, earlier]) <= w] = -np.inf
                 scored = (s > -np.inf).sum(axis=1)
                 for row in range(len(s)):
                     if not scored[row]:
@@ -199,12 +232,21 @@ def search(
     return members.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "n_scored")
 
 
-def _window(classes: DataFrame, queries: DataFrame, fitted, k: int, probes: int, target: float) -> float:
-    """The half-width, as a share of a curve, that catches ``target`` of the probes' true neighbours."""
-    asked = queries.orderBy(F.xxhash64("id"), "id").limit(probes).toPandas()
+def _windows(classes: DataFrame, queries: DataFrame, fitted, anchors: np.ndarray, k: int, probes: int, target: float) -> Windows:
+    """For each stratum the half-width, as a share of a curve, that catches ``target`` of its probes' true neighbours.
+
+    Strata are cut at quantiles of how alone queries are, over those with the least hashes (at most 32 * ``probes`` of
+    them); each has up to ``probes`` / 2 probes. So rows far from all others have wide windows and don't widen the rest's."""
+    windows = Windows(anchors, np.zeros(len(STRATA)), np.zeros(len(STRATA) + 1))
+    asked = queries.orderBy(F.xxhash64("id"), "id").limit(32 * probes).toPandas()
     if not len(asked):
-        return 0.0
-    q = _matrix(asked["v"])
+        return windows
+    some = _matrix(asked["v"])
+    alone = windows.alone(some)
+    windows.edges = np.quantile(alone, STRATA)
+    stratum = np.searchsorted(windows.edges, alone, "left")
+    chosen = np.concatenate([np.flatnonzero(stratum == s)[: max(1, probes // 2)] for s in range(len(STRATA) + 1)])
+    q, of = some[chosen], stratum[chosen]
     q_at = fitted.value.positions(q)
     names = ["probe", "score", "class", "near"]
 
@@ -227,5 +269,9 @@ def _window(classes: DataFrame, queries: DataFrame, fitted, k: int, probes: int,
     best_of = classes.select("class", "v").mapInPandas(best, "probe int, score double, class long, near double")
     order = Window.partitionBy("probe").orderBy(F.desc("score"), "class")
     true = best_of.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
-    width = true.agg(F.expr(f"percentile(near, {target})").alias("w")).first()["w"]
-    return float(min(1.0, (width or 0.0) + 1e-6))
+    # At most k + 1 rows for each probe.
+    found = true.select("probe", "near").toPandas()
+    near, at = found["near"].to_numpy(float), of[found["probe"].to_numpy(int)]
+    widest = float(np.quantile(near, target)) if len(near) else 0.0
+    windows.widths = np.array([min(1.0, (float(np.quantile(near[at == s], target)) if (at == s).any() else widest) + 1e-6) for s in range(len(STRATA) + 1)])
+    return windows

@@ -43,6 +43,19 @@ def test_recall(spark):
     assert out.groupby("query_id")["n_scored"].first().mean() < 0.4 * len(near)
 
 
+def test_recall_of_lone_rows_beside_clusters(spark):
+    """Windows follow how alone a query is: both kinds of queries find their neighbours, on under half of the pairs."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(100, 32)) * 5
+    rows = [(i, [float(x) for x in centres[i % 100] + rng.normal(size=32) * 0.3]) for i in range(4000)]
+    rows += [(4000 + i, [float(x) for x in rng.normal(size=32) * 6]) for i in range(160)]
+    out = hilbert_ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 10 == 0).toPandas()
+    found = out.sort_values("rank").groupby("query_id")["vec_id"].apply(list)
+    recall = lambda ids: np.mean([len(set(found[q]) & set(brute(rows, q))) / 20 for q in ids])
+    assert recall(range(0, 4000, 40)) >= 0.9 and recall(range(4000, 4160, 10)) >= 0.9
+    assert out.groupby("query_id")["n_scored"].first().mean() < 0.5 * len(rows)
+
+
 def test_ann_ties_and_repeated_ids(spark):
     """Thousands of equal inner products; an id that occurs thirty times; an id with several vectors."""
     rng = np.random.default_rng(1)
