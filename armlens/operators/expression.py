@@ -82,15 +82,16 @@ def standardised(rows: DataFrame) -> DataFrame:
     return rows.select("gene", "sample", x.alias("x")).select("gene", "sample", F.try_divide(F.col("x") - F.avg("x").over(by), F.stddev_samp("x").over(by)).alias("z"), F.count("*").over(by).alias("n")).where("z IS NOT NULL")
 
 
-def marker_correlations(rows: DataFrame, markers: DataFrame, top: int = 500) -> DataFrame:
-    """cell_a, gene_a, cell_b, gene_b, r over the first ``top`` markers of each cell type; gene_a is the lesser gene.
+def marker_correlations(rows: DataFrame, markers: DataFrame, top: int = 500, *, across: bool = True) -> DataFrame:
+    """cell_a, gene_a, cell_b, gene_b, r over the first ``top`` markers of each cell type; gene_a is the lesser gene. Pairs of
+    different types are left out without ``across``.
 
     A task has one pair of types, so its two matrices are bounded by ``top`` and the cohort.
     """
     first = markers.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("rank", "gene"))).where(F.col("_r") <= top).select("cell", "gene")
     z = standardised(rows.join(F.broadcast(first.select("gene").distinct()), "gene", "left_semi")).join(F.broadcast(first), "gene")
     cells = first.select("cell").distinct()
-    met = cells.toDF("cell_a").join(F.broadcast(cells.toDF("cell_b")), F.col("cell_a") <= F.col("cell_b"))
+    met = cells.toDF("cell_a").join(F.broadcast(cells.toDF("cell_b")), F.col("cell_a") <= F.col("cell_b") if across else F.col("cell_a") == F.col("cell_b"))
     each = z.join(F.broadcast(met), (F.col("cell") == F.col("cell_a")) | (F.col("cell") == F.col("cell_b")))
 
     def correlate(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

@@ -526,13 +526,13 @@ def _(c):
 
 @_query(
     "marker_coherence",
-    """SELECT * FROM (WITH mk AS (SELECT cell, gene FROM (SELECT p_brand AS cell, p_partkey AS gene, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS r FROM part) WHERE r <= 20),
+    """SELECT * FROM (WITH mk AS (SELECT cell, gene FROM (SELECT p_brand AS cell, p_partkey AS gene, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS r FROM part) WHERE r <= 500),
     x AS (SELECT cell, ref_id AS gene, "individualID" AS sample, log2(fpkm + 1) AS v, avg(log2(fpkm + 1)) OVER (PARTITION BY ref_id) AS m, stddev_samp(log2(fpkm + 1)) OVER (PARTITION BY ref_id) AS sd, count(*) OVER (PARTITION BY ref_id) AS n FROM expression JOIN mk ON ref_id = gene),
     pr AS (SELECT a.cell, sum((a.v - a.m) / a.sd * (b.v - b.m) / b.sd) / (max(a.n) - 1) AS r FROM x a JOIN x b ON a.cell = b.cell AND a.sample = b.sample AND a.gene < b.gene WHERE a.sd > 0 AND b.sd > 0 GROUP BY a.cell, a.gene, b.gene)
     SELECT cell, count(*) AS n_pairs, round(quantile_cont(r, 0.5), 6) AS median, round(quantile_cont(r, 0.25), 6) AS q1, round(quantile_cont(r, 0.75), 6) AS q3 FROM pr GROUP BY 1)""",
 )
 def _(c):
-    return _rounded(expression.marker_coherence(expression.marker_correlations(_rows(c), _markers(c), 20)).select("cell", "n_pairs", "median", "q1", "q3"))
+    return _rounded(expression.marker_coherence(expression.marker_correlations(_rows(c), _markers(c), across=False)).select("cell", "n_pairs", "median", "q1", "q3"))
 
 
 @_query(
