@@ -18,6 +18,10 @@ from .aggregates import largest_gap
 from .stored import stored
 
 
+#: Samples of a block that are correlated with another block's in one task.
+SAMPLES_TOGETHER = 256
+
+
 def gene_matrix(rows: DataFrame, value: str = "fpkm") -> DataFrame:
     """Sums per (gene, sample): aliases of a symbol and its transcripts fall together."""
     return rows.groupBy("gene", "sample").agg(F.sum(value).alias("value"))
@@ -136,13 +140,43 @@ def marker_separation(pairs: DataFrame, tight: float = 0.1) -> DataFrame:
 
 def sample_similarity(rows: DataFrame, genes: int = 2000) -> DataFrame:
     """Per sample: the median rank correlation with the others over the most variable genes, the cut-off (median less
-    three scaled median deviations) and whether the sample falls below it. Pairs of samples: a cohort's square."""
+    three scaled median deviations) and whether the sample falls below it.
+
+    A pair's correlation is over the genes that both samples have. Samples are dealt out in blocks, and a task correlates
+    two blocks by matrix products, so what is shuffled is each sample's values once for each block, and a number for
+    each pair of samples."""
     variable = rows.groupBy("gene").agg(F.var_samp(F.log2(F.col("value") + 1)).alias("v")).where("v > 0").orderBy(F.desc("v"), "gene").limit(genes)
     kept = rows.join(variable.select("gene"), "gene", "left_semi")
     r = F.rank().over(Window.partitionBy("sample").orderBy("value")) + (F.count("*").over(Window.partitionBy("sample", "value")) - 1) / 2.0
     ranked = kept.select("gene", "sample", r.alias("r"))
-    a, b = ranked.toDF("gene", "a", "ra"), ranked.toDF("gene", "b", "rb")
-    rho = a.join(b, "gene").where("a <> b").groupBy("a", "b").agg(F.try_divide(F.covar_pop("ra", "rb"), F.stddev_pop("ra") * F.stddev_pop("rb")).alias("rho"))
+    # At most ``genes`` rows, and a row for each sample.
+    place = stored(variable.select("gene").withColumn("place", F.row_number().over(Window.orderBy("gene")) - 1))
+    size = place.count()
+    vectors = _sparse(ranked.join(F.broadcast(place), "gene"), "sample", "place", "r").withColumn("block", F.floor((F.row_number().over(Window.orderBy("sample")) - 1) / SAMPLES_TOGETHER).cast("int"))
+    vectors = stored(vectors)
+    blocks = (vectors.agg(F.max("block").alias("b")).first()["b"] or 0) + 1
+    dealt = vectors.select("sample", "at", "value", "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+    dealt = dealt.select("sample", "at", "value", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    kind = dict(vectors.dtypes)["sample"]
+
+    def correlate(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        value, there = np.zeros((len(pdf), size)), np.zeros((len(pdf), size))
+        for n, (at, v) in enumerate(zip(pdf["at"], pdf["value"], strict=True)):
+            value[n, at], there[n, at] = v, 1
+        first, second = (np.flatnonzero((pdf["block"] == b).to_numpy()) for b in key)
+        x, mx, y, my = value[first], there[first], value[second], there[second]
+        n, sx, sy = mx @ my.T, x @ my.T, mx @ y.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            c = x @ y.T / n - sx * sy / n / n
+            vx, vy = (x * x) @ my.T / n - (sx / n) ** 2, mx @ (y * y).T / n - (sy / n) ** 2
+            rho = np.where((vx > 1e-9) & (vy > 1e-9), c / np.sqrt(vx * vy), np.nan)
+        names = pdf["sample"].to_numpy()
+        rows = [(names[a], rho[k][(second != a) & ~np.isnan(rho[k])]) for k, a in enumerate(first)]
+        if key[0] != key[1]:
+            rows += [(names[b], rho[:, k][~np.isnan(rho[:, k])]) for k, b in enumerate(second)]
+        return pd.DataFrame(rows, columns=["a", "rho"])
+
+    rho = dealt.groupBy("i", "j").applyInPandas(correlate, f"a {kind}, rho array<double>").select("a", F.explode_outer("rho").alias("rho"))
     med = rho.groupBy(F.col("a").alias("sample")).agg(F.percentile("rho", 0.5).alias("median_rho"))
     centre = med.agg(F.percentile("median_rho", 0.5).alias("c"))
     spread = med.join(F.broadcast(centre), F.lit(True)).agg(F.first("c").alias("c"), F.percentile(F.abs(F.col("median_rho") - F.col("c")), 0.5).alias("mad"))

@@ -130,3 +130,21 @@ def test_leading_pairs_of_close_and_equal_values():
     a = q * values @ q.T
     found, vectors = expression._leading(lambda b: a @ b, 120, 4)
     assert np.allclose(found, values[:4], atol=1e-9) and np.abs(a @ vectors - vectors * found).max() < 1e-8
+
+
+def test_similarity_in_blocks_of_samples(spark, monkeypatch):
+    """Blocks of three give what one block gives, and what ranks correlated over shared genes give."""
+    rng = np.random.default_rng(1)
+    x = rng.lognormal(size=(40, 8)) + 0.01
+    x[rng.random((40, 8)) < 0.2] = 0
+    rows = spark.createDataFrame([(g, s, float(x[g, s])) for g in range(40) for s in range(8) if x[g, s]], "gene long, sample long, value double")
+    one = {r["sample"]: r["median_rho"] for r in expression.sample_similarity(rows).collect()}
+    monkeypatch.setattr(expression, "SAMPLES_TOGETHER", 3)
+    many = {r["sample"]: r["median_rho"] for r in expression.sample_similarity(rows).collect()}
+    rank = np.zeros((40, 8))
+    for s in range(8):
+        has = x[:, s] > 0
+        rank[has, s] = np.argsort(np.argsort(x[has, s])) + 1
+    for s in range(8):
+        want = np.median([np.corrcoef(rank[(x[:, s] > 0) & (x[:, t] > 0)][:, [s, t]].T)[0, 1] for t in range(8) if t != s])
+        assert one[s] == pytest.approx(want) and many[s] == pytest.approx(want)
