@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,16 +127,25 @@ def class_tally(lines: DataFrame) -> DataFrame:
     return first.groupBy("class_code").agg(F.count("*").alias("n"))
 
 
-def select_novel(lines: DataFrame, known_codes: list[str]) -> DataFrame:
-    """All lines of the transcripts whose first class code isn't a known one."""
+def select_novel(lines: DataFrame, known_codes: list[str], *, require: bool = False) -> DataFrame:
+    """All lines of the transcripts whose first class code isn't a known one. With ``require`` it is an error if there is
+    none, as where all codes were given as known."""
     first = lines.where(F.col("class_code").isNotNull()).groupBy("tid").agg(F.min_by("class_code", "line").alias("code"))
-    return lines.join(first.where(~F.col("code").isin(known_codes)).select("tid"), "tid", "left_semi")
+    novel = first.where(~F.col("code").isin(known_codes)).select("tid")
+    if require and novel.isEmpty():
+        raise ValueError(f"no transcript has a class code other than {', '.join(known_codes)}")
+    return lines.join(novel, "tid", "left_semi")
 
 
 def covariates(individuals: DataFrame, extra: DataFrame, key: str = "individualID") -> DataFrame:
     """Extra columns per individual, those the cohort has already stay as they are: the first row of each key in the
-    order of ``line`` (as readers number lines), or of the values where there is none."""
+    order of ``line`` (as readers number lines), or of the values where there is none. Warns of individuals whose rows
+    differ."""
     new = [c for c in extra.columns if c not in individuals.columns and c not in (key, "line")]
+    if new:
+        several = extra.groupBy(key).agg((F.count_distinct(F.struct(*new)) > 1).alias("s")).where("s").count()
+        if several:
+            warnings.warn(f"{several} individuals have rows with different covariates; the first row of each is taken", stacklevel=2)
     order = F.col("line") if "line" in extra.columns else F.struct(*[F.col(c).cast("string") for c in new])
     first = extra.groupBy(key).agg(F.min_by(F.struct(*new), order).alias("_v")).select(key, "_v.*") if new else extra.select(key).distinct()
     return individuals.join(first, key, "left")
@@ -155,3 +166,16 @@ def unaligned(a: DataFrame, b: DataFrame, key: str = "individualID") -> DataFram
 def symbol_route(own: Column, locus_symbol: Column) -> Column:
     """A transcript's own name first, else its locus' clean symbol."""
     return F.coalesce(own, locus_symbol)
+
+
+def routed_symbols(transcripts: DataFrame, loci: DataFrame) -> DataFrame:
+    """The transcripts (locus_id, gene_name) with ``symbol`` and ``route``: their own name, else their locus' clean symbol
+    (``loci``: locus_id, symbol), else none."""
+    j = transcripts.join(loci.select("locus_id", F.col("symbol").alias("locus_symbol")), "locus_id", "left")
+    route = F.when(F.col("gene_name").isNotNull(), "own").when(F.col("locus_symbol").isNotNull(), "locus").otherwise("none")
+    return j.withColumn("symbol", symbol_route(F.col("gene_name"), F.col("locus_symbol"))).withColumn("route", route).drop("locus_symbol")
+
+
+def route_counts(routed: DataFrame) -> DataFrame:
+    """route, n_transcripts, n_loci: how transcripts got their symbols, and how many got none."""
+    return routed.groupBy("route").agg(F.count("*").alias("n_transcripts"), F.count_distinct("locus_id").alias("n_loci"))

@@ -326,3 +326,10 @@ def _(c):
     reads = c.table("lineitem").select(F.concat(F.lit("f"), "l_linenumber").alias("file"), F.lit(0).cast("long").alias("record_no"), F.repeat(F.lit("A"), n).alias("seq"))
     kinds = reads.select("file").distinct().withColumn("seq_type", F.when(F.col("file") == "f1", "RNA").otherwise("WGS"))
     return readers.read_length_rollup(readers.read_length_stats(reads), kinds)
+
+
+@_query("symbol_routes", """SELECT * FROM (WITH t AS (SELECT p_partkey // 3 AS l, CASE WHEN p_size % 3 > 0 THEN p_brand END AS s FROM part), o AS (SELECT l, CASE WHEN count(DISTINCT s) = 1 THEN min(s) END AS c FROM t GROUP BY 1)
+    SELECT CASE WHEN s IS NOT NULL THEN 'own' WHEN c IS NOT NULL THEN 'locus' ELSE 'none' END AS route, count(*) AS n_transcripts, count(DISTINCT l) AS n_loci FROM t JOIN o USING (l) GROUP BY 1)""")
+def _(c):
+    rows = c.table("part").select(F.expr("p_partkey div 3").alias("locus_id"), F.when(F.col("p_size") % 3 > 0, F.col("p_brand")).alias("gene_name"))
+    return joins.route_counts(joins.routed_symbols(rows, aggregates.locus_symbols(rows)))

@@ -129,3 +129,15 @@ def test_completeness_ignores_row_order_and_partitions(spark):
     calls = spark.createDataFrame([("g", "case", 1), ("g", "case", 2), ("g", "case", 2), ("h", "case", 1), ("h", "ref", 3), ("g", "ref", 3)], "ref_id string, condition string, individualID int")
     for n in (1, 7):
         assert {tuple(r) for r in aggregates.complete_genes(calls.repartition(n), ind).collect()} == {("g", "case,ref"), ("h", "ref")}
+
+
+def test_covariates_that_differ_and_codes_that_select_nothing(spark):
+    people = spark.createDataFrame([("a",), ("b",)], "individualID string")
+    extra = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3"), ("b", "3")], "individualID string, age string")
+    with pytest.warns(UserWarning, match="1 individuals"):
+        got = joins.covariates(people, extra)
+    assert {r["individualID"]: r["age"] for r in got.collect()} == {"a": "1", "b": "3"}
+    lines = spark.createDataFrame([("t1", "=", 1), ("t2", "u", 2), ("t2", None, 3)], "tid string, class_code string, line int")
+    assert {r["tid"] for r in joins.select_novel(lines, ["="], require=True).collect()} == {"t2"}
+    with pytest.raises(ValueError, match="no transcript"):
+        joins.select_novel(lines, ["=", "u"], require=True)
