@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def let_go(spark: SparkSession) -> None:
+    """Ask the driver to collect its garbage: Spark deletes the shuffle files of plans that nothing refers to any more, as
+    those before a ``cut``, but only when the driver finds that out, which by itself may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class BoundedCache(dict):
     """A dict that computes missing values and forgets everything when it is full."""
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, cut, text_batches
+from .common import BoundedCache, cut, let_go, text_batches
 from .components import connected_components
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -162,6 +162,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id: rows without an id, and texts without words, are nobody's duplicates.
     """
     found = cut(grouped(docs, id_col, text_col, width=width, percent=percent, bands=bands, rows=rows).where("component is not null").select("component", "component_id", "doc_id", "text_key"))
+    let_go(docs.sparkSession)
     own = found.where("doc_id = component_id")
     # A component has one row with its smallest id, unless ids repeat; only then is there more to choose.
     several = own.groupBy("component", "doc_id").agg(F.min("text_key").alias("first"), F.count("*").alias("n")).where("n > 1")
