@@ -28,6 +28,20 @@ def named_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _lines(spark, path).withColumn("name", F.element_at(F.split("file", "/"), -1))
 
 
+def bundle_line(name: Column, line: Column) -> Column:
+    """A line of a small file as bundles hold it: its file's name, a tab and the line; null where the line is."""
+    return F.concat(name, F.lit("\t"), line)
+
+
+def bundled_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """As ``named_lines``, of bundles: text files that hold many small files, each line led by its file's name and a tab.
+    The lines of a small file stand in one bundle, in order. A cohort's logs so need no file for each individual, which a
+    store has to list, open and plan for one by one."""
+    cut = F.instr("value", "\t")
+    rows = _lines(spark, path).where(cut > 0)
+    return rows.select(F.expr("substring(value, instr(value, '\t') + 1)").alias("value"), "file", "line", F.expr("substring(value, 1, instr(value, '\t') - 1)").alias("name"))
+
+
 def attribute(attrs: Column, key: str) -> Column:
     """A quoted attribute of a GTF line; empty is null."""
     found = F.regexp_extract(attrs, rf'(?:^|[;\s]){key}\s+"([^"]*)"', 1)
