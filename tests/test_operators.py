@@ -151,3 +151,49 @@ def test_ranged_adjustment_of_p_values_that_differ_from_run_to_run(spark):
     tests = spark.range(1, 80, 1, 4).withColumn("p_value", noise("id"))
     got = {r["id"]: r["adj_pvalue"] for r in ranks.benjamini_hochberg(tests, parts=8).collect()}
     assert len(got) == 79 and all(v == pytest.approx(0.79, abs=1e-6) for v in got.values())
+
+
+def test_shuffles_are_dealt_by_rows(spark, monkeypatch):
+    """The interval join has as many partitions as its rows ask for, whatever the session's number, and the same rows."""
+    from armlens.operators import stored
+
+    monkeypatch.setattr(stored, "TASK_ROWS", 50)
+    points = spark.range(1, 400).select((F.col("id") % 2).cast("int").alias("chrom"), "id").withColumnRenamed("id", "pos")
+    spans = spark.range(1, 200).select((F.col("id") % 2).cast("int").alias("chrom"), (F.col("id") * 2).alias("gene_start"), (F.col("id") * 2 + 9).alias("gene_end"), F.col("id").alias("g"))
+    met = joins.covering(points, spans)
+    want = {(p, g) for p in range(1, 400) for g in range(1, 200) if p % 2 == g % 2 and g * 2 <= p <= g * 2 + 9}
+    assert {(r["pos"], r["g"]) for r in met.collect()} == want
+    assert met.rdd.getNumPartitions() >= len(want) // 50 > 4
+
+
+def test_resolved_calls_are_written_once(spark):
+    from armlens.sources.driver_view import Cohort
+
+    loaded = Cohort(spark, "/root/testdata/sf0.001").loaded
+    assert "Join" not in loaded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fisher_of_large_tables():
+    """A million positions take milliseconds; small tables against sums of whole numbers."""
+    import time
+
+    def whole(a, b, c, d):
+        n = [math.comb(a + b, k) * math.comb(c + d, a + c - k) for k in range(max(0, a - d), min(a + b, a + c) + 1)]
+        seen = math.comb(a + b, a) * math.comb(c + d, c)
+        return sum(x for x in n if x <= seen) / sum(n)
+
+    rng = random.Random(5)
+    for table in [(0, 0, 0, 0), (3, 0, 0, 4), (0, 9, 1, 0), (120, 4000, 150, 3900)] + [tuple(rng.randrange(60) for _ in range(4)) for _ in range(100)]:
+        assert tests.fisher_p(*table) == pytest.approx(whole(*table), rel=1e-9)
+    begin = time.perf_counter()
+    for _ in range(39):
+        assert 0 < tests.fisher_p(1_000_000, 2_000_000, 1_001_000, 2_000_000) < 1
+    assert time.perf_counter() - begin < 5
+
+
+def test_an_individuals_shares_need_no_window(spark):
+    """A window over an individual would have all its genes in one task."""
+    rows = spark.createDataFrame([(1, 1, 1.0), (1, 2, 3.0), (2, 1, 0.0), (None, 1, 2.0)], "individualID int, ref_id int, fpkm double")
+    got = aggregates.tpm(rows)
+    assert {(r[0], r[1]): r["tpm"] for r in got.collect()} == {(1, 1): 250000.0, (1, 2): 750000.0, (2, 1): 0.0, (None, 1): 1e6}
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
