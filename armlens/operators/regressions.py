@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tails import beta_inc
 from .ranks import benjamini_hochberg
+from .stored import dealt
 
 #: Cells (rows times terms) that are stacked at once.
 STACKED = 1 << 20
@@ -230,7 +231,7 @@ def adjusted_site_models(rows: DataFrame, keys: list[str], terms: list[str], *,
     return found.select(*keys, "n", "boundary", "beta_naive", "p_naive", "beta_comp", "p_comp", "pct_attenuation", "fdr_naive", "fdr_comp")
 
 
-def call_models(rows: DataFrame, key: str, terms: list[str], *, estimator: str = "firth", min_carriers: int = 5, parts: int | None = None) -> DataFrame:
+def call_models(rows: DataFrame, key: str, terms: list[str], *, estimator: str = "firth", min_carriers: int = 5, parts: int | None = 64) -> DataFrame:
     """Per key (gene), presence of any call in an individual on is_case by three nested models: alone (naive), with
     ``terms`` (comp), and with log2 of expression + 1 and of library size as well (det).
 
@@ -241,14 +242,14 @@ def call_models(rows: DataFrame, key: str, terms: list[str], *, estimator: str =
     penalty, by chi-squared. ``ml``: maximum likelihood with Wald's p-values, and ``separated`` where a fitted share is
     within 1e-6 of 0 or 1 or a coefficient is beyond 20; these keys take no part in the adjustment. det is null where
     expression doesn't vary; a model whose terms depend on each other is null under firth and loses the later ones under
-    ml."""
+    ml. ``parts``: adjusted p-values are ranked by ranges, as there may be millions of keys."""
     kept = rows.dropna(subset=[key, "is_case", "present", "expression", "lib_size", *terms])
     values = F.array(*[F.col(c).cast("double") for c in ("present", "is_case", *terms)], F.log2(F.col("expression") + 1), F.log2("lib_size"))
     groups = kept.groupBy(key).agg(F.min("expression").cast("double").alias("min_expression"), F.array_sort(F.collect_list(values)).alias("rows"))
     return _nested_models(groups, key, terms, estimator, min_carriers, parts)
 
 
-def cohort_call_models(carriers: DataFrame, expression: DataFrame, cohort: DataFrame, key: str, terms: list[str], *, individual: str = "individualID", estimator: str = "firth", min_carriers: int = 5, parts: int | None = None) -> DataFrame:
+def cohort_call_models(carriers: DataFrame, expression: DataFrame, cohort: DataFrame, key: str, terms: list[str], *, individual: str = "individualID", estimator: str = "firth", min_carriers: int = 5, parts: int | None = 64) -> DataFrame:
     """``call_models`` of all keys of ``carriers`` (key, individual) over the whole ``cohort`` (individual, is_case, lib_size
     and the terms), with ``expression`` (key, individual, expression); what is absent is 0.
 
@@ -256,8 +257,10 @@ def cohort_call_models(carriers: DataFrame, expression: DataFrame, cohort: DataF
     and no grid of keys and individuals is joined."""
     need = ["is_case", "lib_size", *terms]
     one = cohort.dropna(subset=[individual, *need]).dropDuplicates([individual]).agg(F.array_sort(F.collect_list(F.struct(individual, *need))).alias("_cohort"))
-    seen = carriers.select(key, individual).distinct().groupBy(key).agg(F.collect_list(individual).alias("_present"))
-    amounts = expression.groupBy(key, individual).agg(F.sum("expression").cast("double").alias("e")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(individual, "e"))).alias("_amount"))
+    # Both are dealt by key into one number of partitions, so they meet without a further shuffle.
+    size = max(carriers.count(), expression.count())
+    seen = dealt(carriers.select(key, individual), size, key).distinct().groupBy(key).agg(F.collect_list(individual).alias("_present"))
+    amounts = dealt(expression.select(key, individual, "expression"), size, key).groupBy(key, individual).agg(F.sum("expression").cast("double").alias("e")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(individual, "e"))).alias("_amount"))
     # One row: it is as long as a single key's rows have to be.
     met = seen.join(amounts, key, "left").join(F.broadcast(one), F.lit(True))
     of = lambda i: F.coalesce(F.try_element_at("_amount", i[individual]), F.lit(0.0))

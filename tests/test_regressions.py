@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from armlens.operators import deconvolution, models, regressions
 
@@ -288,3 +289,12 @@ def test_shift_of_large_arms_needs_no_pairs():
     got = models.median_difference(x, y)
     below, up_to = ((np.searchsorted(np.sort(y), x - got, side)).sum() for side in ("left", "right"))
     assert abs(len(x) * len(y) / 2 - (len(x) * len(y) - (below + up_to) / 2)) < 1e6 and abs(got - 0.5) < 0.02
+
+
+def test_adjusted_p_values_of_many_keys_are_ranked_by_ranges(spark):
+    """A window over all keys would be one task."""
+    people = spark.createDataFrame([(i, i % 2, 100.0 + i) for i in range(20)], "individualID long, is_case int, lib_size double")
+    seen = spark.range(240).select((F.col("id") % 12).alias("gene"), (F.col("id") * 7 % 20).alias("individualID")).where("individualID < gene + 4").distinct()
+    made = regressions.cohort_call_models(seen, seen.withColumn("expression", F.lit(1.0)), people, "gene", [])
+    assert "isnull(_p_" not in made._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert made.count() > 0
