@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import largest_gap
-from .stored import stored
+from .stored import dealt, stored
 
 
 #: Samples of a block that are correlated with another block's in one task.
@@ -283,7 +283,8 @@ def sample_components(rows: DataFrame, genes: int = 2000, k: int = 3) -> DataFra
 
     A sample is one row with its values; what a missing value adds to a scaled vector is the same for all samples. The
     leading directions come from block Lanczos steps over the genes, so the number of samples isn't bound by memory."""
-    x = rows.groupBy("gene", "sample").agg(F.log2(F.sum("value") + 1).alias("x"))
+    # Four steps start from here; a task writes whole genes, so what is summed up by gene is small before it is shuffled.
+    x = stored(dealt(rows, rows.count(), "gene").groupBy("gene", "sample").agg(F.log2(F.sum("value") + 1).alias("x")))
     n = x.select("sample").distinct().count()
     g = x.groupBy("gene").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
     g = g.select("gene", (F.col("s") / n).alias("m"), F.try_divide(F.col("q") - F.col("s") * F.col("s") / n, F.lit(n - 1)).alias("v")).where("v > 1e-12")
