@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.special import two_sided_normal_sql
 from ..functions.tails import chi2_upper, f_upper, t_two_sided
-from .ranks import benjamini_hochberg
+from .ranks import benjamini_hochberg, rank_sums
 from .tests import _normal_p, spearman
 
 
@@ -160,10 +160,7 @@ def directional_wilcoxon(values: DataFrame, keys: list[str], group: str, value:
     """Per key: the smaller of the two one-sided p-values that ``high`` lies above or below ``low``, its direction, and
     the adjustment over keys. Null where either group has fewer than ``least`` values."""
     two = values.where(F.col(group).isin(high, low))
-    by, tie = Window.partitionBy(*keys), Window.partitionBy(*keys, value)
-    c = F.col(group) == high
-    r = two.select(*keys, c.alias("c"), (F.rank().over(by.orderBy(value)) + (F.count("*").over(tie) - 1) / 2.0).alias("r"), F.count("*").over(tie).alias("t"))
-    g = r.groupBy(*keys).agg(F.count_if("c").alias("n1"), F.count_if(~F.col("c")).alias("n2"), F.sum(F.when(F.col("c"), F.col("r"))).alias("r1"), F.sum(F.col("t") * F.col("t") - 1).cast("double").alias("ties"))
+    g = rank_sums(two, keys, F.col(group) == high, value)
     g = g.withColumn("u", F.expr("r1 - n1 * (n1 + 1) / 2e0")).withColumn("s", F.expr("sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1) - ties / nullif(CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1), 0e0)))"))
     side = lambda sign: F.expr(f"(({sign}) * (u - n1 * n2 / 2e0) - 0.5e0) / nullif(s, 0e0)")
     g = g.withColumns({"z_greater": side("1"), "z_less": side("-1")})

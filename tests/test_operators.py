@@ -197,3 +197,35 @@ def test_an_individuals_shares_need_no_window(spark):
     got = aggregates.tpm(rows)
     assert {(r[0], r[1]): r["tpm"] for r in got.collect()} == {(1, 1): 250000.0, (1, 2): 750000.0, (2, 1): 0.0, (None, 1): 1e6}
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rank_sums_by_ranges(spark):
+    """As ranks over whole keys, also with ties across the bounds of ranges, nulls, and keys of one group."""
+    rng, rows = random.Random(11), []
+    for g in range(4):
+        rows += [(g, rng.random() < 0.4 or g == 3, rng.choice([None, 0.0, 0.5, 1.0, rng.random(), rng.random()])) for _ in range(150)]
+    got = {r["g"]: r for r in ranks.rank_sums(spark.createDataFrame(rows, "g int, c boolean, v double").repartition(3), ["g"], F.col("c"), "v", parts=9).collect()}
+    for g in range(4):
+        own = [(-1.0 if v is None else v, c) for k, c, v in rows if k == g]
+        case, ref = [v for v, c in own if c], [v for v, c in own if not c]
+        t = [[v for v, _ in own].count(v) for v, _ in own]
+        assert (got[g]["n1"], got[g]["n2"]) == (len(case), len(ref))
+        assert got[g]["r1"] == rank_sums(case, ref) + len(case) * (len(case) + 1) / 2 and got[g]["ties"] == sum(x * x - 1 for x in t)
+
+
+def test_one_keys_ranks_need_no_window_over_it(spark):
+    from armlens.operators import models
+
+    two = spark.range(100).select(F.lit(1).alias("k"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("g"), F.col("id").cast("double").alias("v"))
+    plan = models.directional_wilcoxon(two, ["k"], "g", "v", "a", "b")._jdf.queryExecution().executedPlan().toString()
+    assert "_range" in plan and "rank(" not in plan
+
+
+def test_expression_is_grouped_by_rows(spark, monkeypatch):
+    """Spark would merge the partitions of a grouping by their bytes; what is grouped is dealt by rows."""
+    from armlens.operators import stored
+    from armlens.sources.driver_view import Cohort
+
+    monkeypatch.setattr(stored, "TASK_ROWS", 200)
+    made = Cohort(spark, "/root/testdata/sf0.001").expression
+    assert made.rdd.getNumPartitions() > made.count() // 400 > 4
