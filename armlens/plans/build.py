@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import aggregates, joins
-from ..operators.stored import observed, stored
+from ..operators.stored import dealt, observed, stored
 from ..sources import readers, sinks
 
 
@@ -87,7 +87,8 @@ def load_calls(spark: SparkSession, paths: str | list[str], samples: DataFrame,
     records = readers.read_vcf_records(spark, paths, samples)
     if contigs is not None:
         known = contigs.select("chrom").distinct().withColumn("known_contig", F.lit(True))
-        records = records.join(known, "chrom", "left").withColumn("problem", F.when(F.col("known_contig").isNull(), "off_contig").otherwise(F.col("problem"))).drop("known_contig")
+        # A list of contigs; a shuffle by contig would have few tasks.
+        records = records.join(F.broadcast(known), "chrom", "left").withColumn("problem", F.when(F.col("known_contig").isNull(), "off_contig").otherwise(F.col("problem"))).drop("known_contig")
     is_ = lambda *problems: F.count_if(F.col("problem").isin(*problems))
     records, seen = observed(records, n_records_read=F.count("*"), n_dropped_off_contig=is_("off_contig"), n_dropped_no_format=is_("no_ad_dp", "short"), n_dropped_no_position=is_("no_position"), n_without_sample=is_("no_sample"), n_usable=F.count_if(F.col("problem").isNull()))
     calls = stored(records.where("problem IS NULL").drop("problem"))
@@ -96,6 +97,9 @@ def load_calls(spark: SparkSession, paths: str | list[str], samples: DataFrame,
         raise ValueError("a file has several sample columns, none of which is its individual's")
     if not counts["n_usable"]:
         raise ValueError(f"no usable record: {counts}")
+    # Positions are dealt by rows for each of the steps below.
+    at, n_usable = ["chrom", "pos"], counts["n_usable"]
+    calls = dealt(calls, n_usable, *at)
     key = ["chrom", "pos", "individualID"]
     if repeated == "reject":
         n = calls.groupBy(*key).count().where("count > 1").count()
@@ -110,7 +114,7 @@ def load_calls(spark: SparkSession, paths: str | list[str], samples: DataFrame,
     if counts["n_base_conflicts"]:
         warnings.warn(f"{counts['n_base_conflicts']} sites have several reference bases; the first one is taken", stacklevel=2)
     resolved = joins.resolve_sites(sites.select("chrom", "pos", "ref_base"), genes)
-    typed = calls.drop("line").join(resolved.select("chrom", "pos", "ref_id", "strand"), ["chrom", "pos"]).withColumn("a1type", scalars.classify_calltype(F.col("ref"), F.col("alt1"), F.col("strand")))
+    typed = calls.drop("line").join(dealt(resolved, n_usable, *at).select("chrom", "pos", "ref_id", "strand"), ["chrom", "pos"]).withColumn("a1type", scalars.classify_calltype(F.col("ref"), F.col("alt1"), F.col("strand")))
     return typed, resolved.join(sites.select("chrom", "pos", "conflict"), ["chrom", "pos"]), counts
 
 
@@ -125,8 +129,10 @@ def kept_contigs(spark: SparkSession, meta_path: str) -> DataFrame | None:
 
 def load_expression(spark: SparkSession, paths: str | list[str], samples: DataFrame, transcripts: DataFrame) -> DataFrame:
     """individualID, tid, fpkm, tpm: shares over all quantified rows, then known transcripts only, the first of each."""
-    rows = readers.read_ctab(spark, paths, samples).withColumn("tid", scalars.version_stem(scalars.strip_id_prefix(F.col("tid"))))
-    known = aggregates.tpm(rows).join(transcripts.select("tid").distinct(), "tid", "left_semi")
+    rows, seen = observed(readers.read_ctab(spark, paths, samples).withColumn("tid", scalars.version_stem(scalars.strip_id_prefix(F.col("tid")))), n=F.count("*"))
+    # Written once, as totals and shares start from them, and counted as they pass.
+    rows = stored(rows)
+    known = dealt(aggregates.tpm(rows), seen.get["n"], "tid").join(transcripts.select("tid").distinct(), "tid", "left_semi")
     return known.groupBy("individualID", "tid").agg(F.min_by(F.struct("fpkm", "tpm"), "line").alias("v")).select("individualID", "tid", "v.*")
 
 

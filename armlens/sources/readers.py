@@ -17,10 +17,22 @@ ASSEMBLY_NAMES = ["sequence_name", "genbank_accn", "refseq_accn", "ucsc_style_na
 DROPPED_MOLECULES = ["MT", "Y"]
 
 
+#: The name of a part of a folder that Spark has written.
+PART = r"/part-([0-9]{5,})-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}[^/]*$"
+
+
+def _file() -> tuple[Column, Column]:
+    """The path of a row's file, and its part: a folder of parts, as ``sinks.write_files`` writes long files, is one file."""
+    path = F.col("_metadata.file_path")
+    maybe = path.contains("/part-")
+    return F.when(maybe, F.regexp_replace(path, PART, "")).otherwise(path), F.coalesce(F.when(maybe, F.regexp_extract(path, PART, 1).try_cast("int")), F.lit(0))
+
+
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """value, file and line, which orders the lines of a file."""
     text = spark.read.text(path)
-    return text.select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n")).alias("line"))
+    file, part = _file()
+    return text.select("value", file.alias("file"), F.struct(part.alias("p"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n")).alias("line"))
 
 
 def named_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -66,13 +78,13 @@ def read_vcf_records(spark: SparkSession, path: str | list[str], samples: DataFr
     records), problem.
     """
     lines = _lines(spark, path).withColumn("name", F.element_at(F.split("file", "/"), -1))
-    head = lines.where(F.col("value").startswith("#CHROM")).select("file", "name", F.split("value", "\t").alias("h")).join(samples.withColumnRenamed("file", "name"), "name")
+    head = lines.where(F.col("value").startswith("#CHROM")).select("file", "name", F.split("value", "\t").alias("h")).join(F.broadcast(samples.withColumnRenamed("file", "name")), "name")
     n = F.size("h") - VCF_FIXED
     at = F.when(n == 1, F.lit(VCF_FIXED + 1)).otherwise(F.array_position("h", F.col("individualID").cast("string")))
     head = head.select("file", "individualID", F.when(at > VCF_FIXED, at).cast("int").alias("at"))
     part = F.split("value", "\t")
     # One row per file: the header table is as long as the list of files.
-    body = lines.where(~F.col("value").startswith("#")).select("file", F.struct("file", "line").alias("line"), part.alias("p")).join(head, "file")
+    body = lines.where(~F.col("value").startswith("#")).select("file", F.struct("file", "line").alias("line"), part.alias("p")).join(F.broadcast(head), "file")
     body = body.where(F.col("at").isNull() | (F.size("p") >= F.col("at")))
     keys, values = F.split(F.get("p", F.lit(8)), ":"), F.split(F.get("p", F.col("at") - 1), ":")
     of = lambda key: F.get(values, F.array_position(keys, key).cast("int") - 1)
@@ -92,7 +104,8 @@ def read_vcf_calls(spark: SparkSession, path: str | list[str], samples: DataFram
     records = read_vcf_records(spark, path, samples)
     if contigs is not None:
         known = contigs.select("chrom").distinct().withColumn("_k", F.lit(True))
-        records = records.join(known, "chrom", "left").withColumn("problem", F.when(F.col("_k").isNull(), "off_contig").otherwise(F.col("problem"))).drop("_k")
+        # A list of contigs; a shuffle by contig would have few tasks.
+        records = records.join(F.broadcast(known), "chrom", "left").withColumn("problem", F.when(F.col("_k").isNull(), "off_contig").otherwise(F.col("problem"))).drop("_k")
     return records.where("problem IS NULL").drop("problem"), records.where("problem IS NOT NULL").groupBy("problem").agg(F.count("*").alias("n"))
 
 
@@ -146,8 +159,8 @@ def read_ctab(spark: SparkSession, path: str | list[str], samples: DataFrame) ->
     """individualID, tid, fpkm, line from tables with t_name and FPKM. ``samples``: file (its name), individualID."""
     raw = spark.read.csv(path, header=True, sep="\t", inferSchema=False)
     line = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n"))
-    rows = raw.select(line.alias("line"), F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.col("t_name").alias("tid"), F.col("FPKM").try_cast("double").alias("fpkm"))
-    return rows.where("fpkm IS NOT NULL").join(samples, "file").drop("file")
+    rows = raw.select(line.alias("line"), F.element_at(F.split(_file()[0], "/"), -1).alias("file"), F.col("t_name").alias("tid"), F.col("FPKM").try_cast("double").alias("fpkm"))
+    return rows.where("fpkm IS NOT NULL").join(F.broadcast(samples), "file").drop("file")
 
 
 def read_attrs(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:

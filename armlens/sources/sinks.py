@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.stored import TASK_ROWS
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     try:
@@ -62,10 +64,13 @@ def file_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
-def write_files(lines: DataFrame, targets: dict[str, str], key: str, order: str, text: str = "value", *, overwrite: bool = False) -> None:
-    """One text file for each key of ``targets`` (key -> path), its lines in ``order``.
+def write_files(lines: DataFrame, targets: dict[str, str], key: str, order: str, text: str | list[str] = "value", *, overwrite: bool = False, rows: float = 0) -> None:
+    """One text file for each key of ``targets`` (key -> path), its lines in ``order``. Several columns as ``text`` are
+    written as a table separated by tabs, with its header.
 
-    A key's lines are sorted by one task, which may spill, as a file needs one writer. All files are written to a folder
+    A key's lines are sorted by one task, which may spill, as a file needs one writer. ``rows``: how many lines there are,
+    from callers that can take folders: where these are many, each target is a folder of parts, in order by their names,
+    which the readers take as one file. Ranges of lines are then sorted apart, so no task has a whole file. All files are written to a folder
     beside the first target; when all are there each is renamed to its place, so no reader sees a part of one. Keys
     without lines get no file."""
     spark = lines.sparkSession
@@ -73,20 +78,30 @@ def write_files(lines: DataFrame, targets: dict[str, str], key: str, order: str,
     # Keys may hold signs that folder names can't, so folders are numbered.
     number = {k: n for n, k in enumerate(sorted(targets))}
     numbers = spark.createDataFrame(list(number.items()), f"{key} string, file_number int")
-    dealt = lines.join(numbers, key).repartition("file_number").sortWithinPartitions("file_number", order)
-    dealt.select("file_number", text).write.partitionBy("file_number").text(aside)
+    numbered = lines.join(F.broadcast(numbers), key)
+    long = rows > TASK_ROWS * spark.sparkContext.defaultParallelism
+    dealt = numbered.repartitionByRange(int(rows // TASK_ROWS) + 1, "file_number", order) if long else numbered.repartition("file_number")
+    table = isinstance(text, list)
+    writer = dealt.sortWithinPartitions("file_number", order).select("file_number", *(text if table else [text])).write.partitionBy("file_number")
+    if table:
+        writer.csv(aside, header=True, sep="\t", quote="")
+    else:
+        writer.text(aside)
     fs, folder = _store(spark, aside)
     try:
         for k, target in targets.items():
             _, part = _store(spark, f"{aside}/file_number={number[k]}")
             if not fs.exists(part):
                 continue
-            (written,) = [x.getPath() for x in fs.listStatus(part) if x.getPath().getName().startswith("part-")]
+            if long:
+                written = part
+            else:
+                (written,) = [x.getPath() for x in fs.listStatus(part) if x.getPath().getName().startswith("part-")]
             _, place = _store(spark, target)
             if fs.exists(place):
                 if not overwrite:
                     raise ValueError(f"{target} is there already")
-                fs.delete(place, False)
+                fs.delete(place, True)
             fs.mkdirs(place.getParent())
             if not fs.rename(written, place):
                 raise OSError(f"{target} can't be written")

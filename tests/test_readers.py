@@ -119,3 +119,26 @@ def test_bundles_keep_names_lines_and_order(spark, tmp_path):
     rows.select(readers.bundle_line(F.col("n"), F.col("l"))).write.text(str(tmp_path / "b"))
     got = readers.bundled_lines(spark, str(tmp_path / "b")).groupBy("name").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("l")).collect()
     assert {r["name"]: [x["value"] for x in r["l"]] for r in got} == {"b": ["x\t1", "", "#2"], "a": ["y"]}
+
+
+def test_long_files_are_folders_of_parts(spark, tmp_path, monkeypatch):
+    """No task sorts a whole file; read back, the parts are one file, with its header and its lines in order."""
+    monkeypatch.setattr(sinks, "TASK_ROWS", 20)
+    head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
+    body = spark.range(300).select((F.col("id") % 2).cast("string").alias("k"), F.col("id").alias("at"), F.concat_ws("\t", F.lit("1"), F.col("id"), F.lit(".\tA\tC\t9\tPASS\t.\tAD:DP\t1,2:3")).alias("value"))
+    first = spark.createDataFrame([("0", -1, head + "0"), ("1", -1, head + "1")], "k string, at long, value string")
+    targets = {k: str(tmp_path / f"i{k}.vcf") for k in "01"}
+    sinks.write_files(first.union(body).repartition(5), targets, "k", "at", rows=302)
+    assert all(len(list((tmp_path / f"i{k}.vcf").glob("part-*"))) > 3 for k in "01")
+    names = spark.createDataFrame([("i0.vcf", "0"), ("i1.vcf", "1")], "file string, individualID string")
+    calls, dropped = readers.read_vcf_calls(spark, list(targets.values()), names)
+    got = [(r["individualID"], r["pos"]) for r in calls.orderBy("line").collect()]
+    assert got == [(str(k), n) for k in range(2) for n in range(k, 300, 2)] and dropped.isEmpty()
+    assert {r["name"] for r in readers.named_lines(spark, list(targets.values())).select("name").distinct().collect()} == {"i0.vcf", "i1.vcf"}
+    tables = {k: str(tmp_path / f"i{k}.ctab") for k in "01"}
+    cells = body.select("k", "at", F.concat(F.lit("T"), "at").alias("t_name"), F.col("at").cast("string").alias("FPKM"))
+    for rows in (300, 0):
+        sinks.write_files(cells, tables, "k", "at", ["t_name", "FPKM"], rows=rows, overwrite=True)
+        read = readers.read_ctab(spark, list(tables.values()), spark.createDataFrame([("i0.ctab", "0"), ("i1.ctab", "1")], "file string, individualID string")).collect()
+        assert {(r["individualID"], r["tid"], r["fpkm"]) for r in read} == {(str(n % 2), f"T{n}", float(n)) for n in range(300)}
+    assert (tmp_path / "i0.ctab").is_file()
