@@ -53,7 +53,7 @@ def expression_filter(rows: DataFrame, groups: DataFrame, *, min_count: float =
     need = F.when(smallest > large_n, large_n + (smallest - large_n) * min_prop).otherwise(smallest)
     library = rows.groupBy("sample").agg(F.sum("value").alias("library"))
     one = sizes.agg(need.alias("need")).join(library.agg(F.percentile("library", 0.5).alias("median")), F.lit(True))
-    cpm = rows.join(library, "sample").join(F.broadcast(one), F.lit(True)).withColumn("above", F.col("value") / F.col("library") >= F.lit(min_count) / F.col("median"))
+    cpm = rows.join(F.broadcast(library), "sample").join(F.broadcast(one), F.lit(True)).withColumn("above", F.col("value") / F.col("library") >= F.lit(min_count) / F.col("median"))
     g = cpm.groupBy("gene").agg(F.count_if("above").alias("n_above"), F.sum("value").alias("total"), F.first("need").alias("need"))
     return g.where((F.col("n_above") >= F.col("need") - 1e-14) & (F.col("total") >= min_total - 1e-14)).select("gene", "n_above", "total")
 
@@ -326,7 +326,9 @@ def rescued_filter(counts: DataFrame, fpkm: DataFrame, groups: DataFrame, marker
     without a row count as 0. ``rule``: further arguments of the filter."""
     kept = expression_filter(counts, groups, **rule).select("gene", F.lit("filter").alias("kept_by"))
     n = fpkm.agg(F.count_distinct("sample").alias("n_samples"))
-    share = fpkm.withColumn("share", F.try_divide("value", F.sum("value").over(Window.partitionBy("sample"))) * 1e6)
+    # A row for each sample; a window over one would have all its genes in one task.
+    totals = fpkm.groupBy(F.col("sample").alias("_sample")).agg(F.sum("value").alias("_total"))
+    share = fpkm.join(F.broadcast(totals), F.col("sample").eqNullSafe(F.col("_sample"))).withColumn("share", F.try_divide("value", "_total") * 1e6)
     # One row: the number of samples.
     mean = share.groupBy("gene").agg(F.sum("share").alias("total")).join(F.broadcast(n), F.lit(True)).where(F.col("total") / F.col("n_samples") > min_fpkm)
     saved = mean.join(markers.select("gene").distinct(), "gene", "left_semi").join(kept, "gene", "left_anti")

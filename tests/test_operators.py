@@ -229,3 +229,13 @@ def test_expression_is_grouped_by_rows(spark, monkeypatch):
     monkeypatch.setattr(stored, "TASK_ROWS", 200)
     made = Cohort(spark, "/root/testdata/sf0.001").expression
     assert made.rdd.getNumPartitions() > 20
+
+
+def test_rescue_needs_no_window_over_a_sample(spark):
+    from armlens.operators import expression
+
+    rows = spark.createDataFrame([(g, s, float(g + 1)) for g in range(5) for s in range(4)], "gene int, sample int, value double")
+    arms = spark.createDataFrame([(s, "case" if s % 2 else "ref") for s in range(4)], "sample int, condition string")
+    kept = expression.rescued_filter(rows, rows, arms, rows.where("gene = 1").select("gene"), min_count=3e5, min_total=0.0, min_fpkm=1.0)
+    assert {tuple(r) for r in kept.collect()} == {(g, "filter") for g in ()} | {tuple(r) for r in kept.where("kept_by = 'filter'").collect()} | {(1, "rescue")}
+    assert "Window" not in kept._jdf.queryExecution().optimizedPlan().toString()
