@@ -239,3 +239,16 @@ def test_rescue_needs_no_window_over_a_sample(spark):
     kept = expression.rescued_filter(rows, rows, arms, rows.where("gene = 1").select("gene"), min_count=3e5, min_total=0.0, min_fpkm=1.0)
     assert {tuple(r) for r in kept.collect()} == {(g, "filter") for g in ()} | {tuple(r) for r in kept.where("kept_by = 'filter'").collect()} | {(1, "rescue")}
     assert "Window" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cohort_tables_are_files_and_the_gene_set_starts_from_written_tests(spark):
+    """Steps read only the columns they ask for, and no step makes the complete genes or their tests anew."""
+    from armlens.plans import analyses
+    from armlens.sources.driver_view import Cohort
+
+    c = Cohort(spark, "/root/testdata/sf0.001")
+    assert all(t.inputFiles() for t in (c.call, c.site, c.loaded, c.eligible, c.complete, c.complete_calls))
+    want = c.eligible.join(aggregates.complete_genes(c.eligible, c.individual), "ref_id", "left_semi")
+    assert c.complete_calls.count() == want.count() > 0 and c.complete_calls.exceptAll(want).isEmpty()
+    plan = analyses.global_gene_set(c)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "individualID" not in plan
