@@ -252,3 +252,12 @@ def test_cohort_tables_are_files_and_the_gene_set_starts_from_written_tests(spar
     assert c.complete_calls.count() == want.count() > 0 and c.complete_calls.exceptAll(want).isEmpty()
     plan = analyses.global_gene_set(c)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "individualID" not in plan
+
+
+def test_positions_of_the_classified_genes_calls_only(spark):
+    """Unique positions are unique in the whole cohort, also where positions are taken from fewer calls."""
+    rows = [(1, 1, 10, "A-G", "case", 1), (2, 1, 10, "A-G", "ref", 2), (1, 1, 11, "A-G", "case", 1), (2, 1, 12, "A-G", "ref", 2)]
+    calls = spark.createDataFrame(rows, "ref_id long, chrom int, pos long, a1type string, condition string, individualID long")
+    classes = spark.createDataFrame([(1, "Shared")], "ref_id long, edit_dist string")
+    some = aggregates.count_positions(calls, classes, calls.where("ref_id = 1")).collect()
+    assert some == aggregates.count_positions(calls, classes).collect() and (some[0]["n_case_unique"], some[0]["n_case_common"]) == (1, 1)
